@@ -120,3 +120,156 @@ SELECT symbol, strftime("Date", '%Y-%m') AS "Month",
        {_avg_round2('"Close"')} AS "Avg_Close",
        CAST(sum("Volume") AS BIGINT) AS "Total_Volume"
 FROM bars GROUP BY 1, 2"""
+
+
+def _bar_cols(prefix: str = "") -> str:
+    return ", ".join(f'{prefix}"{c}"' for c in
+                     ["symbol", "Date", "Open", "High", "Low", "Close", "Adj Close", "Volume"])
+
+
+_RET = """
+ret AS (
+  SELECT *, ("Close" - lag("Close") OVER w) / lag("Close") OVER w AS dr
+  FROM {src} WINDOW w AS (PARTITION BY symbol ORDER BY "Date")
+)"""
+
+_ROLL_WINDOWS = """
+WINDOW w5 AS (PARTITION BY symbol ORDER BY "Date" ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+       w20 AS (PARTITION BY symbol ORDER BY "Date" ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
+
+_MA5 = 'CASE WHEN count("Close") OVER w5 = 5 THEN round(avg("Close") OVER w5, 4) END AS "MA5"'
+_MA20 = 'CASE WHEN count("Close") OVER w20 = 20 THEN round(avg("Close") OVER w20, 4) END AS "MA20"'
+_VOL = ('CASE WHEN count(dr) OVER w20 = 20 THEN '
+        'round(stddev_samp(dr) OVER w20 * sqrt(252.0), 4) END AS "Volatility"')
+
+ORACLE["daily_return"] = _with(BARS_CTE, _RET.format(src="bars")) + f"""
+SELECT {_bar_cols()}, round(dr, 4) AS "Daily Return" FROM ret"""
+
+ORACLE["moving_avg_5"] = _with(BARS_CTE) + f"""
+SELECT {_bar_cols()}, {_MA5} FROM bars {_ROLL_WINDOWS}"""
+
+ORACLE["moving_avg_20"] = _with(BARS_CTE) + f"""
+SELECT {_bar_cols()}, {_MA20} FROM bars {_ROLL_WINDOWS}"""
+
+ORACLE["volatility_20"] = _with(BARS_CTE, _RET.format(src="bars")) + f"""
+SELECT {_bar_cols()}, round(dr, 4) AS "Daily Return", {_VOL} FROM ret {_ROLL_WINDOWS}"""
+
+_LAST30 = """
+last30 AS (
+  SELECT * FROM bars
+  WHERE "Date" BETWEEN (SELECT max("Date") FROM bars) - INTERVAL 30 DAY
+                   AND (SELECT max("Date") FROM bars)
+)"""
+
+_ANALYZE = (_with(BARS_CTE, _LAST30, _RET.format(src="last30")) + f"""
+SELECT {_bar_cols()}, round(dr, 4) AS "Daily Return", {_MA5}, {_MA20}, {_VOL}
+FROM ret {_ROLL_WINDOWS}""")
+
+ORACLE["analyze_last_n_days"] = _ANALYZE
+
+ORACLE["headline_stats"] = _with(BARS_CTE, _LAST30, _RET.format(src="last30")) + f"""
+, rolled AS (
+  SELECT symbol, "Close", dr,
+         CASE WHEN count(dr) OVER w20 = 20 THEN stddev_samp(dr) OVER w20 * sqrt(252.0) END AS vol
+  FROM ret {_ROLL_WINDOWS}
+)
+SELECT symbol, round(avg(dr), 4) AS "Average_Daily_Return", round(avg(vol), 4) AS "Volatility",
+       round(max("Close"), 4) AS "Max_Close", round(min("Close"), 4) AS "Min_Close"
+FROM rolled GROUP BY symbol"""
+
+ORACLE["price_movement"] = _with(BARS_CTE) + f"""
+, moves AS (SELECT symbol, round(("Close" - "Open") / "Open" * 100, 2) AS mv FROM bars)
+SELECT symbol, {_avg_round2('mv')} AS "Avg_Daily_Return_%",
+       round(min(mv), 2) AS "Max_Daily_Loss_%", round(max(mv), 2) AS "Max_Daily_Gain_%"
+FROM moves GROUP BY symbol"""
+
+
+def _describe_sql(names, quart_fn) -> str:
+    cols = ["Open", "High", "Low", "Close", "Volume"]
+    parts = []
+    for c in cols:
+        x = f'CAST("{c}" AS DOUBLE)'
+        parts.append(
+            f"""SELECT symbol, '{c}' AS col, CAST(count({x}) AS DOUBLE) AS "count",
+                round(avg({x}), 4) AS "mean", round(stddev_samp({x}), 4) AS "{names[2]}",
+                round(min({x}), 4) AS "min", round({quart_fn(x, 0.25)}, 4) AS "25%",
+                round({quart_fn(x, 0.5)}, 4) AS "50%", round({quart_fn(x, 0.75)}, 4) AS "75%",
+                round(max({x}), 4) AS "max" FROM bars GROUP BY symbol""")
+    stats = ["count", "mean", names[2], "min", "25%", "50%", "75%", "max"]
+    body = "\nUNION ALL\n".join(parts)
+    pivots = ",\n".join(
+        f"""max(CASE WHEN col = '{c}' THEN v END) AS "{c}\"""" for c in cols)
+    unpivot = "\nUNION ALL\n".join(
+        f"""SELECT symbol, col, '{s}' AS statistic, "{s}" AS v FROM per_col""" for s in stats)
+    return _with(BARS_CTE) + f""", per_col AS ({body}),
+long AS ({unpivot})
+SELECT symbol, statistic, {pivots} FROM long GROUP BY symbol, statistic"""
+
+
+ORACLE["describe_exact"] = _describe_sql(
+    ["count", "mean", "std"], lambda x, p: f"quantile_cont({x}, {p})")
+
+ORACLE["row_count"] = _with(BARS_CTE) + "SELECT count(*) AS row_count FROM bars"
+
+ORACLE["date_range"] = _with(BARS_CTE) + f"""
+SELECT {_bar_cols()} FROM bars WHERE "Date" BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"""
+
+ORACLE["top_k_latest"] = _with(BARS_CTE) + f"""
+SELECT {_bar_cols()} FROM bars ORDER BY "Date" DESC, symbol ASC LIMIT 10000"""
+
+ORACLE["page"] = _with(BARS_CTE) + f"""
+SELECT {_bar_cols()} FROM bars ORDER BY symbol, "Date" LIMIT 5 OFFSET 10"""
+
+ORACLE["page_deep"] = _with(BARS_CTE) + f"""
+SELECT {_bar_cols()} FROM bars ORDER BY symbol, "Date" LIMIT 5 OFFSET 5000"""
+
+ORACLE["page_stats"] = _with(BARS_CTE) + f"""
+, pos AS (SELECT *, (row_number() OVER (PARTITION BY symbol ORDER BY "Date") - 1) // 5 AS page
+          FROM bars)
+SELECT symbol, CAST(page AS BIGINT) AS page, min("Date") AS "Start_Date",
+       max("Date") AS "End_Date", {_avg_round2('"Close"')} AS "Avg_Close",
+       CAST(sum("Volume") AS BIGINT) AS "Total_Volume", count(*) AS "Rows"
+FROM pos GROUP BY symbol, page"""
+
+# The tokenizer's delimiters (space, tab, newline, CR, form feed).
+ORACLE["word_count"] = r"""
+SELECT word, count(*) AS n
+FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word FROM documents)
+WHERE word <> ''
+GROUP BY word"""
+
+ORACLE["log_ingest"] = """
+SELECT event_id, ts, user_id, event_type, value,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events"""
+
+ORACLE["metric_window"] = """
+SELECT time_bucket(INTERVAL 10 SECOND, ts) AS window_start,
+       time_bucket(INTERVAL 10 SECOND, ts) + INTERVAL 10 SECOND AS window_end,
+       event_type, count(*) AS n, round(avg(value), 4) AS avg_value,
+       round(min(value), 4) AS min_value, round(max(value), 4) AS max_value,
+       round(arg_max(value, ts), 4) AS last_value
+FROM events GROUP BY 1, 2, 3"""
+
+ORACLE["uptime_gaps"] = """
+SELECT monitor, gap_start, gap_end, round(gap_seconds, 4) AS gap_seconds FROM (
+  SELECT event_type AS monitor, lag(ts) OVER w AS gap_start, ts AS gap_end,
+         date_diff('microsecond', lag(ts) OVER w, ts) / 1000000.0 AS gap_seconds
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
+) WHERE gap_seconds > 3600.0"""
+
+ORACLE["uptime_availability"] = """
+SELECT monitor, bucket_start, seen_slots, CAST(720 AS BIGINT) AS expected_slots,
+       round(seen_slots / 720.0, 4) AS availability
+FROM (SELECT event_type AS monitor, date_trunc('hour', ts) AS bucket_start,
+             count(DISTINCT floor(date_diff('microsecond', date_trunc('hour', ts), ts) / 5000000))
+               AS seen_slots
+      FROM events GROUP BY 1, 2)"""
+
+ORACLE["retention"] = """
+SELECT *, event_type || '-' || strftime(ts, '%Y.%m.%d') AS set_name FROM events
+WHERE NOT (starts_with(event_type || '-' || strftime(ts, '%Y.%m.%d'), 'error-')
+           AND ts < (SELECT max(ts) FROM events) - INTERVAL 2 DAY)"""
+
+ORACLE["summary_stats"] = _describe_sql(
+    ["count", "mean", "stddev"], lambda x, p: f"quantile_disc({x}, {p})")

@@ -72,3 +72,124 @@ def q_period_start(spark, sf_dir):
 @register("monthly_analysis")
 def q_monthly_analysis(spark, sf_dir):
     return P.monthly_analysis(bars(spark, sf_dir))
+
+
+# --- rolling analytics (W15, W25-W27, W37) -------------------------------
+
+from candlestack.operators import logs as L  # noqa: E402
+from candlestack.operators import paging as G  # noqa: E402
+from candlestack.operators import rolling as R  # noqa: E402
+from candlestack.operators import stats as S  # noqa: E402
+
+
+@register("daily_return")
+def q_daily_return(spark, sf_dir):
+    return round_doubles(R.daily_return(bars(spark, sf_dir)))
+
+
+@register("moving_avg_5")
+def q_moving_avg_5(spark, sf_dir):
+    return round_doubles(R.moving_average(bars(spark, sf_dir), 5))
+
+
+@register("moving_avg_20")
+def q_moving_avg_20(spark, sf_dir):
+    return round_doubles(R.moving_average(bars(spark, sf_dir), 20))
+
+
+@register("volatility_20")
+def q_volatility_20(spark, sf_dir):
+    return round_doubles(R.volatility(bars(spark, sf_dir), 20))
+
+
+@register("analyze_last_n_days")
+def q_analyze_last_n_days(spark, sf_dir):
+    return round_doubles(R.analyze_last_n_days(bars(spark, sf_dir), days=30))
+
+
+# --- statistics (W19, W21, W22, W38, W39) ---------------------------------
+
+@register("price_movement")
+def q_price_movement(spark, sf_dir):
+    return S.price_movement(bars(spark, sf_dir))
+
+
+@register("summary_stats")
+def q_summary_stats(spark, sf_dir):
+    return round_doubles(S.summary_stats(bars(spark, sf_dir)))
+
+
+@register("describe_exact")
+def q_describe_exact(spark, sf_dir):
+    return round_doubles(S.describe_exact(bars(spark, sf_dir)))
+
+
+@register("headline_stats")
+def q_headline_stats(spark, sf_dir):
+    return round_doubles(S.headline_stats(R.analyze_last_n_days(bars(spark, sf_dir), days=30)))
+
+
+@register("row_count")
+def q_row_count(spark, sf_dir):
+    return S.row_count(bars(spark, sf_dir))
+
+
+# --- ranges, top-k, paging (W6, W20, W23, W28) ----------------------------
+
+@register("date_range")
+def q_date_range(spark, sf_dir):
+    return B.bars_from_ticks(read_table(spark, sf_dir, "lineitem"),
+                             start="1998-01-01", end="1998-12-31")
+
+
+@register("top_k_latest")
+def q_top_k_latest(spark, sf_dir):
+    return G.top_k_latest(bars(spark, sf_dir), k=10_000)
+
+
+@register("page")
+def q_page(spark, sf_dir):
+    return G.page(bars(spark, sf_dir), n=2, k=5)
+
+
+@register("page_deep")
+def q_page_deep(spark, sf_dir):
+    # Page 1,000 of 5 rows with the top-N cut-off below it: row positions.
+    return G.page(bars(spark, sf_dir), n=1_000, k=5, top_n_limit=1_000)
+
+
+@register("page_stats")
+def q_page_stats(spark, sf_dir):
+    return G.page_stats(bars(spark, sf_dir), k=5)
+
+
+# --- logs, metrics, availability, retention (R1-R5, batch) ----------------
+
+@register("word_count")
+def q_word_count(spark, sf_dir):
+    return L.word_count(read_table(spark, sf_dir, "documents"))
+
+
+@register("log_ingest")
+def q_log_ingest(spark, sf_dir):
+    return L.parse_events(read_table(spark, sf_dir, "events"))
+
+
+@register("metric_window")
+def q_metric_window(spark, sf_dir):
+    return round_doubles(L.metric_window(read_table(spark, sf_dir, "events"), "10 seconds"))
+
+
+@register("uptime_gaps")
+def q_uptime_gaps(spark, sf_dir):
+    return round_doubles(L.uptime_gaps(read_table(spark, sf_dir, "events"), 3600.0))
+
+
+@register("uptime_availability")
+def q_uptime_availability(spark, sf_dir):
+    return round_doubles(L.availability(read_table(spark, sf_dir, "events"), 5, "hour"))
+
+
+@register("retention")
+def q_retention(spark, sf_dir):
+    return L.retention(read_table(spark, sf_dir, "events"), prefix="error-", days=2)
