@@ -102,14 +102,14 @@ def normalise_bars(df: DataFrame, renames: Mapping[str, str] | None = None,
 def coerce_defaults(df: DataFrame, schema: T.StructType, default=None) -> DataFrame:
     """Project onto ``schema``: cast each field with ``try_cast`` (bad text ->
     NULL); absent fields become NULL.  With ``default`` given, NULLs (absent,
-    null or uncastable) become that value."""
+    null or uncastable) of numeric and text fields become that value."""
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
             c = _q(f.name).try_cast(f.dataType)
         else:
             c = F.lit(None).cast(f.dataType)
-        if default is not None:
+        if default is not None and isinstance(f.dataType, (T.NumericType, T.StringType)):
             c = F.coalesce(c, F.lit(default).cast(f.dataType))
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -273,3 +273,134 @@ WHERE NOT (starts_with(event_type || '-' || strftime(ts, '%Y.%m.%d'), 'error-')
 
 ORACLE["summary_stats"] = _describe_sql(
     ["count", "mean", "stddev"], lambda x, p: f"quantile_disc({x}, {p})")
+
+
+# --- shaping ---------------------------------------------------------------------
+
+_ADJ = ", ".join(f'"{c}" / 20.0 AS "{c}"' for c in ["Open", "High", "Low", "Close", "Adj Close"])
+
+ORACLE["split_adjust"] = _with(BARS_CTE) + f"""
+SELECT symbol, "Date", {_ADJ}, "Volume" FROM bars"""
+
+ORACLE["derived_columns"] = _with(BARS_CTE) + f"""
+, adj AS (SELECT symbol, "Date", {_ADJ}, "Volume" FROM bars)
+SELECT *, ("Close" - "Open") / "Open" AS "Return",
+       ("Open" + "Close") / 2 AS "AVG Price",
+       ("Close" - "Open") / "Open" * 100 AS "Close Pct Change"
+FROM adj"""
+
+ORACLE["normalise_bars"] = _with(BARS_CTE) + """
+SELECT symbol, strftime("Date", '%Y-%m-%d') AS "Date", "Open", "High", "Low", "Close",
+       "Volume", "Close" AS "Adj Close"
+FROM bars"""
+
+ORACLE["coerce_defaults"] = _with(BARS_CTE) + f"""
+SELECT {_bar_cols()}, 0.0 AS "Return", 0.0 AS "AVG Price", 0.0 AS "Close Pct Change"
+FROM bars"""
+
+ORACLE["null_normalise"] = ORACLE["yearly_stats"]
+
+
+# --- sinks -----------------------------------------------------------------------
+
+
+def _num6(x: str) -> str:
+    return (f"regexp_replace(regexp_replace(CAST(CAST(round({x}, 6) AS DECIMAL(38,6)) AS VARCHAR),"
+            f" '0+$', ''), '\\.$', '')")
+
+
+def _field(name: str, x: str) -> str:
+    return f"'{name}=' || {_num6(x)}"
+
+
+_DERIVED = """
+derived AS (
+  SELECT *, ("Close" - "Open") / "Open" AS ret, ("Open" + "Close") / 2 AS avgp,
+         ("Close" - "Open") / "Open" * 100 AS pct
+  FROM bars
+)"""
+
+# Field names of the bar points, in their order.
+_BAR_FIELDS = [("open", '"Open"'), ("high", '"High"'), ("low", '"Low"'), ("close", '"Close"'),
+               ("adj_close", '"Adj Close"'), ("volume", '"Volume"'), ("return", "ret"),
+               ("avg_price", "avgp"), ("close_pct_change", "pct")]
+
+ORACLE["to_points"] = _with(BARS_CTE, _DERIVED) + f"""
+SELECT symbol, "Date",
+       CAST(("Date" - DATE '1970-01-01') AS BIGINT) * 86400000000000 AS time_ns,
+       'stock_prices,symbol=' || symbol || ' '
+         || concat_ws(',', {", ".join(_field(n, x) for n, x in _BAR_FIELDS)})
+         || ' ' || CAST(CAST(("Date" - DATE '1970-01-01') AS BIGINT) * 86400000000000 AS VARCHAR)
+         AS line
+FROM derived"""
+
+_STAT_FIELDS = [("avg_close", "ac"), ("total_volume", "tv"), ("avg_high", "ah"),
+                ("avg_low", "al"), ("avg_open", "ao"), ("std_close", "sc")]
+
+ORACLE["to_points_stats"] = _with(BARS_CTE, _LABELS, _LONG_RAW) + f"""
+, withyoy AS (
+  SELECT *, CASE WHEN period_type = 'yearly' THEN
+              (ac - lag(ac) OVER (PARTITION BY symbol, period_type ORDER BY period))
+              / lag(ac) OVER (PARTITION BY symbol, period_type ORDER BY period) * 100 END AS yoy,
+         CAST(({_PERIOD_START} - DATE '1970-01-01') AS BIGINT) * 86400000000000 AS time_ns
+  FROM long_raw
+)
+SELECT symbol, period_type, period, time_ns,
+       concat_ws(',', 'stock_aggregated_stats', 'symbol=' || symbol, 'period_type=' || period_type,
+                 CASE WHEN period_type = 'monthly' THEN 'month=' || period END,
+                 CASE WHEN period_type = 'quarterly' THEN 'quarter=' || period END,
+                 CASE WHEN period_type = 'yearly' THEN 'year=' || period END)
+       || ' ' || concat_ws(',', {", ".join(_field(n, x) for n, x in _STAT_FIELDS)},
+                           'trading_days=' || CAST(td AS VARCHAR) || 'i',
+                           'yoy_growth=' || {_num6('yoy')})
+       || ' ' || CAST(time_ns AS VARCHAR) AS line
+FROM withyoy"""
+
+_STATS_ROUNDED = f"""
+stats AS (
+  SELECT symbol, period_type, period, {_PERIOD_START} AS period_start,
+         round(ac, 4) AS "Avg_Close", tv AS "Total_Volume", round(ah, 4) AS "Avg_High",
+         round(al, 4) AS "Avg_Low", round(ao, 4) AS "Avg_Open", round(sc, 4) AS "Std_Close",
+         td AS "Trading_Days", {_YOY} AS "YoY_Growth"
+  FROM long_raw
+)"""
+
+ORACLE["to_documents"] = _with(BARS_CTE, _LABELS, _LONG_RAW, _STATS_ROUNDED) + """
+SELECT symbol || '|' || period_type || '|' || period AS _id,
+       'stock_' || period_type AS _index,
+       CAST(json_object('symbol', symbol, 'period_type', period_type, 'period', period,
+                        'period_start', period_start, 'Avg_Close', "Avg_Close",
+                        'Total_Volume', "Total_Volume", 'Avg_High', "Avg_High",
+                        'Avg_Low', "Avg_Low", 'Avg_Open', "Avg_Open", 'Std_Close', "Std_Close",
+                        'Trading_Days', "Trading_Days", 'YoY_Growth', "YoY_Growth") AS VARCHAR)
+         AS _source
+FROM stats"""
+
+_BARS_OF = BARS_CTE.replace("FROM lineitem", "FROM lineitem WHERE l_linestatus = '{s}'")
+
+ORACLE["upsert_bars"] = ("WITH " + _BARS_OF.replace("bars AS", "base AS").format(s="F") + ",\n"
+                         + _BARS_OF.replace("bars AS", "delta AS").format(s="O") + f"""
+SELECT {_bar_cols('b.')} FROM base b ANTI JOIN delta d ON b.symbol = d.symbol AND b."Date" = d."Date"
+UNION ALL
+SELECT {_bar_cols()} FROM delta""")
+
+ORACLE["land_bars"] = _with(BARS_CTE) + f"""
+SELECT {_bar_cols()}, CAST(year("Date") AS INTEGER) AS year FROM bars"""
+
+ORACLE["sink_report"] = _with(BARS_CTE, _LABELS, _LONG_RAW) + """
+SELECT 'stock_' || period_type AS target, count(*) AS written, CAST(0 AS BIGINT) AS failed
+FROM long_raw GROUP BY 1"""
+
+ORACLE["scan_csv"] = ORACLE["bars_daily"]
+
+ORACLE["union_by_name_missing"] = _with(BARS_CTE) + """
+SELECT symbol, "Date", "Open", "High", "Low", "Close",
+       CASE WHEN symbol = 'R' THEN "Adj Close" END AS "Adj Close", "Volume"
+FROM bars"""
+
+ORACLE["scan_csv_corrupt"] = """
+SELECT count(*) AS good_rows, CAST(0 AS BIGINT) AS bad_rows FROM events"""
+
+ORACLE["log_ingest_stream"] = ORACLE["log_ingest"]
+ORACLE["metric_window_stream"] = ORACLE["metric_window"]
+ORACLE["incremental_bars"] = ORACLE["bars_daily"]

@@ -193,3 +193,180 @@ def q_uptime_availability(spark, sf_dir):
 @register("retention")
 def q_retention(spark, sf_dir):
     return L.retention(read_table(spark, sf_dir, "events"), prefix="error-", days=2)
+
+
+# --- shaping (W9-W13) -------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from candlestack.schemas import BAR, STOCK_DOC, YEARLY  # noqa: E402
+from candlestack.session import scratch_path  # noqa: E402
+from candlestack.sinks import documents as D  # noqa: E402
+from candlestack.sinks import landing as LD  # noqa: E402
+from candlestack.sinks import points as PT  # noqa: E402
+from candlestack.sinks import report as RP  # noqa: E402
+from candlestack.sinks import upsert as U  # noqa: E402
+from candlestack.sources import csv as CSV  # noqa: E402
+from candlestack.sources import manifest as MF  # noqa: E402
+from candlestack.streaming import events as SE  # noqa: E402
+from candlestack.streaming import increments as SI  # noqa: E402
+from candlestack.sources.tables import table_path  # noqa: E402
+
+BAR_NAMES = [f.name for f in BAR.fields]
+
+
+@register("split_adjust")
+def q_split_adjust(spark, sf_dir):
+    return B.split_adjust(bars(spark, sf_dir), 20)
+
+
+@register("derived_columns")
+def q_derived_columns(spark, sf_dir):
+    return B.derived_columns(B.split_adjust(bars(spark, sf_dir), 20))
+
+
+@register("normalise_bars")
+def q_normalise_bars(spark, sf_dir):
+    # Downloader-style input: lower-case names and no adjusted close.
+    raw = bars(spark, sf_dir).drop("Adj Close")
+    lower = raw.toDF(*[c.lower() for c in raw.columns])
+    return B.normalise_bars(lower, renames={c.lower(): c for c in raw.columns},
+                            date_as_string=True)
+
+
+@register("coerce_defaults")
+def q_coerce_defaults(spark, sf_dir):
+    # Bar rows read into the document schema: absent derived fields -> 0.
+    return B.coerce_defaults(bars(spark, sf_dir), STOCK_DOC, default=0)
+
+
+@register("null_normalise")
+def q_null_normalise(spark, sf_dir):
+    # Yearly stats written as text with the token 'NULL' for missing values,
+    # read back as strings, then normalised and typed again.
+    yearly = round_doubles(P.yearly_stats(bars(spark, sf_dir)))
+    path = scratch_path(spark, "null-normalise")
+    yearly.write.mode("overwrite").option("header", "true").option("nullValue", "NULL").csv(path)
+    text = CSV.read_csv(spark, path, T.StructType(
+        [T.StructField(f.name, T.StringType(), True) for f in YEARLY.fields]),
+        keep_corrupt=False)
+    return B.coerce_defaults(B.null_normalise(text), YEARLY)
+
+
+# --- sinks (W29-W35) ------------------------------------------------------------
+
+@register("to_points")
+def q_to_points(spark, sf_dir):
+    pts = PT.bar_points(B.derived_columns(bars(spark, sf_dir)), digits=6)
+    return pts.select("symbol", "Date", "time_ns", "line")
+
+
+@register("to_points_stats")
+def q_to_points_stats(spark, sf_dir):
+    pts = PT.stats_points(P.period_stats_long(bars(spark, sf_dir)), digits=6)
+    return pts.select("symbol", "period_type", "period", "time_ns", "line")
+
+
+@register("to_documents")
+def q_to_documents(spark, sf_dir):
+    return D.stats_documents(round_doubles(P.period_stats_long(bars(spark, sf_dir))))
+
+
+@register("upsert_bars")
+def q_upsert_bars(spark, sf_dir):
+    # Base: bars of closed lines; delta: bars of open lines replace them by key.
+    li = read_table(spark, sf_dir, "lineitem")
+    base = B.bars_from_ticks(li.where(F.col("l_linestatus") == "F"))
+    delta = B.bars_from_ticks(li.where(F.col("l_linestatus") == "O"))
+    return U.upsert(base, delta, ["symbol", "Date"])
+
+
+@register("land_bars")
+def q_land_bars(spark, sf_dir):
+    path = LD.land(bars(spark, sf_dir), scratch_path(spark, "land-bars"))
+    return spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in BAR_NAMES], "year")
+
+
+@register("sink_report")
+def q_sink_report(spark, sf_dir):
+    docs = D.stats_documents(P.period_stats_long(bars(spark, sf_dir)))
+    writer = RP.JsonLinesWriter(scratch_path(spark, "sink-report"))
+    return RP.send_in_batches(docs, writer, "_index", batch_size=1000)
+
+
+@register("file_manifest")
+def q_file_manifest(spark, sf_dir):
+    path = LD.land(bars(spark, sf_dir), scratch_path(spark, "manifest"))
+    return MF.file_manifest(spark, path).drop("file_path")
+
+
+@register("preview_lines")
+def q_preview_lines(spark, sf_dir):
+    path = LD.land_csv(bars(spark, sf_dir), scratch_path(spark, "preview"))
+    first = (MF.file_manifest(spark, path, "text").orderBy("file_name")
+             .select("file_path").first()[0])
+    return MF.preview_lines(spark, first, 5)
+
+
+# --- CSV sources (W1-W3) ---------------------------------------------------------
+
+@register("scan_csv")
+def q_scan_csv(spark, sf_dir):
+    path = LD.land_csv(bars(spark, sf_dir), scratch_path(spark, "scan-csv"))
+    good, _ = CSV.split_corrupt(CSV.read_csv(spark, path, BAR))
+    return good
+
+
+@register("union_by_name_missing")
+def q_union_by_name_missing(spark, sf_dir):
+    b = bars(spark, sf_dir)
+    with_adj = LD.land_csv(b.where(F.col("symbol") == "R"), scratch_path(spark, "union-a"))
+    without = LD.land_csv(b.where(F.col("symbol") != "R").drop("Adj Close"),
+                          scratch_path(spark, "union-b"))
+    text = CSV.read_csv_union(spark, [with_adj, without])
+    return B.coerce_defaults(text, BAR)
+
+
+@register("scan_csv_corrupt")
+def q_scan_csv_corrupt(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events")
+    path = LD.land_csv(events, scratch_path(spark, "events-csv"))
+    return CSV.corrupt_counts(CSV.read_csv(spark, path, events.schema))
+
+
+# --- streaming (R2, R3, R6) ------------------------------------------------------
+
+@register("log_ingest_stream")
+def q_log_ingest_stream(spark, sf_dir):
+    src_path = table_path(sf_dir, "events")
+    schema = spark.read.parquet(src_path).schema
+    root = scratch_path(spark, "log-ingest")
+    q = SE.log_ingest_stream(SE.file_stream(spark, SE.single_file_glob(src_path), schema),
+                             f"{root}/out", f"{root}/chk")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("metric_window_stream")
+def q_metric_window_stream(spark, sf_dir):
+    src_path = table_path(sf_dir, "events")
+    schema = spark.read.parquet(src_path).schema
+    root = scratch_path(spark, "metric-window")
+    table = U.ChangeLog(f"{root}/table", ["window_start", "event_type"])
+    q = SE.metric_window_stream(SE.file_stream(spark, SE.single_file_glob(src_path), schema),
+                                table, f"{root}/chk", "10 seconds", "1 hour")
+    q.awaitTermination()
+    return round_doubles(table.read(spark))
+
+
+@register("incremental_bars")
+def q_incremental_bars(spark, sf_dir):
+    root = scratch_path(spark, "increments")
+    landed = LD.land(bars(spark, sf_dir), f"{root}/landing")
+    schema = T.StructType(list(BAR.fields) + [T.StructField("year", T.IntegerType(), True)])
+    table = U.ChangeLog(f"{root}/table", list(SI.BAR_KEYS))
+    q = SI.incremental_bars_stream(
+        SE.file_stream(spark, landed, schema, max_files_per_trigger=4), table, f"{root}/chk")
+    q.awaitTermination()
+    return table.read(spark).select(*[F.col(f"`{c}`") for c in BAR_NAMES])
