@@ -56,3 +56,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/candlestack/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back.
+
+    Used before operators that read their input twice (series positions,
+    scalar subqueries): the expensive upstream plan runs once, and the
+    lineage is cut, so a lost executor re-reads files in shared storage
+    instead of recomputing from the raw scan.  (``Dataset.checkpoint`` would
+    compute the plan twice unless cached; a written table does not.)
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
