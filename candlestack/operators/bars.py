@@ -36,14 +36,19 @@ def bars_from_ticks(ticks: DataFrame, symbol: str = "l_returnflag",
                     ts: str = "l_shipdate", price: str = "l_extendedprice",
                     qty: str = "l_quantity",
                     tiebreak: Sequence[str] = LINEITEM_TIEBREAK,
-                    start=None, end=None) -> DataFrame:
+                    start=None, end=None, seq: str | None = None) -> DataFrame:
     """Daily OHLCV bars keyed (symbol, Date).
 
     Open/Close are the prices of the first/last tick of the day ordered by
     (ts, *tiebreak); High/Low the extremes; Volume the summed quantity.
     ``start``/``end`` (inclusive dates) filter the raw timestamp column so the
-    predicate reaches the Parquet scan.  One hash aggregation, partial then
-    final, so a hot symbol is combined map-side before the shuffle.
+    predicate reaches the Parquet scan.  One aggregation, partial then final,
+    so a hot symbol is combined map-side before the shuffle.
+
+    The tie-break tuple makes the ordering key a struct, which Spark
+    aggregates sort-based.  Ticks that carry a unique numeric sequence
+    number (trade id) can pass ``seq``: the key is then that single number
+    and the aggregate is hash-based.
     """
     t = ticks
     ts_type = t.schema[ts].dataType
@@ -52,7 +57,10 @@ def bars_from_ticks(ticks: DataFrame, symbol: str = "l_returnflag",
     if end is not None:
         nxt = _as_date(end) + _dt.timedelta(days=1)
         t = t.where(F.col(ts) < F.lit(nxt.isoformat()).cast(ts_type))
-    order_key = F.struct(F.col(ts), *[F.col(c) for c in tiebreak])
+    if seq is not None:
+        order_key = F.col(seq)
+    else:
+        order_key = F.struct(F.col(ts), *[F.col(c) for c in tiebreak])
     return (t.groupBy(F.col(symbol).alias("symbol"), F.to_date(F.col(ts)).alias("Date"))
             .agg(F.min_by(price, order_key).alias("Open"),
                  F.max(price).alias("High"),

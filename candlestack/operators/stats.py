@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlestack.functions.numeric import avg_rounded, safe_div
+from candlestack.operators.quantiles import exact_quantiles
 
 OHLCV = ("Open", "High", "Low", "Close", "Volume")
 
@@ -72,14 +73,27 @@ def summary_stats(bars: DataFrame, columns: Sequence[str] = OHLCV) -> DataFrame:
 
 def describe_exact(bars: DataFrame, columns: Sequence[str] = OHLCV) -> DataFrame:
     """pandas ``describe()`` per symbol with exact, linearly interpolated
-    quartiles (``percentile``).  Its buffer is a value->count map per group,
-    sized by the distinct values of one symbol's bars (bounded by the
-    calendar for daily bars), merged partially before the shuffle."""
-    def quart(x):
-        q = F.percentile(x, [0.25, 0.5, 0.75])
-        return [q[0], q[1], q[2]]
+    quartiles.  Quartiles come from ``quantiles.exact_quantiles`` (sorted
+    distinct values over balanced range partitions), so no task gathers a
+    whole symbol; the other statistics are partial/final aggregates."""
+    long = bars.select("symbol", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("value"))
+        for c in columns])))
+    basic = long.groupBy("symbol", "column").agg(
+        F.count("value").cast("double").alias("count"), F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
+        F.max("value").alias("max"))
+    qs = (exact_quantiles(long, ["symbol", "column"], "value", [0.25, 0.5, 0.75])
+          .groupBy("symbol", "column")
+          .agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
+                 for p, name in ((0.25, "25%"), (0.5, "50%"), (0.75, "75%"))]))
     names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
-    return _describe(bars, columns, quart, names)
+    cells = (basic.join(qs, ["symbol", "column"], "left")
+             .select("symbol", "column", F.inline(F.array(*[
+                 F.struct(F.lit(n).alias("statistic"), F.col(f"`{n}`").alias("v"))
+                 for n in names]))))
+    return (cells.groupBy("symbol", "statistic").pivot("column", list(columns))
+            .agg(F.first("v")))
 
 
 def headline_stats(rolled: DataFrame) -> DataFrame:

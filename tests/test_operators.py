@@ -269,3 +269,12 @@ def test_availability(spark):
                                "ts timestamp_ntz, event_type string")
     r = L.availability(df, 5, "hour").collect()[0]
     assert (r.seen_slots, r.expected_slots) == (3, 720)
+
+
+def test_bars_with_sequence_number(spark):
+    ticks = spark.createDataFrame(
+        [("A", dt.datetime(2020, 1, 1), 3, 1.0, 30.0), ("A", dt.datetime(2020, 1, 1), 1, 1.0, 10.0),
+         ("A", dt.datetime(2020, 1, 1), 2, 1.0, 20.0)],
+        "sym string, t timestamp_ntz, trade_id long, q double, px double")
+    r = B.bars_from_ticks(ticks, "sym", "t", "px", "q", seq="trade_id").collect()[0]
+    assert (r.Open, r.Close, r.High, r.Low, r.Volume) == (10.0, 30.0, 30.0, 10.0, 3)
