@@ -77,7 +77,8 @@ def uptime_gaps(events: DataFrame, threshold_seconds: float = 3600.0,
 def availability(events: DataFrame, every_seconds: int = 5, bucket: str = "hour",
                  key: str = "event_type", ts: str = "ts") -> DataFrame:
     """Per monitor and hour: distinct heartbeat slots seen vs expected."""
-    b = F.date_trunc(bucket, F.col(ts))
+    # date_trunc returns TIMESTAMP; keep the input's type (e.g. TIMESTAMP_NTZ)
+    b = F.date_trunc(bucket, F.col(ts)).cast(events.schema[ts].dataType)
     slot = F.floor(F.timestamp_diff("MICROSECOND", b, F.col(ts))
                    / F.lit(every_seconds * 1_000_000))
     per_bucket = {"hour": 3600, "minute": 60, "day": 86400}[bucket] // every_seconds

@@ -295,7 +295,8 @@ SELECT symbol, strftime("Date", '%Y-%m-%d') AS "Date", "Open", "High", "Low", "C
 FROM bars"""
 
 ORACLE["coerce_defaults"] = _with(BARS_CTE) + f"""
-SELECT {_bar_cols()}, 0.0 AS "Return", 0.0 AS "AVG Price", 0.0 AS "Close Pct Change"
+SELECT {_bar_cols()}, CAST(0 AS DOUBLE) AS "Return", CAST(0 AS DOUBLE) AS "AVG Price",
+       CAST(0 AS DOUBLE) AS "Close Pct Change"
 FROM bars"""
 
 ORACLE["null_normalise"] = ORACLE["yearly_stats"]

@@ -40,9 +40,19 @@ def rows_of(cols, rows):
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# Spark type -> DuckDB type name, for the schema part of the comparison.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT"}
+
+
 def compare(spark_df, con, sql: str):
     s_cols = spark_df.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
+    rel = con.sql(sql)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     cur = con.execute(sql)
     d_cols = [d[0] for d in cur.description]
     d_rows = cur.fetchall()
@@ -50,6 +60,9 @@ def compare(spark_df, con, sql: str):
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}")
         return problems
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if bad_types:
+        problems.append(f"types differ (spark, duck): {bad_types}")
     if len(s_rows) != len(d_rows):
         problems.append(f"row count spark={len(s_rows)} duck={len(d_rows)}")
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
