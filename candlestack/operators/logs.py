@@ -55,7 +55,7 @@ def _seconds_between(a: Column, b: Column) -> Column:
 
 def uptime_gaps(events: DataFrame, threshold_seconds: float = 3600.0,
                 key: str = "event_type", ts: str = "ts", tiebreak: str = "event_id",
-                chunk: str = "day", seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
+                seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
     """Silences longer than ``threshold_seconds`` between consecutive
     heartbeats of a monitor: (monitor, gap_start, gap_end, gap_seconds).
 
@@ -65,8 +65,7 @@ def uptime_gaps(events: DataFrame, threshold_seconds: float = 3600.0,
     """
     prev = "_prev_ts"
     with_prev = series_columns(
-        events.select(key, ts, tiebreak), keys=[key], order=[ts, tiebreak],
-        chunk=[F.date_trunc(chunk, F.col(ts))], halo=1,
+        events.select(key, ts, tiebreak), keys=[key], order=[ts, tiebreak], halo=1,
         stages=lambda w: [{prev: F.lag(ts).over(w)}], seg_rows=seg_rows)
     gap = _seconds_between(F.col(prev), F.col(ts))
     return (with_prev.where(gap > F.lit(float(threshold_seconds)))

@@ -34,8 +34,7 @@ def top_k_latest(bars: DataFrame, k: int = 10_000) -> DataFrame:
 
 
 def _bar_positions(bars: DataFrame, keys: Sequence[str]) -> DataFrame:
-    chunk = ([] if "symbol" in keys else [F.col("symbol")]) + [F.trunc("Date", "month")]
-    return position_index(bars, keys, ["symbol", "Date"] if not keys else ["Date"], chunk)
+    return position_index(bars, keys, ["symbol", "Date"] if not keys else ["Date"])
 
 
 def page(bars: DataFrame, n: int, k: int,

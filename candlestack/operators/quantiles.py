@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlestack.session import materialize
+from candlestack.operators.series import partition_offsets, sorted_partitions
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
@@ -37,15 +37,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     v = F.col(f"`{value}`").cast("double")
     pairs = (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m")))
-    ordered = materialize(pairs.orderBy(*keys, "_v")
-                          .withColumn("_pid", F.spark_partition_id()), "quantile-sort")
-    in_part = Window.partitionBy("_pid").orderBy(*keys, "_v")
+    ordered = sorted_partitions(pairs, [*keys, "_v"], "quantile-sort")
+    in_part = Window.partitionBy("_pid").orderBy("_idx")
     local = ordered.withColumn("_end", F.sum("_m").over(
         in_part.rowsBetween(Window.unboundedPreceding, 0)))
-    part_tot = ordered.groupBy("_pid").agg(F.sum("_m").alias("_t"))
-    offsets = part_tot.select("_pid", F.coalesce(F.sum("_t").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
+    offsets = partition_offsets(ordered, F.col("_m"))
     ranked = (local.join(F.broadcast(offsets), "_pid")
               .withColumn("_end", F.col("_end") + F.col("_off"))
               .withColumn("_start", F.col("_end") - F.col("_m")))

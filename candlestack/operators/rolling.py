@@ -22,8 +22,7 @@ TRADING_DAYS_PER_YEAR = 252
 
 
 def _bar_series(bars: DataFrame, halo: int, stages, seg_rows: int) -> DataFrame:
-    return series_columns(bars, keys=["symbol"], order=["Date"],
-                          chunk=[F.trunc("Date", "month")], halo=halo,
+    return series_columns(bars, keys=["symbol"], order=["Date"], halo=halo,
                           stages=stages, seg_rows=seg_rows)
 
 

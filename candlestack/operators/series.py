@@ -6,25 +6,27 @@ of the rows) that is one task per series no matter how large the cluster is.
 
 Instead:
 
-1. ``position_index`` gives each row its 0-based position inside its series
-   without a series-wide window.  Rows are grouped into *chunks* (a coarse,
-   order-monotone key such as the month of the date); a partial/final
-   aggregate counts rows per (series, chunk), a window over that small count
-   table turns counts into chunk offsets, and the offsets are joined back
-   (AQE broadcasts them when the runtime size is small, otherwise a
-   shuffle join on (series, chunk) which also pre-partitions the next step).
-   The only per-row window is ``row_number`` within one (series, chunk).
-
-2. ``halo_segments`` cuts each series into segments of ``seg_rows``
+1. ``global_positions`` sorts the rows by (series key, order) with a global
+   sort.  Spark range-partitions it from a sample of the sort key, and since
+   the key is unique the partitions are balanced even when one series holds
+   most rows.  The sorted rows are written once to the shared checkpoint
+   folder together with their sort partition id and their index inside that
+   partition, so every later pass sees the same partitions.  One count per
+   sort partition (a table whose size is bounded by the partition count, so
+   it is broadcast) turns those into global positions.
+
+2. ``halo_segments`` cuts the global order into segments of ``seg_rows``
    positions and copies the last ``halo`` rows of every segment into the
-   next one.  A rolling frame that looks back at most ``halo`` rows then
-   sees exactly the rows it would see over the full series.
+   next one.  A rolling frame that looks back at most ``halo`` rows of its
+   own series then sees exactly the rows it would see over the whole series
+   (series are contiguous in the global order, so a row's predecessors in its
+   series are among the ``halo`` positions before it).
 
 3. ``series_columns`` evaluates window expressions over
    ``partitionBy(series, segment).orderBy(position)`` and drops the copies.
 
 Results are exactly those of the series-wide window; every task holds at
-most ``seg_rows + halo`` rows (or one chunk, for the row numbering).
+most ``seg_rows + halo`` rows or one balanced sort partition.
 """
 
 from __future__ import annotations
@@ -34,46 +36,74 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from candlestack.session import materialize
+
 DEFAULT_SEG_ROWS = 250_000
 
 POS = "_pos"
 SEG = "_seg"
 HALO = "_halo"
+GPOS = "_g"
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def sorted_partitions(df: DataFrame, order: Sequence[str | Column],
+                      name: str = "sorted") -> DataFrame:
+    """Globally sorted rows, materialised with ``_pid`` (sort partition) and
+    ``_idx`` (0-based index inside it, in sort order)."""
+    ordered = (df.orderBy(*_cols(order))
+               .withColumn("_pid", F.spark_partition_id())
+               .withColumn("_rid", F.monotonically_increasing_id()))
+    # monotonically_increasing_id = (partition index << 33) + record number
+    local = F.col("_rid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return materialize(ordered.withColumn("_idx", local).drop("_rid"), name)
+
+
+def partition_offsets(parts: DataFrame, weight: Column | None = None) -> DataFrame:
+    """(``_pid``, ``_off``): total weight of all earlier sort partitions.
+    One row per sort partition: small by construction."""
+    w = F.lit(1) if weight is None else weight
+    per_part = parts.groupBy("_pid").agg(F.sum(w).alias("_t"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return per_part.select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0))
+                           .cast("long").alias("_off"))
+
+
+def global_positions(df: DataFrame, order: Sequence[str | Column],
+                     pos_col: str = GPOS) -> DataFrame:
+    """Add ``pos_col``: 0-based position of each row in the global ``order``
+    (which must be a total order for the result to be deterministic)."""
+    parts = sorted_partitions(df, order, "positions")
+    offsets = F.broadcast(partition_offsets(parts))
+    return (parts.join(offsets, "_pid")
+            .withColumn(pos_col, F.col("_off") + F.col("_idx"))
+            .drop("_pid", "_idx", "_off"))
+
+
 def position_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                   chunk: Sequence[Column], pos_col: str = POS) -> DataFrame:
+                   pos_col: str = POS) -> DataFrame:
     """Add ``pos_col``: 0-based rank of each row inside its ``keys`` group.
 
-    ``order`` must be a total order within a group, and ``chunk`` expressions
-    must be non-decreasing along ``order`` (e.g. the month of the order date),
-    so that chunk offsets plus in-chunk row numbers give global positions.
-    """
+    Global positions minus the group's first position; the per-group minimum
+    is a partial/final aggregate, joined back on the keys (AQE broadcasts it
+    when small and splits skewed partitions otherwise)."""
     keys = list(keys)
-    ck = [f"_ck{i}" for i in range(len(chunk))]
-    chunked = df.withColumns(dict(zip(ck, chunk)))
-    counts = chunked.groupBy(*keys, *ck).agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy(*keys).orderBy(*ck)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(
-        *[F.col(k).alias(f"_ok_{k}") for k in keys],
-        *[F.col(c).alias(f"_oc_{c}") for c in ck],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    cond = ([chunked[k].eqNullSafe(offsets[f"_ok_{k}"]) for k in keys]
-            + [chunked[c].eqNullSafe(offsets[f"_oc_{c}"]) for c in ck])
-    joined = chunked.join(offsets, on=cond, how="inner")
-    in_chunk = Window.partitionBy(*keys, *ck).orderBy(*_cols(order))
-    return (joined
-            .withColumn(pos_col, F.col("_base") + F.row_number().over(in_chunk) - 1)
-            .drop(*ck, "_base", *[f"_ok_{k}" for k in keys], *[f"_oc_{c}" for c in ck]))
+    g = global_positions(df, [*keys, *order])
+    if not keys:
+        return g.withColumnRenamed(GPOS, pos_col)
+    starts = g.groupBy(*keys).agg(F.min(GPOS).alias("_k0"))
+    starts = starts.select(*[F.col(k).alias(f"_sk_{k}") for k in keys], "_k0")
+    cond = [g[k].eqNullSafe(starts[f"_sk_{k}"]) for k in keys]
+    return (g.join(starts, on=cond, how="inner")
+            .withColumn(pos_col, F.col(GPOS) - F.col("_k0"))
+            .drop(GPOS, "_k0", *[f"_sk_{k}" for k in keys]))
 
 
 def halo_segments(indexed: DataFrame, halo: int, seg_rows: int = DEFAULT_SEG_ROWS,
-                  pos_col: str = POS) -> DataFrame:
+                  pos_col: str = GPOS) -> DataFrame:
     """Assign ``_seg`` and duplicate the last ``halo`` rows into the next segment."""
     size = max(int(seg_rows), int(halo), 1)
     home = F.floor(F.col(pos_col) / F.lit(size))
@@ -86,19 +116,21 @@ def halo_segments(indexed: DataFrame, halo: int, seg_rows: int = DEFAULT_SEG_ROW
 
 
 def series_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                   chunk: Sequence[Column], halo: int,
+                   halo: int,
                    stages: Callable[[WindowSpec], list[dict[str, Column]]],
                    seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
     """Add window columns computed over each ordered series.
 
     ``stages(w)`` returns a list of ``{name: expression}`` dicts evaluated in
     turn over ``w`` (later stages may use earlier columns).  Every frame must
-    look back at most ``halo`` rows and never forward.
+    look back at most ``halo`` rows and never forward.  The input is read
+    once (by the materialised sort).
     """
-    indexed = position_index(df, keys, order, chunk)
+    keys = list(keys)
+    indexed = global_positions(df, [*keys, *order])
     segmented = halo_segments(indexed, halo, seg_rows)
-    w = Window.partitionBy(*keys, SEG).orderBy(POS)
+    w = Window.partitionBy(*keys, SEG).orderBy(GPOS)
     out = segmented
     for stage in stages(w):
         out = out.withColumns(stage)
-    return out.where(~F.col(HALO)).drop(POS, SEG, HALO)
+    return out.where(~F.col(HALO)).drop(GPOS, SEG, HALO)

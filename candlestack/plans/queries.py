@@ -35,9 +35,10 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars checkpointed to the shared folder, for operators that read their
-    input more than once (series positions, scalar subqueries): the tick
-    aggregation then runs once instead of once per pass."""
+    """Bars written to the shared checkpoint folder, for plans that read
+    their input more than once (a scalar subquery plus the rows, or two
+    aggregates): the tick aggregation then runs once instead of once per
+    pass.  (Series operators materialise their own sorted input.)"""
     return materialize(bars(spark, sf_dir))
 
 
@@ -92,22 +93,22 @@ from candlestack.operators import stats as S  # noqa: E402
 
 @register("daily_return")
 def q_daily_return(spark, sf_dir):
-    return round_doubles(R.daily_return(bars_once(spark, sf_dir)))
+    return round_doubles(R.daily_return(bars(spark, sf_dir)))
 
 
 @register("moving_avg_5")
 def q_moving_avg_5(spark, sf_dir):
-    return round_doubles(R.moving_average(bars_once(spark, sf_dir), 5))
+    return round_doubles(R.moving_average(bars(spark, sf_dir), 5))
 
 
 @register("moving_avg_20")
 def q_moving_avg_20(spark, sf_dir):
-    return round_doubles(R.moving_average(bars_once(spark, sf_dir), 20))
+    return round_doubles(R.moving_average(bars(spark, sf_dir), 20))
 
 
 @register("volatility_20")
 def q_volatility_20(spark, sf_dir):
-    return round_doubles(R.volatility(bars_once(spark, sf_dir), 20))
+    return round_doubles(R.volatility(bars(spark, sf_dir), 20))
 
 
 @register("analyze_last_n_days")
@@ -163,12 +164,12 @@ def q_page(spark, sf_dir):
 @register("page_deep")
 def q_page_deep(spark, sf_dir):
     # Page 1,000 of 5 rows with the top-N cut-off below it: row positions.
-    return G.page(bars_once(spark, sf_dir), n=1_000, k=5, top_n_limit=1_000)
+    return G.page(bars(spark, sf_dir), n=1_000, k=5, top_n_limit=1_000)
 
 
 @register("page_stats")
 def q_page_stats(spark, sf_dir):
-    return G.page_stats(bars_once(spark, sf_dir), k=5)
+    return G.page_stats(bars(spark, sf_dir), k=5)
 
 
 # --- logs, metrics, availability, retention (R1-R5, batch) ----------------

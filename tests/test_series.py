@@ -28,7 +28,7 @@ def _bars(spark, n_per_symbol, symbols=("A", "B", "C"), seed=7):
 
 def test_position_index_is_row_number(spark):
     bars = _bars(spark, 150)
-    got = position_index(bars, ["symbol"], ["Date"], [F.trunc("Date", "month")])
+    got = position_index(bars, ["symbol"], ["Date"])
     w = Window.partitionBy("symbol").orderBy("Date")
     want = bars.withColumn("_pos", F.row_number().over(w) - 1)
     assert sorted(got.select("symbol", "Date", "_pos").collect()) == \
@@ -37,17 +37,16 @@ def test_position_index_is_row_number(spark):
 
 def test_global_position_index(spark):
     bars = _bars(spark, 60)
-    got = position_index(bars, [], ["symbol", "Date"],
-                         [F.col("symbol"), F.trunc("Date", "month")])
+    got = position_index(bars, [], ["symbol", "Date"])
     rows = sorted(got.select("symbol", "Date", "_pos").collect(), key=lambda r: r._pos)
     assert [r._pos for r in rows] == list(range(180))
     assert [(r.symbol, r.Date) for r in rows] == sorted((r.symbol, r.Date) for r in rows)
 
 
 def test_halo_copies_exactly_the_tail(spark):
-    df = spark.range(0, 23).withColumnRenamed("id", "_pos")
+    df = spark.range(0, 23).withColumnRenamed("id", "_g")
     segs = halo_segments(df, halo=3, seg_rows=10).collect()
-    halo = sorted((r._pos, r._seg) for r in segs if r._halo)
+    halo = sorted((r._g, r._seg) for r in segs if r._halo)
     assert halo == [(7, 1), (8, 1), (9, 1), (17, 2), (18, 2), (19, 2)]
     assert len([r for r in segs if not r._halo]) == 23
 
@@ -78,6 +77,38 @@ def test_rolling_equals_plain_window(spark, seg_rows):
 
 def test_series_columns_rejects_nothing_with_zero_halo(spark):
     bars = _bars(spark, 30)
-    out = series_columns(bars, ["symbol"], ["Date"], [F.trunc("Date", "month")], 0,
+    out = series_columns(bars, ["symbol"], ["Date"], 0,
                          lambda w: [{"rn": F.row_number().over(w)}], seg_rows=8)
     assert out.count() == 90
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """Keep 8 un-coalesced shuffle partitions so sorts span several tasks."""
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_hot_series_spans_partitions(spark, many_partitions):
+    # One symbol with 95% of the rows: its sort range is split over tasks.
+    bars = _bars(spark, 400, symbols=("HOT",), seed=1).unionByName(_bars(spark, 20, ("a",), 2))
+    idx = position_index(bars, ["symbol"], ["Date"])
+    parts = {r._pos: r for r in idx.where("symbol = 'HOT'").collect()}
+    assert sorted(parts) == list(range(400))
+    from candlestack.operators.series import sorted_partitions
+    pids = sorted_partitions(bars, ["symbol", "Date"]).where("symbol = 'HOT'") \
+        .select("_pid").distinct().count()
+    assert pids > 1
+    got = R.rolling_analytics(bars, seg_rows=50)
+    w = Window.partitionBy("symbol").orderBy("Date")
+    f20 = w.rowsBetween(-19, 0)
+    want = bars.withColumn("MA20", F.when(F.count("Close").over(f20) == 20,
+                                          F.avg("Close").over(f20)))
+
+    def rows(df):
+        return sorted((r.symbol, r.Date, None if r.MA20 is None else round(r.MA20, 9))
+                      for r in df.select("symbol", "Date", "MA20").collect())
+
+    assert rows(got) == rows(want)
