@@ -405,3 +405,6 @@ SELECT count(*) AS good_rows, CAST(0 AS BIGINT) AS bad_rows FROM events"""
 ORACLE["log_ingest_stream"] = ORACLE["log_ingest"]
 ORACLE["metric_window_stream"] = ORACLE["metric_window"]
 ORACLE["incremental_bars"] = ORACLE["bars_daily"]
+
+ORACLE["bars_csv"] = ORACLE["bars_daily"]
+ORACLE["scan_csv_lenient"] = ORACLE["bars_daily"]

@@ -337,6 +337,24 @@ def q_union_by_name_missing(spark, sf_dir):
     return B.coerce_defaults(text, BAR)
 
 
+@register("bars_csv")
+def q_bars_csv(spark, sf_dir):
+    # Bars landed as CSV in symbol=<S> folders, read back as typed bars.
+    path = LD.land_csv(bars(spark, sf_dir), scratch_path(spark, "bars-csv"), ["symbol"])
+    good, _ = CSV.split_corrupt(CSV.read_bar_csv(spark, path))
+    return good
+
+
+@register("scan_csv_lenient")
+def q_scan_csv_lenient(spark, sf_dir):
+    # One landed folder and one that does not exist: the missing path is
+    # reported, the rest is read.
+    path = LD.land_csv(bars(spark, sf_dir), scratch_path(spark, "lenient"))
+    df, missing = CSV.read_csv_union(spark, [path, path + "-missing"], BAR, lenient=True)
+    assert missing == [path + "-missing"]
+    return df
+
+
 @register("scan_csv_corrupt")
 def q_scan_csv_corrupt(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")

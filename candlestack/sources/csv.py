@@ -76,6 +76,28 @@ def corrupt_counts(df: DataFrame, corrupt: str = CORRUPT) -> DataFrame:
                   F.count(F.when(flag, F.hash(*data))).alias("bad_rows"))
 
 
+def read_bar_csv(spark: SparkSession, paths: str | Sequence[str],
+                 schema: T.StructType | None = None, symbol: str | None = None,
+                 options: Mapping[str, str] | None = None) -> DataFrame:
+    """Daily bar CSV files -> typed bars (W4 without a driver hop).
+
+    The symbol comes from a ``symbol=<S>`` folder (partition discovery) or
+    the ``symbol`` argument; ``Adj Close`` defaults to ``Close`` when a file
+    lacks it.  Corrupt lines are kept with their raw text in
+    ``_corrupt_record`` (see ``split_corrupt``).
+    """
+    from candlestack.schemas import BAR_CSV
+
+    df = read_csv(spark, paths, schema or BAR_CSV, options)
+    if symbol is not None:
+        df = df.withColumn("symbol", F.lit(symbol))
+    if "Adj Close" not in df.columns:
+        df = df.withColumn("Adj Close", F.col("Close"))
+    first = ["symbol"] if "symbol" in df.columns else []
+    rest = [c for c in df.columns if c not in first]
+    return df.select(*first, *[F.col(f"`{c}`") for c in rest])
+
+
 def existing_paths(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str]]:
     """Split paths into (present, missing) with one metadata call per path
     on the driver (no data read)."""
