@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "candlestack") -> SparkSession:
+                  app: str = "candlestack", conf: dict | None = None) -> SparkSession:
     """A local session configured like the tests and the bench expect."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -29,6 +29,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("CANDLESTACK_DRIVER_MEM", "8g"))
     )
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
