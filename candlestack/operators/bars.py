@@ -24,6 +24,51 @@ LINEITEM_TIEBREAK = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      "l_extendedprice")
 
 
+def time_of_day_micros(ticks: DataFrame, ts: str) -> Column:
+    """Microseconds since midnight of ``ts`` (wall clock)."""
+    c = F.col(ts)
+    return F.timestamp_diff("MICROSECOND", F.to_date(c).cast(ticks.schema[ts].dataType), c)
+
+
+def sequence_key(ticks: DataFrame, columns: Sequence[str], ts: str | None = None):
+    """One order-preserving number for the tick order (time of day of ``ts``,
+    then ``columns``), or None when the values do not fit.
+
+    One global min/max aggregate (a single row) sizes each part; parts are
+    packed into a BIGINT when their widths sum to at most 63 bits, else into
+    a DECIMAL(38,0) when they fit 38 digits.  Comparing keys then equals
+    comparing the tuples, and the bar aggregate is hash-based.  A value
+    outside the measured range (data changed since) raises.  Within a bar the
+    tuple must identify a tick (as a trade sequence number would).
+    """
+    parts = ([time_of_day_micros(ticks, ts)] if ts else []) + [F.col(c) for c in columns]
+    for c in columns:
+        if not isinstance(ticks.schema[c].dataType, T.IntegralType):
+            return None
+    row = ticks.agg(*[f(p) for p in parts for f in (F.min, F.max)]).first()
+    lows, highs = row[0::2], row[1::2]
+    if any(lo is None or lo < 0 for lo in lows):
+        return None
+    widths = [int(hi).bit_length() for hi in highs]
+    checked = [F.when(p <= F.lit(hi), p).otherwise(
+        F.raise_error(F.lit("tick key part above its measured range")))
+        for p, hi in zip(parts, highs)]
+    if sum(widths) <= 63:
+        key = F.lit(0).cast("long")
+        for p, w in zip(checked, widths):
+            if w:
+                key = F.shiftleft(key, w) + p.cast("long")
+        return key
+    digits = [len(str(int(hi))) for hi in highs]
+    if sum(digits) <= 38:
+        key = F.lit(0).cast("decimal(38,0)")
+        for p, d in zip(checked, digits):
+            key = (key * F.lit(10 ** d).cast("decimal(38,0)")
+                   + p.cast("decimal(38,0)")).cast("decimal(38,0)")
+        return key
+    return None
+
+
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -36,7 +81,7 @@ def bars_from_ticks(ticks: DataFrame, symbol: str = "l_returnflag",
                     ts: str = "l_shipdate", price: str = "l_extendedprice",
                     qty: str = "l_quantity",
                     tiebreak: Sequence[str] = LINEITEM_TIEBREAK,
-                    start=None, end=None, seq: str | None = None) -> DataFrame:
+                    start=None, end=None, seq: str | Column | None = None) -> DataFrame:
     """Daily OHLCV bars keyed (symbol, Date).
 
     Open/Close are the prices of the first/last tick of the day ordered by
@@ -48,7 +93,8 @@ def bars_from_ticks(ticks: DataFrame, symbol: str = "l_returnflag",
     The tie-break tuple makes the ordering key a struct, which Spark
     aggregates sort-based.  Ticks that carry a unique numeric sequence
     number (trade id) can pass ``seq``: the key is then that single number
-    and the aggregate is hash-based.
+    and the aggregate is hash-based (``sequence_key`` packs integer
+    tie-break columns into one when their ranges allow).
     """
     t = ticks
     ts_type = t.schema[ts].dataType
@@ -58,7 +104,7 @@ def bars_from_ticks(ticks: DataFrame, symbol: str = "l_returnflag",
         nxt = _as_date(end) + _dt.timedelta(days=1)
         t = t.where(F.col(ts) < F.lit(nxt.isoformat()).cast(ts_type))
     if seq is not None:
-        order_key = F.col(seq)
+        order_key = F.col(seq) if isinstance(seq, str) else seq
     else:
         order_key = F.struct(F.col(ts), *[F.col(c) for c in tiebreak])
     return (t.groupBy(F.col(symbol).alias("symbol"), F.to_date(F.col(ts)).alias("Date"))

@@ -30,8 +30,22 @@ def register(name: str):
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily OHLCV bars derived from ``lineitem`` ticks."""
-    return B.bars_from_ticks(read_table(spark, sf_dir, "lineitem"))
+    """Daily OHLCV bars derived from ``lineitem`` ticks.
+
+    The tick order is (time of day, order key, line number, part key,
+    supplier key), unique within a bar on these tables; packed into one
+    number it lets the bar aggregate run hash-based.  Where it does not fit,
+    the exact struct tie-break (sort-based aggregate) is used.
+    """
+    return bars_of(read_table(spark, sf_dir, "lineitem"))
+
+
+def bars_of(ticks: DataFrame, **kw) -> DataFrame:
+    seq = B.sequence_key(ticks, LINEITEM_ORDER, ts="l_shipdate")
+    return B.bars_from_ticks(ticks, seq=seq, **kw)
+
+
+LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def bars_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,8 +161,7 @@ def q_row_count(spark, sf_dir):
 
 @register("date_range")
 def q_date_range(spark, sf_dir):
-    return B.bars_from_ticks(read_table(spark, sf_dir, "lineitem"),
-                             start="1998-01-01", end="1998-12-31")
+    return bars_of(read_table(spark, sf_dir, "lineitem"), start="1998-01-01", end="1998-12-31")
 
 
 @register("top_k_latest")
@@ -286,8 +299,8 @@ def q_to_documents(spark, sf_dir):
 def q_upsert_bars(spark, sf_dir):
     # Base: bars of closed lines; delta: bars of open lines replace them by key.
     li = read_table(spark, sf_dir, "lineitem")
-    base = B.bars_from_ticks(li.where(F.col("l_linestatus") == "F"))
-    delta = B.bars_from_ticks(li.where(F.col("l_linestatus") == "O"))
+    base = bars_of(li.where(F.col("l_linestatus") == "F"))
+    delta = bars_of(li.where(F.col("l_linestatus") == "O"))
     return U.upsert(base, delta, ["symbol", "Date"])
 
 

@@ -278,3 +278,19 @@ def test_bars_with_sequence_number(spark):
         "sym string, t timestamp_ntz, trade_id long, q double, px double")
     r = B.bars_from_ticks(ticks, "sym", "t", "px", "q", seq="trade_id").collect()[0]
     assert (r.Open, r.Close, r.High, r.Low, r.Volume) == (10.0, 30.0, 30.0, 10.0, 3)
+
+
+def test_sequence_key_orders_like_the_tuple(spark):
+    rows = [(o, ln, p, dt.datetime(2020, 1, 1, h)) for o in (0, 3, 900) for ln in (1, 7)
+            for p in (5, 0) for h in (0, 13)]
+    df = spark.createDataFrame(rows, "o long, ln int, p long, t timestamp_ntz")
+    key = B.sequence_key(df, ["o", "ln", "p"], ts="t")
+    got = [(r.t.hour, r.o, r.ln, r.p) for r in df.orderBy(key).collect()]
+    assert got == sorted(got)
+    assert df.select(key.alias("k")).schema["k"].dataType.simpleString() == "bigint"
+    wide = spark.createDataFrame([(2**40, 2**40), (1, 2)], "a long, b long")
+    wkey = B.sequence_key(wide, ["a", "b"])
+    assert wide.select(wkey.alias("k")).schema["k"].dataType.simpleString() == "decimal(38,0)"
+    assert [r.a for r in wide.orderBy(wkey).collect()] == [1, 2**40]
+    neg = spark.createDataFrame([(-1,)], "a long")
+    assert B.sequence_key(neg, ["a"]) is None
