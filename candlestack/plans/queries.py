@@ -11,12 +11,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlestack.functions.numeric import round_doubles
-from candlestack.session import materialize
 from candlestack.operators import bars as B
+from candlestack.operators import logs as L
+from candlestack.operators import paging as G
 from candlestack.operators import periods as P
-from candlestack.sources.tables import read_table
+from candlestack.operators import rolling as R
+from candlestack.operators import stats as S
+from candlestack.schemas import BAR, STOCK_DOC, YEARLY
+from candlestack.session import materialize, scratch_path
+from candlestack.sinks import documents as D
+from candlestack.sinks import landing as LD
+from candlestack.sinks import points as PT
+from candlestack.sinks import report as RP
+from candlestack.sinks import upsert as U
+from candlestack.sources import csv as CSV
+from candlestack.sources import manifest as MF
+from candlestack.sources.tables import read_table, table_path
+from candlestack.streaming import events as SE
+from candlestack.streaming import increments as SI
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,11 +115,6 @@ def q_monthly_analysis(spark, sf_dir):
 
 # --- rolling analytics (W15, W25-W27, W37) -------------------------------
 
-from candlestack.operators import logs as L  # noqa: E402
-from candlestack.operators import paging as G  # noqa: E402
-from candlestack.operators import rolling as R  # noqa: E402
-from candlestack.operators import stats as S  # noqa: E402
-
 
 @register("daily_return")
 def q_daily_return(spark, sf_dir):
@@ -219,21 +230,6 @@ def q_retention(spark, sf_dir):
 
 # --- shaping (W9-W13) -------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
-
-from candlestack.schemas import BAR, STOCK_DOC, YEARLY  # noqa: E402
-from candlestack.session import scratch_path  # noqa: E402
-from candlestack.sinks import documents as D  # noqa: E402
-from candlestack.sinks import landing as LD  # noqa: E402
-from candlestack.sinks import points as PT  # noqa: E402
-from candlestack.sinks import report as RP  # noqa: E402
-from candlestack.sinks import upsert as U  # noqa: E402
-from candlestack.sources import csv as CSV  # noqa: E402
-from candlestack.sources import manifest as MF  # noqa: E402
-from candlestack.streaming import events as SE  # noqa: E402
-from candlestack.streaming import increments as SI  # noqa: E402
-from candlestack.sources.tables import table_path  # noqa: E402
 
 BAR_NAMES = [f.name for f in BAR.fields]
 

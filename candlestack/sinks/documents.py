@@ -39,6 +39,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.to(schema)
 
 
+def create_target(spark, path: str, schema: T.StructType, fmt: str = "parquet") -> str:
+    """Create an empty target with the declared schema unless it exists
+    (``mode("ignore")``: an existing target is left untouched)."""
+    spark.createDataFrame([], schema).write.mode("ignore").format(fmt).save(path)
+    return path
+
+
 def to_documents(df: DataFrame, id_cols: Sequence[str], index: str | Column,
                  schema: T.StructType | None = None) -> DataFrame:
     src = conform(df, schema) if schema is not None else df

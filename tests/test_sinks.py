@@ -79,3 +79,11 @@ def test_land_and_manifest(spark, tmp_dir):
     first = sorted(MF.file_manifest(spark, csv, "text").collect(), key=lambda r: r.file_name)[0]
     lines = MF.preview_lines(spark, first.file_path, 5).collect()
     assert lines[0].value.startswith("symbol,Date,Open")
+
+
+def test_create_target_if_absent(spark, tmp_dir):
+    path = D.create_target(spark, f"{tmp_dir}/t", D.STATS_DOC)
+    assert spark.read.parquet(path).schema == D.STATS_DOC
+    spark.createDataFrame([("A",)], "symbol string").write.mode("overwrite").parquet(path)
+    D.create_target(spark, path, D.STATS_DOC)          # exists: untouched
+    assert spark.read.parquet(path).columns == ["symbol"]
