@@ -112,3 +112,17 @@ def test_hot_series_spans_partitions(spark, many_partitions):
                       for r in df.select("symbol", "Date", "MA20").collect())
 
     assert rows(got) == rows(want)
+
+
+def test_empty_and_null_inputs(spark):
+    from candlestack.operators.quantiles import exact_quantiles
+
+    empty = _bars(spark, 5).limit(0)
+    assert R.rolling_analytics(empty).count() == 0
+    assert position_index(empty, ["symbol"], ["Date"]).count() == 0
+    nulls = spark.createDataFrame([("a", None), ("a", None)], "k string, v double")
+    assert exact_quantiles(nulls, ["k"], "v", [0.5]).count() == 0
+    keyed = spark.createDataFrame([(None, 1), (None, 2), ("x", 3)], "k string, v long")
+    pos = sorted((r.k, r.v, r._pos) for r in position_index(keyed, ["k"], ["v"]).collect()
+                 if r.k is None)
+    assert pos == [(None, 1, 0), (None, 2, 1)]
