@@ -408,3 +408,4 @@ ORACLE["incremental_bars"] = ORACLE["bars_daily"]
 
 ORACLE["bars_csv"] = ORACLE["bars_daily"]
 ORACLE["scan_csv_lenient"] = ORACLE["bars_daily"]
+ORACLE["log_ingest_json_stream"] = ORACLE["log_ingest"]

@@ -384,6 +384,19 @@ def q_log_ingest_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+@register("log_ingest_json_stream")
+def q_log_ingest_json_stream(spark, sf_dir):
+    # Log lines as JSON files (what a shipper tails), ingested as a stream.
+    events = read_table(spark, sf_dir, "events")
+    root = scratch_path(spark, "log-json")
+    LD.land_json(events, f"{root}/logs")
+    src = SE.file_stream(spark, f"{root}/logs", events.schema, fmt="json",
+                         max_files_per_trigger=4)
+    q = SE.log_ingest_stream(src, f"{root}/out", f"{root}/chk")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @register("metric_window_stream")
 def q_metric_window_stream(spark, sf_dir):
     src_path = table_path(sf_dir, "events")

@@ -29,8 +29,21 @@ def land(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",),
     return path
 
 
+# Text formats keep full microsecond precision (the writers' defaults stop
+# at milliseconds).
+TEXT_TIME_OPTIONS = {"dateFormat": "yyyy-MM-dd",
+                     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def land_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
              mode: str = "overwrite") -> str:
     return land(df, path, partition_by, fmt="csv", mode=mode,
                 options={"header": "true", "quote": '"', "escape": '"',
-                         "dateFormat": "yyyy-MM-dd"})
+                         **TEXT_TIME_OPTIONS})
+
+
+def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+              mode: str = "overwrite") -> str:
+    """JSON lines (one record per line), e.g. log files for a file stream."""
+    return land(df, path, partition_by, fmt="json", mode=mode, options=TEXT_TIME_OPTIONS)

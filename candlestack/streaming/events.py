@@ -17,9 +17,16 @@ from candlestack.operators.logs import metric_window, parse_events
 from candlestack.sinks.upsert import ChangeLog
 
 
+# Text sources parse timestamps with microseconds (as landing writes them).
+TEXT_TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+                     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
                 fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
+    if fmt in ("json", "csv"):
+        reader = reader.options(**TEXT_TIME_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)

@@ -87,3 +87,17 @@ def test_create_target_if_absent(spark, tmp_dir):
     spark.createDataFrame([("A",)], "symbol string").write.mode("overwrite").parquet(path)
     D.create_target(spark, path, D.STATS_DOC)          # exists: untouched
     assert spark.read.parquet(path).columns == ["symbol"]
+
+
+def test_text_landing_keeps_microseconds(spark, tmp_dir):
+    from candlestack.sources import csv as CSV
+
+    ts = dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
+    df = spark.createDataFrame([(1, ts, "a,b \"q\"")], "id long, ts timestamp_ntz, s string")
+    LD.land_csv(df, f"{tmp_dir}/c")
+    back = CSV.read_csv(spark, f"{tmp_dir}/c", df.schema, keep_corrupt=False).collect()[0]
+    assert (back.ts, back.s) == (ts, 'a,b "q"')
+    LD.land_json(df, f"{tmp_dir}/j")
+    from candlestack.streaming.events import TEXT_TIME_OPTIONS
+    j = spark.read.schema(df.schema).options(**TEXT_TIME_OPTIONS).json(f"{tmp_dir}/j").collect()[0]
+    assert j.ts == ts
