@@ -47,21 +47,63 @@ def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str],
     return kept.unionByName(delta, allowMissingColumns=True)
 
 
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob (driver-side metadata call, no data read)."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(hp)
+    return [] if found is None else [str(st.getPath().toString()) for st in found]
+
+
 class ChangeLog:
-    """Append-only keyed table: ``<path>/_batch=<n>`` folders + latest read."""
+    """Append-only keyed table.
+
+    ``<path>/changes/_batch=<n>`` holds each micro-batch's deduplicated rows;
+    ``<path>/bases/_upto=<n>`` holds compacted snapshots (latest row per key
+    over all batches up to ``n``).  A read takes the newest committed
+    snapshot plus the change sets after it (partition pruning skips the
+    older ones) and keeps the latest row per key.
+    """
 
     def __init__(self, path: str, keys: Sequence[str]):
         self.path = path.rstrip("/")
         self.keys = list(keys)
+        self.changes = f"{self.path}/changes"
+        self.bases = f"{self.path}/bases"
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         deduped = latest_per_key(batch, self.keys, []).select(*batch.columns)
-        deduped.write.mode("overwrite").parquet(f"{self.path}/_batch={int(batch_id)}")
+        deduped.write.mode("overwrite").parquet(f"{self.changes}/_batch={int(batch_id)}")
 
     def foreach_batch(self, batch: DataFrame, batch_id: int) -> None:
         self.write_batch(batch, batch_id)
 
+    def _base_id(self, spark: SparkSession) -> int | None:
+        done = _glob(spark, f"{self.bases}/_upto=*/_SUCCESS")
+        ids = [int(p.rsplit("/_upto=", 1)[1].split("/", 1)[0]) for p in done]
+        return max(ids) if ids else None
+
     def read(self, spark: SparkSession) -> DataFrame:
-        raw = spark.read.parquet(self.path)
+        base_id = self._base_id(spark)
+        parts = []
+        if _glob(spark, f"{self.changes}/_batch=*/_SUCCESS"):
+            ch = spark.read.parquet(self.changes)
+            parts.append(ch if base_id is None else ch.where(F.col("_batch") > base_id))
+        if base_id is not None:
+            parts.append(spark.read.parquet(f"{self.bases}/_upto={base_id}")
+                         .withColumn("_batch", F.lit(base_id)))
+        if not parts:
+            raise FileNotFoundError(f"no committed data under {self.path}")
+        raw = parts[0]
+        for p in parts[1:]:
+            raw = raw.unionByName(p)
         cols = [c for c in raw.columns if c != "_batch"]
         return latest_per_key(raw, self.keys, ["_batch"]).select(*cols)
+
+    def compact(self, spark: SparkSession) -> int:
+        """Write the current latest view as a snapshot; later reads start
+        from it.  Returns the batch id it covers."""
+        upto = (spark.read.parquet(self.changes).agg(F.max("_batch")).first()[0])
+        self.read(spark).write.mode("overwrite").parquet(f"{self.bases}/_upto={int(upto)}")
+        return int(upto)

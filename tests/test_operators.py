@@ -294,3 +294,13 @@ def test_sequence_key_orders_like_the_tuple(spark):
     assert [r.a for r in wide.orderBy(wkey).collect()] == [1, 2**40]
     neg = spark.createDataFrame([(-1,)], "a long")
     assert B.sequence_key(neg, ["a"]) is None
+
+
+def test_changelog_compaction(spark, tmp_dir):
+    log = U.ChangeLog(f"{tmp_dir}/t", ["k"])
+    mk = lambda rows: spark.createDataFrame(rows, "k string, x double")
+    log.write_batch(mk([("A", 1.0), ("B", 2.0)]), 0)
+    log.write_batch(mk([("A", 3.0)]), 1)
+    assert log.compact(spark) == 1
+    log.write_batch(mk([("B", 5.0), ("C", 6.0)]), 2)
+    assert sorted(map(tuple, log.read(spark).collect())) == [("A", 3.0), ("B", 5.0), ("C", 6.0)]
