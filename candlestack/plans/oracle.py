@@ -184,7 +184,7 @@ SELECT symbol, {_avg_round2('mv')} AS "Avg_Daily_Return_%",
 FROM moves GROUP BY symbol"""
 
 
-def _describe_sql(names, quart_fn) -> str:
+def _describe_sql(names, quart_fn, src: str = "bars", ctes: tuple = ()) -> str:
     cols = ["Open", "High", "Low", "Close", "Volume"]
     parts = []
     for c in cols:
@@ -194,14 +194,14 @@ def _describe_sql(names, quart_fn) -> str:
                 round(avg({x}), 4) AS "mean", round(stddev_samp({x}), 4) AS "{names[2]}",
                 round(min({x}), 4) AS "min", round({quart_fn(x, 0.25)}, 4) AS "25%",
                 round({quart_fn(x, 0.5)}, 4) AS "50%", round({quart_fn(x, 0.75)}, 4) AS "75%",
-                round(max({x}), 4) AS "max" FROM bars GROUP BY symbol""")
+                round(max({x}), 4) AS "max" FROM {src} GROUP BY symbol""")
     stats = ["count", "mean", names[2], "min", "25%", "50%", "75%", "max"]
     body = "\nUNION ALL\n".join(parts)
     pivots = ",\n".join(
         f"""max(CASE WHEN col = '{c}' THEN v END) AS "{c}\"""" for c in cols)
     unpivot = "\nUNION ALL\n".join(
         f"""SELECT symbol, col, '{s}' AS statistic, "{s}" AS v FROM per_col""" for s in stats)
-    return _with(BARS_CTE) + f""", per_col AS ({body}),
+    return _with(BARS_CTE, *ctes) + f""", per_col AS ({body}),
 long AS ({unpivot})
 SELECT symbol, statistic, {pivots} FROM long GROUP BY symbol, statistic"""
 
@@ -409,3 +409,6 @@ ORACLE["incremental_bars"] = ORACLE["bars_daily"]
 ORACLE["bars_csv"] = ORACLE["bars_daily"]
 ORACLE["scan_csv_lenient"] = ORACLE["bars_daily"]
 ORACLE["log_ingest_json_stream"] = ORACLE["log_ingest"]
+
+ORACLE["describe_last_n_days"] = _describe_sql(
+    ["count", "mean", "std"], lambda x, p: f"quantile_cont({x}, {p})", "last30", (_LAST30,))

@@ -158,6 +158,11 @@ def q_describe_exact(spark, sf_dir):
     return round_doubles(S.describe_exact(bars_once(spark, sf_dir)))
 
 
+@register("describe_last_n_days")
+def q_describe_last_n_days(spark, sf_dir):
+    return round_doubles(S.describe_exact(R.last_n_days(bars_once(spark, sf_dir), days=30)))
+
+
 @register("headline_stats")
 def q_headline_stats(spark, sf_dir):
     return round_doubles(S.headline_stats(R.analyze_last_n_days(bars_once(spark, sf_dir), days=30)))
