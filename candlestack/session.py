@@ -50,7 +50,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="candlestack-chk-")  # local mode only (tests)
-        spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
