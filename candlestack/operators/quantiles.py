@@ -47,7 +47,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
               .withColumn("_start", F.col("_end") - F.col("_m")))
     per_key = ranked.groupBy(*keys).agg(F.sum("_m").alias("_n"),
                                         F.min("_start").alias("_k0"))
-    rel = (ranked.join(per_key, keys)
+    per_key = per_key.select(*[F.col(k).alias(f"_pk_{k}") for k in keys], "_n", "_k0")
+    rel = (ranked.join(per_key, [ranked[k].eqNullSafe(per_key[f"_pk_{k}"]) for k in keys])
+           .drop(*[f"_pk_{k}" for k in keys])
            .withColumn("_s", F.col("_start") - F.col("_k0"))
            .withColumn("_e", F.col("_end") - F.col("_k0")))
     targets = []

@@ -43,7 +43,8 @@ def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str],
         delta = latest_per_key(delta, keys, version).select(*delta.columns)
     else:
         delta = latest_per_key(delta, keys, []).select(*delta.columns)
-    kept = base.join(delta.select(*keys), on=list(keys), how="left_anti")
+    dk = delta.select(*[F.col(k).alias(f"_dk_{k}") for k in keys])
+    kept = base.join(dk, [base[k].eqNullSafe(dk[f"_dk_{k}"]) for k in keys], "left_anti")
     return kept.unionByName(delta, allowMissingColumns=True)
 
 

@@ -304,3 +304,14 @@ def test_changelog_compaction(spark, tmp_dir):
     assert log.compact(spark) == 1
     log.write_batch(mk([("B", 5.0), ("C", 6.0)]), 2)
     assert sorted(map(tuple, log.read(spark).collect())) == [("A", 3.0), ("B", 5.0), ("C", 6.0)]
+
+
+def test_null_keys_are_keys(spark):
+    from candlestack.operators.quantiles import exact_quantiles
+
+    base = spark.createDataFrame([(None, 1.0), ("A", 2.0)], "k string, x double")
+    delta = spark.createDataFrame([(None, 9.0)], "k string, x double")
+    got = sorted(map(tuple, U.upsert(base, delta, ["k"]).collect()), key=str)
+    assert got == [("A", 2.0), (None, 9.0)]
+    q = {(r.k, r.p): r.quantile for r in exact_quantiles(base, ["k"], "x", [0.5]).collect()}
+    assert q == {(None, 0.5): 1.0, ("A", 0.5): 2.0}
