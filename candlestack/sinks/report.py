@@ -13,7 +13,6 @@ external stores are Python, and the batches travel as Arrow.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -40,9 +39,10 @@ class JsonLinesWriter:
         filesystem, base = fs.FileSystem.from_uri(self.root)
         folder = f"{base}/{target}"
         filesystem.create_dir(folder, recursive=True)
-        text = "\n".join(json.dumps(r, default=str) for r in batch.to_dict("records"))
+        text = batch.to_json(orient="records", lines=True, date_format="iso",
+                             default_handler=str)
         with filesystem.open_output_stream(f"{folder}/{name}.jsonl") as f:
-            f.write((text + "\n").encode())
+            f.write(text.encode())
         return len(batch), 0
 
 
