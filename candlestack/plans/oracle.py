@@ -412,3 +412,6 @@ ORACLE["log_ingest_json_stream"] = ORACLE["log_ingest"]
 
 ORACLE["describe_last_n_days"] = _describe_sql(
     ["count", "mean", "std"], lambda x, p: f"quantile_cont({x}, {p})", "last30", (_LAST30,))
+
+ORACLE["total_pages"] = _with(BARS_CTE) + """
+SELECT CAST(ceil(count(*) / 5.0) AS BIGINT) AS total_pages FROM bars"""

@@ -196,6 +196,11 @@ def q_page_deep(spark, sf_dir):
     return G.page(bars(spark, sf_dir), n=1_000, k=5, top_n_limit=1_000)
 
 
+@register("total_pages")
+def q_total_pages(spark, sf_dir):
+    return G.total_pages(bars(spark, sf_dir), 5)
+
+
 @register("page_stats")
 def q_page_stats(spark, sf_dir):
     return G.page_stats(bars(spark, sf_dir), k=5)
