@@ -20,14 +20,22 @@ STAT_COLUMNS = ["Avg_Close", "Total_Volume", "Avg_High", "Avg_Low", "Avg_Open",
                 "Std_Close", "Trading_Days"]
 
 
-def _stat_aggs() -> list[Column]:
-    return [F.avg("Close").alias("Avg_Close"),
+def _stat_aggs(digits: int | None = None) -> list[Column]:
+    """The period statistics.  With ``digits`` the averages are exact means
+    rounded half-up (decimal arithmetic, see ``avg_rounded``) and the raw
+    close average is kept as ``_ac_raw`` for growth rates."""
+    def mean(c):
+        return F.avg(c) if digits is None else avg_rounded(F.col(c), digits)
+    aggs = [mean("Close").alias("Avg_Close"),
             F.sum("Volume").alias("Total_Volume"),
-            F.avg("High").alias("Avg_High"),
-            F.avg("Low").alias("Avg_Low"),
-            F.avg("Open").alias("Avg_Open"),
+            mean("High").alias("Avg_High"),
+            mean("Low").alias("Avg_Low"),
+            mean("Open").alias("Avg_Open"),
             F.stddev_samp("Close").alias("Std_Close"),
             F.count(F.lit(1)).alias("Trading_Days")]
+    if digits is not None:
+        aggs.append(F.avg("Close").alias("_ac_raw"))
+    return aggs
 
 
 def with_period_labels(bars: DataFrame) -> DataFrame:
@@ -35,23 +43,26 @@ def with_period_labels(bars: DataFrame) -> DataFrame:
                              "Month": month_label("Date")})
 
 
-def period_stats(bars: DataFrame, level: str) -> DataFrame:
-    """Stats per (symbol, period) for one level; hash aggregate, partial+final."""
+def period_stats(bars: DataFrame, level: str, digits: int | None = None,
+                 keep_raw: bool = False) -> DataFrame:
+    """Stats per (symbol, period) for one level; hash aggregate, partial+final.
+    ``keep_raw`` keeps the unrounded close mean (``_ac_raw``) for growth."""
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}")
     label = _LABEL[level]
     src = bars.withColumn(label, {"monthly": month_label("Date"),
                                   "quarterly": quarter_label("Date"),
                                   "yearly": F.year("Date")}[level])
-    return src.groupBy("symbol", label).agg(*_stat_aggs())
+    out = src.groupBy("symbol", label).agg(*_stat_aggs(digits))
+    return out if keep_raw else out.drop("_ac_raw")
 
 
-def monthly_stats(bars: DataFrame) -> DataFrame:
-    return period_stats(bars, "monthly")
+def monthly_stats(bars: DataFrame, digits: int | None = None) -> DataFrame:
+    return period_stats(bars, "monthly", digits)
 
 
-def quarterly_stats(bars: DataFrame) -> DataFrame:
-    return period_stats(bars, "quarterly")
+def quarterly_stats(bars: DataFrame, digits: int | None = None) -> DataFrame:
+    return period_stats(bars, "quarterly", digits)
 
 
 def yoy_growth(yearly: DataFrame, value: str = "Avg_Close",
@@ -62,16 +73,20 @@ def yoy_growth(yearly: DataFrame, value: str = "Avg_Close",
     one).  The window is partitioned by symbol; its input is one row per
     symbol-year, so each task holds a few rows per year of history.
     """
+    if "_ac_raw" in yearly.columns and value == "Avg_Close":
+        value = "_ac_raw"          # growth from the unrounded mean
     w = Window.partitionBy("symbol").orderBy("Year")
     prev = F.lag(value).over(w)
-    return yearly.withColumn(out, safe_div(F.col(value) - prev, prev) * 100)
+    return (yearly.withColumn(out, safe_div(F.col(value) - prev, prev) * 100)
+            .drop("_ac_raw"))
 
 
-def yearly_stats(bars: DataFrame) -> DataFrame:
-    return yoy_growth(period_stats(bars, "yearly"))
+def yearly_stats(bars: DataFrame, digits: int | None = None) -> DataFrame:
+    return yoy_growth(period_stats(bars, "yearly", digits, keep_raw=True))
 
 
-def period_stats_long(bars: DataFrame, with_start: bool = True) -> DataFrame:
+def period_stats_long(bars: DataFrame, with_start: bool = True,
+                      digits: int | None = None) -> DataFrame:
     """All three levels in one scan: GROUPING SETS over (symbol, level label).
 
     Columns: symbol, period_type, period (label text), the stats, YoY_Growth
@@ -82,20 +97,21 @@ def period_stats_long(bars: DataFrame, with_start: bool = True) -> DataFrame:
     g = (labelled.groupingSets([["symbol", "Year"], ["symbol", "Quarter"],
                                 ["symbol", "Month"]],
                                "symbol", "Year", "Quarter", "Month")
-         .agg(*_stat_aggs()))
+         .agg(*_stat_aggs(digits)))
     ptype = (F.when(F.col("Month").isNotNull(), F.lit("monthly"))
              .when(F.col("Quarter").isNotNull(), F.lit("quarterly"))
              .otherwise(F.lit("yearly")))
     long = g.select(
         "symbol", ptype.alias("period_type"),
         F.coalesce("Month", "Quarter", F.col("Year").cast("string")).alias("period"),
-        *STAT_COLUMNS)
+        *STAT_COLUMNS, *(["_ac_raw"] if digits is not None else []))
+    raw = "_ac_raw" if digits is not None else "Avg_Close"
     w = Window.partitionBy("symbol", "period_type").orderBy("period")
-    prev = F.lag("Avg_Close").over(w)
+    prev = F.lag(raw).over(w)
     long = long.withColumn(
         "YoY_Growth",
         F.when(F.col("period_type") == "yearly",
-               safe_div(F.col("Avg_Close") - prev, prev) * 100))
+               safe_div(F.col(raw) - prev, prev) * 100)).drop("_ac_raw")
     if with_start:
         long = long.withColumn("period_start", period_start(F.col("period_type"),
                                                             F.col("period")))

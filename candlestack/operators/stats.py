@@ -45,13 +45,18 @@ def _long_form(wide: DataFrame, keys: Sequence[str], stats: Sequence[str],
     return wide.select(*keys, F.inline(rows))
 
 
-def _describe(bars: DataFrame, columns: Sequence[str], quartiles, names) -> DataFrame:
+def _mean(x: Column, digits: int | None) -> Column:
+    return F.avg(x) if digits is None else avg_rounded(x, digits)
+
+
+def _describe(bars: DataFrame, columns: Sequence[str], quartiles, names,
+              digits: int | None = None) -> DataFrame:
     aggs = []
     for c in columns:
         x = _q(c).cast("double")
         qs = quartiles(x)
         aggs += [F.count(x).cast("double").alias(f"count__{c}"),
-                 F.avg(x).alias(f"mean__{c}"),
+                 _mean(x, digits).alias(f"mean__{c}"),
                  F.stddev_samp(x).alias(f"{names[2]}__{c}"),
                  F.min(x).alias(f"min__{c}"),
                  qs[0].alias(f"25%__{c}"), qs[1].alias(f"50%__{c}"),
@@ -61,26 +66,31 @@ def _describe(bars: DataFrame, columns: Sequence[str], quartiles, names) -> Data
     return _long_form(wide, ["symbol"], names, columns)
 
 
-def summary_stats(bars: DataFrame, columns: Sequence[str] = OHLCV) -> DataFrame:
+def summary_stats(bars: DataFrame, columns: Sequence[str] = OHLCV,
+                  digits: int | None = None) -> DataFrame:
     """Typed twin of ``DataFrame.summary()`` per symbol: count, mean, stddev,
-    min, approximate 25/50/75% (``percentile_approx``, bounded sketch), max."""
+    min, approximate 25/50/75% (``percentile_approx``, bounded sketch), max.
+    With ``digits`` the mean is exact and rounded half-up."""
     def quart(x):
         q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
         return [q[0], q[1], q[2]]
     names = ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
-    return _describe(bars, columns, quart, names)
+    return _describe(bars, columns, quart, names, digits)
 
 
-def describe_exact(bars: DataFrame, columns: Sequence[str] = OHLCV) -> DataFrame:
+def describe_exact(bars: DataFrame, columns: Sequence[str] = OHLCV,
+                   digits: int | None = None) -> DataFrame:
     """pandas ``describe()`` per symbol with exact, linearly interpolated
     quartiles.  Quartiles come from ``quantiles.exact_quantiles`` (sorted
     distinct values over balanced range partitions), so no task gathers a
-    whole symbol; the other statistics are partial/final aggregates."""
+    whole symbol; the other statistics are partial/final aggregates.  With
+    ``digits`` the mean is exact and rounded half-up."""
     long = bars.select("symbol", F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("value"))
         for c in columns])))
     basic = long.groupBy("symbol", "column").agg(
-        F.count("value").cast("double").alias("count"), F.avg("value").alias("mean"),
+        F.count("value").cast("double").alias("count"),
+        _mean(F.col("value"), digits).alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
     qs = (exact_quantiles(long, ["symbol", "column"], "value", [0.25, 0.5, 0.75])

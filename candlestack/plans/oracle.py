@@ -24,12 +24,21 @@ bars AS (
   GROUP BY 1, 2
 )"""
 
-_STATS = """
-  round(avg("Close"), 4) AS "Avg_Close",
+def _avg_exact(x: str, d: int) -> str:
+    """Exact mean rounded half-up to ``d`` digits, as Spark's decimal average
+    (``functions.numeric.avg_rounded``): the sum is taken in DECIMAL(38,10),
+    then integer arithmetic rounds sum / count."""
+    a = f"CAST(replace(CAST(sum(CAST({x} AS DECIMAL(38,10))) AS VARCHAR), '.', '') AS HUGEINT)"
+    u = f"(CAST(count({x}) AS HUGEINT) * {10 ** (10 - d)})"
+    return f"(CAST(sign({a}) * ((2 * abs({a}) + {u}) // (2 * {u})) AS DOUBLE) / {10 ** d})"
+
+
+_STATS = f"""
+  {_avg_exact('"Close"', 4)} AS "Avg_Close",
   CAST(sum("Volume") AS BIGINT) AS "Total_Volume",
-  round(avg("High"), 4) AS "Avg_High",
-  round(avg("Low"), 4) AS "Avg_Low",
-  round(avg("Open"), 4) AS "Avg_Open",
+  {_avg_exact('"High"', 4)} AS "Avg_High",
+  {_avg_exact('"Low"', 4)} AS "Avg_Low",
+  {_avg_exact('"Open"', 4)} AS "Avg_Open",
   round(stddev_samp("Close"), 4) AS "Std_Close",
   count(*) AS "Trading_Days"
 """
@@ -42,15 +51,20 @@ labelled AS (
   FROM bars
 )"""
 
-# Raw (unrounded) stats per level in long form, used by several queries.
+# Stats per level in long form: raw close mean ``ac`` (for growth), exact
+# rounded means ``rc rh rl ro`` at 4 digits and ``rc6 rh6 rl6 ro6`` at 6.
 _LONG_RAW = f"""
 long_raw AS (
   SELECT symbol,
          CASE WHEN "Month" IS NOT NULL THEN 'monthly'
               WHEN "Quarter" IS NOT NULL THEN 'quarterly' ELSE 'yearly' END AS period_type,
          coalesce("Month", "Quarter", CAST("Year" AS VARCHAR)) AS period,
-         avg("Close") AS ac, CAST(sum("Volume") AS BIGINT) AS tv, avg("High") AS ah,
-         avg("Low") AS al, avg("Open") AS ao, stddev_samp("Close") AS sc, count(*) AS td
+         avg("Close") AS ac, CAST(sum("Volume") AS BIGINT) AS tv,
+         {_avg_exact('"Close"', 4)} AS rc, {_avg_exact('"High"', 4)} AS rh,
+         {_avg_exact('"Low"', 4)} AS rl, {_avg_exact('"Open"', 4)} AS ro,
+         {_avg_exact('"Close"', 6)} AS rc6, {_avg_exact('"High"', 6)} AS rh6,
+         {_avg_exact('"Low"', 6)} AS rl6, {_avg_exact('"Open"', 6)} AS ro6,
+         stddev_samp("Close") AS sc, count(*) AS td
   FROM labelled
   GROUP BY GROUPING SETS ((symbol, "Year"), (symbol, "Quarter"), (symbol, "Month"))
 )"""
@@ -68,8 +82,8 @@ _YOY = """CASE WHEN period_type = 'yearly' THEN round(
 
 
 def _avg_round2(x: str) -> str:
-    """Exact-decimal mean rounded half-up to 2 digits (see functions.numeric)."""
-    return f"CAST(round(CAST(avg(CAST({x} AS DECIMAL(30,10))) AS DECIMAL(38,6)), 2) AS DOUBLE)"
+    """Exact mean rounded half-up to 2 digits."""
+    return _avg_exact(x, 2)
 
 
 def _with(*ctes: str) -> str:
@@ -106,8 +120,8 @@ ORACLE["yoy_growth"] = ORACLE["yearly_stats"]
 
 ORACLE["period_stats_long"] = _with(BARS_CTE, _LABELS, _LONG_RAW) + f"""
 SELECT symbol, period_type, period,
-       round(ac, 4) AS "Avg_Close", tv AS "Total_Volume", round(ah, 4) AS "Avg_High",
-       round(al, 4) AS "Avg_Low", round(ao, 4) AS "Avg_Open", round(sc, 4) AS "Std_Close",
+       rc AS "Avg_Close", tv AS "Total_Volume", rh AS "Avg_High",
+       rl AS "Avg_Low", ro AS "Avg_Open", round(sc, 4) AS "Std_Close",
        td AS "Trading_Days", {_YOY} AS "YoY_Growth",
        {_PERIOD_START} AS period_start
 FROM long_raw"""
@@ -191,7 +205,7 @@ def _describe_sql(names, quart_fn, src: str = "bars", ctes: tuple = ()) -> str:
         x = f'CAST("{c}" AS DOUBLE)'
         parts.append(
             f"""SELECT symbol, '{c}' AS col, CAST(count({x}) AS DOUBLE) AS "count",
-                round(avg({x}), 4) AS "mean", round(stddev_samp({x}), 4) AS "{names[2]}",
+                {_avg_exact(x, 4)} AS "mean", round(stddev_samp({x}), 4) AS "{names[2]}",
                 round(min({x}), 4) AS "min", round({quart_fn(x, 0.25)}, 4) AS "25%",
                 round({quart_fn(x, 0.5)}, 4) AS "50%", round({quart_fn(x, 0.75)}, 4) AS "75%",
                 round(max({x}), 4) AS "max" FROM {src} GROUP BY symbol""")
@@ -335,8 +349,8 @@ SELECT symbol, "Date",
          AS line
 FROM derived"""
 
-_STAT_FIELDS = [("avg_close", "ac"), ("total_volume", "tv"), ("avg_high", "ah"),
-                ("avg_low", "al"), ("avg_open", "ao"), ("std_close", "sc")]
+_STAT_FIELDS = [("avg_close", "rc6"), ("total_volume", "tv"), ("avg_high", "rh6"),
+                ("avg_low", "rl6"), ("avg_open", "ro6"), ("std_close", "sc")]
 
 ORACLE["to_points_stats"] = _with(BARS_CTE, _LABELS, _LONG_RAW) + f"""
 , withyoy AS (
@@ -360,8 +374,8 @@ FROM withyoy"""
 _STATS_ROUNDED = f"""
 stats AS (
   SELECT symbol, period_type, period, {_PERIOD_START} AS period_start,
-         round(ac, 4) AS "Avg_Close", tv AS "Total_Volume", round(ah, 4) AS "Avg_High",
-         round(al, 4) AS "Avg_Low", round(ao, 4) AS "Avg_Open", round(sc, 4) AS "Std_Close",
+         rc AS "Avg_Close", tv AS "Total_Volume", rh AS "Avg_High",
+         rl AS "Avg_Low", ro AS "Avg_Open", round(sc, 4) AS "Std_Close",
          td AS "Trading_Days", {_YOY} AS "YoY_Growth"
   FROM long_raw
 )"""

@@ -79,27 +79,28 @@ def q_bars_daily(spark, sf_dir):
 
 @register("monthly_stats")
 def q_monthly_stats(spark, sf_dir):
-    return round_doubles(P.monthly_stats(bars(spark, sf_dir)))
+    return round_doubles(P.monthly_stats(bars(spark, sf_dir), digits=4))
 
 
 @register("quarterly_stats")
 def q_quarterly_stats(spark, sf_dir):
-    return round_doubles(P.quarterly_stats(bars(spark, sf_dir)))
+    return round_doubles(P.quarterly_stats(bars(spark, sf_dir), digits=4))
 
 
 @register("yearly_stats")
 def q_yearly_stats(spark, sf_dir):
-    return round_doubles(P.yearly_stats(bars(spark, sf_dir)))
+    return round_doubles(P.yearly_stats(bars(spark, sf_dir), digits=4))
 
 
 @register("yoy_growth")
 def q_yoy_growth(spark, sf_dir):
-    return round_doubles(P.yoy_growth(P.period_stats(bars(spark, sf_dir), "yearly")))
+    return round_doubles(P.yoy_growth(P.period_stats(bars(spark, sf_dir), "yearly", digits=4,
+                                                    keep_raw=True)))
 
 
 @register("period_stats_long")
 def q_period_stats_long(spark, sf_dir):
-    return round_doubles(P.period_stats_long(bars(spark, sf_dir)))
+    return round_doubles(P.period_stats_long(bars(spark, sf_dir), digits=4))
 
 
 @register("period_start")
@@ -150,17 +151,18 @@ def q_price_movement(spark, sf_dir):
 
 @register("summary_stats")
 def q_summary_stats(spark, sf_dir):
-    return round_doubles(S.summary_stats(bars(spark, sf_dir)))
+    return round_doubles(S.summary_stats(bars(spark, sf_dir), digits=4))
 
 
 @register("describe_exact")
 def q_describe_exact(spark, sf_dir):
-    return round_doubles(S.describe_exact(bars_once(spark, sf_dir)))
+    return round_doubles(S.describe_exact(bars_once(spark, sf_dir), digits=4))
 
 
 @register("describe_last_n_days")
 def q_describe_last_n_days(spark, sf_dir):
-    return round_doubles(S.describe_exact(R.last_n_days(bars_once(spark, sf_dir), days=30)))
+    return round_doubles(S.describe_exact(R.last_n_days(bars_once(spark, sf_dir), days=30),
+                                         digits=4))
 
 
 @register("headline_stats")
@@ -273,7 +275,7 @@ def q_coerce_defaults(spark, sf_dir):
 def q_null_normalise(spark, sf_dir):
     # Yearly stats written as text with the token 'NULL' for missing values,
     # read back as strings, then normalised and typed again.
-    yearly = round_doubles(P.yearly_stats(bars(spark, sf_dir)))
+    yearly = round_doubles(P.yearly_stats(bars(spark, sf_dir), digits=4))
     path = scratch_path(spark, "null-normalise")
     yearly.write.mode("overwrite").option("header", "true").option("nullValue", "NULL").csv(path)
     text = CSV.read_csv(spark, path, T.StructType(
@@ -292,13 +294,13 @@ def q_to_points(spark, sf_dir):
 
 @register("to_points_stats")
 def q_to_points_stats(spark, sf_dir):
-    pts = PT.stats_points(P.period_stats_long(bars(spark, sf_dir)), digits=6)
+    pts = PT.stats_points(P.period_stats_long(bars(spark, sf_dir), digits=6), digits=6)
     return pts.select("symbol", "period_type", "period", "time_ns", "line")
 
 
 @register("to_documents")
 def q_to_documents(spark, sf_dir):
-    return D.stats_documents(round_doubles(P.period_stats_long(bars(spark, sf_dir))))
+    return D.stats_documents(round_doubles(P.period_stats_long(bars(spark, sf_dir), digits=4)))
 
 
 @register("upsert_bars")
