@@ -30,36 +30,43 @@ def time_of_day_micros(ticks: DataFrame, ts: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.to_date(c).cast(ticks.schema[ts].dataType), c)
 
 
-def sequence_key(ticks: DataFrame, columns: Sequence[str], ts: str | None = None):
-    """One order-preserving number for the tick order (time of day of ``ts``,
-    then ``columns``), or None when the values do not fit.
-
-    One global min/max aggregate (a single row) sizes each part; parts are
-    packed into a BIGINT when their widths sum to at most 63 bits, else into
-    a DECIMAL(38,0) when they fit 38 digits.  Comparing keys then equals
-    comparing the tuples, and the bar aggregate is hash-based.  A value
-    outside the measured range (data changed since) raises.  Within a bar the
-    tuple must identify a tick (as a trade sequence number would).
-    """
-    parts = ([time_of_day_micros(ticks, ts)] if ts else []) + [F.col(c) for c in columns]
+def _key_parts(ticks: DataFrame, columns: Sequence[str], ts: str | None) -> list[Column]:
+    return ([time_of_day_micros(ticks, ts)] if ts else []) + [F.col(c) for c in columns]
+
+
+def key_ranges(ticks: DataFrame, columns: Sequence[str], ts: str | None = None):
+    """(min, max) of every part of the tick order, from one global aggregate
+    (a single row), or None when a part is not an integer.  A statistic of
+    the table: callers may reuse it for any subset of the same files."""
     for c in columns:
         if not isinstance(ticks.schema[c].dataType, T.IntegralType):
             return None
+    parts = _key_parts(ticks, columns, ts)
     row = ticks.agg(*[f(p) for p in parts for f in (F.min, F.max)]).first()
-    lows, highs = row[0::2], row[1::2]
-    if any(lo is None or lo < 0 for lo in lows):
+    return list(zip(row[0::2], row[1::2]))
+
+
+def pack_sequence_key(ticks: DataFrame, columns: Sequence[str], ts: str | None,
+                      ranges) -> Column | None:
+    """Pack the tick order into one number sized by ``ranges``: a BIGINT when
+    the parts' bit widths sum to at most 63, else a DECIMAL(38,0) when they
+    fit 38 digits, else None.  Comparing keys equals comparing the tuples; a
+    value outside its range (data changed since) raises."""
+    if ranges is None or any(lo is None or lo < 0 for lo, _ in ranges):
         return None
-    widths = [int(hi).bit_length() for hi in highs]
-    checked = [F.when(p <= F.lit(hi), p).otherwise(
-        F.raise_error(F.lit("tick key part above its measured range")))
+    parts = _key_parts(ticks, columns, ts)
+    highs = [int(hi) for _, hi in ranges]
+    checked = [F.when((p >= 0) & (p <= F.lit(hi)), p).otherwise(
+        F.raise_error(F.lit("tick key part outside its measured range")))
         for p, hi in zip(parts, highs)]
+    widths = [hi.bit_length() for hi in highs]
     if sum(widths) <= 63:
         key = F.lit(0).cast("long")
         for p, w in zip(checked, widths):
             if w:
                 key = F.shiftleft(key, w) + p.cast("long")
         return key
-    digits = [len(str(int(hi))) for hi in highs]
+    digits = [len(str(hi)) for hi in highs]
     if sum(digits) <= 38:
         key = F.lit(0).cast("decimal(38,0)")
         for p, d in zip(checked, digits):
@@ -69,6 +76,15 @@ def sequence_key(ticks: DataFrame, columns: Sequence[str], ts: str | None = None
     return None
 
 
+def sequence_key(ticks: DataFrame, columns: Sequence[str], ts: str | None = None):
+    """One order-preserving number for the tick order (time of day of ``ts``,
+    then ``columns``), or None when the values do not fit (see
+    ``key_ranges`` and ``pack_sequence_key``).  With it ``min_by``/``max_by``
+    order by one number and the bar aggregate is hash-based.  Within a bar
+    the tuple must identify a tick, as a trade sequence number would."""
+    return pack_sequence_key(ticks, columns, ts, key_ranges(ticks, columns, ts))
+
+
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 

@@ -56,8 +56,31 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_of(read_table(spark, sf_dir, "lineitem"))
 
 
-def bars_of(ticks: DataFrame, **kw) -> DataFrame:
-    seq = B.sequence_key(ticks, LINEITEM_ORDER, ts="l_shipdate")
+# Key ranges are a statistic of the lineitem files: computed once per file
+# set (path, size, modification time) and reused by every query and subset.
+_RANGES: dict[tuple, object] = {}
+
+
+def _file_signature(df: DataFrame) -> tuple:
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sig = []
+    for f in sorted(df.inputFiles()):
+        hp = jvm.org.apache.hadoop.fs.Path(f)
+        st = hp.getFileSystem(conf).getFileStatus(hp)
+        sig.append((f, st.getLen(), st.getModificationTime()))
+    return tuple(sig)
+
+
+def bars_of(ticks: DataFrame, table: DataFrame | None = None, **kw) -> DataFrame:
+    """Bars of ``ticks`` (the lineitem table or a subset of it, ``table``
+    being the whole table) with the packed tick order when it fits."""
+    table = ticks if table is None else table
+    sig = (_file_signature(table), LINEITEM_ORDER)
+    if sig not in _RANGES:
+        _RANGES[sig] = B.key_ranges(table, LINEITEM_ORDER, ts="l_shipdate")
+    seq = B.pack_sequence_key(ticks, LINEITEM_ORDER, "l_shipdate", _RANGES[sig])
     return B.bars_from_ticks(ticks, seq=seq, **kw)
 
 
@@ -307,8 +330,8 @@ def q_to_documents(spark, sf_dir):
 def q_upsert_bars(spark, sf_dir):
     # Base: bars of closed lines; delta: bars of open lines replace them by key.
     li = read_table(spark, sf_dir, "lineitem")
-    base = bars_of(li.where(F.col("l_linestatus") == "F"))
-    delta = bars_of(li.where(F.col("l_linestatus") == "O"))
+    base = bars_of(li.where(F.col("l_linestatus") == "F"), li)
+    delta = bars_of(li.where(F.col("l_linestatus") == "O"), li)
     return U.upsert(base, delta, ["symbol", "Date"])
 
 
