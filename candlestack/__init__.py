@@ -2,7 +2,7 @@
 
 Every operator takes DataFrames (plus plain parameters) and returns a
 DataFrame built from built-in Spark expressions, so Catalyst plans the
-whole pipeline: scans prune columns and push filters, aggregations run
+whole job: scans prune columns and push filters, aggregations run
 partial/final, and ordered-series windows run over bounded segments
 (``operators.series``) instead of one task per series key.
 """
