@@ -18,18 +18,18 @@ from pyspark.sql import SparkSession
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "candlestack", conf: dict | None = None) -> SparkSession:
     """A local session configured like the tests and the bench expect."""
-    builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("CANDLESTACK_DRIVER_MEM", "8g"))
-    )
-    for k, v in (conf or {}).items():
+    settings = {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": os.environ.get("CANDLESTACK_DRIVER_MEM", "8g"),
+    }
+    settings.update(conf or {})
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
