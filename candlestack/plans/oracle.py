@@ -429,3 +429,8 @@ ORACLE["describe_last_n_days"] = _describe_sql(
 
 ORACLE["total_pages"] = _with(BARS_CTE) + """
 SELECT CAST(ceil(count(*) / 5.0) AS BIGINT) AS total_pages FROM bars"""
+
+ORACLE["retention_sweep"] = """
+SELECT *, event_type || '-' || strftime(ts, '%Y.%m.%d') AS set_name FROM events
+WHERE NOT (event_type = 'error'
+           AND CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 2 DAY)"""

@@ -282,6 +282,22 @@ def q_retention(spark, sf_dir):
     return L.retention(read_table(spark, sf_dir, "events"), prefix="error-", days=2)
 
 
+@register("retention_sweep")
+def q_retention_sweep(spark, sf_dir):
+    # Events landed as one folder per daily set; expired sets are dropped
+    # whole (the partition listing is metadata, the rule runs in Spark).
+    events = read_table(spark, sf_dir, "events")
+    path = scratch_path(spark, "sets")
+    LD.land(events.withColumn("set_name", L.set_name(F.col("event_type"), F.col("ts"))),
+            path, partition_by=("set_name",))
+    as_of = events.agg(F.max(F.to_date("ts"))).first()[0]
+    landed = spark.read.parquet(path)
+    sets = landed.select("set_name").distinct()
+    gone = [r.set_name for r in L.expired_sets(sets, "error-", 2, as_of).collect()]
+    LD.drop_partitions(spark, path, "set_name", gone)
+    return spark.read.parquet(path)
+
+
 # --- shaping (W9-W13) -------------------------------------------------------
 
 

@@ -47,3 +47,18 @@ def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = (),
               mode: str = "overwrite") -> str:
     """JSON lines (one record per line), e.g. log files for a file stream."""
     return land(df, path, partition_by, fmt="json", mode=mode, options=TEXT_TIME_OPTIONS)
+
+
+def drop_partitions(spark, path: str, column: str, values) -> list[str]:
+    """Delete whole ``column=<value>`` partition folders of a landed table
+    (a metadata operation on the driver: one delete per folder, no data
+    read or rewritten).  Returns the folders removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = []
+    for v in values:
+        hp = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={v}")
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp) and fs.delete(hp, True):
+            removed.append(str(hp.toString()))
+    return removed
