@@ -20,10 +20,15 @@ TOP_N_PAGE_LIMIT = 100_000
 
 
 def date_range(bars: DataFrame, start, end, col: str = "Date") -> DataFrame:
-    """Rows with ``start <= col <= end``; on a Parquet scan this is a pushed
-    filter (and prunes ``year=`` partitions of a landed table)."""
+    """Rows with ``start <= col <= end``.  On a Parquet scan the bounds are
+    pushed filters; on a table landed by ``year`` the matching year range is
+    added so whole ``year=`` folders are pruned before any file is opened."""
     c = F.col(col)
-    return bars.where((c >= F.lit(str(start)).cast("date")) & (c <= F.lit(str(end)).cast("date")))
+    lo, hi = str(start), str(end)
+    out = bars.where((c >= F.lit(lo).cast("date")) & (c <= F.lit(hi).cast("date")))
+    if "year" in bars.columns:
+        out = out.where(F.col("year").between(int(lo[:4]), int(hi[:4])))
+    return out
 
 
 def top_k_latest(bars: DataFrame, k: int = 10_000) -> DataFrame:

@@ -434,3 +434,7 @@ ORACLE["retention_sweep"] = """
 SELECT *, event_type || '-' || strftime(ts, '%Y.%m.%d') AS set_name FROM events
 WHERE NOT (event_type = 'error'
            AND CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 2 DAY)"""
+
+ORACLE["date_range_landed"] = _with(BARS_CTE) + f"""
+SELECT {_bar_cols()}, CAST(year("Date") AS INTEGER) AS year FROM bars
+WHERE "Date" BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"""

@@ -224,6 +224,13 @@ def q_date_range(spark, sf_dir):
     return bars_of(read_table(spark, sf_dir, "lineitem"), start="1998-01-01", end="1998-12-31")
 
 
+@register("date_range_landed")
+def q_date_range_landed(spark, sf_dir):
+    # Range read of bars landed by year: folders of other years are pruned.
+    path = LD.land(bars(spark, sf_dir), scratch_path(spark, "landed-range"))
+    return G.date_range(spark.read.parquet(path), "1998-01-01", "1998-12-31")
+
+
 @register("top_k_latest")
 def q_top_k_latest(spark, sf_dir):
     return G.top_k_latest(bars(spark, sf_dir), k=10_000)

@@ -38,3 +38,9 @@ def test_rolling_windows_partition_by_segment(spark):
     assert "hashpartitioning(symbol" in p and "_seg" in p
     # the only single-partition exchange is the per-sort-partition offsets
     assert p.count("SinglePartition") <= 1
+
+
+def test_landed_range_prunes_year_folders(spark):
+    p = plan(QUERIES["date_range_landed"](spark, SF_SMOKE))
+    assert "PartitionFilters: [isnotnull(year" in p and "(year#" in p
+    assert "PushedFilters: [IsNotNull(Date), GreaterThanOrEqual(Date,1998-01-01)" in p
