@@ -39,3 +39,8 @@ def period_start(period_type: str | Column, label: str | Column) -> Column:
     return (F.when(pt == "monthly", F.to_date(F.concat(lab, F.lit("-01")), "yyyy-MM-dd"))
             .when(pt == "quarterly", F.make_date(year, quarter * 3 - 2, F.lit(1)))
             .when(pt == "yearly", F.make_date(year, F.lit(1), F.lit(1))))
+
+
+def epoch_millis_text(ms: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Epoch milliseconds as timestamp text (session time zone)."""
+    return F.date_format(F.timestamp_millis(_c(ms)), fmt)

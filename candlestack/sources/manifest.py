@@ -23,7 +23,8 @@ def human_size(b: Column) -> Column:
 
 def file_manifest(spark: SparkSession, path: str, fmt: str = "parquet",
                   options: dict | None = None) -> DataFrame:
-    """One row per file: name, size, modification time, readable size, rows."""
+    """One row per file: name, size, modification time (and as text),
+    readable size, rows."""
     df = spark.read.format(fmt).options(**(options or {})).load(path)
     return (df.select(F.col("_metadata.file_path").alias("file_path"),
                       F.col("_metadata.file_name").alias("file_name"),
@@ -31,7 +32,8 @@ def file_manifest(spark: SparkSession, path: str, fmt: str = "parquet",
                       F.col("_metadata.file_modification_time").alias("modified"))
             .groupBy("file_path", "file_name", "file_size", "modified")
             .agg(F.count(F.lit(1)).alias("rows"))
-            .withColumn("size_text", human_size(F.col("file_size"))))
+            .withColumn("size_text", human_size(F.col("file_size")))
+            .withColumn("modified_text", F.date_format("modified", "yyyy-MM-dd HH:mm:ss")))
 
 
 def preview_lines(spark: SparkSession, path: str, n: int = 5) -> DataFrame:

@@ -315,3 +315,10 @@ def test_null_keys_are_keys(spark):
     assert got == [("A", 2.0), (None, 9.0)]
     q = {(r.k, r.p): r.quantile for r in exact_quantiles(base, ["k"], "x", [0.5]).collect()}
     assert q == {(None, 0.5): 1.0, ("A", 0.5): 2.0}
+
+
+def test_epoch_millis_text(spark):
+    from candlestack.functions import epoch_millis_text
+    r = spark.createDataFrame([(1_700_000_000_123,)], "ms long").select(
+        epoch_millis_text("ms").alias("t")).collect()[0]
+    assert r.t == "2023-11-14 22:13:20"
