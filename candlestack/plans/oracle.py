@@ -7,6 +7,8 @@ same digits here; sums of bigints are cast back to BIGINT (DuckDB widens).
 
 from __future__ import annotations
 
+from candlestack.sources.tables import TABLES
+
 # Daily bars from ticks: Open/Close = first/last tick by (ts, tiebreak).
 _TICK_KEY = "row(l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)"
 
@@ -438,3 +440,6 @@ WHERE NOT (event_type = 'error'
 ORACLE["date_range_landed"] = _with(BARS_CTE) + f"""
 SELECT {_bar_cols()}, CAST(year("Date") AS INTEGER) AS year FROM bars
 WHERE "Date" BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"""
+
+ORACLE["file_rows"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}.parquet' AS file_name, count(*) AS rows FROM {t}" for t in TABLES)

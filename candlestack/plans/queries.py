@@ -31,7 +31,7 @@ from candlestack.sinks import report as RP
 from candlestack.sinks import upsert as U
 from candlestack.sources import csv as CSV
 from candlestack.sources import manifest as MF
-from candlestack.sources.tables import read_table, table_path
+from candlestack.sources.tables import TABLES, read_table, table_path
 from candlestack.streaming import events as SE
 from candlestack.streaming import increments as SI
 
@@ -396,6 +396,14 @@ def q_file_manifest(spark, sf_dir):
     return MF.file_manifest(spark, path).drop("file_path")
 
 
+@register("file_rows")
+def q_file_rows(spark, sf_dir):
+    # Manifest of the driver's own table files: rows per file (sizes and
+    # times are in file_manifest).
+    paths = [table_path(sf_dir, t) for t in TABLES]
+    return MF.file_manifest(spark, paths).select("file_name", "rows")
+
+
 @register("preview_lines")
 def q_preview_lines(spark, sf_dir):
     path = LD.land_csv(bars(spark, sf_dir), scratch_path(spark, "preview"))

@@ -21,7 +21,7 @@ def human_size(b: Column) -> Column:
     return expr
 
 
-def file_manifest(spark: SparkSession, path: str, fmt: str = "parquet",
+def file_manifest(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
                   options: dict | None = None) -> DataFrame:
     """One row per file: name, size, modification time (and as text),
     readable size, rows."""
