@@ -15,6 +15,22 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for large clusters (pass to your own session builder).  AQE sizes
+# shuffle partitions from a large initial number and splits skewed joins;
+# splits of 256 MB keep scan tasks few without spilling; the checkpoint
+# folder must be shared storage.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "candlestack", conf: dict | None = None) -> SparkSession:
     """A local session configured like the tests and the bench expect."""
