@@ -36,14 +36,18 @@ def _key_parts(ticks: DataFrame, columns: Sequence[str], ts: str | None) -> list
 
 def key_ranges(ticks: DataFrame, columns: Sequence[str], ts: str | None = None):
     """(min, max) of every part of the tick order, from one global aggregate
-    (a single row), or None when a part is not an integer.  A statistic of
+    (a single row), or None when a part is not an integer or holds NULLs.  A statistic of
     the table: callers may reuse it for any subset of the same files."""
     for c in columns:
         if not isinstance(ticks.schema[c].dataType, T.IntegralType):
             return None
     parts = _key_parts(ticks, columns, ts)
-    row = ticks.agg(*[f(p) for p in parts for f in (F.min, F.max)]).first()
-    return list(zip(row[0::2], row[1::2]))
+    row = ticks.agg(F.count(F.lit(1)),
+                    *[f(p) for p in parts for f in (F.min, F.max, F.count)]).first()
+    total, stats = row[0], row[1:]
+    if any(n != total for n in stats[2::3]):
+        return None        # NULL parts: only the struct order handles them
+    return list(zip(stats[0::3], stats[1::3]))
 
 
 def pack_sequence_key(ticks: DataFrame, columns: Sequence[str], ts: str | None,

@@ -322,3 +322,8 @@ def test_epoch_millis_text(spark):
     r = spark.createDataFrame([(1_700_000_000_123,)], "ms long").select(
         epoch_millis_text("ms").alias("t")).collect()[0]
     assert r.t == "2023-11-14 22:13:20"
+
+
+def test_sequence_key_falls_back_on_nulls(spark):
+    df = spark.createDataFrame([(1, 2), (None, 3)], "a long, b long")
+    assert B.sequence_key(df, ["a", "b"]) is None
