@@ -21,3 +21,22 @@ def test_matches_pandas_with_hot_key_and_ties(spark):
     for k, g in pdf.groupby("k"):
         for p in PROBS:
             assert got[(k, p)] == pytest.approx(g["v"].dropna().quantile(p)), (k, p)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(st.tuples(st.sampled_from(["a", "b"]),
+                                 st.integers(min_value=-50, max_value=50)),
+                       min_size=1, max_size=60),
+       p=st.sampled_from([0.0, 0.05, 0.3, 0.5, 0.99, 1.0]))
+def test_random_groups_match_pandas(spark, values, p):
+    df = spark.createDataFrame([(k, float(v)) for k, v in values], "k string, v double")
+    got = {r.k: r.quantile for r in exact_quantiles(df, ["k"], "v", [p]).collect()}
+    pdf = pd.DataFrame(values, columns=["k", "v"]).astype({"v": float})
+    want = pdf.groupby("k")["v"].quantile(p).to_dict()
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k])
