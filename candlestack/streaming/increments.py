@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from candlestack.operators.bars import derived_columns
+from candlestack.sinks.points import bar_points
 from candlestack.sinks.upsert import ChangeLog
 
 BAR_KEYS = ("symbol", "Date")
@@ -30,11 +32,23 @@ def day_slice(bars: DataFrame, day, date_col: str = "Date") -> DataFrame:
 
 
 def incremental_bars_stream(source: DataFrame, table: ChangeLog, checkpoint: str,
-                            available_now: bool = True) -> StreamingQuery:
+                            available_now: bool = True,
+                            points_path: str | None = None) -> StreamingQuery:
+    """Merge new bar files into ``table``; with ``points_path`` each
+    micro-batch's bars are also rendered as line-protocol points into
+    ``<points_path>/_batch=<id>`` (overwritten on replay, so idempotent)."""
     cols = [c for c in source.columns if c != "year"]
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(batch, batch_id)
+        if points_path is not None:
+            pts = bar_points(derived_columns(batch))
+            pts.select("line").write.mode("overwrite").text(
+                f"{points_path}/_batch={int(batch_id)}")
+
     writer = (source.select(*cols).writeStream
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(table.foreach_batch))
+              .foreachBatch(each))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -71,8 +71,10 @@ def test_incremental_bars_keyed_and_replay_safe(spark, tmp_dir):
     for _ in range(2):  # a second run with the same checkpoint finds nothing new
         q = SI.incremental_bars_stream(
             SE.file_stream(spark, f"{tmp_dir}/src/b=*", day1.schema, max_files_per_trigger=1),
-            table, f"{tmp_dir}/chk")
+            table, f"{tmp_dir}/chk", points_path=f"{tmp_dir}/points")
         q.awaitTermination()
+    lines = [r.value for r in spark.read.text(f"{tmp_dir}/points").collect()]
+    assert len(lines) == 3 and all(x.startswith("stock_prices,symbol=A ") for x in lines)
     rows = {r.Date: r for r in table.read(spark).collect()}
     assert len(rows) == 2 and rows[d].Close == 2.0 and rows[d].Volume == 12
     assert SI.day_slice(table.read(spark), d).count() == 1
