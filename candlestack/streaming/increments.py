@@ -40,11 +40,19 @@ def incremental_bars_stream(source: DataFrame, table: ChangeLog, checkpoint: str
     cols = [c for c in source.columns if c != "year"]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(batch, batch_id)
-        if points_path is not None:
+        if points_path is None:
+            table.write_batch(batch, batch_id)
+            return
+        # two sinks read the batch: keep it for both (recomputable from the
+        # source files if an executor is lost)
+        batch.persist()
+        try:
+            table.write_batch(batch, batch_id)
             pts = bar_points(derived_columns(batch))
             pts.select("line").write.mode("overwrite").text(
                 f"{points_path}/_batch={int(batch_id)}")
+        finally:
+            batch.unpersist()
 
     writer = (source.select(*cols).writeStream
               .option("checkpointLocation", checkpoint)
