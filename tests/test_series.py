@@ -126,3 +126,25 @@ def test_empty_and_null_inputs(spark):
     pos = sorted((r.k, r.v, r._pos) for r in position_index(keyed, ["k"], ["v"]).collect()
                  if r.k is None)
     assert pos == [(None, 1, 0), (None, 2, 1)]
+
+
+def test_tick_series_equals_plain_window_on_driver_data(spark):
+    # Every lineitem tick as one series per flag (~20k rows each at sf0.01),
+    # cut into 2,000-row segments: equal to the one-task-per-flag window.
+    from conftest import SF_ORACLE
+    from candlestack.sources.tables import read_table
+
+    li = read_table(spark, SF_ORACLE, "lineitem").select(
+        "l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
+        "l_suppkey", "l_extendedprice")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    got = series_columns(li, ["l_returnflag"], order, 9,
+                         lambda w: [{"ma": F.avg("l_extendedprice").over(w.rowsBetween(-9, 0)),
+                                     "prev": F.lag("l_extendedprice").over(w)}],
+                         seg_rows=2_000)
+    w = Window.partitionBy("l_returnflag").orderBy(*order)
+    want = li.withColumns({"ma": F.avg("l_extendedprice").over(w.rowsBetween(-9, 0)),
+                           "prev": F.lag("l_extendedprice").over(w)})
+    diff = got.select(*want.columns).exceptAll(want.select(*want.columns))
+    assert got.count() == want.count() == 60_000
+    assert diff.count() == 0
