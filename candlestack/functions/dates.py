@@ -44,3 +44,31 @@ def period_start(period_type: str | Column, label: str | Column) -> Column:
 def epoch_millis_text(ms: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Epoch milliseconds as timestamp text (session time zone)."""
     return F.date_format(F.timestamp_millis(_c(ms)), fmt)
+
+
+def micros_of_day(ts: str | Column) -> Column:
+    """Wall-clock microseconds since midnight, read from the fields (no time
+    zone conversion, so exact for TIMESTAMP_NTZ in any session)."""
+    c = _c(ts)
+    return (F.hour(c).cast("long") * 3_600_000_000 + F.minute(c).cast("long") * 60_000_000
+            + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+
+
+def wall_clock_micros(ts: str | Column) -> Column:
+    """Microseconds of the wall-clock reading since 1970-01-01 00:00 (field
+    arithmetic, no time-zone conversion): differences of two readings are
+    wall-clock durations, also across daylight-saving changes."""
+    c = _c(ts)
+    return F.unix_date(F.to_date(c)).cast("long") * 86_400_000_000 + micros_of_day(c)
+
+
+def truncate_wall_clock(ts: str | Column, unit: str) -> Column:
+    """TIMESTAMP_NTZ truncated to ``day``, ``hour`` or ``minute`` from its
+    fields (``date_trunc`` would round-trip through the session zone)."""
+    c = _c(ts)
+    hour = F.hour(c) if unit in ("hour", "minute") else F.lit(0)
+    minute = F.minute(c) if unit == "minute" else F.lit(0)
+    if unit not in ("day", "hour", "minute"):
+        raise ValueError("unit must be day, hour or minute")
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), hour, minute,
+                                F.lit(0))

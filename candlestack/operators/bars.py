@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlestack.functions.dates import micros_of_day
 from candlestack.functions.numeric import nan_to_null, safe_div
 from candlestack.schemas import BAR, PRICE_COLUMNS
 
@@ -25,9 +26,8 @@ LINEITEM_TIEBREAK = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
 
 
 def time_of_day_micros(ticks: DataFrame, ts: str) -> Column:
-    """Microseconds since midnight of ``ts`` (wall clock)."""
-    c = F.col(ts)
-    return F.timestamp_diff("MICROSECOND", F.to_date(c).cast(ticks.schema[ts].dataType), c)
+    """Microseconds since midnight of ``ts`` (wall clock, time-zone free)."""
+    return micros_of_day(F.col(ts))
 
 
 def _key_parts(ticks: DataFrame, columns: Sequence[str], ts: str | None) -> list[Column]:

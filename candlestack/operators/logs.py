@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlestack.functions.dates import truncate_wall_clock, wall_clock_micros
 from candlestack.operators.series import DEFAULT_SEG_ROWS, series_columns
 
 # The word-count tokenizer's delimiters are the five
@@ -50,7 +51,8 @@ def metric_window(events: DataFrame, period: str = "10 seconds", key: str = "eve
 
 
 def _seconds_between(a: Column, b: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", a, b) / F.lit(1_000_000.0)
+    """Wall-clock seconds from ``a`` to ``b`` (time-zone free)."""
+    return (wall_clock_micros(b) - wall_clock_micros(a)) / F.lit(1_000_000.0)
 
 
 def uptime_gaps(events: DataFrame, threshold_seconds: float = 3600.0,
@@ -76,9 +78,9 @@ def uptime_gaps(events: DataFrame, threshold_seconds: float = 3600.0,
 def availability(events: DataFrame, every_seconds: int = 5, bucket: str = "hour",
                  key: str = "event_type", ts: str = "ts") -> DataFrame:
     """Per monitor and hour: distinct heartbeat slots seen vs expected."""
-    # date_trunc returns TIMESTAMP; keep the input's type (e.g. TIMESTAMP_NTZ)
-    b = F.date_trunc(bucket, F.col(ts)).cast(events.schema[ts].dataType)
-    slot = F.floor(F.timestamp_diff("MICROSECOND", b, F.col(ts))
+    # bucket and slot from the wall-clock fields (no time-zone round trip)
+    b = truncate_wall_clock(F.col(ts), bucket).cast(events.schema[ts].dataType)
+    slot = F.floor((wall_clock_micros(F.col(ts)) - wall_clock_micros(b))
                    / F.lit(every_seconds * 1_000_000))
     per_bucket = {"hour": 3600, "minute": 60, "day": 86400}[bucket] // every_seconds
     return (events.select(F.col(key).alias("monitor"), b.alias("bucket_start"),

@@ -327,3 +327,19 @@ def test_epoch_millis_text(spark):
 def test_sequence_key_falls_back_on_nulls(spark):
     df = spark.createDataFrame([(1, 2), (None, 3)], "a long, b long")
     assert B.sequence_key(df, ["a", "b"]) is None
+
+
+def test_wall_clock_arithmetic_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rows = [(1, dt.datetime(2024, 3, 10, 1, 30), "m"), (2, dt.datetime(2024, 3, 10, 3, 30), "m"),
+                (3, dt.datetime(2024, 3, 10, 2, 15, 7), "n")]   # 02:15 does not exist in LA
+        df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string")
+        gaps = L.uptime_gaps(df, 3600).collect()
+        assert [(g.monitor, g.gap_seconds) for g in gaps] == [("m", 7200.0)]
+        av = {(r.monitor, r.bucket_start.hour): r.seen_slots
+              for r in L.availability(df, 5, "hour").collect()}
+        assert av == {("m", 1): 1, ("m", 3): 1, ("n", 2): 1}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
