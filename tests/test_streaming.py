@@ -13,6 +13,16 @@ EVENTS_DDL = ("event_id long, ts timestamp_ntz, user_id long, event_type string,
               "value double, props string")
 
 
+def _order_by_mtime(root, folders):
+    """File streams take files in modification-time order: make it explicit."""
+    import os
+    import time
+    base = time.time() - 100
+    for i, folder in enumerate(folders):
+        for name in os.listdir(os.path.join(root, folder)):
+            os.utime(os.path.join(root, folder, name), (base + i * 10, base + i * 10))
+
+
 def _events(spark, rows):
     return spark.createDataFrame(rows, EVENTS_DDL)
 
@@ -29,6 +39,7 @@ def test_late_event_dropped_in_stream_present_in_batch(spark, tmp_dir):
     first.coalesce(1).write.parquet(f"{tmp_dir}/src/part=0")
     middle.coalesce(1).write.parquet(f"{tmp_dir}/src/part=1")
     late.coalesce(1).write.parquet(f"{tmp_dir}/src/part=2")
+    _order_by_mtime(f"{tmp_dir}/src", ["part=0", "part=1", "part=2"])
     schema = first.schema
     table = U.ChangeLog(f"{tmp_dir}/table", ["window_start", "event_type"])
     q = SE.metric_window_stream(
@@ -67,6 +78,7 @@ def test_incremental_bars_keyed_and_replay_safe(spark, tmp_dir):
                                  ("A", d + dt.timedelta(days=1), 2.0, 2.0, 2.0, 2.0, 2.0, 1)], ddl)
     day1.write.parquet(f"{tmp_dir}/src/b=0")
     fix.write.parquet(f"{tmp_dir}/src/b=1")
+    _order_by_mtime(f"{tmp_dir}/src", ["b=0", "b=1"])
     table = U.ChangeLog(f"{tmp_dir}/table", list(SI.BAR_KEYS))
     for _ in range(2):  # a second run with the same checkpoint finds nothing new
         q = SI.incremental_bars_stream(
