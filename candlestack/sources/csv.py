@@ -19,6 +19,7 @@ CORRUPT = "_corrupt_record"
 # Reader defaults.  multiLine stays off: it makes every file one unsplittable
 # task; turn it on only for files with quoted line breaks.  Partition
 # discovery stays on (no recursiveFileLookup) so ``year=`` folders prune.
+# ``parserLib`` and ``cleanFields`` are not Spark CSV options and are not set.
 CSV_DEFAULTS = {
     "header": "true",
     "mode": "PERMISSIVE",
