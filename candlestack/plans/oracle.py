@@ -443,3 +443,5 @@ WHERE "Date" BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"""
 
 ORACLE["file_rows"] = "\nUNION ALL\n".join(
     f"SELECT '{t}.parquet' AS file_name, count(*) AS rows FROM {t}" for t in TABLES)
+
+ORACLE["bars_daily_struct_order"] = ORACLE["bars_daily"]
