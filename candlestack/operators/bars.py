@@ -34,10 +34,37 @@ def _key_parts(ticks: DataFrame, columns: Sequence[str], ts: str | None) -> list
     return ([time_of_day_micros(ticks, ts)] if ts else []) + [F.col(c) for c in columns]
 
 
+def tick_statistics(ticks: DataFrame, columns: Sequence[str], ts: str):
+    """One global aggregate (a single row) over the ticks: the (min, max) of
+    every part of the tick order (None when a part is not an integer or
+    holds NULLs) and the first and last day.  A statistic of the table:
+    callers may reuse it for any subset of the same files.  The day span
+    bounds the number of daily bars per symbol (``bars_per_symbol_bound``).
+    """
+    integral = all(isinstance(ticks.schema[c].dataType, T.IntegralType) for c in columns)
+    parts = _key_parts(ticks, columns, ts) if integral else []
+    day = F.to_date(F.col(ts))
+    row = ticks.agg(F.count(F.lit(1)), F.min(day), F.max(day),
+                    *[f(p) for p in parts for f in (F.min, F.max, F.count)]).first()
+    total, first_day, last_day, stats = row[0], row[1], row[2], row[3:]
+    ranges = None
+    if integral and all(n == total for n in stats[2::3]):
+        ranges = list(zip(stats[0::3], stats[1::3]))
+    return ranges, first_day, last_day
+
+
+def bars_per_symbol_bound(first_day, last_day) -> int | None:
+    """Daily bars of one symbol cannot exceed the days spanned."""
+    if first_day is None or last_day is None:
+        return None
+    return (last_day - first_day).days + 1
+
+
 def key_ranges(ticks: DataFrame, columns: Sequence[str], ts: str | None = None):
     """(min, max) of every part of the tick order, from one global aggregate
-    (a single row), or None when a part is not an integer or holds NULLs.  A statistic of
-    the table: callers may reuse it for any subset of the same files."""
+    (a single row), or None when a part is not an integer or holds NULLs.  A
+    statistic of the table: callers may reuse it for any subset of the same
+    files."""
     for c in columns:
         if not isinstance(ticks.schema[c].dataType, T.IntegralType):
             return None

@@ -38,8 +38,10 @@ def top_k_latest(bars: DataFrame, k: int = 10_000) -> DataFrame:
     return newest.orderBy("Date", "symbol")
 
 
-def _bar_positions(bars: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return position_index(bars, keys, ["symbol", "Date"] if not keys else ["Date"])
+def _bar_positions(bars: DataFrame, keys: Sequence[str],
+                   rows_bound: int | None = None) -> DataFrame:
+    return position_index(bars, keys, ["symbol", "Date"] if not keys else ["Date"],
+                          rows_bound=rows_bound)
 
 
 def page(bars: DataFrame, n: int, k: int,
@@ -62,10 +64,12 @@ def total_pages(df: DataFrame, k: int) -> DataFrame:
     return df.agg(F.ceil(F.count(F.lit(1)) / F.lit(k)).cast("long").alias("total_pages"))
 
 
-def page_stats(bars: DataFrame, k: int = 5) -> DataFrame:
+def page_stats(bars: DataFrame, k: int = 5, rows_bound: int | None = None) -> DataFrame:
     """Statistics of every page of ``k`` bars of each symbol in one job:
-    first/last date, mean close (2 digits), total volume, rows."""
-    pos = _bar_positions(bars, ["symbol"])
+    first/last date, mean close (2 digits), total volume, rows.  With a
+    proven bound on bars per symbol (``rows_bound``) positions come from a
+    per-symbol ``row_number``; otherwise from the global sort."""
+    pos = _bar_positions(bars, ["symbol"], rows_bound)
     return (pos.withColumn("page", F.floor(F.col("_pos") / F.lit(k)))
             .groupBy("symbol", "page")
             .agg(F.min("Date").alias("Start_Date"), F.max("Date").alias("End_Date"),

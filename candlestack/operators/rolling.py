@@ -21,9 +21,10 @@ from candlestack.operators.series import DEFAULT_SEG_ROWS, series_columns
 TRADING_DAYS_PER_YEAR = 252
 
 
-def _bar_series(bars: DataFrame, halo: int, stages, seg_rows: int) -> DataFrame:
+def _bar_series(bars: DataFrame, halo: int, stages, seg_rows: int,
+                rows_bound: int | None) -> DataFrame:
     return series_columns(bars, keys=["symbol"], order=["Date"], halo=halo,
-                          stages=stages, seg_rows=seg_rows)
+                          stages=stages, seg_rows=seg_rows, rows_bound=rows_bound)
 
 
 def _return_expr(w: WindowSpec, price: str = "Close") -> Column:
@@ -43,30 +44,33 @@ def _vol_expr(w: WindowSpec, n: int, col: str, periods: int) -> Column:
 
 
 def daily_return(bars: DataFrame, out: str = "Daily Return",
-                 seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
-    return _bar_series(bars, 1, lambda w: [{out: _return_expr(w)}], seg_rows)
+                 seg_rows: int = DEFAULT_SEG_ROWS, rows_bound: int | None = None) -> DataFrame:
+    return _bar_series(bars, 1, lambda w: [{out: _return_expr(w)}], seg_rows, rows_bound)
 
 
 def moving_average(bars: DataFrame, n: int, out: str | None = None,
-                   seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
+                   seg_rows: int = DEFAULT_SEG_ROWS, rows_bound: int | None = None) -> DataFrame:
     out = out or f"MA{n}"
-    return _bar_series(bars, n - 1, lambda w: [{out: _mean_expr(w, n)}], seg_rows)
+    return _bar_series(bars, n - 1, lambda w: [{out: _mean_expr(w, n)}], seg_rows,
+                       rows_bound)
 
 
 def volatility(bars: DataFrame, n: int = 20, periods: int = TRADING_DAYS_PER_YEAR,
-               out: str = "Volatility", seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
+               out: str = "Volatility", seg_rows: int = DEFAULT_SEG_ROWS,
+               rows_bound: int | None = None) -> DataFrame:
     """n-row sample stddev of the daily return, annualised by sqrt(periods).
     Needs n returns, so the first value appears at row n+1."""
     return _bar_series(
         bars, n,
         lambda w: [{"Daily Return": _return_expr(w)},
                    {out: _vol_expr(w, n, "Daily Return", periods)}],
-        seg_rows)
+        seg_rows, rows_bound)
 
 
 def rolling_analytics(bars: DataFrame, ma: tuple[int, ...] = (5, 20), vol_n: int = 20,
                       periods: int = TRADING_DAYS_PER_YEAR,
-                      seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
+                      seg_rows: int = DEFAULT_SEG_ROWS,
+                      rows_bound: int | None = None) -> DataFrame:
     """Daily Return, MA5, MA20 and Volatility in one segmented window pass."""
     halo = max([vol_n] + [n - 1 for n in ma])
 
@@ -75,7 +79,7 @@ def rolling_analytics(bars: DataFrame, ma: tuple[int, ...] = (5, 20), vol_n: int
         first.update({f"MA{n}": _mean_expr(w, n) for n in ma})
         return [first, {"Volatility": _vol_expr(w, vol_n, "Daily Return", periods)}]
 
-    return _bar_series(bars, halo, stages, seg_rows)
+    return _bar_series(bars, halo, stages, seg_rows, rows_bound)
 
 
 def last_n_days(bars: DataFrame, days: int = 30, as_of=None) -> DataFrame:
@@ -90,5 +94,8 @@ def last_n_days(bars: DataFrame, days: int = 30, as_of=None) -> DataFrame:
 def analyze_last_n_days(bars: DataFrame, days: int = 30, as_of=None,
                         seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
     """Slice the last ``days`` calendar days, then returns / MAs / volatility
-    within the slice (the slice's first row has no return)."""
-    return rolling_analytics(last_n_days(bars, days, as_of), seg_rows=seg_rows)
+    within the slice (the slice's first row has no return).  Bars are keyed
+    (symbol, Date), so a symbol has at most ``days + 1`` rows in the slice:
+    the windows run per symbol."""
+    return rolling_analytics(last_n_days(bars, days, as_of), seg_rows=seg_rows,
+                             rows_bound=days + 1)

@@ -40,6 +40,10 @@ from candlestack.session import materialize
 
 DEFAULT_SEG_ROWS = 250_000
 
+# A series proven (by the caller, from data statistics) to hold at most this
+# many rows is windowed in one task, like a broadcast behind a size check.
+MAX_TASK_ROWS = 2_000_000
+
 POS = "_pos"
 SEG = "_seg"
 HALO = "_halo"
@@ -84,13 +88,18 @@ def global_positions(df: DataFrame, order: Sequence[str | Column],
 
 
 def position_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                   pos_col: str = POS) -> DataFrame:
+                   pos_col: str = POS, rows_bound: int | None = None) -> DataFrame:
     """Add ``pos_col``: 0-based rank of each row inside its ``keys`` group.
 
     Global positions minus the group's first position; the per-group minimum
     is a partial/final aggregate, joined back on the keys (AQE broadcasts it
-    when small and splits skewed partitions otherwise)."""
+    when small and splits skewed partitions otherwise).  With a proven
+    ``rows_bound`` per group of at most ``MAX_TASK_ROWS``, a per-group
+    ``row_number`` is used instead."""
     keys = list(keys)
+    if keys and rows_bound is not None and rows_bound <= MAX_TASK_ROWS:
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        return df.withColumn(pos_col, F.row_number().over(w) - 1)
     g = global_positions(df, [*keys, *order])
     if not keys:
         return g.withColumnRenamed(GPOS, pos_col)
@@ -118,15 +127,27 @@ def halo_segments(indexed: DataFrame, halo: int, seg_rows: int = DEFAULT_SEG_ROW
 def series_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                    halo: int,
                    stages: Callable[[WindowSpec], list[dict[str, Column]]],
-                   seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
+                   seg_rows: int = DEFAULT_SEG_ROWS,
+                   rows_bound: int | None = None) -> DataFrame:
     """Add window columns computed over each ordered series.
 
     ``stages(w)`` returns a list of ``{name: expression}`` dicts evaluated in
     turn over ``w`` (later stages may use earlier columns).  Every frame must
-    look back at most ``halo`` rows and never forward.  The input is read
-    once (by the materialised sort).
+    look back at most ``halo`` rows and never forward.
+
+    ``rows_bound`` is a proven upper bound on the rows of any one series
+    (e.g. daily bars per symbol cannot exceed the days spanned).  When it is
+    at most ``MAX_TASK_ROWS`` the series are windowed directly, one task per
+    series; otherwise (or without a bound) the input is globally sorted and
+    cut into halo segments, read once by the materialised sort.
     """
     keys = list(keys)
+    if keys and rows_bound is not None and rows_bound <= MAX_TASK_ROWS:
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        out = df
+        for stage in stages(w):
+            out = out.withColumns(stage)
+        return out
     indexed = global_positions(df, [*keys, *order])
     segmented = halo_segments(indexed, halo, seg_rows)
     w = Window.partitionBy(*keys, SEG).orderBy(GPOS)

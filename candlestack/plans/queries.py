@@ -57,9 +57,10 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_of(read_table(spark, sf_dir, "lineitem"))
 
 
-# Key ranges are a statistic of the lineitem files: computed once per file
-# set (path, size, modification time) and reused by every query and subset.
-_RANGES: dict[tuple, object] = {}
+# Tick statistics (key ranges, first and last day) of the lineitem files:
+# computed once per file set (path, size, modification time) and reused by
+# every query and subset.
+_STATS: dict[tuple, tuple] = {}
 
 
 def _file_signature(df: DataFrame) -> tuple:
@@ -74,17 +75,27 @@ def _file_signature(df: DataFrame) -> tuple:
     return tuple(sig)
 
 
+def tick_stats(table: DataFrame) -> tuple:
+    sig = (_file_signature(table), LINEITEM_ORDER)
+    if sig not in _STATS:
+        _STATS[sig] = B.tick_statistics(table, LINEITEM_ORDER, ts="l_shipdate")
+    return _STATS[sig]
+
+
 def bars_of(ticks: DataFrame, table: DataFrame | None = None, **kw) -> DataFrame:
     """Bars of ``ticks`` (the lineitem table or a subset of it, ``table``
     being the whole table) with the packed tick order when it fits."""
-    table = ticks if table is None else table
-    sig = (_file_signature(table), LINEITEM_ORDER)
-    if sig not in _RANGES:
-        _RANGES[sig] = B.key_ranges(table, LINEITEM_ORDER, ts="l_shipdate")
-    seq = B.pack_sequence_key(ticks, LINEITEM_ORDER, "l_shipdate", _RANGES[sig])
+    ranges, _, _ = tick_stats(ticks if table is None else table)
+    seq = B.pack_sequence_key(ticks, LINEITEM_ORDER, "l_shipdate", ranges)
     return B.bars_from_ticks(ticks, seq=seq, **kw)
 
 
+def bars_bound(spark: SparkSession, sf_dir: str) -> int | None:
+    """Proven bound on daily bars per symbol: the days the ticks span."""
+    _, first, last = tick_stats(read_table(spark, sf_dir, "lineitem"))
+    return B.bars_per_symbol_bound(first, last)
+
+
 LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
@@ -150,22 +161,26 @@ def q_monthly_analysis(spark, sf_dir):
 
 @register("daily_return")
 def q_daily_return(spark, sf_dir):
-    return round_doubles(R.daily_return(bars(spark, sf_dir)))
+    return round_doubles(R.daily_return(bars(spark, sf_dir),
+                                        rows_bound=bars_bound(spark, sf_dir)))
 
 
 @register("moving_avg_5")
 def q_moving_avg_5(spark, sf_dir):
-    return round_doubles(R.moving_average(bars(spark, sf_dir), 5))
+    return round_doubles(R.moving_average(bars(spark, sf_dir), 5,
+                                          rows_bound=bars_bound(spark, sf_dir)))
 
 
 @register("moving_avg_20")
 def q_moving_avg_20(spark, sf_dir):
-    return round_doubles(R.moving_average(bars(spark, sf_dir), 20))
+    return round_doubles(R.moving_average(bars(spark, sf_dir), 20,
+                                          rows_bound=bars_bound(spark, sf_dir)))
 
 
 @register("volatility_20")
 def q_volatility_20(spark, sf_dir):
-    return round_doubles(R.volatility(bars(spark, sf_dir), 20))
+    return round_doubles(R.volatility(bars(spark, sf_dir), 20,
+                                      rows_bound=bars_bound(spark, sf_dir)))
 
 
 def recent_bars(spark: SparkSession, sf_dir: str, days: int = 30):
@@ -261,7 +276,7 @@ def q_total_pages(spark, sf_dir):
 
 @register("page_stats")
 def q_page_stats(spark, sf_dir):
-    return G.page_stats(bars(spark, sf_dir), k=5)
+    return G.page_stats(bars(spark, sf_dir), k=5, rows_bound=bars_bound(spark, sf_dir))
 
 
 # --- logs, metrics, availability, retention (R1-R5, batch) ----------------

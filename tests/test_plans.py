@@ -44,3 +44,13 @@ def test_landed_range_prunes_year_folders(spark):
     p = plan(QUERIES["date_range_landed"](spark, SF_SMOKE))
     assert "PartitionFilters: [isnotnull(year" in p and "(year#" in p
     assert "PushedFilters: [IsNotNull(Date), GreaterThanOrEqual(Date,1998-01-01)" in p
+
+
+def test_bounded_series_use_one_window_per_symbol(spark):
+    from candlestack.operators.series import MAX_TASK_ROWS
+
+    b = bars(spark, SF_SMOKE)
+    small = plan(R.rolling_analytics(b, rows_bound=2600))
+    assert "_seg" not in small and "hashpartitioning(symbol" in small
+    big = plan(R.rolling_analytics(b, rows_bound=MAX_TASK_ROWS + 1))
+    assert "_seg" in big

@@ -148,3 +148,15 @@ def test_tick_series_equals_plain_window_on_driver_data(spark):
     diff = got.select(*want.columns).exceptAll(want.select(*want.columns))
     assert got.count() == want.count() == 60_000
     assert diff.count() == 0
+
+
+def test_bounded_path_equals_segmented_path(spark):
+    bars = _bars(spark, 90)
+    cols = ["symbol", "Date", "Daily Return", "MA5", "MA20", "Volatility"]
+
+    def rows(df):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                      for r in df.select(*cols).collect())
+
+    assert rows(R.rolling_analytics(bars, rows_bound=90)) == \
+        rows(R.rolling_analytics(bars, seg_rows=17))
