@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from candlestack.functions.numeric import avg_rounded, safe_div
 from candlestack.operators.quantiles import exact_quantiles
+from candlestack.operators.series import MAX_TASK_ROWS
 
 OHLCV = ("Open", "High", "Low", "Close", "Volume")
 
@@ -79,12 +80,15 @@ def summary_stats(bars: DataFrame, columns: Sequence[str] = OHLCV,
 
 
 def describe_exact(bars: DataFrame, columns: Sequence[str] = OHLCV,
-                   digits: int | None = None) -> DataFrame:
+                   digits: int | None = None, rows_bound: int | None = None) -> DataFrame:
     """pandas ``describe()`` per symbol with exact, linearly interpolated
     quartiles.  Quartiles come from ``quantiles.exact_quantiles`` (sorted
     distinct values over balanced range partitions), so no task gathers a
     whole symbol; the other statistics are partial/final aggregates.  With
-    ``digits`` the mean is exact and rounded half-up."""
+    ``digits`` the mean is exact and rounded half-up.  With a proven bound on
+    rows per symbol (``rows_bound`` <= ``MAX_TASK_ROWS``, e.g. days spanned
+    for daily bars) Spark's exact ``percentile`` is used: its per-group value
+    map is then bounded too."""
     long = bars.select("symbol", F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("value"))
         for c in columns])))
@@ -93,10 +97,18 @@ def describe_exact(bars: DataFrame, columns: Sequence[str] = OHLCV,
         _mean(F.col("value"), digits).alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    qs = (exact_quantiles(long, ["symbol", "column"], "value", [0.25, 0.5, 0.75])
-          .groupBy("symbol", "column")
-          .agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
-                 for p, name in ((0.25, "25%"), (0.5, "50%"), (0.75, "75%"))]))
+    quartiles = ((0.25, "25%"), (0.5, "50%"), (0.75, "75%"))
+    if rows_bound is not None and rows_bound <= MAX_TASK_ROWS:
+        pq = F.percentile("value", [p for p, _ in quartiles])
+        qs = (long.groupBy("symbol", "column")
+              .agg(pq.alias("_q"))
+              .select("symbol", "column",
+                      *[F.col("_q")[i].alias(name) for i, (_, name) in enumerate(quartiles)]))
+    else:
+        qs = (exact_quantiles(long, ["symbol", "column"], "value", [p for p, _ in quartiles])
+              .groupBy("symbol", "column")
+              .agg(*[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
+                     for p, name in quartiles]))
     names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
     cells = (basic.join(qs, ["symbol", "column"], "left")
              .select("symbol", "column", F.inline(F.array(*[

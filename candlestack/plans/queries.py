@@ -217,7 +217,8 @@ def q_summary_stats(spark, sf_dir):
 
 @register("describe_exact")
 def q_describe_exact(spark, sf_dir):
-    return round_doubles(S.describe_exact(bars_once(spark, sf_dir), digits=4))
+    return round_doubles(S.describe_exact(bars_once(spark, sf_dir), digits=4,
+                                          rows_bound=bars_bound(spark, sf_dir)))
 
 
 @register("describe_last_n_days")
@@ -225,7 +226,7 @@ def q_describe_last_n_days(spark, sf_dir):
     recent, as_of = recent_bars(spark, sf_dir, 30)
     # two aggregates read the slice: write the (small) slice once
     return round_doubles(S.describe_exact(materialize(R.last_n_days(recent, 30, as_of)),
-                                          digits=4))
+                                          digits=4, rows_bound=31))
 
 
 @register("headline_stats")

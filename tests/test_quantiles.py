@@ -40,3 +40,18 @@ def test_random_groups_match_pandas(spark, values, p):
     assert got.keys() == want.keys()
     for k in want:
         assert got[k] == pytest.approx(want[k])
+
+
+def test_bounded_describe_equals_distributed(spark):
+    from candlestack.operators import bars as B
+    from candlestack.operators import stats as S
+    from candlestack.sources.tables import read_table
+    from conftest import SF_SMOKE
+
+    bars = B.bars_from_ticks(read_table(spark, SF_SMOKE, "lineitem"))
+    a = {(r.symbol, r.statistic): tuple(r)[2:] for r in S.describe_exact(bars, digits=4).collect()}
+    b = {(r.symbol, r.statistic): tuple(r)[2:]
+         for r in S.describe_exact(bars, digits=4, rows_bound=3000).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k])
