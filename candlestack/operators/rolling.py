@@ -6,7 +6,8 @@ W27 (annualised volatility), W37 (last-n-days analysis).
 Definitions follow the pandas ones the reference used: ``pct_change``
 (first row NULL), ``rolling(n).mean()`` / ``.std()`` (NULL until n non-null
 values are in the frame; sample stddev).  All frames look back only, so they
-run on bounded series segments (``operators.series``), never one task per
+run on bounded series segments (``operators.series``); only when the caller
+proves the bars per symbol small (``rows_bound``) do they run one task per
 symbol.
 """
 

@@ -27,6 +27,10 @@ Instead:
 
 Results are exactly those of the series-wide window; every task holds at
 most ``seg_rows + halo`` rows or one balanced sort partition.
+
+When the caller can prove every series small (``rows_bound`` at most
+``MAX_TASK_ROWS``; daily bars per symbol never exceed the days spanned), the
+plain per-series window is used instead: one shuffle, no sort or write.
 """
 
 from __future__ import annotations
