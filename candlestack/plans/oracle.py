@@ -445,3 +445,4 @@ ORACLE["file_rows"] = "\nUNION ALL\n".join(
     f"SELECT '{t}.parquet' AS file_name, count(*) AS rows FROM {t}" for t in TABLES)
 
 ORACLE["bars_daily_struct_order"] = ORACLE["bars_daily"]
+ORACLE["metric_window_stream_daily_files"] = ORACLE["metric_window"]

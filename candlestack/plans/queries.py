@@ -517,6 +517,21 @@ def q_metric_window_stream(spark, sf_dir):
     return round_doubles(table.read(spark))
 
 
+@register("metric_window_stream_daily_files")
+def q_metric_window_stream_daily_files(spark, sf_dir):
+    # Events arrive as one folder per day, several micro-batches: window state
+    # carries across batches.  The watermark spans the data (31 days), so no
+    # row is late whatever order the files are taken in: equals the batch.
+    events = read_table(spark, sf_dir, "events")
+    root = scratch_path(spark, "metric-daily")
+    LD.land(events.withColumn("day", F.to_date("ts")), f"{root}/events", partition_by=("day",))
+    table = U.ChangeLog(f"{root}/table", ["window_start", "event_type"])
+    src = SE.file_stream(spark, f"{root}/events", events.schema, max_files_per_trigger=64)
+    q = SE.metric_window_stream(src.drop("day"), table, f"{root}/chk", "10 seconds", "31 days")
+    q.awaitTermination()
+    return round_doubles(table.read(spark))
+
+
 @register("incremental_bars")
 def q_incremental_bars(spark, sf_dir):
     root = scratch_path(spark, "increments")
