@@ -16,6 +16,7 @@ from candlestack.functions.numeric import avg_rounded, safe_div
 LEVELS = ("monthly", "quarterly", "yearly")
 _LABEL = {"monthly": "Month", "quarterly": "Quarter", "yearly": "Year"}
 
+# Names of the period statistics, in output order.
 STAT_COLUMNS = ["Avg_Close", "Total_Volume", "Avg_High", "Avg_Low", "Avg_Open",
                 "Std_Close", "Trading_Days"]
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from candlestack.functions.numeric import safe_div, sqrt_const
 from candlestack.operators.series import DEFAULT_SEG_ROWS, series_columns
 
+# Trading days per year used to annualise volatility.
 TRADING_DAYS_PER_YEAR = 252
 
 

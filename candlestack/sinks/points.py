@@ -74,7 +74,12 @@ STAT_POINT_FIELDS = {"avg_close": "Avg_Close", "total_volume": "Total_Volume",
                      "yoy_growth": "YoY_Growth"}
 
 
-def bar_points(derived_bars: DataFrame, measurement: str = "stock_prices",
+# Measurement names of bar points and of statistics points.
+BAR_MEASUREMENT = "stock_prices"
+STATS_MEASUREMENT = "stock_aggregated_stats"
+
+
+def bar_points(derived_bars: DataFrame, measurement: str = BAR_MEASUREMENT,
                digits: int | None = None) -> DataFrame:
     """Daily bars (with derived columns) as points tagged by symbol."""
     fields = {k: v for k, v in BAR_POINT_FIELDS.items() if v in derived_bars.columns}
@@ -82,7 +87,7 @@ def bar_points(derived_bars: DataFrame, measurement: str = "stock_prices",
                      date_ns(F.col("Date")), digits=digits)
 
 
-def stats_points(long_stats: DataFrame, measurement: str = "stock_aggregated_stats",
+def stats_points(long_stats: DataFrame, measurement: str = STATS_MEASUREMENT,
                  digits: int | None = None) -> DataFrame:
     """Period statistics (long form) as points: tags symbol, period_type and
     month / quarter / year by level; time = first day of the period."""
