@@ -28,6 +28,10 @@ CLUSTER_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.shuffle.partitions": "4000",
     "spark.sql.session.timeZone": "UTC",
+    # streaming window state off the JVM heap, checkpointed incrementally
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
