@@ -19,3 +19,15 @@ def test_bench_prints_one_json_line():
     assert rec["unit"] == "sec" and rec["sf"] == 0.001 and rec["metric"]
     assert set(rec["queries"]) == {"bars_daily", "period_stats_long", "word_count"}
     assert rec["value"] == round(sum(rec["queries"].values()), 3)
+
+
+def test_cli_lists_and_runs(tmp_path):
+    env = dict(os.environ)
+    out = subprocess.run([sys.executable, "-m", "candlestack", "list"], cwd=ROOT, env=env,
+                         capture_output=True, text=True, timeout=300, check=True).stdout
+    assert "period_stats_long" in out.split()
+    dest = str(tmp_path / "monthly")
+    subprocess.run([sys.executable, "-m", "candlestack", "run", "monthly_stats",
+                    "--sf-dir", SF_SMOKE, "--out", dest, "--master", "2"], cwd=ROOT, env=env,
+                   capture_output=True, text=True, timeout=600, check=True)
+    assert any(f.endswith(".parquet") for f in os.listdir(dest))
