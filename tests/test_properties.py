@@ -73,3 +73,27 @@ def test_segmented_lag_sum_equals_plain_window(spark, lengths, seg_rows, halo):
     w = Window.partitionBy("symbol").orderBy("Date")
     want = df.withColumns({"s": F.sum("x").over(frame(w)), "p": F.lag("x", halo).over(w)})
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_deep_and_shallow_pages_agree_on_driver_data(spark):
+    bars = _bars(spark)
+    for n in (0, 7, 100, 1497):
+        a = [tuple(r) for r in G.page(bars, n, 5).collect()]
+        b = [tuple(r) for r in G.page(bars, n, 5, top_n_limit=0).collect()]
+        assert a == b
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(days=st.lists(st.integers(min_value=0, max_value=900), min_size=1, max_size=40,
+                     unique=True),
+       closes=st.lists(st.integers(min_value=1, max_value=10_000), min_size=40, max_size=40))
+def test_random_bars_level_totals(spark, days, closes):
+    rows = [("S", dt.date(2019, 1, 1) + dt.timedelta(days=d), 1.0, 2.0, 0.5,
+             closes[i] / 100, closes[i] / 100, i + 1) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "symbol string, Date date, Open double, High double, "
+                                     "Low double, Close double, `Adj Close` double, Volume long")
+    long = P.period_stats_long(df)
+    tot = {r.period_type: (r.d, r.v) for r in long.groupBy("period_type").agg(
+        F.sum("Trading_Days").alias("d"), F.sum("Total_Volume").alias("v")).collect()}
+    want = (len(days), sum(range(1, len(days) + 1)))
+    assert tot == {"monthly": want, "quarterly": want, "yearly": want}
