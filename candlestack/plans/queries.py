@@ -64,11 +64,15 @@ _STATS: dict[tuple, tuple] = {}
 
 
 def _file_signature(df: DataFrame) -> tuple:
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = sorted(df.inputFiles())
+    try:
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # no JVM handle (remote session): names only
+        return tuple(files)
     sig = []
-    for f in sorted(df.inputFiles()):
+    for f in files:
         hp = jvm.org.apache.hadoop.fs.Path(f)
         st = hp.getFileSystem(conf).getFileStatus(hp)
         sig.append((f, st.getLen(), st.getModificationTime()))
