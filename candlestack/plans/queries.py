@@ -263,6 +263,17 @@ def q_top_k_latest(spark, sf_dir):
     return G.top_k_latest(bars(spark, sf_dir), k=10_000)
 
 
+@register("top_k_latest_documents")
+def q_top_k_latest_documents(spark, sf_dir):
+    # Bars written as keyed documents, read back from the document files and
+    # ranked newest first: the index read of the reference, on landed data.
+    path = scratch_path(spark, "bar-docs")
+    D.write_documents(D.bar_documents(B.derived_columns(bars(spark, sf_dir))), path)
+    docs = spark.read.schema("_id string, _source string, _index string").json(path)
+    parsed = docs.select(F.from_json("_source", STOCK_DOC).alias("d")).select("d.*")
+    return G.top_k_latest(parsed, k=10_000)
+
+
 @register("page")
 def q_page(spark, sf_dir):
     return G.page(bars(spark, sf_dir), n=2, k=5)
