@@ -77,9 +77,10 @@ def yoy_growth(yearly: DataFrame, value: str = "Avg_Close",
     if "_ac_raw" in yearly.columns and value == "Avg_Close":
         value = "_ac_raw"          # growth from the unrounded mean
     w = Window.partitionBy("symbol").orderBy("Year")
-    prev = F.lag(value).over(w)
-    return (yearly.withColumn(out, safe_div(F.col(value) - prev, prev) * 100)
-            .drop("_ac_raw"))
+    with_prev = yearly.withColumn("_prev", F.lag(value).over(w))   # computed once
+    return (with_prev.withColumn(out, safe_div(F.col(value) - F.col("_prev"), F.col("_prev"))
+                                 * 100)
+            .drop("_prev", "_ac_raw"))
 
 
 def yearly_stats(bars: DataFrame, digits: int | None = None) -> DataFrame:
@@ -108,11 +109,12 @@ def period_stats_long(bars: DataFrame, with_start: bool = True,
         *STAT_COLUMNS, *(["_ac_raw"] if digits is not None else []))
     raw = "_ac_raw" if digits is not None else "Avg_Close"
     w = Window.partitionBy("symbol", "period_type").orderBy("period")
-    prev = F.lag(raw).over(w)
+    long = long.withColumn("_prev", F.lag(raw).over(w))            # computed once
     long = long.withColumn(
         "YoY_Growth",
         F.when(F.col("period_type") == "yearly",
-               safe_div(F.col(raw) - prev, prev) * 100)).drop("_ac_raw")
+               safe_div(F.col(raw) - F.col("_prev"), F.col("_prev")) * 100)
+    ).drop("_prev", "_ac_raw")
     if with_start:
         long = long.withColumn("period_start", period_start(F.col("period_type"),
                                                             F.col("period")))

@@ -23,15 +23,23 @@ from candlestack.operators.series import DEFAULT_SEG_ROWS, series_columns
 TRADING_DAYS_PER_YEAR = 252
 
 
+PREV = "_prev_close"
+
+
 def _bar_series(bars: DataFrame, halo: int, stages, seg_rows: int,
                 rows_bound: int | None) -> DataFrame:
-    return series_columns(bars, keys=["symbol"], order=["Date"], halo=halo,
-                          stages=stages, seg_rows=seg_rows, rows_bound=rows_bound)
+    out = series_columns(bars, keys=["symbol"], order=["Date"], halo=halo,
+                         stages=stages, seg_rows=seg_rows, rows_bound=rows_bound)
+    return out.drop(PREV)
+
+
+def _prev_stage(w: WindowSpec, price: str = "Close") -> dict[str, Column]:
+    """The previous close, computed once and reused by the return."""
+    return {PREV: F.lag(price).over(w)}
 
 
-def _return_expr(w: WindowSpec, price: str = "Close") -> Column:
-    prev = F.lag(price).over(w)
-    return safe_div(F.col(price) - prev, prev)
+def _return_expr(price: str = "Close") -> Column:
+    return safe_div(F.col(price) - F.col(PREV), F.col(PREV))
 
 
 def _mean_expr(w: WindowSpec, n: int, col: str = "Close") -> Column:
@@ -47,7 +55,8 @@ def _vol_expr(w: WindowSpec, n: int, col: str, periods: int) -> Column:
 
 def daily_return(bars: DataFrame, out: str = "Daily Return",
                  seg_rows: int = DEFAULT_SEG_ROWS, rows_bound: int | None = None) -> DataFrame:
-    return _bar_series(bars, 1, lambda w: [{out: _return_expr(w)}], seg_rows, rows_bound)
+    return _bar_series(bars, 1, lambda w: [_prev_stage(w), {out: _return_expr()}],
+                       seg_rows, rows_bound)
 
 
 def moving_average(bars: DataFrame, n: int, out: str | None = None,
@@ -64,7 +73,7 @@ def volatility(bars: DataFrame, n: int = 20, periods: int = TRADING_DAYS_PER_YEA
     Needs n returns, so the first value appears at row n+1."""
     return _bar_series(
         bars, n,
-        lambda w: [{"Daily Return": _return_expr(w)},
+        lambda w: [_prev_stage(w), {"Daily Return": _return_expr()},
                    {out: _vol_expr(w, n, "Daily Return", periods)}],
         seg_rows, rows_bound)
 
@@ -77,9 +86,10 @@ def rolling_analytics(bars: DataFrame, ma: tuple[int, ...] = (5, 20), vol_n: int
     halo = max([vol_n] + [n - 1 for n in ma])
 
     def stages(w):
-        first = {"Daily Return": _return_expr(w)}
+        first = _prev_stage(w)
         first.update({f"MA{n}": _mean_expr(w, n) for n in ma})
-        return [first, {"Volatility": _vol_expr(w, vol_n, "Daily Return", periods)}]
+        return [first, {"Daily Return": _return_expr()},
+                {"Volatility": _vol_expr(w, vol_n, "Daily Return", periods)}]
 
     return _bar_series(bars, halo, stages, seg_rows, rows_bound)
 
