@@ -101,3 +101,36 @@ def test_text_landing_keeps_microseconds(spark, tmp_dir):
     from candlestack.streaming.events import TEXT_TIME_OPTIONS
     j = spark.read.schema(df.schema).options(**TEXT_TIME_OPTIONS).json(f"{tmp_dir}/j").collect()[0]
     assert j.ts == ts
+
+
+def test_read_bar_csv_with_symbol_and_missing_adj_close(spark, tmp_dir):
+    import os
+    from candlestack.sources import csv as CSV
+
+    os.makedirs(tmp_dir, exist_ok=True)
+    with open(f"{tmp_dir}/one.csv", "w") as f:
+        f.write("Date,Open,High,Low,Close,Volume\n2020-01-02,1.0,2.0,0.5,1.5,100\n")
+    schema = "Date date, Open double, High double, Low double, Close double, Volume long"
+    r = CSV.read_bar_csv(spark, f"{tmp_dir}/one.csv", schema=schema_of(spark, schema),
+                         symbol="X").collect()[0]
+    assert (r.symbol, r["Adj Close"], r.Volume) == ("X", 1.5, 100)
+
+
+def schema_of(spark, ddl):
+    return spark.createDataFrame([], ddl).schema
+
+
+def test_normalise_fills_null_adj_close(spark):
+    from candlestack.operators import bars as B
+
+    df = spark.createDataFrame([("A", dt.date(2020, 1, 2), 1.0, 2.0, None)],
+                               "symbol string, Date date, Open double, Close double, `Adj Close` double")
+    r = B.normalise_bars(df, date_as_string=True).collect()[0]
+    assert r["Adj Close"] == 2.0 and r.Date == "2020-01-02"
+
+
+def test_write_points_text(spark, tmp_dir):
+    pts = PT.bar_points(B.derived_columns(_bars(spark)), digits=4)
+    PT.write_points(pts, f"{tmp_dir}/pts")
+    lines = sorted(r.value for r in spark.read.text(f"{tmp_dir}/pts").collect())
+    assert len(lines) == 2 and all(x.startswith("stock_prices,symbol=") for x in lines)
