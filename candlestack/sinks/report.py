@@ -15,10 +15,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The per-partition code and the default writer are shipped by value, so
+# executors need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TALLY_SCHEMA = "target string, written long, failed long"
 
 Writer = Callable[[str, str, pd.DataFrame], tuple[int, int]]

@@ -134,3 +134,29 @@ def test_write_points_text(spark, tmp_dir):
     PT.write_points(pts, f"{tmp_dir}/pts")
     lines = sorted(r.value for r in spark.read.text(f"{tmp_dir}/pts").collect())
     assert len(lines) == 2 and all(x.startswith("stock_prices,symbol=") for x in lines)
+
+
+def test_batch_writer_runs_where_executors_lack_the_package(tmp_path):
+    # Executors start in the driver's working folder; from elsewhere they
+    # cannot import this package, so the per-partition code must ship by value.
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from candlestack.session import local_session, scratch_path
+from candlestack.sinks import report as RP
+from pyspark.sql import functions as F
+spark = local_session(2)
+df = spark.range(0, 300).withColumn("_index", F.lit("t"))
+rows = RP.send_in_batches(df, RP.JsonLinesWriter(scratch_path(spark, "ship")), batch_size=50)
+print(sorted(map(tuple, rows.collect())))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "[('t', 300, 0)]" in out.stdout, out.stderr[-2000:]
