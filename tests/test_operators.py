@@ -256,9 +256,10 @@ def test_uptime_gaps_across_segments(spark):
     df = spark.createDataFrame([(i, base + dt.timedelta(seconds=s), "m")
                                 for i, s in enumerate(offs)],
                                "event_id long, ts timestamp_ntz, event_type string")
-    for seg_rows in (1, 2, 100):
+    for seg_rows, measure in ((1, False), (2, False), (100, False), (100, True)):
         got = sorted((r.gap_seconds, r.gap_end)
-                     for r in L.uptime_gaps(df, 3600, seg_rows=seg_rows).collect())
+                     for r in L.uptime_gaps(df, 3600, seg_rows=seg_rows,
+                                            measure=measure).collect())
         assert got == [(4980.0, base + dt.timedelta(seconds=5000)),
                        (84990.0, base + dt.timedelta(seconds=90000))]
 
