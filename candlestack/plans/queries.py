@@ -412,7 +412,8 @@ def q_upsert_bars(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     base = bars_of(li.where(F.col("l_linestatus") == "F"), li)
     delta = bars_of(li.where(F.col("l_linestatus") == "O"), li)
-    return U.upsert(base, delta, ["symbol", "Date"])
+    # bars are unique per (symbol, Date) by construction
+    return U.upsert(base, delta, ["symbol", "Date"], delta_unique=True)
 
 
 @register("land_bars")

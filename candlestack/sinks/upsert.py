@@ -33,16 +33,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -
 
 
 def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str],
-           version: Sequence[str] | None = None) -> DataFrame:
+           version: Sequence[str] | None = None, delta_unique: bool = False) -> DataFrame:
     """Base with every key present in ``delta`` replaced by the delta's row.
 
     Duplicate keys inside the delta are resolved first (latest ``version``),
-    so upserting twice equals upserting once.
+    so upserting twice equals upserting once.  ``delta_unique`` skips that
+    step when the delta is keyed by construction (e.g. bars grouped by the
+    same keys).
     """
-    if version:
-        delta = latest_per_key(delta, keys, version).select(*delta.columns)
-    else:
-        delta = latest_per_key(delta, keys, []).select(*delta.columns)
+    if not delta_unique:
+        delta = latest_per_key(delta, keys, list(version or [])).select(*delta.columns)
     dk = delta.select(*[F.col(k).alias(f"_dk_{k}") for k in keys])
     kept = base.join(dk, [base[k].eqNullSafe(dk[f"_dk_{k}"]) for k in keys], "left_anti")
     return kept.unionByName(delta, allowMissingColumns=True)
