@@ -451,3 +451,5 @@ ORACLE["top_k_latest_documents"] = _with(BARS_CTE) + f"""
 SELECT {_bar_cols()}, ("Close" - "Open") / "Open" AS "Return",
        ("Open" + "Close") / 2 AS "AVG Price", ("Close" - "Open") / "Open" * 100 AS "Close Pct Change"
 FROM bars ORDER BY "Date" DESC, symbol ASC LIMIT 10000"""
+
+ORACLE["period_stats_from_landed"] = ORACLE["period_stats_long"]
