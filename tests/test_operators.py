@@ -344,3 +344,12 @@ def test_wall_clock_arithmetic_ignores_session_zone(spark):
         assert av == {("m", 1): 1, ("m", 3): 1, ("n", 2): 1}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_union_with_inference(spark, tmp_dir):
+    series(spark, 2, "A").write.option("header", "true").csv(f"{tmp_dir}/a")
+    series(spark, 2, "B").drop("Volume").write.option("header", "true").csv(f"{tmp_dir}/b")
+    u = CSV.read_csv_union(spark, [f"{tmp_dir}/a", f"{tmp_dir}/b"], infer=True)
+    types = dict(u.dtypes)
+    assert types["Open"] == "double" and types["Volume"] in ("int", "bigint")
+    assert u.where("Volume IS NULL").count() == 2
