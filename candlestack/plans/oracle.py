@@ -453,3 +453,4 @@ SELECT {_bar_cols()}, ("Close" - "Open") / "Open" AS "Return",
 FROM bars ORDER BY "Date" DESC, symbol ASC LIMIT 10000"""
 
 ORACLE["period_stats_from_landed"] = ORACLE["period_stats_long"]
+ORACLE["bars_from_tick_stream"] = ORACLE["bars_daily"]

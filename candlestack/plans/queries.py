@@ -557,6 +557,21 @@ def q_metric_window_stream_daily_files(spark, sf_dir):
     return round_doubles(table.read(spark))
 
 
+@register("bars_from_tick_stream")
+def q_bars_from_tick_stream(spark, sf_dir):
+    # Ticks arrive as files (one folder per ship year, several micro-batches);
+    # a streaming aggregation keeps every (symbol, day) bar up to date.
+    ticks = read_table(spark, sf_dir, "lineitem")
+    root = scratch_path(spark, "tick-stream")
+    LD.land(ticks.withColumn("year", F.year("l_shipdate")), f"{root}/ticks",
+            partition_by=("year",))
+    table = U.ChangeLog(f"{root}/table", list(SI.BAR_KEYS))
+    src = SE.file_stream(spark, f"{root}/ticks", ticks.schema, max_files_per_trigger=16)
+    q = SI.bars_from_tick_stream(src.drop("year"), table, f"{root}/chk")
+    q.awaitTermination()
+    return table.read(spark).select(*[F.col(f"`{c}`") for c in BAR_NAMES])
+
+
 @register("incremental_bars")
 def q_incremental_bars(spark, sf_dir):
     root = scratch_path(spark, "increments")
