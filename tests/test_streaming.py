@@ -118,3 +118,24 @@ def test_restart_resumes_from_checkpoint(spark, tmp_dir):
     batches = sorted(int(p.split("=")[1]) for p in os.listdir(f"{tmp_dir}/table/changes")
                      if p.startswith("_batch="))
     assert batches == [0, 1]          # the restart processed only the new file
+
+
+def test_tick_stream_updates_a_bar_across_batches(spark, tmp_dir):
+    ddl = ("l_returnflag string, l_shipdate timestamp_ntz, l_orderkey long, l_linenumber int, "
+           "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double")
+    day = dt.datetime(2024, 1, 2)
+    spark.createDataFrame([("A", day, 1, 1, 1, 1, 5.0, 10.0), ("A", day, 2, 1, 1, 1, 5.0, 12.0)],
+                          ddl).coalesce(1).write.parquet(f"{tmp_dir}/src/f=0")
+    spark.createDataFrame([("A", day, 3, 1, 1, 1, 1.0, 9.0)],
+                          ddl).coalesce(1).write.parquet(f"{tmp_dir}/src/f=1")
+    _order_by_mtime(f"{tmp_dir}/src", ["f=0", "f=1"])
+    schema = spark.read.parquet(f"{tmp_dir}/src/f=0").schema
+    table = U.ChangeLog(f"{tmp_dir}/table", list(SI.BAR_KEYS))
+    q = SI.bars_from_tick_stream(
+        SE.file_stream(spark, f"{tmp_dir}/src/f=*", schema, max_files_per_trigger=1),
+        table, f"{tmp_dir}/chk")
+    q.awaitTermination()
+    r = table.read(spark).collect()
+    assert len(r) == 1
+    b = r[0]
+    assert (b.Open, b.High, b.Low, b.Close, b.Volume) == (10.0, 12.0, 9.0, 9.0, 11)
