@@ -78,9 +78,10 @@ _PERIOD_START = """
                                     CAST(split_part(period, '-Q', 2) AS INTEGER) * 3 - 2, 1)
     ELSE make_date(CAST(substr(period, 1, 4) AS INTEGER), 1, 1) END"""
 
-_YOY = """CASE WHEN period_type = 'yearly' THEN round(
+_YOY = """CASE WHEN period_type = 'yearly' THEN (round(
       (ac - lag(ac) OVER (PARTITION BY symbol, period_type ORDER BY period))
-      / lag(ac) OVER (PARTITION BY symbol, period_type ORDER BY period) * 100, 4) END"""
+      / lag(ac) OVER (PARTITION BY symbol, period_type ORDER BY period) * 100, 4)
+      + CAST(0 AS DOUBLE)) END"""
 
 
 def _avg_round2(x: str) -> str:
@@ -88,6 +89,10 @@ def _avg_round2(x: str) -> str:
     return _avg_exact(x, 2)
 
 
+# Rounded signed values below add +0.0: DuckDB's round keeps the sign of a
+# tiny negative (-0.0) where Spark's half-up rounding gives +0.0.
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -109,7 +114,7 @@ FROM bars GROUP BY 1, 2"""
 
 ORACLE["yearly_stats"] = _with(BARS_CTE) + f"""
 SELECT *, round(("Avg_Close_raw" - lag("Avg_Close_raw") OVER w)
-                / lag("Avg_Close_raw") OVER w * 100, 4) AS "YoY_Growth"
+                / lag("Avg_Close_raw") OVER w * 100, 4) + CAST(0 AS DOUBLE) AS "YoY_Growth"
 FROM (SELECT symbol, CAST(year("Date") AS INTEGER) AS "Year", {_STATS},
              avg("Close") AS "Avg_Close_raw"
       FROM bars GROUP BY 1, 2) y
@@ -159,7 +164,7 @@ _VOL = ('CASE WHEN count(dr) OVER w20 = 20 THEN '
         'round(stddev_samp(dr) OVER w20 * sqrt(252.0), 4) END AS "Volatility"')
 
 ORACLE["daily_return"] = _with(BARS_CTE, _RET.format(src="bars")) + f"""
-SELECT {_bar_cols()}, round(dr, 4) AS "Daily Return" FROM ret"""
+SELECT {_bar_cols()}, (round(dr, 4) + CAST(0 AS DOUBLE)) AS "Daily Return" FROM ret"""
 
 ORACLE["moving_avg_5"] = _with(BARS_CTE) + f"""
 SELECT {_bar_cols()}, {_MA5} FROM bars {_ROLL_WINDOWS}"""
@@ -168,7 +173,7 @@ ORACLE["moving_avg_20"] = _with(BARS_CTE) + f"""
 SELECT {_bar_cols()}, {_MA20} FROM bars {_ROLL_WINDOWS}"""
 
 ORACLE["volatility_20"] = _with(BARS_CTE, _RET.format(src="bars")) + f"""
-SELECT {_bar_cols()}, round(dr, 4) AS "Daily Return", {_VOL} FROM ret {_ROLL_WINDOWS}"""
+SELECT {_bar_cols()}, (round(dr, 4) + CAST(0 AS DOUBLE)) AS "Daily Return", {_VOL} FROM ret {_ROLL_WINDOWS}"""
 
 _LAST30 = """
 last30 AS (
@@ -178,7 +183,7 @@ last30 AS (
 )"""
 
 _ANALYZE = (_with(BARS_CTE, _LAST30, _RET.format(src="last30")) + f"""
-SELECT {_bar_cols()}, round(dr, 4) AS "Daily Return", {_MA5}, {_MA20}, {_VOL}
+SELECT {_bar_cols()}, (round(dr, 4) + CAST(0 AS DOUBLE)) AS "Daily Return", {_MA5}, {_MA20}, {_VOL}
 FROM ret {_ROLL_WINDOWS}""")
 
 ORACLE["analyze_last_n_days"] = _ANALYZE
@@ -189,12 +194,12 @@ ORACLE["headline_stats"] = _with(BARS_CTE, _LAST30, _RET.format(src="last30")) +
          CASE WHEN count(dr) OVER w20 = 20 THEN stddev_samp(dr) OVER w20 * sqrt(252.0) END AS vol
   FROM ret {_ROLL_WINDOWS}
 )
-SELECT symbol, round(avg(dr), 4) AS "Average_Daily_Return", round(avg(vol), 4) AS "Volatility",
+SELECT symbol, (round(avg(dr), 4) + CAST(0 AS DOUBLE)) AS "Average_Daily_Return", round(avg(vol), 4) AS "Volatility",
        round(max("Close"), 4) AS "Max_Close", round(min("Close"), 4) AS "Min_Close"
 FROM rolled GROUP BY symbol"""
 
 ORACLE["price_movement"] = _with(BARS_CTE) + f"""
-, moves AS (SELECT symbol, round(("Close" - "Open") / "Open" * 100, 2) AS mv FROM bars)
+, moves AS (SELECT symbol, (round(("Close" - "Open") / "Open" * 100, 2) + CAST(0 AS DOUBLE)) AS mv FROM bars)
 SELECT symbol, {_avg_round2('mv')} AS "Avg_Daily_Return_%",
        round(min(mv), 2) AS "Max_Daily_Loss_%", round(max(mv), 2) AS "Max_Daily_Gain_%"
 FROM moves GROUP BY symbol"""

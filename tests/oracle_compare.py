@@ -25,6 +25,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v == 0.0 and math.copysign(1.0, v) < 0:
+            return "-0.0"          # a strict value hash tells -0.0 from 0.0
         return round(v, 9)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
