@@ -107,6 +107,18 @@ def pack_sequence_key(ticks: DataFrame, columns: Sequence[str], ts: str | None,
     return None
 
 
+def duplicate_tick_keys(ticks: DataFrame, columns: Sequence[str], symbol: str, ts: str,
+                        ) -> DataFrame:
+    """Ticks sharing (symbol, day, time of day, columns): the cases where a
+    packed order cannot tell first from last.  A distributed check (partial
+    counts per key) for data contracts and tests; empty means the packed
+    order is exact."""
+    keys = [F.col(symbol), F.to_date(F.col(ts)), time_of_day_micros(ticks, ts),
+            *[F.col(c) for c in columns]]
+    return (ticks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1))
+
+
 def sequence_key(ticks: DataFrame, columns: Sequence[str], ts: str | None = None):
     """One order-preserving number for the tick order (time of day of ``ts``,
     then ``columns``), or None when the values do not fit (see

@@ -97,3 +97,12 @@ def test_random_bars_level_totals(spark, days, closes):
         F.sum("Trading_Days").alias("d"), F.sum("Total_Volume").alias("v")).collect()}
     want = (len(days), sum(range(1, len(days) + 1)))
     assert tot == {"monthly": want, "quarterly": want, "yearly": want}
+
+
+def test_packed_tick_order_is_exact_on_every_driver_scale(spark):
+    from candlestack.plans.queries import LINEITEM_ORDER
+
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        li = read_table(spark, sf, "lineitem")
+        dups = B.duplicate_tick_keys(li, LINEITEM_ORDER, "l_returnflag", "l_shipdate")
+        assert dups.count() == 0, sf
