@@ -106,3 +106,45 @@ def test_packed_tick_order_is_exact_on_every_driver_scale(spark):
         li = read_table(spark, sf, "lineitem")
         dups = B.duplicate_tick_keys(li, LINEITEM_ORDER, "l_returnflag", "l_shipdate")
         assert dups.count() == 0, sf
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(offsets=st.lists(st.tuples(st.sampled_from(["m", "n"]),
+                                  st.integers(min_value=0, max_value=40_000)),
+                        min_size=2, max_size=40, unique_by=lambda t: t[1]),
+       seg_rows=st.integers(min_value=1, max_value=7))
+def test_uptime_gaps_match_brute_force(spark, offsets, seg_rows):
+    from candlestack.operators import logs as L
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, base + dt.timedelta(seconds=s), k) for i, (k, s) in enumerate(offsets)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string")
+    want = []
+    for k in ("m", "n"):
+        ts = sorted(s for kk, s in offsets if kk == k)
+        want += [(k, float(b - a)) for a, b in zip(ts, ts[1:]) if b - a > 3600]
+    for measure in (False, True):
+        got = [(r.monitor, r.gap_seconds)
+               for r in L.uptime_gaps(df, 3600, seg_rows=seg_rows, measure=measure).collect()]
+        assert sorted(got) == sorted(want)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(events=st.lists(st.tuples(st.sampled_from(["a", "b"]),
+                                 st.integers(min_value=0, max_value=120),
+                                 st.integers(min_value=0, max_value=99)),
+                       min_size=1, max_size=40, unique_by=lambda t: t[1]))
+def test_metric_window_matches_brute_force(spark, events):
+    from candlestack.operators import logs as L
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(seconds=s), k, float(v)) for k, s, v in events]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, event_type string, value double")
+    got = {(r.window_start, r.event_type): (r.n, r.max_value, r.last_value)
+           for r in L.metric_window(df, "10 seconds").collect()}
+    want = {}
+    for k, s, v in sorted(events, key=lambda e: e[1]):
+        key = (base + dt.timedelta(seconds=s - s % 10), k)
+        n, mx, _ = want.get(key, (0, float("-inf"), None))
+        want[key] = (n + 1, max(mx, float(v)), float(v))
+    assert got == want
