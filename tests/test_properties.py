@@ -148,3 +148,31 @@ def test_metric_window_matches_brute_force(spark, events):
         n, mx, _ = want.get(key, (0, float("-inf"), None))
         want[key] = (n + 1, max(mx, float(v)), float(v))
     assert got == want
+
+
+def test_word_count_matches_python_on_driver_texts(spark):
+    import re
+    from collections import Counter
+
+    from candlestack.operators import logs as L
+
+    docs = read_table(spark, SF_SMOKE, "documents")
+    want = Counter(w for (t,) in docs.select("text").collect() if t is not None
+                   for w in re.split(r"[ \t\n\r\f]+", t) if w)
+    got = {r.word: r.n for r in L.word_count(docs).collect()}
+    assert got == dict(want)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(secs=st.lists(st.integers(min_value=0, max_value=7200), min_size=1, max_size=50))
+def test_availability_matches_brute_force(spark, secs):
+    from candlestack.operators import logs as L
+
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(base + dt.timedelta(seconds=s), "m") for s in secs],
+                               "ts timestamp_ntz, event_type string")
+    got = {r.bucket_start.hour: r.seen_slots for r in L.availability(df, 5, "hour").collect()}
+    want = {}
+    for h in {s // 3600 for s in secs}:
+        want[h] = len({(s % 3600) // 5 for s in secs if s // 3600 == h})
+    assert got == want
