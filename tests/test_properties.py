@@ -176,3 +176,31 @@ def test_availability_matches_brute_force(spark, secs):
     for h in {s // 3600 for s in secs}:
         want[h] = len({(s % 3600) // 5 for s in secs if s // 3600 == h})
     assert got == want
+
+
+def test_pandas_twins_on_driver_bars(spark):
+    import pandas as pd
+    import pytest
+
+    from candlestack.operators import rolling as R
+
+    bars = _bars(spark)
+    pdf = bars.toPandas()
+    pdf["Month"] = pd.to_datetime(pdf["Date"]).dt.strftime("%Y-%m")
+    want = pdf.groupby(["symbol", "Month"]).agg(
+        Avg_Close=("Close", "mean"), Std_Close=("Close", "std"),
+        Trading_Days=("Close", "size"), Total_Volume=("Volume", "sum"))
+    got = P.monthly_stats(bars).toPandas().set_index(["symbol", "Month"]).sort_index()
+    want = want.sort_index()
+    assert list(got.index) == list(want.index)
+    for c in ["Avg_Close", "Std_Close"]:
+        assert got[c].to_numpy() == pytest.approx(want[c].to_numpy(), nan_ok=True)
+    assert (got["Trading_Days"].to_numpy() == want["Trading_Days"].to_numpy()).all()
+    assert (got["Total_Volume"].to_numpy() == want["Total_Volume"].to_numpy()).all()
+
+    rolled = R.rolling_analytics(bars, rows_bound=3000).toPandas()
+    for sym, g in pdf.sort_values("Date").groupby("symbol"):
+        ret = g["Close"].pct_change()
+        vol = (ret.rolling(20).std() * 252 ** 0.5).to_numpy()
+        mine = rolled[rolled.symbol == sym].sort_values("Date")["Volatility"].to_numpy()
+        assert mine == pytest.approx(vol, nan_ok=True)
