@@ -459,3 +459,12 @@ FROM bars ORDER BY "Date" DESC, symbol ASC LIMIT 10000"""
 
 ORACLE["period_stats_from_landed"] = ORACLE["period_stats_long"]
 ORACLE["bars_from_tick_stream"] = ORACLE["bars_daily"]
+
+ORACLE["scalar_date_parts"] = """
+SELECT date_text, CAST(strptime(date_text, '%Y-%m-%d') AS DATE) AS "Date",
+       CAST(year(CAST(date_text AS DATE)) AS INTEGER) AS "Year",
+       CAST(quarter(CAST(date_text AS DATE)) AS INTEGER) AS "Q",
+       strftime(CAST(date_text AS DATE), '%Y-%m') AS "Month",
+       CAST(year(CAST(date_text AS DATE)) AS VARCHAR) || '-Q'
+         || CAST(quarter(CAST(date_text AS DATE)) AS VARCHAR) AS "Quarter"
+FROM (SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d') AS date_text FROM lineitem)"""

@@ -158,6 +158,20 @@ def q_period_stats_from_landed(spark, sf_dir):
     return round_doubles(P.period_stats_long(landed, digits=4))
 
 
+@register("scalar_date_parts")
+def q_scalar_date_parts(spark, sf_dir):
+    # Date functions of the survey's scalar list: parse a date from text,
+    # year, quarter, month label, quarter label (per distinct ship day).
+    from candlestack.functions.dates import month_label, quarter_label
+
+    days = (read_table(spark, sf_dir, "lineitem")
+            .select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_text")).distinct())
+    d = F.to_date("date_text", "yyyy-MM-dd")
+    return days.select("date_text", d.alias("Date"), F.year(d).alias("Year"),
+                       F.quarter(d).alias("Q"), month_label(d).alias("Month"),
+                       quarter_label(d).alias("Quarter"))
+
+
 @register("period_start")
 def q_period_start(spark, sf_dir):
     return (P.period_stats_long(bars(spark, sf_dir))
