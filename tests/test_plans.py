@@ -54,3 +54,16 @@ def test_bounded_series_use_one_window_per_symbol(spark):
     assert "_seg" not in small and "hashpartitioning(symbol" in small
     big = plan(R.rolling_analytics(b, rows_bound=MAX_TASK_ROWS + 1))
     assert "_seg" in big
+
+
+def test_changelog_read_after_compaction_prunes_old_batches(spark, tmp_dir):
+    from candlestack.sinks import upsert as U
+
+    log = U.ChangeLog(f"{tmp_dir}/t", ["k"])
+    mk = lambda rows: spark.createDataFrame(rows, "k string, x double")
+    for i in range(3):
+        log.write_batch(mk([("A", float(i))]), i)
+    log.compact(spark)
+    log.write_batch(mk([("B", 9.0)]), 3)
+    p = plan(log.read(spark))
+    assert "PartitionFilters: [isnotnull(_batch" in p and "(_batch#" in p and "> 2)" in p
