@@ -160,3 +160,18 @@ print(sorted(map(tuple, rows.collect())))
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=600)
     assert "[('t', 300, 0)]" in out.stdout, out.stderr[-2000:]
+
+
+def test_period_tables_conform_to_declared_targets(spark):
+    from candlestack.operators import periods as P
+    from candlestack.schemas import DOC_TARGETS
+
+    b = _bars(spark)
+    tables = {"monthly": P.monthly_stats(b), "quarterly": P.quarterly_stats(b),
+              "yearly": P.yearly_stats(b),
+              "daily": B.derived_columns(b)}
+    for level, df in tables.items():
+        typed = D.conform(df, DOC_TARGETS[level])
+        assert [(f.name, f.dataType) for f in typed.schema] == \
+            [(f.name, f.dataType) for f in DOC_TARGETS[level]]
+        assert typed.count() == df.count()
