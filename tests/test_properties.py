@@ -204,3 +204,27 @@ def test_pandas_twins_on_driver_bars(spark):
         vol = (ret.rolling(20).std() * 252 ** 0.5).to_numpy()
         mine = rolled[rolled.symbol == sym].sort_values("Date")["Volatility"].to_numpy()
         assert mine == pytest.approx(vol, nan_ok=True)
+
+
+def test_describe_matches_pandas_on_driver_bars(spark):
+    import pytest
+
+    from candlestack.operators import stats as S
+
+    bars = _bars(spark)
+    pdf = bars.toPandas()
+    for bound in (None, 3000):
+        got = {(r.symbol, r.statistic): r for r in S.describe_exact(bars, rows_bound=bound).collect()}
+        for sym, g in pdf.groupby("symbol"):
+            d = g[["Open", "High", "Low", "Close", "Volume"]].astype(float).describe()
+            for stat in ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]:
+                row = got[(sym, stat)]
+                for c in ["Open", "High", "Low", "Close", "Volume"]:
+                    assert row[c] == pytest.approx(d.loc[stat, c]), (bound, sym, stat, c)
+
+
+def test_page_stats_paths_agree_on_driver_bars(spark):
+    bars = _bars(spark)
+    a = sorted(map(tuple, G.page_stats(bars, 7).collect()))
+    b = sorted(map(tuple, G.page_stats(bars, 7, rows_bound=3000).collect()))
+    assert a == b
