@@ -180,7 +180,10 @@ def test_corrupt_csv_line_is_kept(spark, tmp_dir):
         f.write("Date,Open,High,Low,Close,Adj Close,Volume\n"
                 "2020-01-02,1.0,2.0,0.5,1.5,1.5,100\n"
                 "2020-01-03,1.5,2.5,1.0,2.0,2.0,lots\n")
-    df = CSV.read_csv(spark, f"{tmp_dir}/bars.csv", BAR_CSV).cache()
+    raw = CSV.read_csv(spark, f"{tmp_dir}/bars.csv", BAR_CSV)
+    g0, b0 = CSV.split_corrupt(raw)                  # counted straight off the scan
+    assert (g0.count(), b0.count()) == (1, 1)
+    df = raw.cache()
     good, bad = CSV.split_corrupt(df)
     assert good.count() == 1
     b = bad.collect()[0]
