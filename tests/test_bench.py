@@ -31,3 +31,12 @@ def test_cli_lists_and_runs(tmp_path):
                     "--sf-dir", SF_SMOKE, "--out", dest, "--master", "2"], cwd=ROOT, env=env,
                    capture_output=True, text=True, timeout=600, check=True)
     assert any(f.endswith(".parquet") for f in os.listdir(dest))
+
+
+def test_example_daily_flow_runs(tmp_path):
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "examples", "daily_flow.py"),
+                          SF_SMOKE], cwd=str(tmp_path), capture_output=True, text=True,
+                         timeout=600)
+    line = [x for x in out.stdout.splitlines() if x.startswith("bars ")]
+    assert line, out.stderr[-2000:]
+    assert line[0].split()[1:4] == ["4139", "corrupt", "0"]
