@@ -42,7 +42,9 @@ def test_rows_only_queries_run(spark, name):
 
 TIE_PRONE = ["monthly_stats", "quarterly_stats", "yearly_stats", "yoy_growth",
              "period_stats_long", "to_documents", "to_points_stats", "null_normalise",
-             "describe_exact", "summary_stats", "monthly_analysis", "page_stats"]
+             "describe_exact", "summary_stats", "monthly_analysis", "page_stats",
+             "describe_last_n_days", "period_stats_from_landed", "daily_return",
+             "volatility_20", "price_movement", "headline_stats"]
 
 
 @pytest.fixture(scope="module")
