@@ -93,7 +93,7 @@ def _shingle_sets(texts: list, words: int) -> list:
     factor = _powers(0xD6E8FEB86659FD93, words + 1)
     n = len(word)
     rolled = np.zeros(max(0, n - words + 1), np.uint64)
-    for k in range(words):
+    for k in range(words if n >= words else 0):
         rolled += word[k:n - words + 1 + k] * factor[k]
     rolled = mix64(rolled)
     bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])

@@ -133,7 +133,7 @@ placed as (
                partition by doc_id, text order by nr
                rows between unbounded preceding and 1 preceding), 0) as begin_at,
            list_filter(regexp_split_to_array(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') as words
+               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
     from lines),
 ranked as (
     select *, len(words) >= 5 and row_number() over (

@@ -49,7 +49,11 @@ class Model:
 
 
 def terms(text: str) -> set:
-    return {t for t in (w.strip(EDGE) for w in text.lower().split()) if t}
+    """The words of a text, and the first four letters of longer words, under
+    which inflected and compound forms of one insult meet."""
+    words = {w.strip(EDGE) for w in set(text.lower().split())}
+    words.discard("")
+    return words | {"^" + w[:4] for w in words if len(w) > 5}
 
 
 def buckets_of(text: str, bits: int) -> set:
@@ -82,7 +86,7 @@ def score_batches(batches: Iterator, weights: dict) -> Iterator:
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(score)], ["doc_id", "score"])
 
 
-def fit(x: np.ndarray, y: np.ndarray, factors: int = FACTORS, seed: int = 7, epochs: int = 40,
+def fit(x: np.ndarray, y: np.ndarray, factors: int = FACTORS, seed: int = 7, steps: int = 2_000,
         batch: int = 512, rate: float = 0.02, decay: float = 1e-5) -> tuple:
     """(w0, w, v) by mini-batch Adam on the logistic loss."""
     rng = np.random.default_rng(seed)
@@ -92,7 +96,7 @@ def fit(x: np.ndarray, y: np.ndarray, factors: int = FACTORS, seed: int = 7, epo
     params = [w0, np.zeros(m), rng.normal(0, 0.01, (m, factors))]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     step = 0
-    for _ in range(epochs if n and m else 0):
+    while n and m and step < steps:
         order = rng.permutation(n)
         for at in range(0, n, batch):
             rows = order[at:at + batch]

@@ -108,7 +108,7 @@ def test_words_between(spark):
     df = spark.createDataFrame([("  a b\n c  d ",)], "t string")
     cut = [df.select(mixing.words_between(F.col("t"), F.lit(a), F.lit(b))).first()[0]
            for a, b in ((0, 4), (1, 3), (3, 4), (2, 2))]
-    assert cut == ["  a b\n c  d", "b\n c", "d", ""]
+    assert cut == ["a b\n c  d", "b\n c", "d", ""]
 
 
 # --- licenses -------------------------------------------------------------------------
@@ -150,9 +150,10 @@ def test_license_edge_rows(spark, edge, empty):
 # --- toxicity ---------------------------------------------------------------------------
 
 def test_toxicity_held_out(spark):
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF2}/labels.parquet").collect()}
-    rows = QUERIES["op5_toxicity"](spark, SF2).collect()
-    assert len(rows) == documents(spark, SF2).count()
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = QUERIES["op5_toxicity"](spark, sf).collect()
+    assert len(rows) == documents(spark, sf).count()
     hits = Counter()
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
@@ -160,7 +161,7 @@ def test_toxicity_held_out(spark):
         if r.held_out and labels.get(r.doc_id) is not None:
             hits[labels[r.doc_id], r.predicted] += 1
     assert hits[0, 1] <= 0.02 * (hits[0, 0] + hits[0, 1])
-    assert hits[1, 1] >= 0.6 * (hits[1, 0] + hits[1, 1])
+    assert hits[1, 1] >= 0.75 * (hits[1, 0] + hits[1, 1])
 
 
 def test_factorization_machine_learns_a_pair(spark):
@@ -246,7 +247,7 @@ def test_pii_query(spark):
 def test_disclosing_terms_are_found(spark):
     # "quixotry" stands only by one address, "zephyr" mostly, "common" everywhere
     rows = [(i, f"common text number{i} Quixotry ann@x.org common zephyr filler{i}") for i in range(5)]
-    rows += [(i, f"common words and other things {'zephyr' if i < 7 else ''} more{i}")
+    rows += [(i, f"common text words and other things {'zephyr' if i < 7 else ''} more{i}")
              for i in range(5, 300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in pii.find_personal_data(df).collect()}
@@ -286,7 +287,7 @@ def test_line_dedup_rules(spark, edge, empty):
     got = Counter((r.doc_id, r.n_removed, tuple(map(tuple, r.removed)), r.text)
                   for r in line_dedup.dedup_lines(df).collect())
     assert got == Counter([
-        (1, 0, (), rows[0][1]), (2, 1, ((2, 28),), "x\ny"), (2, 1, ((2, 28),), "x\ny"),
+        (1, 0, (), rows[0][1]), (2, 1, ((2, 27),), "x\ny"), (2, 1, ((2, 27),), "x\ny"),
         (3, 1, ((0, 24),), ""), (None, 1, ((0, 24),), ""), (4, 0, (), ""), (5, 0, (), "a b\na b"),
         (6, 1, ((27, 53),), "six words are in this line")])
     out = line_dedup.dedup_lines(edge).collect()

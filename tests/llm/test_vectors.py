@@ -35,11 +35,11 @@ def test_nearest_is_ranked_exact_and_found(spark):
 def test_nearest_over_many_lists_and_blocks(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(1500, 8))
-    x[200:700] = x[0] + rng.normal(size=(500, 8)) * 1e-3  # a dense group
+    x[200:700] = x[0] + rng.normal(size=(500, 8)) * 1e-3  # a dense group, many lists
     df = spark.createDataFrame([(i, v.tolist(), "e") for i, v in enumerate(x)],
                                "vec_id long, embedding array<double>, rank string")
     got = ann.nearest(df, df.where("vec_id % 50 = 0"), k=10, list_rows=50, block_rows=64,
-                      query_rows=5).collect()
+                      query_rows=5, probe_ratio=1.4).collect()
     hits = 0
     for q in range(0, 1500, 50):
         d = np.sqrt(((x - x[q]) ** 2).sum(1))
