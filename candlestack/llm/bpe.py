@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
-from candlestack.llm.common import no_null_text, on_workers
+from candlestack.llm.common import no_null_text, on_workers, slices
 
 #: Bytes in the rolling window; bits that must be set at a cut (2 KB chunks on
 #: average); bytes in a chunk at least.
@@ -37,7 +37,7 @@ WINDOW = 16
 CUT_BITS = 11
 LEAST_CHUNK = 256
 #: Ids that a worker keeps for reuse.
-MEMO_IDS = 8_000_000
+MEMO_IDS = 4_000_000
 
 #: Fixed value: the pre-tokeniser's pattern of byte-level vocabularies.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -138,7 +138,7 @@ def _chunk(vocab: Vocabulary, path: str, chunk: bytes) -> tuple:
     got = _MEMO.get(key)
     if got is None:
         ids = vocab.encode(chunk.decode("utf-8"))
-        got = (ids, np.cumsum(vocab.lengths[ids]))
+        got = (ids, np.cumsum(vocab.lengths[ids]).astype(np.uint32))
         if _MEMO_SIZE[0] > MEMO_IDS:
             _MEMO.clear()
             _MEMO_SIZE[0] = 0
@@ -190,7 +190,7 @@ def encode_text(text: str, path: str) -> np.ndarray:
 def encode_batches(batches: Iterator, path: str) -> Iterator:
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         ids = [encode_text(t, path) for t in batch["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))],
@@ -201,7 +201,7 @@ def decode_batches(batches: Iterator, path: str) -> Iterator:
     import pyarrow as pa
 
     vocab = vocabulary(path)
-    for batch in batches:
+    for batch in slices(batches):
         texts = [None if x is None else vocab.decode(np.array(x, np.int64))
                  for x in batch["ids"].to_pylist()]
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.string())],
@@ -214,7 +214,7 @@ def digest_batches(batches: Iterator, path: str) -> Iterator:
 
     vocab = vocabulary(path)
     digit, string = vocab.digits.__getitem__, vocab.strings.__getitem__
-    for batch in batches:
+    for batch in slices(batches):
         n, ids_sha, text_sha = [], [], []
         for text in batch["text"].to_pylist():
             ids = encode_text(text, path).tolist()

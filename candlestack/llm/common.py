@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from candlestack.session import materialize, scratch_path
 
 __all__ = ["WORD", "materialize", "scratch_path", "on_workers", "on_workers_grouped",
-           "text_key", "no_null_text",
+           "slices", "text_key", "no_null_text",
            "word_count"]
 
 #: A word: a run of anything but space, tab, line feed, vertical tab, form
@@ -52,6 +52,14 @@ def on_workers_grouped(module: str, name: str, *args) -> Callable:
     return call
 
 
+def slices(batches: Iterator, rows: int = 1_000) -> Iterator:
+    """Arrow batches in pieces of at most ``rows`` rows, so that the Python
+    objects of a whole batch never exist at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def no_null_text(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -19,7 +19,7 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame
 
-from candlestack.llm.common import on_workers
+from candlestack.llm.common import on_workers, slices
 
 THRESHOLD = 0.8
 
@@ -158,7 +158,7 @@ def scan_batches(batches: Iterator, templates, threshold: float) -> Iterator:
     matcher = Matcher(templates, threshold)
     hit = pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("license", pa.string()),
                      ("score", pa.float64())])
-    for batch in batches:
+    for batch in slices(batches):
         found = [[{"begin": a, "end": e, "license": n, "score": s}
                   for a, e, n, s in scan(t or "", matcher)] for t in batch["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.list_(hit))],

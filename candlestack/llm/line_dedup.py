@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlestack.llm.common import no_null_text, on_workers, text_key
+from candlestack.llm.common import no_null_text, on_workers, slices, text_key
 
 #: Lines with fewer words are never removed (headings, lone marks, numbers).
 MIN_WORDS = 5
@@ -29,7 +29,7 @@ def unit_batches(batches: Iterator, min_words: int) -> Iterator:
     """(doc_id, text_key, text) to one row per line of ``min_words`` words or more."""
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         ids, keys, digests, starts, ends = [], [], [], [], []
         for doc, key, text in zip(batch["doc_id"].to_pylist(), batch["text_key"].to_pylist(),
                                   batch["text"].to_pylist()):
@@ -93,7 +93,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def kept_batches(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         texts, lines = [], []
         for text, gone in zip(batch["text"].to_pylist(), batch["removed"].to_pylist()):
             cut = {g["begin"] for g in gone}

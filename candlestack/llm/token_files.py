@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlestack.llm.common import no_null_text, on_workers, scratch_path
+from candlestack.llm.common import no_null_text, on_workers, scratch_path, slices
 
 BLOCK_IDS = 65_536
 CHECKPOINT = 128
@@ -220,7 +220,7 @@ def id_batches(batches: Iterator, path: str, end_id: int) -> Iterator:
 
     enc = word_encoder(path)
     end = np.array([end_id], enc.dtype).tobytes()
-    for batch in batches:
+    for batch in slices(batches):
         raw = [x + end for x in enc.encode(batch["text"].to_pylist())]
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(raw, pa.binary())],
                                          ["doc_id", "ids"])
@@ -230,7 +230,7 @@ def count_batches(batches: Iterator, dtype: str) -> Iterator:
     import pyarrow as pa
 
     total = np.zeros(0, np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         n = np.bincount(np.frombuffer(b"".join(batch["ids"].to_pylist()), dtype),
                         minlength=len(total))
         n[:len(total)] += total
@@ -261,7 +261,7 @@ def block_batches(batches: Iterator, dtype: str, lengths: bytes) -> Iterator:
         row = [part, block, first, len(ids), docs, [len(p) // step for p in pieces], marks, bits]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
-    for batch in batches:
+    for batch in slices(batches):
         for doc, raw in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
             docs.append(doc)
             pieces.append(raw)
@@ -309,7 +309,7 @@ def doc_batches(batches: Iterator, lengths: bytes, keep_ids: bool) -> Iterator:
     import pyarrow as pa
 
     coder = Coder(np.frombuffer(lengths, np.uint8))
-    for batch in batches:
+    for batch in slices(batches):
         for row in batch.to_pylist():
             ids = coder.decode(row["checkpoints"], row["bits"], row["n_ids"])
             ends = np.cumsum(row["doc_lengths"])

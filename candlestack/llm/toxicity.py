@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlestack.llm.common import materialize, no_null_text, on_workers
+from candlestack.llm.common import materialize, no_null_text, on_workers, slices
 
 MAX_ROWS = 20_000
 N_FEATURES = 512
@@ -64,7 +64,7 @@ def buckets_of(text: str, bits: int) -> set:
 def bucket_batches(batches: Iterator, bits: int) -> Iterator:
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         found = [sorted(buckets_of(t, bits)) for t in batch["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch["label"], pa.array(found, pa.list_(pa.int32()))], ["label", "buckets"])
@@ -76,7 +76,7 @@ def score_batches(batches: Iterator, weights: dict) -> Iterator:
     model = Model(**weights)
     index = {int(b): i for i, b in enumerate(model.buckets)}
     known = index.keys()
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch["text"].to_pylist()
         x = np.zeros((len(texts), len(index)), np.float64)
         for row, text in enumerate(texts):
@@ -180,7 +180,7 @@ def rejected(score_col: Column, threshold: float = THRESHOLD) -> Column:
 def keep_clean_batches(batches: Iterator, weights: dict, threshold: float) -> Iterator:
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         texts = pa.RecordBatch.from_arrays(
             [pa.nulls(batch.num_rows, pa.int64()),
              pa.array([t or "" for t in batch["text"].to_pylist()], pa.string())],
