@@ -5,7 +5,7 @@ share a token within the first |x| - ceil(t |x|) + 1 tokens of both, whatever
 global order the tokens are put in.  Three orders are used: two put rare
 tokens first by two independent count sketches of the whole corpus, the third
 is the order of the hashes.  Candidates share a prefix token under the first
-order (with length and position bounds); before a pair is verified, its
+order (enough of them for the overlap that the threshold needs); before a pair is verified, its
 prefixes under the second and third order must intersect too.
 
 Near copies do not become all pairs: texts with equal shingle sets are one
@@ -19,6 +19,7 @@ Verification is exact on the whole sets.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlestack.llm.common import (materialize, no_null_text, on_workers,
-                                      on_workers_grouped)
+                                      on_workers_grouped, slices)
 from candlestack.llm.components import components
 
 WORDS = 5
@@ -34,8 +35,15 @@ THRESHOLD = 0.75
 #: Counters of each of the two sketches: 2 ** SKETCH_BITS.
 SKETCH_BITS = 22
 SLICES = 64
+#: A class is first compared with centres of its groups if it meets them in one
+#: in STAR of the tokens that a link needs: a centre may lack some tokens that
+#: the class shares with others.
+STAR = 3
+#: Bits of the filter by which a pass over the texts finds wanted documents,
+#: set at three places for each; a Spark bitmap holds 2 ** 15 of them.
+FILTER_BITS = 26
 #: Bytes of text that are hashed at once.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 _MUL = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0x9E3779B97F4A7C15
@@ -143,7 +151,7 @@ def survey_batches(batches: Iterator, words: int, bits: int) -> Iterator:
     names = ["doc_id", "n", "cls", "slice", "counts"]
     counts = [np.zeros(1 << bits, np.uint32) for _ in range(2)]
     seen: set = set()
-    for batch in batches:
+    for batch in slices(batches):
         sets = shingle_sets(batch["text"].to_pylist(), words)
         n = [len(s) for s in sets]
         cls = [set_class(s) if len(s) else None for s in sets]
@@ -158,32 +166,32 @@ def survey_batches(batches: Iterator, words: int, bits: int) -> Iterator:
             [batch["doc_id"], pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
              pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)
     if seen:
-        slices = [p.astype("<u4").tobytes() for k in range(2)
-                  for p in np.array_split(counts[k], SLICES)]
-        m = len(slices)
+        parts = [zlib.compress(p.astype("<u4").tobytes(), 1) for k in range(2)
+                 for p in np.array_split(counts[k], SLICES)]
+        m = len(parts)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-             pa.array(range(m), pa.int32()), pa.array(slices, pa.binary())], names)
+             pa.array(range(m), pa.int32()), pa.array(parts, pa.binary())], names)
 
 
 def sum_slices(table):
     """The sum of one slice over all tasks."""
     import pyarrow as pa
 
-    total = sum(np.frombuffer(b.as_py(), "<u4").astype(np.uint64) for b in table["counts"])
+    total = sum(np.frombuffer(zlib.decompress(b.as_py()), "<u4").astype(np.uint64) for b in table["counts"])
     total = np.minimum(total, np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
     return pa.table({"slice": pa.array([table["slice"][0].as_py()], pa.int32()),
                      "counts": pa.array([total], pa.binary())})
 
 
 def token_batches(batches: Iterator, words: int, t: float, ranks) -> Iterator:
-    """Prefix tokens under the first order: (token, cls, place), place = size
-    of the set * 2^31 + position.  A class comes once from each task."""
+    """Prefix tokens under the first order, with the size n of their set:
+    (token, cls, n).  A class comes once from each task."""
     import pyarrow as pa
 
     seen: set = set()
-    for batch in batches:
-        token, cls, place = [], [], []
+    for batch in slices(batches):
+        token, cls, n = [], [], []
         for s in shingle_sets(batch["text"].to_pylist(), words):
             if not len(s) or (c := set_class(s)) in seen:
                 continue
@@ -191,19 +199,26 @@ def token_batches(batches: Iterator, words: int, t: float, ranks) -> Iterator:
             p = prefix_length(len(s), t)
             token.append(in_order(s, ranks.value[0], 0)[:p].astype(np.int64))
             cls.append(np.full(p, c, np.int64))
-            place.append((len(s) << 31) + np.arange(p, dtype=np.int64))
-        arrays = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (token, cls, place)]
+            n.append(np.full(p, len(s), np.int64))
+        arrays = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (token, cls, n)]
         yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays],
-                                         ["token", "cls", "place"])
+                                         ["token", "cls", "n"])
 
 
-def set_batches(batches: Iterator, words: int, t: float, ranks) -> Iterator:
-    """(cls, tokens, second): the set in the order of the hashes (the third
-    order) and its prefix under the second order, ascending."""
+def set_batches(batches: Iterator, words: int, t: float, ranks, wanted) -> Iterator:
+    """(cls, tokens, second) of the documents whose places p0 to p2 are set in
+    the filter: the set in the order of the hashes (the third order) and its
+    prefix under the second order, ascending."""
     import pyarrow as pa
 
-    for batch in batches:
-        sets = [s for s in shingle_sets(batch["text"].to_pylist(), words) if len(s)]
+    bits = wanted.value
+    for batch in slices(batches):
+        hit = np.ones(batch.num_rows, bool)
+        for name in ("p0", "p1", "p2"):
+            p = batch[name].to_numpy()
+            hit &= (bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+        texts = batch["text"].filter(pa.array(hit)).to_pylist()
+        sets = [s for s in shingle_sets(texts, words) if len(s)]
         second = [np.sort(in_order(s, ranks.value[1], 1)[:prefix_length(len(s), t)])
                   for s in sets]
         yield pa.RecordBatch.from_arrays(
@@ -217,35 +232,47 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def verify_batches(batches: Iterator, t: float) -> Iterator:
-    """Pairs that pass the second and the third order and the exact Jaccard test."""
+    """Rows (a, b, side, tokens, second), sorted by pair and side, to the
+    pairs that pass the second and the third order and the exact test."""
     import pyarrow as pa
 
-    for batch in batches:
+    left = None
+    for batch in slices(batches):
         a, b = [], []
-        for row in zip(*(batch[c].to_pylist() for c in ("a", "b", "ta", "tb", "sa", "sb"))):
-            x, y = np.frombuffer(row[2], np.uint64), np.frombuffer(row[3], np.uint64)
-            p, q = prefix_length(len(x), t), prefix_length(len(y), t)
-            if not _common(np.frombuffer(row[4], np.uint64), np.frombuffer(row[5], np.uint64)):
-                continue
-            if not _common(x[:p], y[:q]):
-                continue
-            both = _common(x, y)
-            if both >= t * (len(x) + len(y) - both) - 1e-9:
-                a.append(row[0])
-                b.append(row[1])
+        for x, y, side, tokens, second in zip(*(batch[c].to_pylist() for c in (
+                "a", "b", "side", "tokens", "second"))):
+            if side == 0:
+                left = (x, y, tokens, second)
+            elif left is not None and left[:2] == (x, y):
+                if _linked(left[2], left[3], tokens, second, t):
+                    a.append(x)
+                    b.append(y)
+                left = None  # once for each pair
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                          ["a", "b"])
 
 
+def _linked(tokens_x: bytes, second_x: bytes, tokens_y: bytes, second_y: bytes, t: float) -> bool:
+    x, y = np.frombuffer(tokens_x, np.uint64), np.frombuffer(tokens_y, np.uint64)
+    if not _common(np.frombuffer(second_x, np.uint64), np.frombuffer(second_y, np.uint64)):
+        return False
+    if not _common(x[:prefix_length(len(x), t)], y[:prefix_length(len(y), t)]):
+        return False
+    both = _common(x, y)
+    return both >= t * (len(x) + len(y) - both) - 1e-9
+
+
 # --- the join ------------------------------------------------------------------
 
 def _verified(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
-    one = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"),
-                      F.col("second").alias("sa"))
-    two = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb"),
-                      F.col("second").alias("sb"))
-    return (pairs.join(one, "a").join(two, "b")
-            .select("a", "b", "ta", "tb", "sa", "sb")
+    """``pairs`` that link.  ``sets`` meets the pairs on the class, then both
+    sides of a pair meet, so a set moves once, and once for each of its pairs."""
+    sides = pairs.select("a", "b", F.explode(F.array(
+        F.struct(F.col("a").alias("cls"), F.lit(0).alias("side")),
+        F.struct(F.col("b").alias("cls"), F.lit(1).alias("side")))).alias("s")).select(
+        "a", "b", "s.*")
+    return (sets.join(sides, "cls").select("a", "b", "side", "tokens", "second")
+            .repartition("a", "b").sortWithinPartitions("a", "b", "side")
             .mapInArrow(on_workers("ngram_join", "verify_batches", t), "a long, b long"))
 
 
@@ -269,46 +296,78 @@ def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRE
         "doc_id long, n long, cls long, slice int, counts binary"), "survey")
     classes = survey.where("slice is null").select("doc_id", "n", "cls")
     # both sketches: 2 ** (sketch_bits + 1) numbers, whatever the corpus
-    slices = (survey.where("slice is not null").select("slice", "counts").groupBy("slice")
-              .applyInArrow(on_workers_grouped("ngram_join", "sum_slices"),
-                            "slice int, counts binary").collect())
-    got = {r.slice: np.frombuffer(bytes(r.counts), "<u4") for r in slices}
+    sums = (survey.where("slice is not null").select("slice", "counts").groupBy("slice")
+            .applyInArrow(on_workers_grouped("ngram_join", "sum_slices"),
+                          "slice int, counts binary").collect())
+    got = {r.slice: np.frombuffer(bytes(r.counts), "<u4") for r in sums}
     ranks = [np.concatenate([got[k * SLICES + i] for i in range(SLICES)]) if got else None
              for k in range(2)]
     shared = spark.sparkContext.broadcast(ranks)
 
     tokens = texts.select("text").mapInArrow(
         on_workers("ngram_join", "token_batches", words, threshold, shared),
-        "token long, cls long, place long")
+        "token long, cls long, n long")
     group = Window.partitionBy("token")
-    n, pos = F.shiftright("place", 31), F.col("place").bitwiseAND((1 << 31) - 1)
     grouped = materialize(
-        tokens.withColumn("lo", F.min(F.struct("cls", "place")).over(group))
-        .withColumn("hi", F.max(F.struct("cls", "place")).over(group))
-        .where("lo.cls <> hi.cls")
-        .select("token", "cls", n.alias("n"), pos.cast("int").alias("pos"),
-                F.col("lo.cls").alias("lo"), F.shiftright(F.col("lo.place"), 31).alias("lo_n"),
-                F.col("hi.cls").alias("hi"), F.shiftright(F.col("hi.place"), 31).alias("hi_n"))
-        .distinct(), "grouped")
-
-    def close(x, y):
-        return F.least(x, y) >= F.lit(threshold) * F.greatest(x, y) - 1e-9
-
-    low = grouped.where((F.col("cls") != F.col("lo")) & close(F.col("n"), F.col("lo_n"))).select(
-        F.col("lo").alias("a"), F.col("cls").alias("b"))
-    high = grouped.where((F.col("cls") != F.col("hi")) & close(F.col("n"), F.col("hi_n"))).select(
-        F.col("cls").alias("a"), F.col("hi").alias("b"))
-    first_pairs = materialize(low.unionAll(high).distinct(), "pairs")
+        tokens.withColumn("lo", F.min("cls").over(group))
+        .withColumn("hi", F.max("cls").over(group)).where("lo <> hi")
+        .select("token", "cls", "n").distinct(), "grouped")
+
+    # the prefixes share c tokens, and the rest of one of the two sets can add
+    # no more than its length, ceil(t n) - 1; together the overlap must reach
+    # t / (1 + t) (n + m)
+    def enough(c, x, y):
+        rest_of = F.greatest(F.ceil(F.lit(threshold) * x - 1e-9),
+                             F.ceil(F.lit(threshold) * y - 1e-9)) - 1
+        need = F.lit(threshold / (1 + threshold)) * (x + y) - 1e-6
+        return ((F.least(x, y) >= F.lit(threshold) * F.greatest(x, y) - 1e-9)
+                & (c + rest_of >= need))
+
+    # a group's centre is the class whose prefix tokens are shared most, on
+    # average: in a family of near copies the one with the fewest own edits
+    sizes = grouped.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+    weights = (grouped.join(sizes, "token").groupBy("cls", "n")
+               .agg(F.sum("size").alias("sum")).select(
+                   "cls", (F.col("sum") / (F.col("n") - F.ceil(
+                       F.lit(threshold) * F.col("n") - 1e-9) + 1)).alias("weight")))
+    weighed = grouped.join(weights, "cls")
+    centres = weighed.groupBy("token").agg(
+        F.max(F.struct("weight", F.col("cls").alias("centre"), F.col("n").alias("m"))).alias("top"))
+    near = (weighed.join(centres.select("token", "top.centre", "top.m",
+                                        F.col("top.weight").alias("of")), "token")
+            .where("cls <> centre")
+            .groupBy("cls", "centre").agg(
+                F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m"),
+                F.first("of").alias("of"))
+            .where(enough(STAR * F.col("c"), F.col("n"), F.col("m"))))
+    chosen = near.groupBy("cls").agg(F.max_by("centre", F.struct("c", "centre")).alias("one"),
+                                     F.max_by("centre", F.struct("of", "centre")).alias("two"))
+    first_pairs = materialize(
+        chosen.select("cls", F.explode(F.array("one", "two")).alias("with")).select(
+            F.least("cls", "with").alias("a"), F.greatest("cls", "with").alias("b")).distinct(),
+        "pairs")
 
     def sets_of(pairs: DataFrame) -> DataFrame:
+        """The sets of all classes in ``pairs``: one pass over the texts, which
+        a filter of fixed size over the ids of one holder of each class
+        narrows to little more than those; no text is shuffled."""
         needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
         holders = (classes.where("cls is not null").groupBy("cls")
                    .agg(F.min("doc_id").alias("doc_id")).join(needed, "cls", "left_semi"))
-        some = texts.join(holders.select("doc_id"), texts["doc_id"].eqNullSafe(holders["doc_id"]),
-                          "left_semi").select("text")
-        sets = some.mapInArrow(on_workers("ngram_join", "set_batches", words, threshold, shared),
-                               "cls long, tokens binary, second binary")
-        return materialize(sets.join(needed, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+        places = [F.pmod(F.xxhash64("doc_id", F.lit(i)), F.lit(1 << FILTER_BITS)).cast("long")
+                  for i in range(3)]
+        # at most 2 ** FILTER_BITS bits
+        maps = (holders.select(F.explode(F.array(*places)).alias("p"))
+                .groupBy(F.shiftright("p", 15).alias("bucket"))
+                .agg(F.bitmap_construct_agg(F.col("p").bitwiseAND((1 << 15) - 1)).alias("bits"))
+                .collect())
+        bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+        for r in maps:
+            bits[r.bucket << 12:(r.bucket + 1) << 12] = np.frombuffer(bytes(r.bits), np.uint8)
+        wanted = spark.sparkContext.broadcast(bits)
+        return texts.select("text", *[p.alias(f"p{i}") for i, p in enumerate(places)]).mapInArrow(
+            on_workers("ngram_join", "set_batches", words, threshold, shared, wanted),
+            "cls long, tokens binary, second binary")
 
     first = materialize(_verified(first_pairs, sets_of(first_pairs), threshold), "links")
     member = materialize(components(first), "members")
@@ -319,19 +378,37 @@ def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     spread = left.groupBy("token").agg(F.min("component").alias("c0"),
                                        F.max("component").alias("c1")).where("c0 <> c1")
     left = materialize(left.join(spread.select("token"), "token", "left_semi")
-                       .select("token", "cls", "component", "n", "pos", "lo", "hi"), "left")
-    x = left.select("token", F.col("cls").alias("a"), F.col("component").alias("ca"),
-                    F.col("n").alias("na"), F.col("pos").alias("pa"), "lo", "hi")
-    y = left.select("token", F.col("cls").alias("b"), F.col("component").alias("cb"),
-                    F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    # the first common token leaves room for the overlap that the threshold needs
-    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    need = F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("nb")) - 1e-6
+                       .select("token", "cls", "component", "n"), "left")
+    # pairs of components whose tokens, taken together, may be enough for some
+    # pair of their classes; only those are opened into classes
+    t = F.lit(threshold)
+    parts = left.groupBy("token", "component").agg(F.min("n").alias("low"),
+                                                   F.max("n").alias("high"))
+    one = parts.select("token", *[F.col(c).alias(f"{c}_a") for c in ("component", "low", "high")])
+    two = parts.select("token", *[F.col(c).alias(f"{c}_b") for c in ("component", "low", "high")])
+    # for sizes m <= n a link needs t / (1 + t) (m + n) - ceil(t n) + 1 tokens
+    # at least, which is least for the smallest m and the largest n
+    least_need = (t / (1 + t) * F.min(F.least("low_a", "low_b"))
+                  - (t - t / (1 + t)) * F.max(F.greatest("high_a", "high_b")) - 1e-6)
+    open_ = (one.join(two, "token")
+             .where((F.col("component_a") < F.col("component_b"))
+                    & (F.col("high_a") >= t * F.col("low_b") - 1e-9)
+                    & (F.col("high_b") >= t * F.col("low_a") - 1e-9))
+             .groupBy("component_a", "component_b")
+             .agg(F.count(F.lit(1)).alias("c"), least_need.alias("need"))
+             .where("c >= need").select("component_a", "component_b"))
+    x = left.select("token", F.col("cls").alias("u"), F.col("component").alias("component_a"),
+                    F.col("n").alias("x")).join(open_, "component_a")
+    y = left.select("token", F.col("cls").alias("v"), F.col("component").alias("component_b"),
+                    F.col("n").alias("y"))
+    similar = F.least("x", "y") >= t * F.greatest("x", "y") - 1e-9
     rest = materialize(
-        x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                 & (F.col("a") != F.col("lo")) & (F.col("b") != F.col("hi"))
-                                 & close(F.col("na"), F.col("nb")) & (room >= need))
-        .select("a", "b").distinct(), "rest")
+        x.join(y, ["token", "component_b"]).where(similar)
+        .groupBy("u", "v").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("x"),
+                               F.min("y").alias("y"))
+        .where(enough(F.col("c"), F.col("x"), F.col("y")))
+        .select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+        .join(first_pairs, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         second = _verified(rest, sets_of(rest), threshold)
         member = materialize(components(
