@@ -170,12 +170,11 @@ def disclosure(texts: DataFrame, marked: DataFrame, min_support: int,
         F.regexp_extract_all(no_null_text("text"), F.lit(TERM), F.lit(0)), F.lower)))
         .alias("term"))
     counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    total = texts.agg(F.count(F.lit(1)).alias("n"))
-    share = (F.log2(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-             / F.log2(F.col("n") / F.col("n_e")))
+    total = F.lit(texts.count())
+    share = (F.log2(total * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+             / F.log2(total / F.col("n_e")))
     return (pairs.join(entities, "entity").join(counts, "term")
-            .join(F.broadcast(total))  # one row
-            .where(F.col("n") > F.col("n_e"))
+            .where(total > F.col("n_e"))
             .select("entity", "term", share.alias("share"))
             .where(F.col("share") >= generalise_at))
 
