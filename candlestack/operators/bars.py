@@ -34,32 +34,6 @@ def _key_parts(ticks: DataFrame, columns: Sequence[str], ts: str | None) -> list
     return ([time_of_day_micros(ticks, ts)] if ts else []) + [F.col(c) for c in columns]
 
 
-def tick_statistics(ticks: DataFrame, columns: Sequence[str], ts: str):
-    """One global aggregate (a single row) over the ticks: the (min, max) of
-    every part of the tick order (None when a part is not an integer or
-    holds NULLs) and the first and last day.  A statistic of the table:
-    callers may reuse it for any subset of the same files.  The day span
-    bounds the number of daily bars per symbol (``bars_per_symbol_bound``).
-    """
-    integral = all(isinstance(ticks.schema[c].dataType, T.IntegralType) for c in columns)
-    parts = _key_parts(ticks, columns, ts) if integral else []
-    day = F.to_date(F.col(ts))
-    row = ticks.agg(F.count(F.lit(1)), F.min(day), F.max(day),
-                    *[f(p) for p in parts for f in (F.min, F.max, F.count)]).first()
-    total, first_day, last_day, stats = row[0], row[1], row[2], row[3:]
-    ranges = None
-    if integral and all(n == total for n in stats[2::3]):
-        ranges = list(zip(stats[0::3], stats[1::3]))
-    return ranges, first_day, last_day
-
-
-def bars_per_symbol_bound(first_day, last_day) -> int | None:
-    """Daily bars of one symbol cannot exceed the days spanned."""
-    if first_day is None or last_day is None:
-        return None
-    return (last_day - first_day).days + 1
-
-
 def key_ranges(ticks: DataFrame, columns: Sequence[str], ts: str | None = None):
     """(min, max) of every part of the tick order, from one global aggregate
     (a single row), or None when a part is not an integer or holds NULLs.  A
@@ -82,13 +56,13 @@ def pack_sequence_key(ticks: DataFrame, columns: Sequence[str], ts: str | None,
     """Pack the tick order into one number sized by ``ranges``: a BIGINT when
     the parts' bit widths sum to at most 63, else a DECIMAL(38,0) when they
     fit 38 digits, else None.  Comparing keys equals comparing the tuples; a
-    value outside its range (data changed since) raises."""
+    value outside its range raises.  ``ranges`` are declared by the caller."""
     if ranges is None or any(lo is None or lo < 0 for lo, _ in ranges):
         return None
     parts = _key_parts(ticks, columns, ts)
     highs = [int(hi) for _, hi in ranges]
     checked = [F.when((p >= 0) & (p <= F.lit(hi)), p).otherwise(
-        F.raise_error(F.lit("tick key part outside its measured range")))
+        F.raise_error(F.lit("tick key part outside its declared range")))
         for p, hi in zip(parts, highs)]
     widths = [hi.bit_length() for hi in highs]
     if sum(widths) <= 63:
@@ -185,16 +159,16 @@ def split_adjust(bars: DataFrame, factor: float = 1.0,
     return bars.withColumns({c: _q(c) / F.lit(float(factor)) for c in present})
 
 
-# Names of the derived bar columns.
-DERIVED_COLUMNS = ("Return", "AVG Price", "Close Pct Change")
-
-
 def derived_columns(bars: DataFrame) -> DataFrame:
-    """Intraday ``Return`` = (Close-Open)/Open, ``AVG Price`` = (Open+Close)/2,
-    ``Close Pct Change`` = Return x 100.  NULL (not an error) when Open is 0."""
-    ret = safe_div(F.col("Close") - F.col("Open"), F.col("Open"))
-    values = (ret, (F.col("Open") + F.col("Close")) / 2, ret * 100)
-    return bars.withColumns(dict(zip(DERIVED_COLUMNS, values)))
+    """Three columns per bar, NULL (not an error) when Open is 0: the move
+    within the day relative to the open, the middle of open and close, and the
+    move in percent."""
+    move = safe_div(F.col("Close") - F.col("Open"), F.col("Open"))
+    return bars.withColumns({  # fixed values: the three names
+        "Return": move,
+        "AVG Price": (F.col("Open") + F.col("Close")) / 2,
+        "Close Pct Change": move * 100,
+    })
 
 
 def normalise_bars(df: DataFrame, renames: Mapping[str, str] | None = None,
@@ -216,14 +190,14 @@ def normalise_bars(df: DataFrame, renames: Mapping[str, str] | None = None,
 def coerce_defaults(df: DataFrame, schema: T.StructType, default=None) -> DataFrame:
     """Project onto ``schema``: cast each field with ``try_cast`` (bad text ->
     NULL); absent fields become NULL.  With ``default`` given, NULLs (absent,
-    null or uncastable) of numeric and text fields become that value."""
+    null or uncastable) of numeric fields become that value."""
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
             c = _q(f.name).try_cast(f.dataType)
         else:
             c = F.lit(None).cast(f.dataType)
-        if default is not None and isinstance(f.dataType, (T.NumericType, T.StringType)):
+        if default is not None and isinstance(f.dataType, T.NumericType):
             c = F.coalesce(c, F.lit(default).cast(f.dataType))
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -55,30 +55,19 @@ def _seconds_between(a: Column, b: Column) -> Column:
     return (wall_clock_micros(b) - wall_clock_micros(a)) / F.lit(1_000_000.0)
 
 
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the largest ``key`` group: one partial/final count (reading
-    only the key column) and a single-row max."""
-    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(n or 0)
-
-
 def uptime_gaps(events: DataFrame, threshold_seconds: float = 3600.0,
                 key: str = "event_type", ts: str = "ts", tiebreak: str = "event_id",
-                seg_rows: int = DEFAULT_SEG_ROWS, measure: bool = True) -> DataFrame:
+                seg_rows: int = DEFAULT_SEG_ROWS) -> DataFrame:
     """Silences longer than ``threshold_seconds`` between consecutive
     heartbeats of a monitor: (monitor, gap_start, gap_end, gap_seconds).
 
-    ``measure`` counts the rows of the largest monitor first (a cheap scan
-    of the key column).  Within ``MAX_TASK_ROWS`` each monitor's series is
-    windowed in one task; beyond it (a monitor holding a large share of the
-    data) ``lag`` runs on bounded segments with a one-row halo
-    (``operators.series``), spread over many tasks.
+    Nothing bounds the heartbeats of one monitor, so ``lag`` always runs on
+    bounded segments with a one-row halo (``operators.series``).
     """
     prev = "_prev_ts"
-    bound = largest_group(events, key) if measure else None
     with_prev = series_columns(
         events.select(key, ts, tiebreak), keys=[key], order=[ts, tiebreak], halo=1,
-        stages=lambda w: [{prev: F.lag(ts).over(w)}], seg_rows=seg_rows, rows_bound=bound)
+        stages=lambda w: [{prev: F.lag(ts).over(w)}], seg_rows=seg_rows)
     gap = _seconds_between(F.col(prev), F.col(ts))
     return (with_prev.where(gap > F.lit(float(threshold_seconds)))
             .select(F.col(key).alias("monitor"), F.col(prev).alias("gap_start"),

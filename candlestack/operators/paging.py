@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from candlestack.functions.numeric import avg_rounded
 from candlestack.operators.series import position_index
 
-# Up to this many leading rows a page is cut by a bounded top-N sort
-# (TakeOrderedAndProject); deeper pages use distributed row positions.
-TOP_N_PAGE_LIMIT = 100_000
-
 
 def date_range(bars: DataFrame, start, end, col: str = "Date") -> DataFrame:
     """Rows with ``start <= col <= end``.  On a Parquet scan the bounds are
@@ -31,7 +27,7 @@ def date_range(bars: DataFrame, start, end, col: str = "Date") -> DataFrame:
     return out
 
 
-def top_k_latest(bars: DataFrame, k: int = 10_000) -> DataFrame:
+def top_k_latest(bars: DataFrame, k: int) -> DataFrame:
     """The ``k`` newest bars (Date desc, symbol asc): a top-k sort that keeps
     at most ``k`` rows per task, then ascending for display."""
     newest = bars.orderBy(F.col("Date").desc(), F.col("symbol").asc()).limit(k)
@@ -39,23 +35,20 @@ def top_k_latest(bars: DataFrame, k: int = 10_000) -> DataFrame:
 
 
 def _bar_positions(bars: DataFrame, keys: Sequence[str],
-                   rows_bound: int | None = None) -> DataFrame:
+                   bounded: bool = False) -> DataFrame:
     return position_index(bars, keys, ["symbol", "Date"] if not keys else ["Date"],
-                          rows_bound=rows_bound)
+                          bounded=bounded)
 
 
 def page(bars: DataFrame, n: int, k: int,
-         order: Sequence[str] = ("symbol", "Date"),
-         top_n_limit: int = TOP_N_PAGE_LIMIT) -> DataFrame:
-    """Page ``n`` (0-based) of ``k`` rows in (symbol, Date) order.
+         order: Sequence[str] = ("symbol", "Date")) -> DataFrame:
+    """Page ``n`` (0-based) of ``k`` rows in the given total order.
 
     Skips, then takes (the reverse of limit-then-offset, which empties every
-    page after the first).  Shallow pages use a bounded top-N sort; deep pages
-    use distributed positions so no task holds ``n*k`` rows.
+    page after the first).  Rows are found by their distributed position,
+    whatever the depth, so no task holds ``n*k`` rows.
     """
-    if (n + 1) * k <= top_n_limit or tuple(order) != ("symbol", "Date"):
-        return bars.orderBy(*order).offset(n * k).limit(k)
-    pos = _bar_positions(bars, [])
+    pos = position_index(bars, [], list(order))
     return (pos.where(F.col("_pos").between(n * k, n * k + k - 1))
             .orderBy("_pos").drop("_pos"))
 
@@ -64,12 +57,12 @@ def total_pages(df: DataFrame, k: int) -> DataFrame:
     return df.agg(F.ceil(F.count(F.lit(1)) / F.lit(k)).cast("long").alias("total_pages"))
 
 
-def page_stats(bars: DataFrame, k: int = 5, rows_bound: int | None = None) -> DataFrame:
+def page_stats(bars: DataFrame, k: int = 5, bounded: bool = False) -> DataFrame:
     """Statistics of every page of ``k`` bars of each symbol in one job:
-    first/last date, mean close (2 digits), total volume, rows.  With a
-    proven bound on bars per symbol (``rows_bound``) positions come from a
-    per-symbol ``row_number``; otherwise from the global sort."""
-    pos = _bar_positions(bars, ["symbol"], rows_bound)
+    first/last date, mean close (2 digits), total volume, rows.  For bars
+    keyed by symbol and date (``bounded``) positions come from a per-symbol
+    ``row_number``; otherwise from the global sort."""
+    pos = _bar_positions(bars, ["symbol"], bounded)
     return (pos.withColumn("page", F.floor(F.col("_pos") / F.lit(k)))
             .groupBy("symbol", "page")
             .agg(F.min("Date").alias("Start_Date"), F.max("Date").alias("End_Date"),

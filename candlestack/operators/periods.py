@@ -99,9 +99,10 @@ def period_stats_long(bars: DataFrame, with_start: bool = True,
     g = (labelled.groupingSets([["symbol", "Year"], ["symbol", "Quarter"],
                                 ["symbol", "Month"]],
                                "symbol", "Year", "Quarter", "Month")
-         .agg(*_stat_aggs(digits)))
-    ptype = (F.when(F.col("Month").isNotNull(), F.lit("monthly"))
-             .when(F.col("Quarter").isNotNull(), F.lit("quarterly"))
+         .agg(F.grouping_id().alias("_set"), *_stat_aggs(digits)))
+    # bit of a column set: grouped out; (symbol, Year, Quarter, Month)
+    ptype = (F.when(F.col("_set") == 0b0110, F.lit("monthly"))
+             .when(F.col("_set") == 0b0101, F.lit("quarterly"))
              .otherwise(F.lit("yearly")))
     long = g.select(
         "symbol", ptype.alias("period_type"),

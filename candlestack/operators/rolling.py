@@ -6,9 +6,9 @@ W27 (annualised volatility), W37 (last-n-days analysis).
 Definitions follow the pandas ones the reference used: ``pct_change``
 (first row NULL), ``rolling(n).mean()`` / ``.std()`` (NULL until n non-null
 values are in the frame; sample stddev).  All frames look back only, so they
-run on bounded series segments (``operators.series``); only when the caller
-proves the bars per symbol small (``rows_bound``) do they run one task per
-symbol.
+run on bounded series segments (``operators.series``), or, for bars keyed by
+symbol and date (``bounded=True``), whose number the calendar bounds, one task
+per symbol.
 """
 
 from __future__ import annotations
@@ -27,9 +27,9 @@ PREV = "_prev_close"
 
 
 def _bar_series(bars: DataFrame, halo: int, stages, seg_rows: int,
-                rows_bound: int | None) -> DataFrame:
+                bounded: bool) -> DataFrame:
     out = series_columns(bars, keys=["symbol"], order=["Date"], halo=halo,
-                         stages=stages, seg_rows=seg_rows, rows_bound=rows_bound)
+                         stages=stages, seg_rows=seg_rows, bounded=bounded)
     return out.drop(PREV)
 
 
@@ -54,34 +54,34 @@ def _vol_expr(w: WindowSpec, n: int, col: str, periods: int) -> Column:
 
 
 def daily_return(bars: DataFrame, out: str = "Daily Return",
-                 seg_rows: int = DEFAULT_SEG_ROWS, rows_bound: int | None = None) -> DataFrame:
+                 seg_rows: int = DEFAULT_SEG_ROWS, bounded: bool = False) -> DataFrame:
     return _bar_series(bars, 1, lambda w: [_prev_stage(w), {out: _return_expr()}],
-                       seg_rows, rows_bound)
+                       seg_rows, bounded)
 
 
 def moving_average(bars: DataFrame, n: int, out: str | None = None,
-                   seg_rows: int = DEFAULT_SEG_ROWS, rows_bound: int | None = None) -> DataFrame:
+                   seg_rows: int = DEFAULT_SEG_ROWS, bounded: bool = False) -> DataFrame:
     out = out or f"MA{n}"
     return _bar_series(bars, n - 1, lambda w: [{out: _mean_expr(w, n)}], seg_rows,
-                       rows_bound)
+                       bounded)
 
 
 def volatility(bars: DataFrame, n: int = 20, periods: int = TRADING_DAYS_PER_YEAR,
                out: str = "Volatility", seg_rows: int = DEFAULT_SEG_ROWS,
-               rows_bound: int | None = None) -> DataFrame:
+               bounded: bool = False) -> DataFrame:
     """n-row sample stddev of the daily return, annualised by sqrt(periods).
     Needs n returns, so the first value appears at row n+1."""
     return _bar_series(
         bars, n,
         lambda w: [_prev_stage(w), {"Daily Return": _return_expr()},
                    {out: _vol_expr(w, n, "Daily Return", periods)}],
-        seg_rows, rows_bound)
+        seg_rows, bounded)
 
 
 def rolling_analytics(bars: DataFrame, ma: tuple[int, ...] = (5, 20), vol_n: int = 20,
                       periods: int = TRADING_DAYS_PER_YEAR,
                       seg_rows: int = DEFAULT_SEG_ROWS,
-                      rows_bound: int | None = None) -> DataFrame:
+                      bounded: bool = False) -> DataFrame:
     """Daily Return, MA5, MA20 and Volatility in one segmented window pass."""
     halo = max([vol_n] + [n - 1 for n in ma])
 
@@ -91,7 +91,7 @@ def rolling_analytics(bars: DataFrame, ma: tuple[int, ...] = (5, 20), vol_n: int
         return [first, {"Daily Return": _return_expr()},
                 {"Volatility": _vol_expr(w, vol_n, "Daily Return", periods)}]
 
-    return _bar_series(bars, halo, stages, seg_rows, rows_bound)
+    return _bar_series(bars, halo, stages, seg_rows, bounded)
 
 
 def last_n_days(bars: DataFrame, days: int = 30, as_of=None) -> DataFrame:
@@ -110,4 +110,4 @@ def analyze_last_n_days(bars: DataFrame, days: int = 30, as_of=None,
     (symbol, Date), so a symbol has at most ``days + 1`` rows in the slice:
     the windows run per symbol."""
     return rolling_analytics(last_n_days(bars, days, as_of), seg_rows=seg_rows,
-                             rows_bound=days + 1)
+                             bounded=True)

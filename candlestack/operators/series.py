@@ -28,9 +28,10 @@ Instead:
 Results are exactly those of the series-wide window; every task holds at
 most ``seg_rows + halo`` rows or one balanced sort partition.
 
-When the caller can prove every series small (``rows_bound`` at most
-``MAX_TASK_ROWS``; daily bars per symbol never exceed the days spanned), the
-plain per-series window is used instead: one shuffle, no sort or write.
+Series that their key bounds (``bounded=True``: daily bars keyed by symbol and
+date cannot outnumber the days of history, at any tick volume) use the plain
+per-series window instead: one shuffle, no sort or write.  The caller states
+this once per operator; nothing is measured and no size switches the plan.
 """
 
 from __future__ import annotations
@@ -44,10 +45,6 @@ from candlestack.session import materialize
 
 DEFAULT_SEG_ROWS = 250_000
 
-# A series proven (by the caller, from data statistics) to hold at most this
-# many rows is windowed in one task, like a broadcast behind a size check.
-MAX_TASK_ROWS = 2_000_000
-
 POS = "_pos"
 SEG = "_seg"
 HALO = "_halo"
@@ -92,16 +89,15 @@ def global_positions(df: DataFrame, order: Sequence[str | Column],
 
 
 def position_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                   pos_col: str = POS, rows_bound: int | None = None) -> DataFrame:
+                   pos_col: str = POS, bounded: bool = False) -> DataFrame:
     """Add ``pos_col``: 0-based rank of each row inside its ``keys`` group.
 
     Global positions minus the group's first position; the per-group minimum
     is a partial/final aggregate, joined back on the keys (AQE broadcasts it
-    when small and splits skewed partitions otherwise).  With a proven
-    ``rows_bound`` per group of at most ``MAX_TASK_ROWS``, a per-group
-    ``row_number`` is used instead."""
+    when small and splits skewed partitions otherwise).  For groups
+    that their key bounds (``bounded``) it is a per-group ``row_number``."""
     keys = list(keys)
-    if keys and rows_bound is not None and rows_bound <= MAX_TASK_ROWS:
+    if keys and bounded:
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
         return df.withColumn(pos_col, F.row_number().over(w) - 1)
     g = global_positions(df, [*keys, *order])
@@ -132,21 +128,19 @@ def series_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
                    halo: int,
                    stages: Callable[[WindowSpec], list[dict[str, Column]]],
                    seg_rows: int = DEFAULT_SEG_ROWS,
-                   rows_bound: int | None = None) -> DataFrame:
+                   bounded: bool = False) -> DataFrame:
     """Add window columns computed over each ordered series.
 
     ``stages(w)`` returns a list of ``{name: expression}`` dicts evaluated in
     turn over ``w`` (later stages may use earlier columns).  Every frame must
     look back at most ``halo`` rows and never forward.
 
-    ``rows_bound`` is a proven upper bound on the rows of any one series
-    (e.g. daily bars per symbol cannot exceed the days spanned).  When it is
-    at most ``MAX_TASK_ROWS`` the series are windowed directly, one task per
-    series; otherwise (or without a bound) the input is globally sorted and
+    Series that their key bounds (``bounded``: daily bars keyed by symbol and
+    date) are windowed directly, one task per series; all others are globally sorted and
     cut into halo segments, read once by the materialised sort.
     """
     keys = list(keys)
-    if keys and rows_bound is not None and rows_bound <= MAX_TASK_ROWS:
+    if keys and bounded:
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
         out = df
         for stage in stages(w):

@@ -236,7 +236,7 @@ ORACLE["date_range"] = _with(BARS_CTE) + f"""
 SELECT {_bar_cols()} FROM bars WHERE "Date" BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"""
 
 ORACLE["top_k_latest"] = _with(BARS_CTE) + f"""
-SELECT {_bar_cols()} FROM bars ORDER BY "Date" DESC, symbol ASC LIMIT 10000"""
+SELECT {_bar_cols()} FROM bars ORDER BY "Date" DESC, symbol ASC LIMIT 100"""
 
 ORACLE["page"] = _with(BARS_CTE) + f"""
 SELECT {_bar_cols()} FROM bars ORDER BY symbol, "Date" LIMIT 5 OFFSET 10"""
@@ -455,8 +455,10 @@ ORACLE["metric_window_stream_daily_files"] = ORACLE["metric_window"]
 ORACLE["top_k_latest_documents"] = _with(BARS_CTE) + f"""
 SELECT {_bar_cols()}, ("Close" - "Open") / "Open" AS "Return",
        ("Open" + "Close") / 2 AS "AVG Price", ("Close" - "Open") / "Open" * 100 AS "Close Pct Change"
-FROM bars ORDER BY "Date" DESC, symbol ASC LIMIT 10000"""
+FROM bars ORDER BY "Date" DESC, symbol ASC LIMIT 100"""
 
+ORACLE["scan_documents"] = ORACLE["top_k_latest_documents"].replace(
+    ' ORDER BY "Date" DESC, symbol ASC LIMIT 100', "")
 ORACLE["period_stats_from_landed"] = ORACLE["period_stats_long"]
 ORACLE["bars_from_tick_stream"] = ORACLE["bars_daily"]
 

@@ -58,60 +58,22 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_of(read_table(spark, sf_dir, "lineitem"))
 
 
-# Tick statistics (key ranges, first and last day) of the lineitem files:
-# computed once per file set (path, size, modification time) and reused by
-# every query and subset.
-_STATS: dict[tuple, tuple] = {}
-
-
-def _file_signature(df: DataFrame) -> tuple:
-    files = sorted(df.inputFiles())
-    try:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # no JVM handle (remote session): names only
-        return tuple(files)
-    sig = []
-    for f in files:
-        hp = jvm.org.apache.hadoop.fs.Path(f)
-        st = hp.getFileSystem(conf).getFileStatus(hp)
-        sig.append((f, st.getLen(), st.getModificationTime()))
-    return tuple(sig)
-
-
-def tick_stats(table: DataFrame) -> tuple:
-    sig = (_file_signature(table), LINEITEM_ORDER)
-    if sig not in _STATS:
-        _STATS[sig] = B.tick_statistics(table, LINEITEM_ORDER, ts="l_shipdate")
-    return _STATS[sig]
-
-
-def bars_of(ticks: DataFrame, table: DataFrame | None = None, **kw) -> DataFrame:
-    """Bars of ``ticks`` (the lineitem table or a subset of it, ``table``
-    being the whole table) with the packed tick order when it fits."""
-    ranges, _, _ = tick_stats(ticks if table is None else table)
-    seq = B.pack_sequence_key(ticks, LINEITEM_ORDER, "l_shipdate", ranges)
-    return B.bars_from_ticks(ticks, seq=seq, **kw)
+# Declared largest values of the tick order's parts: microseconds of the day,
+# then LINEITEM_ORDER.  Together 38 digits; a larger value raises.
+TICK_RANGES = ((0, 86_399_999_999), (0, 10 ** 12 - 1), (0, 99), (0, 10 ** 7 - 1),
+               (0, 10 ** 6 - 1))
 
 
-def bars_bound(spark: SparkSession, sf_dir: str) -> int | None:
-    """Proven bound on daily bars per symbol: the days the ticks span."""
-    _, first, last = tick_stats(read_table(spark, sf_dir, "lineitem"))
-    return B.bars_per_symbol_bound(first, last)
+def bars_of(ticks: DataFrame, **kw) -> DataFrame:
+    """Bars of ``ticks`` with the packed tick order.  No job runs when the
+    query is built."""
+    seq = B.pack_sequence_key(ticks, LINEITEM_ORDER, "l_shipdate", TICK_RANGES)
+    return B.bars_from_ticks(ticks, seq=seq, **kw)
 
 
 LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-def bars_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars written to the shared checkpoint folder, for plans that read
-    their input more than once (a scalar subquery plus the rows, or two
-    aggregates): the tick aggregation then runs once instead of once per
-    pass.  (Series operators materialise their own sorted input.)"""
-    return materialize(bars(spark, sf_dir))
-
-
 @register("bars_daily")
 def q_bars_daily(spark, sf_dir):
     return bars(spark, sf_dir)
@@ -187,26 +149,22 @@ def q_monthly_analysis(spark, sf_dir):
 
 @register("daily_return")
 def q_daily_return(spark, sf_dir):
-    return round_doubles(R.daily_return(bars(spark, sf_dir),
-                                        rows_bound=bars_bound(spark, sf_dir)))
+    return round_doubles(R.daily_return(bars(spark, sf_dir), bounded=True))
 
 
 @register("moving_avg_5")
 def q_moving_avg_5(spark, sf_dir):
-    return round_doubles(R.moving_average(bars(spark, sf_dir), 5,
-                                          rows_bound=bars_bound(spark, sf_dir)))
+    return round_doubles(R.moving_average(bars(spark, sf_dir), 5, bounded=True))
 
 
 @register("moving_avg_20")
 def q_moving_avg_20(spark, sf_dir):
-    return round_doubles(R.moving_average(bars(spark, sf_dir), 20,
-                                          rows_bound=bars_bound(spark, sf_dir)))
+    return round_doubles(R.moving_average(bars(spark, sf_dir), 20, bounded=True))
 
 
 @register("volatility_20")
 def q_volatility_20(spark, sf_dir):
-    return round_doubles(R.volatility(bars(spark, sf_dir), 20,
-                                      rows_bound=bars_bound(spark, sf_dir)))
+    return round_doubles(R.volatility(bars(spark, sf_dir), 20, bounded=True))
 
 
 def recent_bars(spark: SparkSession, sf_dir: str, days: int = 30):
@@ -243,8 +201,7 @@ def q_summary_stats(spark, sf_dir):
 
 @register("describe_exact")
 def q_describe_exact(spark, sf_dir):
-    return round_doubles(S.describe_exact(bars_once(spark, sf_dir), digits=4,
-                                          rows_bound=bars_bound(spark, sf_dir)))
+    return round_doubles(S.describe_exact(bars(spark, sf_dir), digits=4, bounded=True))
 
 
 @register("describe_last_n_days")
@@ -252,7 +209,7 @@ def q_describe_last_n_days(spark, sf_dir):
     recent, as_of = recent_bars(spark, sf_dir, 30)
     # two aggregates read the slice: write the (small) slice once
     return round_doubles(S.describe_exact(materialize(R.last_n_days(recent, 30, as_of)),
-                                          digits=4, rows_bound=31))
+                                          digits=4, bounded=True))
 
 
 @register("headline_stats")
@@ -282,18 +239,26 @@ def q_date_range_landed(spark, sf_dir):
 
 @register("top_k_latest")
 def q_top_k_latest(spark, sf_dir):
-    return G.top_k_latest(bars(spark, sf_dir), k=10_000)
+    return G.top_k_latest(bars(spark, sf_dir), k=100)
 
 
-@register("top_k_latest_documents")
-def q_top_k_latest_documents(spark, sf_dir):
-    # Bars written as keyed documents, read back from the document files and
-    # ranked newest first: the index read of the reference, on landed data.
+def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars written as keyed documents and read back from the document files."""
     path = scratch_path(spark, "bar-docs")
     D.write_documents(D.bar_documents(B.derived_columns(bars(spark, sf_dir))), path)
     docs = spark.read.schema("_id string, _source string, _index string").json(path)
-    parsed = docs.select(F.from_json("_source", STOCK_DOC).alias("d")).select("d.*")
-    return G.top_k_latest(parsed, k=10_000)
+    return docs.select(F.from_json("_source", STOCK_DOC).alias("d")).select("d.*")
+
+
+@register("scan_documents")
+def q_scan_documents(spark, sf_dir):
+    # The whole index, newest first: no request limit.
+    return landed_documents(spark, sf_dir).orderBy(F.col("Date").desc(), "symbol")
+
+
+@register("top_k_latest_documents")
+def q_top_k_latest_documents(spark, sf_dir):
+    return G.top_k_latest(landed_documents(spark, sf_dir), k=100)
 
 
 @register("page")
@@ -303,8 +268,7 @@ def q_page(spark, sf_dir):
 
 @register("page_deep")
 def q_page_deep(spark, sf_dir):
-    # Page 1,000 of 5 rows with the top-N cut-off below it: row positions.
-    return G.page(bars(spark, sf_dir), n=1_000, k=5, top_n_limit=1_000)
+    return G.page(bars(spark, sf_dir), n=1_000, k=5)
 
 
 @register("total_pages")
@@ -314,7 +278,7 @@ def q_total_pages(spark, sf_dir):
 
 @register("page_stats")
 def q_page_stats(spark, sf_dir):
-    return G.page_stats(bars(spark, sf_dir), k=5, rows_bound=bars_bound(spark, sf_dir))
+    return G.page_stats(bars(spark, sf_dir), k=5, bounded=True)
 
 
 # --- logs, metrics, availability, retention (R1-R5, batch) ----------------
@@ -432,8 +396,8 @@ def q_to_documents(spark, sf_dir):
 def q_upsert_bars(spark, sf_dir):
     # Base: bars of closed lines; delta: bars of open lines replace them by key.
     li = read_table(spark, sf_dir, "lineitem")
-    base = bars_of(li.where(F.col("l_linestatus") == "F"), li)
-    delta = bars_of(li.where(F.col("l_linestatus") == "O"), li)
+    base = bars_of(li.where(F.col("l_linestatus") == "F"))
+    delta = bars_of(li.where(F.col("l_linestatus") == "O"))
     # bars are unique per (symbol, Date) by construction
     return U.upsert(base, delta, ["symbol", "Date"], delta_unique=True)
 

@@ -127,7 +127,7 @@ def test_paging_pages_of_5_5_2(spark):
     df = series(spark, 12)
     sizes = [G.page(df, n, 5).count() for n in range(4)]
     assert sizes == [5, 5, 2, 0]
-    deep = [G.page(df, n, 5, top_n_limit=0).count() for n in range(4)]
+    deep = [G.page(df, n, 5).count() for n in range(4)]
     assert deep == sizes
     stats = sorted(G.page_stats(df, 5).collect(), key=lambda r: r.page)
     assert [r.Rows for r in stats] == [5, 5, 2]
@@ -259,10 +259,9 @@ def test_uptime_gaps_across_segments(spark):
     df = spark.createDataFrame([(i, base + dt.timedelta(seconds=s), "m")
                                 for i, s in enumerate(offs)],
                                "event_id long, ts timestamp_ntz, event_type string")
-    for seg_rows, measure in ((1, False), (2, False), (100, False), (100, True)):
+    for seg_rows in (1, 2, 100):
         got = sorted((r.gap_seconds, r.gap_end)
-                     for r in L.uptime_gaps(df, 3600, seg_rows=seg_rows,
-                                            measure=measure).collect())
+                     for r in L.uptime_gaps(df, 3600, seg_rows=seg_rows).collect())
         assert got == [(4980.0, base + dt.timedelta(seconds=5000)),
                        (84990.0, base + dt.timedelta(seconds=90000))]
 

@@ -16,7 +16,10 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(QUERIES) - set(ORACLE)
+    # the training-data queries (opN_, pipeline) have tests of their own
+    rows_only = {q for q in set(QUERIES) - set(ORACLE)
+                 if not (q.startswith("op") and "_" in q and q[2:q.index("_")].isdigit())
+                 and q != "pipeline"}
     assert rows_only == {"file_manifest", "preview_lines"}
     assert set(ORACLE) <= set(QUERIES)
 

@@ -47,12 +47,11 @@ def test_landed_range_prunes_year_folders(spark):
 
 
 def test_bounded_series_use_one_window_per_symbol(spark):
-    from candlestack.operators.series import MAX_TASK_ROWS
 
     b = bars(spark, SF_SMOKE)
-    small = plan(R.rolling_analytics(b, rows_bound=2600))
+    small = plan(R.rolling_analytics(b, bounded=True))
     assert "_seg" not in small and "hashpartitioning(symbol" in small
-    big = plan(R.rolling_analytics(b, rows_bound=MAX_TASK_ROWS + 1))
+    big = plan(R.rolling_analytics(b))
     assert "_seg" in big
 
 

@@ -79,7 +79,7 @@ def test_deep_and_shallow_pages_agree_on_driver_data(spark):
     bars = _bars(spark)
     for n in (0, 7, 100, 1497):
         a = [tuple(r) for r in G.page(bars, n, 5).collect()]
-        b = [tuple(r) for r in G.page(bars, n, 5, top_n_limit=0).collect()]
+        b = [tuple(r) for r in G.page(bars, n, 5).collect()]
         assert a == b
 
 
@@ -123,10 +123,9 @@ def test_uptime_gaps_match_brute_force(spark, offsets, seg_rows):
     for k in ("m", "n"):
         ts = sorted(s for kk, s in offsets if kk == k)
         want += [(k, float(b - a)) for a, b in zip(ts, ts[1:]) if b - a > 3600]
-    for measure in (False, True):
-        got = [(r.monitor, r.gap_seconds)
-               for r in L.uptime_gaps(df, 3600, seg_rows=seg_rows, measure=measure).collect()]
-        assert sorted(got) == sorted(want)
+    got = [(r.monitor, r.gap_seconds)
+           for r in L.uptime_gaps(df, 3600, seg_rows=seg_rows).collect()]
+    assert sorted(got) == sorted(want)
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
@@ -198,7 +197,7 @@ def test_pandas_twins_on_driver_bars(spark):
     assert (got["Trading_Days"].to_numpy() == want["Trading_Days"].to_numpy()).all()
     assert (got["Total_Volume"].to_numpy() == want["Total_Volume"].to_numpy()).all()
 
-    rolled = R.rolling_analytics(bars, rows_bound=3000).toPandas()
+    rolled = R.rolling_analytics(bars, bounded=True).toPandas()
     for sym, g in pdf.sort_values("Date").groupby("symbol"):
         ret = g["Close"].pct_change()
         vol = (ret.rolling(20).std() * 252 ** 0.5).to_numpy()
@@ -213,8 +212,8 @@ def test_describe_matches_pandas_on_driver_bars(spark):
 
     bars = _bars(spark)
     pdf = bars.toPandas()
-    for bound in (None, 3000):
-        got = {(r.symbol, r.statistic): r for r in S.describe_exact(bars, rows_bound=bound).collect()}
+    for bound in (False, True):
+        got = {(r.symbol, r.statistic): r for r in S.describe_exact(bars, bounded=bound).collect()}
         for sym, g in pdf.groupby("symbol"):
             d = g[["Open", "High", "Low", "Close", "Volume"]].astype(float).describe()
             for stat in ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]:
@@ -226,5 +225,5 @@ def test_describe_matches_pandas_on_driver_bars(spark):
 def test_page_stats_paths_agree_on_driver_bars(spark):
     bars = _bars(spark)
     a = sorted(map(tuple, G.page_stats(bars, 7).collect()))
-    b = sorted(map(tuple, G.page_stats(bars, 7, rows_bound=3000).collect()))
+    b = sorted(map(tuple, G.page_stats(bars, 7, bounded=True).collect()))
     assert a == b

@@ -51,7 +51,7 @@ def test_bounded_describe_equals_distributed(spark):
     bars = B.bars_from_ticks(read_table(spark, SF_SMOKE, "lineitem"))
     a = {(r.symbol, r.statistic): tuple(r)[2:] for r in S.describe_exact(bars, digits=4).collect()}
     b = {(r.symbol, r.statistic): tuple(r)[2:]
-         for r in S.describe_exact(bars, digits=4, rows_bound=3000).collect()}
+         for r in S.describe_exact(bars, digits=4, bounded=True).collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k])

@@ -158,5 +158,5 @@ def test_bounded_path_equals_segmented_path(spark):
         return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
                       for r in df.select(*cols).collect())
 
-    assert rows(R.rolling_analytics(bars, rows_bound=90)) == \
+    assert rows(R.rolling_analytics(bars, bounded=True)) == \
         rows(R.rolling_analytics(bars, seg_rows=17))
