@@ -16,6 +16,11 @@ def nan_to_null(c: Column) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
+def finite(c: Column) -> Column:
+    """NULL for NaN and infinities: they count as missing in every mean."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)  # NaN sorts above infinity
+
+
 def avg_rounded(c: Column, digits: int = 2) -> Column:
     """Average rounded half-up to ``digits``, computed in exact decimal.
 
@@ -24,7 +29,7 @@ def avg_rounded(c: Column, digits: int = 2) -> Column:
     depending on partitioning.  Summing as DECIMAL makes the result exact and
     independent of the plan.
     """
-    return F.round(F.avg(c.cast("decimal(30,10)")), digits).cast("double")
+    return F.round(F.avg(finite(c).cast("decimal(30,10)")), digits).cast("double")
 
 
 def sqrt_const(x: float) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlestack.functions.dates import month_label, period_start, quarter_label
-from candlestack.functions.numeric import avg_rounded, safe_div
+from candlestack.functions.numeric import avg_rounded, finite, safe_div
 
 LEVELS = ("monthly", "quarterly", "yearly")
 _LABEL = {"monthly": "Month", "quarterly": "Quarter", "yearly": "Year"}
@@ -26,16 +26,16 @@ def _stat_aggs(digits: int | None = None) -> list[Column]:
     rounded half-up (decimal arithmetic, see ``avg_rounded``) and the raw
     close average is kept as ``_ac_raw`` for growth rates."""
     def mean(c):
-        return F.avg(c) if digits is None else avg_rounded(F.col(c), digits)
+        return F.avg(finite(F.col(c))) if digits is None else avg_rounded(F.col(c), digits)
     aggs = [mean("Close").alias("Avg_Close"),
             F.sum("Volume").alias("Total_Volume"),
             mean("High").alias("Avg_High"),
             mean("Low").alias("Avg_Low"),
             mean("Open").alias("Avg_Open"),
-            F.stddev_samp("Close").alias("Std_Close"),
+            F.stddev_samp(finite(F.col("Close"))).alias("Std_Close"),
             F.count(F.lit(1)).alias("Trading_Days")]
     if digits is not None:
-        aggs.append(F.avg("Close").alias("_ac_raw"))
+        aggs.append(F.avg(finite(F.col("Close"))).alias("_ac_raw"))
     return aggs
 
 

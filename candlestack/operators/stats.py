@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlestack.functions.numeric import avg_rounded, safe_div
+from candlestack.functions.numeric import avg_rounded, finite, safe_div
 from candlestack.operators.quantiles import exact_quantiles
 
 OHLCV = ("Open", "High", "Low", "Close", "Volume")
@@ -46,7 +46,7 @@ def _long_form(wide: DataFrame, keys: Sequence[str], stats: Sequence[str],
 
 
 def _mean(x: Column, digits: int | None) -> Column:
-    return F.avg(x) if digits is None else avg_rounded(x, digits)
+    return F.avg(finite(x)) if digits is None else avg_rounded(x, digits)
 
 
 def _describe(bars: DataFrame, columns: Sequence[str], quartiles, names,

@@ -269,7 +269,7 @@ SELECT time_bucket(INTERVAL 10 SECOND, ts) AS window_start,
        time_bucket(INTERVAL 10 SECOND, ts) + INTERVAL 10 SECOND AS window_end,
        event_type, count(*) AS n, round(avg(value), 4) AS avg_value,
        round(min(value), 4) AS min_value, round(max(value), 4) AS max_value,
-       round(arg_max(value, ts), 4) AS last_value
+       round(last(value ORDER BY ts, event_id), 4) AS last_value
 FROM events GROUP BY 1, 2, 3"""
 
 ORACLE["uptime_gaps"] = """
@@ -277,20 +277,24 @@ SELECT monitor, gap_start, gap_end, round(gap_seconds, 4) AS gap_seconds FROM (
   SELECT event_type AS monitor, lag(ts) OVER w AS gap_start, ts AS gap_end,
          date_diff('microsecond', lag(ts) OVER w, ts) / 1000000.0 AS gap_seconds
   FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
+  UNION ALL
+  SELECT event_type, max(ts), (SELECT max(ts) FROM events),
+         date_diff('microsecond', max(ts), (SELECT max(ts) FROM events)) / 1000000.0
+  FROM events GROUP BY event_type
 ) WHERE gap_seconds > 3600.0"""
 
 ORACLE["uptime_availability"] = """
-SELECT monitor, bucket_start, seen_slots, CAST(720 AS BIGINT) AS expected_slots,
-       round(seen_slots / 720.0, 4) AS availability
-FROM (SELECT event_type AS monitor, date_trunc('hour', ts) AS bucket_start,
+WITH seen AS (SELECT event_type AS monitor, date_trunc('hour', ts) AS bucket_start,
              count(DISTINCT floor(date_diff('microsecond', date_trunc('hour', ts), ts) / 5000000))
                AS seen_slots
-      FROM events GROUP BY 1, 2)"""
-
-ORACLE["retention"] = """
-SELECT *, event_type || '-' || strftime(ts, '%Y.%m.%d') AS set_name FROM events
-WHERE NOT (starts_with(event_type || '-' || strftime(ts, '%Y.%m.%d'), 'error-')
-           AND ts < (SELECT max(ts) FROM events) - INTERVAL 2 DAY)"""
+      FROM events GROUP BY 1, 2),
+hours AS (SELECT unnest(generate_series(date_trunc('hour', min(ts)), date_trunc('hour', max(ts)),
+                                        INTERVAL 1 HOUR)) AS bucket_start FROM events)
+SELECT m.monitor, h.bucket_start, coalesce(s.seen_slots, 0) AS seen_slots,
+       CAST(720 AS BIGINT) AS expected_slots,
+       round(coalesce(s.seen_slots, 0) / 720.0, 4) AS availability
+FROM (SELECT DISTINCT event_type AS monitor FROM events) m CROSS JOIN hours h
+LEFT JOIN seen s ON s.monitor = m.monitor AND s.bucket_start = h.bucket_start"""
 
 ORACLE["summary_stats"] = _describe_sql(
     ["count", "mean", "stddev"], lambda x, p: f"quantile_disc({x}, {p})")
@@ -421,7 +425,19 @@ SELECT symbol, "Date", "Open", "High", "Low", "Close",
 FROM bars"""
 
 ORACLE["scan_csv_corrupt"] = """
-SELECT count(*) AS good_rows, CAST(0 AS BIGINT) AS bad_rows FROM events"""
+SELECT count(*) AS good_rows, (SELECT count(*) FROM nation) AS bad_rows FROM events"""
+
+ORACLE["corrupt_lines"] = """
+SELECT 'bad-' || n_nationkey || ',' || n_name || ',' || n_name || ',' || n_name || ','
+       || n_name || ',' || n_name AS line FROM nation"""
+
+ORACLE["bars_csv_extra_columns"] = ORACLE["bars_daily"]
+ORACLE["bars_csv_no_adj_close"] = _with(BARS_CTE) + """
+SELECT symbol, "Date", "Open", "High", "Low", "Close", "Close" AS "Adj Close", "Volume"
+FROM bars"""
+
+# the corrected delta: version 2 has the volume as it is, version 1 doubled
+ORACLE["upsert_bars_corrections"] = ORACLE["upsert_bars"]
 
 ORACLE["log_ingest_stream"] = ORACLE["log_ingest"]
 ORACLE["metric_window_stream"] = ORACLE["metric_window"]
@@ -442,6 +458,8 @@ SELECT *, event_type || '-' || strftime(ts, '%Y.%m.%d') AS set_name FROM events
 WHERE NOT (event_type = 'error'
            AND CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 2 DAY)"""
 
+ORACLE["retention"] = ORACLE["retention_sweep"]
+
 ORACLE["date_range_landed"] = _with(BARS_CTE) + f"""
 SELECT {_bar_cols()}, CAST(year("Date") AS INTEGER) AS year FROM bars
 WHERE "Date" BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"""

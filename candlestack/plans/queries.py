@@ -402,6 +402,18 @@ def q_upsert_bars(spark, sf_dir):
     return U.upsert(base, delta, ["symbol", "Date"], delta_unique=True)
 
 
+@register("upsert_bars_corrections")
+def q_upsert_bars_corrections(spark, sf_dir):
+    # A delta that holds every open bar twice: first with twice its volume,
+    # then corrected at a later version, which wins.
+    li = read_table(spark, sf_dir, "lineitem")
+    base = bars_of(li.where(F.col("l_linestatus") == "F"))
+    first = bars_of(li.where(F.col("l_linestatus") == "O"))
+    delta = first.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("version"))
+    delta = delta.withColumn("Volume", F.col("Volume") * (3 - F.col("version")))
+    return U.upsert(base, delta, ["symbol", "Date"], ["version"]).drop("version")
+
+
 @register("land_bars")
 def q_land_bars(spark, sf_dir):
     path = LD.land(bars(spark, sf_dir), scratch_path(spark, "land-bars"))
@@ -476,9 +488,48 @@ def q_scan_csv_lenient(spark, sf_dir):
 
 @register("scan_csv_corrupt")
 def q_scan_csv_corrupt(spark, sf_dir):
+    scan, _ = csv_with_bad_lines(spark, sf_dir)
+    return CSV.corrupt_counts(scan)
+
+
+def csv_with_bad_lines(spark: SparkSession, sf_dir: str):
+    """Events landed as CSV beside lines that do not fit their types, one for
+    each nation: (scan, column names)."""
     events = read_table(spark, sf_dir, "events")
-    path = LD.land_csv(events, scratch_path(spark, "events-csv"))
-    return CSV.corrupt_counts(CSV.read_csv(spark, path, events.schema))
+    root = scratch_path(spark, "events-csv")
+    LD.land_csv(events, f"{root}/good")
+    key, *rest = events.columns
+    LD.land_csv(read_table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("bad-"), F.col("n_nationkey").cast("string")).alias(key),
+        *[F.col("n_name").alias(c) for c in rest]), f"{root}/bad")
+    return CSV.read_csv(spark, [f"{root}/good", f"{root}/bad"], events.schema), events.columns
+
+
+@register("corrupt_lines")
+def q_corrupt_lines(spark, sf_dir):
+    # The lines that do not fit, with their text.
+    scan, _ = csv_with_bad_lines(spark, sf_dir)
+    _, bad = CSV.split_corrupt(scan)
+    return bad.select(F.col(CSV.CORRUPT).alias("line"))
+
+
+@register("bars_csv_extra_columns")
+def q_bars_csv_extra_columns(spark, sf_dir):
+    # The downloader's layout: two more columns, adjusted close last.
+    b = bars(spark, sf_dir)
+    wide = b.select("symbol", "Date", "Open", "High", "Low", "Close", "Volume",
+                    F.lit(0.0).alias("Dividends"), F.lit(0.0).alias("Stock Splits"), "Adj Close")
+    path = LD.land_csv(wide, scratch_path(spark, "bars-csv-wide"), ["symbol"])
+    good, _ = CSV.split_corrupt(CSV.read_bar_csv(spark, path))
+    return good
+
+
+@register("bars_csv_no_adj_close")
+def q_bars_csv_no_adj_close(spark, sf_dir):
+    path = LD.land_csv(bars(spark, sf_dir).drop("Adj Close"),
+                       scratch_path(spark, "bars-csv-narrow"), ["symbol"])
+    good, _ = CSV.split_corrupt(CSV.read_bar_csv(spark, path))
+    return good
 
 
 # --- streaming (R2, R3, R6) ------------------------------------------------------

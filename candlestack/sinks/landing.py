@@ -20,8 +20,16 @@ def with_year(df: DataFrame, date_col: str = "Date") -> DataFrame:
 
 def land(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",),
          fmt: str = "parquet", mode: str = "overwrite",
-         options: dict | None = None) -> str:
+         options: dict | None = None, files_per_folder: int = 8) -> str:
+    """Write ``df`` as a table.  Rows of a ``partition_by`` folder are first
+    dealt to ``files_per_folder`` tasks by their hash, so a folder gets at
+    most that many files however many tasks the input has; raise it for
+    folders of many GB."""
     out = with_year(df) if "year" in partition_by else df
+    if partition_by:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in out.columns]),
+                      F.lit(files_per_folder))
+        out = out.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
     writer = out.write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -2,7 +2,7 @@
 
 ``measurement,tag=v,... field=v,... time_ns`` built with JVM-side string
 functions; NULL tags and fields are left out, integer fields carry an ``i``
-suffix, and the time is exact nanoseconds from the date (time-zone free).
+suffix, empty tags and non-finite fields are left out too, and the time is exact nanoseconds from the date (time-zone free).
 Rendering is a projection, so it runs wherever the rows are; writing is a
 plain ``text`` sink (or any writer fed from ``line``).
 """
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlestack.functions.dates import period_start
+from candlestack.functions.numeric import finite
 
 NS_PER_DAY = 86_400 * 1_000_000_000
 
@@ -24,18 +25,21 @@ def _c(x: str | Column) -> Column:
 
 
 def escape_key(c: Column) -> Column:
-    """Escape commas, equals signs and spaces in tag keys and values."""
-    return F.regexp_replace(c, r"([,= ])", r"\\$1")
+    """Escape commas, equals signs and spaces in tag keys and values; a line
+    break, which would end the point, becomes a space."""
+    return F.regexp_replace(F.translate(c, "\r\n", "  "), r"([,= ])", r"\\$1")
 
 
 def number_text(c: Column, digits: int | None = None) -> Column:
     """Decimal text of a number.  With ``digits`` it is rounded and written
     in plain notation without trailing zeros (stable across engines);
-    without, Spark's shortest round-trip text of the double."""
+    without, Spark's shortest round-trip text of the double.  NaN and
+    infinities have no text (NULL)."""
+    x = finite(c.cast("double"))
     if digits is None:
-        return c.cast("double").cast("string")
-    s = F.round(c.cast("double"), digits).cast(f"decimal(38,{digits})").cast("string")
-    return F.regexp_replace(F.regexp_replace(s, r"0+$", ""), r"\.$", "")
+        return x.cast("string")
+    s = F.round(x, digits).cast(f"decimal(38,{digits})").cast("string")
+    return F.rtrim(F.rtrim(s, F.lit("0")), F.lit(".")) if digits > 0 else s
 
 
 def date_ns(d: Column) -> Column:
@@ -48,7 +52,7 @@ def to_points(df: DataFrame, measurement: str, tags: Mapping[str, str | Column],
     """Add ``time_ns`` and ``line``; rows with no non-NULL field are dropped
     (a point needs at least one field)."""
     m = F.regexp_replace(F.lit(measurement), r"([, ])", r"\\$1")
-    tag_parts = [F.concat(F.lit(k + "="), escape_key(_c(v).cast("string")))
+    tag_parts = [F.concat(F.lit(k + "="), F.nullif(escape_key(_c(v).cast("string")), F.lit("")))
                  for k, v in tags.items()]
     field_parts = []
     for k, v in fields.items():

@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest ``version`` (then the
-    greatest remaining values, so ties resolve deterministically)."""
+    greatest remaining values, so ties resolve deterministically).  Without a
+    version no row is later than another, so it must be given."""
+    if not version:
+        raise ValueError("latest_per_key needs version columns")
     others = [c for c in df.columns if c not in keys and c not in version]
     packed = F.struct(*[F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(version)],
                       *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(others)])
@@ -36,9 +39,9 @@ def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str],
            version: Sequence[str] | None = None, delta_unique: bool = False) -> DataFrame:
     """Base with every key present in ``delta`` replaced by the delta's row.
 
-    Duplicate keys inside the delta are resolved first (latest ``version``),
-    so upserting twice equals upserting once.  ``delta_unique`` skips that
-    step when the delta is keyed by construction (e.g. bars grouped by the
+    Duplicate keys inside the delta are resolved first (latest ``version``,
+    which is required), so upserting twice equals upserting once.
+    ``delta_unique`` skips that step when the delta is keyed by construction (e.g. bars grouped by the
     same keys).
     """
     if not delta_unique:
@@ -67,19 +70,29 @@ class ChangeLog:
     older ones) and keeps the latest row per key.
     """
 
-    def __init__(self, path: str, keys: Sequence[str]):
+    def __init__(self, path: str, keys: Sequence[str], version: Sequence[str] = ()):
+        """``version``: columns by which the latest row of a key within one
+        batch is told; leave it out only where a batch holds each key once
+        (an update-mode aggregation)."""
         self.path = path.rstrip("/")
         self.keys = list(keys)
+        self.version = list(version)
         self.changes = f"{self.path}/changes"
         self.bases = f"{self.path}/bases"
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        deduped = latest_per_key(batch, self.keys, []).select(*batch.columns)
-        deduped.write.mode("overwrite").parquet(f"{self.changes}/_batch={int(batch_id)}")
+        if self.version:
+            batch = latest_per_key(batch, self.keys, self.version).select(*batch.columns)
+        batch.write.mode("overwrite").parquet(f"{self.changes}/_batch={int(batch_id)}")
 
     def foreach_batch(self, batch: DataFrame, batch_id: int) -> None:
         self.write_batch(batch, batch_id)
 
+    def _committed(self, spark: SparkSession) -> list[int]:
+        """Ids of the change sets that were written to their end."""
+        done = _glob(spark, f"{self.changes}/_batch=*/_SUCCESS")
+        return sorted(int(p.rsplit("/_batch=", 1)[1].split("/", 1)[0]) for p in done)
+
     def _base_id(self, spark: SparkSession) -> int | None:
         done = _glob(spark, f"{self.bases}/_upto=*/_SUCCESS")
         ids = [int(p.rsplit("/_upto=", 1)[1].split("/", 1)[0]) for p in done]
@@ -88,9 +101,10 @@ class ChangeLog:
     def read(self, spark: SparkSession) -> DataFrame:
         base_id = self._base_id(spark)
         parts = []
-        if _glob(spark, f"{self.changes}/_batch=*/_SUCCESS"):
-            ch = spark.read.parquet(self.changes)
-            parts.append(ch if base_id is None else ch.where(F.col("_batch") > base_id))
+        ids = [i for i in self._committed(spark) if base_id is None or i > base_id]
+        if ids:
+            parts.append(spark.read.option("basePath", self.changes).parquet(
+                *[f"{self.changes}/_batch={i}" for i in ids]))
         if base_id is not None:
             parts.append(spark.read.parquet(f"{self.bases}/_upto={base_id}")
                          .withColumn("_batch", F.lit(base_id)))
@@ -105,6 +119,6 @@ class ChangeLog:
     def compact(self, spark: SparkSession) -> int:
         """Write the current latest view as a snapshot; later reads start
         from it.  Returns the batch id it covers."""
-        upto = (spark.read.parquet(self.changes).agg(F.max("_batch")).first()[0])
+        upto = max(self._committed(spark))
         self.read(spark).write.mode("overwrite").parquet(f"{self.bases}/_upto={int(upto)}")
         return int(upto)

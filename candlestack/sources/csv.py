@@ -16,19 +16,13 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
-# Reader defaults.  multiLine stays off: it makes every file one unsplittable
-# task; turn it on only for files with quoted line breaks.  Partition
-# discovery stays on (no recursiveFileLookup) so ``year=`` folders prune.
-# ``parserLib`` and ``cleanFields`` are not Spark CSV options and are not set.
+# Options that differ from Spark's own.  multiLine stays off: it makes every
+# file one unsplittable task; turn it on for files with quoted line breaks.
+# Partition discovery stays on (no recursiveFileLookup) so ``year=`` folders
+# prune.  Quotes are doubled inside quoted fields; times have microseconds.
 CSV_DEFAULTS = {
     "header": "true",
-    "mode": "PERMISSIVE",
-    "quote": '"',
     "escape": '"',
-    "multiLine": "false",
-    "maxCharsPerColumn": "-1",
-    "maxColumns": "20000",
-    "columnNameOfCorruptRecord": CORRUPT,
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
@@ -42,25 +36,44 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str],
              schema: T.StructType | None = None,
              options: Mapping[str, str] | None = None,
              infer: bool = False, keep_corrupt: bool = True) -> DataFrame:
-    """Scan CSV files (one scan over all paths).
-
-    With a ``schema`` the values are typed and, if ``keep_corrupt``, a
-    nullable ``_corrupt_record`` column holds the raw text of any line that
-    does not fit (its other fields NULL where unparseable).  Without one,
-    columns are strings unless ``infer`` (an extra pass over the data).
+    """Scan CSV files.
+
+    With a ``schema`` its columns are found by the names in the header,
+    whatever their order; a column that a path lacks is NULL, and one that
+    the schema does not name is left out.  Each of ``paths`` (a file, folder
+    or pattern) has one header, read once; paths that share a header are one
+    scan, and a file with another header than its path raises.  If
+    ``keep_corrupt``, a nullable ``_corrupt_record`` column holds the raw
+    text of any line that does not fit (its other fields NULL where
+    unparseable).  Without a schema, columns are strings unless ``infer`` (an
+    extra pass over the data).
     """
+    paths = _as_list(paths)
     opts = dict(CSV_DEFAULTS)
     opts["inferSchema"] = "true" if (schema is None and infer) else "false"
     if options:
         opts.update({k: str(v) for k, v in options.items()})
     reader = spark.read.format("csv").options(**opts)
-    if schema is not None:
-        corrupt = opts.get("columnNameOfCorruptRecord", CORRUPT)
-        if keep_corrupt and corrupt not in schema.fieldNames():
-            schema = T.StructType(list(schema.fields)
-                                  + [T.StructField(corrupt, T.StringType(), True)])
-        reader = reader.schema(schema)
-    return reader.load(_as_list(paths))
+    if schema is None:
+        return reader.load(paths)
+    corrupt = opts.get("columnNameOfCorruptRecord", CORRUPT)
+    raw = [T.StructField(corrupt, T.StringType(), True)] if keep_corrupt else []
+    declared = {f.name: f for f in schema.fields if f.name != corrupt}
+    if str(opts["header"]).lower() != "true":
+        return reader.schema(T.StructType([*declared.values(), *raw])).load(paths)
+    groups: dict[tuple, list[str]] = {}
+    for p in paths:
+        header = spark.read.format("csv").options(**opts).load(p).schema.fields
+        groups.setdefault(tuple((f.name, f.dataType) for f in header), []).append(p)
+    parts = []
+    for header, group in groups.items():
+        fields = [declared.get(n, T.StructField(n, t, True)) for n, t in header]
+        df = (spark.read.format("csv").options(**{**opts, "enforceSchema": "false"})
+              .schema(T.StructType([*(fields or declared.values()), *raw])).load(group))
+        parts.append(df.select(*[
+            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType))
+            .alias(f.name) for f in [*declared.values(), *raw]]))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _parsed(df: DataFrame, corrupt: str) -> Column:
@@ -96,17 +109,23 @@ def read_bar_csv(spark: SparkSession, paths: str | Sequence[str],
     """Daily bar CSV files -> typed bars (W4 without a driver hop).
 
     The symbol comes from a ``symbol=<S>`` folder (partition discovery) or
-    the ``symbol`` argument; ``Adj Close`` defaults to ``Close`` when a file
-    lacks it.  Corrupt lines are kept with their raw text in
+    the ``symbol`` argument; columns are found by their header names, and
+    ``Adj Close`` defaults to ``Close`` where it is absent or empty.  Corrupt
+    lines are kept with their raw text in
     ``_corrupt_record`` (see ``split_corrupt``).
     """
     from candlestack.schemas import BAR_CSV
 
-    df = read_csv(spark, paths, schema or BAR_CSV, options)
+    schema = schema or BAR_CSV
+    if symbol is None and "symbol" not in schema.fieldNames():
+        schema = T.StructType([T.StructField("symbol", T.StringType(), True), *schema.fields])
+    df = read_csv(spark, paths, schema, options)
     if symbol is not None:
         df = df.withColumn("symbol", F.lit(symbol))
     if "Adj Close" not in df.columns:
-        df = df.withColumn("Adj Close", F.col("Close"))
+        df = df.withColumn("Adj Close", F.lit(None).cast("double"))
+    df = df.withColumn("Adj Close", F.coalesce(
+        F.col("`Adj Close`"), F.when(F.col(CORRUPT).isNull(), F.col("Close"))))
     first = ["symbol"] if "symbol" in df.columns else []
     rest = [c for c in df.columns if c not in first]
     return df.select(*first, *[F.col(f"`{c}`") for c in rest])
@@ -132,9 +151,9 @@ def read_csv_union(spark: SparkSession, paths: Sequence[str],
                    lenient: bool = False, infer: bool = False):
     """Read several CSV files and union them by column name.
 
-    With a declared ``schema`` every file has the same columns, so this is a
-    single scan.  Without one, each file keeps its own header and the union
-    NULL-fills columns a file lacks.  ``lenient`` skips missing paths and
+    With a declared ``schema`` paths that share a header are a single scan
+    (``read_csv``).  Without one, each path keeps its own header and the union
+    NULL-fills columns a path lacks.  ``lenient`` skips missing paths and
     returns ``(df, missing)``; strict mode lets the scan raise.
     """
     paths = _as_list(paths)

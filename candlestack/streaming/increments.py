@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlestack.operators.bars import derived_columns
 from candlestack.sinks.points import bar_points
-from candlestack.sinks.upsert import ChangeLog
+from candlestack.sinks.upsert import ChangeLog, latest_per_key
 
 BAR_KEYS = ("symbol", "Date")
 
@@ -34,12 +34,18 @@ def day_slice(bars: DataFrame, day, date_col: str = "Date") -> DataFrame:
 def incremental_bars_stream(source: DataFrame, table: ChangeLog, checkpoint: str,
                             available_now: bool = True,
                             points_path: str | None = None) -> StreamingQuery:
-    """Merge new bar files into ``table``; with ``points_path`` each
+    """Merge new bar files into ``table``.  Of several rows of a key in one
+    micro-batch the one in the latest file (by modification time, then name)
+    wins, as it would in a later micro-batch; with ``points_path`` each
     micro-batch's bars are also rendered as line-protocol points into
     ``<points_path>/_batch=<id>`` (overwritten on replay, so idempotent)."""
     cols = [c for c in source.columns if c != "year"]
+    version = ["_file_time", "_file"]
+    source = source.select(*cols, F.col("_metadata.file_modification_time").alias(version[0]),
+                           F.col("_metadata.file_path").alias(version[1]))
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        batch = latest_per_key(batch, BAR_KEYS, version).select(*[F.col(f"`{c}`") for c in cols])
         if points_path is None:
             table.write_batch(batch, batch_id)
             return
@@ -54,7 +60,7 @@ def incremental_bars_stream(source: DataFrame, table: ChangeLog, checkpoint: str
         finally:
             batch.unpersist()
 
-    writer = (source.select(*cols).writeStream
+    writer = (source.writeStream
               .option("checkpointLocation", checkpoint)
               .foreachBatch(each))
     if available_now:

@@ -241,10 +241,12 @@ def test_retention_boundary(spark):
         [(1, now - dt.timedelta(days=2), "error"),
          (2, now - dt.timedelta(days=2, seconds=1), "error"),
          (3, now - dt.timedelta(days=5), "view"),
-         (4, now, "error")],
+         (4, now, "error"),
+         (5, dt.datetime(2024, 1, 7, 23, 59, 59), "error"),
+         (6, dt.datetime(2024, 1, 8), "error"), (7, None, "error")],
         "event_id long, ts timestamp_ntz, event_type string")
     kept = sorted(r.event_id for r in L.retention(df, "error-", 2).collect())
-    assert kept == [1, 3, 4]
+    assert kept == [1, 2, 3, 4, 6, 7]  # a daily set stays or goes whole
 
 
 def test_word_count(spark):
@@ -274,6 +276,52 @@ def test_availability(spark):
     assert (r.seen_slots, r.expected_slots) == (3, 720)
 
 
+def test_open_gap_lasts_to_as_of(spark):
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, base, "m"), (2, base + dt.timedelta(hours=3), "n")],
+                               "event_id long, ts timestamp_ntz, event_type string")
+    assert [(g.monitor, g.gap_seconds) for g in L.uptime_gaps(df).collect()] == [("m", 10800.0)]
+    later = L.uptime_gaps(df, as_of=base + dt.timedelta(hours=5)).collect()
+    assert sorted((g.monitor, g.gap_seconds) for g in later) == [("m", 18000.0), ("n", 7200.0)]
+
+
+def test_rows_of_a_key_need_a_version(spark):
+    import pytest
+
+    df = spark.createDataFrame([("A", 1.0)], "k string, x double")
+    with pytest.raises(ValueError):
+        U.upsert(df, df, ["k"])
+
+
+def test_uncommitted_change_sets_are_not_read(spark, tmp_dir):
+    import os
+
+    log = U.ChangeLog(f"{tmp_dir}/t", ["k"])
+    mk = lambda x: spark.createDataFrame([("A", x)], "k string, x double")
+    log.write_batch(mk(1.0), 0)
+    log.write_batch(mk(9.0), 1)
+    os.remove(f"{tmp_dir}/t/changes/_batch=1/_SUCCESS")
+    assert log.read(spark).first().x == 1.0
+
+
+def test_last_value_of_tied_times_follows_the_id(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(2, t, "m", 5.0), (1, t, "m", 9.0)],
+                               "event_id long, ts timestamp_ntz, event_type string, value double")
+    assert L.metric_window(df).first().last_value == 5.0
+
+
+def test_nan_counts_as_missing_in_means(spark):
+    from candlestack.operators import periods as P
+
+    day = dt.date(2024, 1, 2)
+    df = spark.createDataFrame(
+        [("A", day, 1.0, 1.0, 1.0, 2.0, 1), ("A", day, 1.0, 1.0, 1.0, float("nan"), 1)],
+        "symbol string, Date date, Open double, High double, Low double, Close double, Volume long")
+    for digits in (None, 4):
+        assert P.monthly_stats(df, digits).first().Avg_Close == 2.0
+
+
 def test_bars_with_sequence_number(spark):
     ticks = spark.createDataFrame(
         [("A", dt.datetime(2020, 1, 1), 3, 1.0, 30.0), ("A", dt.datetime(2020, 1, 1), 1, 1.0, 10.0),
@@ -314,7 +362,7 @@ def test_null_keys_are_keys(spark):
 
     base = spark.createDataFrame([(None, 1.0), ("A", 2.0)], "k string, x double")
     delta = spark.createDataFrame([(None, 9.0)], "k string, x double")
-    got = sorted(map(tuple, U.upsert(base, delta, ["k"]).collect()), key=str)
+    got = sorted(map(tuple, U.upsert(base, delta, ["k"], delta_unique=True).collect()), key=str)
     assert got == [("A", 2.0), (None, 9.0)]
     q = {(r.k, r.p): r.quantile for r in exact_quantiles(base, ["k"], "x", [0.5]).collect()}
     assert q == {(None, 0.5): 1.0, ("A", 0.5): 2.0}
@@ -340,10 +388,11 @@ def test_wall_clock_arithmetic_ignores_session_zone(spark):
                 (3, dt.datetime(2024, 3, 10, 2, 15, 7), "n")]   # 02:15 does not exist in LA
         df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string")
         gaps = L.uptime_gaps(df, 3600).collect()
-        assert [(g.monitor, g.gap_seconds) for g in gaps] == [("m", 7200.0)]
+        assert sorted((g.monitor, g.gap_seconds) for g in gaps) == [("m", 7200.0), ("n", 4493.0)]
         av = {(r.monitor, r.bucket_start.hour): r.seen_slots
               for r in L.availability(df, 5, "hour").collect()}
-        assert av == {("m", 1): 1, ("m", 3): 1, ("n", 2): 1}
+        assert av == {("m", 1): 1, ("m", 2): 0, ("m", 3): 1,
+                      ("n", 1): 0, ("n", 2): 1, ("n", 3): 0}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 

@@ -65,4 +65,4 @@ def test_changelog_read_after_compaction_prunes_old_batches(spark, tmp_dir):
     log.compact(spark)
     log.write_batch(mk([("B", 9.0)]), 3)
     p = plan(log.read(spark))
-    assert "PartitionFilters: [isnotnull(_batch" in p and "(_batch#" in p and "> 2)" in p
+    assert "_batch=3" in p and not any(f"_batch={i}" in p for i in range(3))

@@ -116,6 +116,32 @@ def test_read_bar_csv_with_symbol_and_missing_adj_close(spark, tmp_dir):
     assert (r.symbol, r["Adj Close"], r.Volume) == ("X", 1.5, 100)
 
 
+def test_bar_csv_columns_are_found_by_name(spark, tmp_dir):
+    import os
+    from candlestack.sources import csv as CSV
+
+    os.makedirs(tmp_dir, exist_ok=True)
+    with open(f"{tmp_dir}/wide.csv", "w") as f:
+        f.write("Date,Open,High,Low,Close,Volume,Dividends,Stock Splits,Adj Close\n"
+                "2020-01-02,1.0,2.0,0.5,1.5,100,0.0,0.0,1.25\n"
+                "2020-01-03,oops,2.0,0.5,1.5,100,0.0,0.0,1.25\n")
+    with open(f"{tmp_dir}/narrow.csv", "w") as f:
+        f.write("Volume,Date,Open,High,Low,Close\n7,2020-01-06,1.0,2.0,0.5,1.5\n")
+    df = CSV.read_bar_csv(spark, [f"{tmp_dir}/wide.csv", f"{tmp_dir}/narrow.csv"], symbol="X")
+    good, bad = CSV.split_corrupt(df)
+    got = sorted((str(r.Date), r.Close, r["Adj Close"], r.Volume) for r in good.collect())
+    assert got == [("2020-01-02", 1.5, 1.25, 100), ("2020-01-06", 1.5, 1.5, 7)]
+    assert [r[CSV.CORRUPT].split(",")[1] for r in bad.collect()] == ["oops"]
+
+
+def test_points_leave_out_what_line_protocol_cannot_hold(spark):
+    df = spark.createDataFrame([("a\nb", "", float("nan"), float("inf"), 100.0)],
+                               "s string, e string, x double, y double, z double")
+    pts = PT.to_points(df, "m", {"s": "s", "e": "e"}, {"x": "x", "y": "y", "z": "z"},
+                       PT.F.lit(1).cast("long"), digits=2)
+    assert pts.first().line == "m,s=a\\ b z=100 1"
+
+
 def schema_of(spark, ddl):
     return spark.createDataFrame([], ddl).schema
 
