@@ -133,12 +133,45 @@ def _slot(tokens: np.ndarray, sketch: int, bits: int) -> np.ndarray:
     return ((tokens >> np.uint64(0 if sketch else 32)) & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def in_order(tokens: np.ndarray, ranks: np.ndarray | None, sketch: int) -> np.ndarray:
-    """The tokens in the global order of a sketch: by count, then by hash."""
-    if ranks is None:
+def in_order(tokens: np.ndarray, ranks: list, order: int) -> np.ndarray:
+    """The tokens in a global order: by count, then by hash.  The count of the
+    first order is the lower one of both sketches, which is nearer to the true
+    one; the second order has the second sketch alone."""
+    if ranks[0] is None:
         return tokens
-    slot = _slot(tokens, sketch, int(len(ranks)).bit_length() - 1)
-    return tokens[np.lexsort((mix64(tokens + np.uint64(sketch + 1)), ranks[slot]))]
+    bits = int(len(ranks[0])).bit_length() - 1
+    count = ranks[1][_slot(tokens, 1, bits)]
+    if order == 0:
+        count = np.minimum(count, ranks[0][_slot(tokens, 0, bits)])
+    return tokens[np.lexsort((mix64(tokens + np.uint64(order + 1)), count))]
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counters as compressed planes of their low to high bytes: most are small."""
+    planes = counts.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zlib.compress(planes.tobytes(), 6)
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def pack_set(tokens: np.ndarray, second: np.ndarray) -> tuple:
+    """An ascending set as the upper six bytes of its hashes, and which of them
+    are in ``second`` as bits."""
+    upper = tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return upper.tobytes(), np.packbits(np.isin(tokens, second, assume_unique=True)).tobytes()
+
+
+def unpack_set(data: bytes, bits: bytes) -> tuple:
+    """The set (ascending) and its part in the second prefix (ascending)."""
+    upper = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    whole = np.zeros((len(upper), 8), np.uint8)
+    whole[:, :6] = upper
+    tokens = whole.view(">u8").ravel().astype(np.uint64)
+    inside = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(tokens)).astype(bool)
+    return tokens, tokens[inside]
 
 
 # --- passes over the texts ---------------------------------------------------
@@ -166,7 +199,7 @@ def survey_batches(batches: Iterator, words: int, bits: int) -> Iterator:
             [batch["doc_id"], pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
              pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)
     if seen:
-        parts = [zlib.compress(p.astype("<u4").tobytes(), 1) for k in range(2)
+        parts = [pack_counts(p) for k in range(2)
                  for p in np.array_split(counts[k], SLICES)]
         m = len(parts)
         yield pa.RecordBatch.from_arrays(
@@ -178,7 +211,7 @@ def sum_slices(table):
     """The sum of one slice over all tasks."""
     import pyarrow as pa
 
-    total = sum(np.frombuffer(zlib.decompress(b.as_py()), "<u4").astype(np.uint64) for b in table["counts"])
+    total = sum(unpack_counts(b.as_py()).astype(np.uint64) for b in table["counts"])
     total = np.minimum(total, np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
     return pa.table({"slice": pa.array([table["slice"][0].as_py()], pa.int32()),
                      "counts": pa.array([total], pa.binary())})
@@ -197,7 +230,7 @@ def token_batches(batches: Iterator, words: int, t: float, ranks) -> Iterator:
                 continue
             seen.add(c)
             p = prefix_length(len(s), t)
-            token.append(in_order(s, ranks.value[0], 0)[:p].astype(np.int64))
+            token.append(in_order(s, ranks.value, 0)[:p].astype(np.int64))
             cls.append(np.full(p, c, np.int64))
             n.append(np.full(p, len(s), np.int64))
         arrays = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (token, cls, n)]
@@ -208,7 +241,7 @@ def token_batches(batches: Iterator, words: int, t: float, ranks) -> Iterator:
 def set_batches(batches: Iterator, words: int, t: float, ranks, wanted) -> Iterator:
     """(cls, tokens, second) of the documents whose places p0 to p2 are set in
     the filter: the set in the order of the hashes (the third order) and its
-    prefix under the second order, ascending."""
+    prefix under the second order, packed."""
     import pyarrow as pa
 
     bits = wanted.value
@@ -219,12 +252,12 @@ def set_batches(batches: Iterator, words: int, t: float, ranks, wanted) -> Itera
             hit &= (bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
         texts = batch["text"].filter(pa.array(hit)).to_pylist()
         sets = [s for s in shingle_sets(texts, words) if len(s)]
-        second = [np.sort(in_order(s, ranks.value[1], 1)[:prefix_length(len(s), t)])
+        packed = [pack_set(s, in_order(s, ranks.value, 1)[:prefix_length(len(s), t)])
                   for s in sets]
         yield pa.RecordBatch.from_arrays(
             [pa.array([set_class(s) for s in sets], pa.int64()),
-             pa.array([s.tobytes() for s in sets], pa.binary()),
-             pa.array([s.tobytes() for s in second], pa.binary())], ["cls", "tokens", "second"])
+             pa.array([p[0] for p in packed], pa.binary()),
+             pa.array([p[1] for p in packed], pa.binary())], ["cls", "tokens", "second"])
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -242,9 +275,9 @@ def verify_batches(batches: Iterator, t: float) -> Iterator:
         for x, y, side, tokens, second in zip(*(batch[c].to_pylist() for c in (
                 "a", "b", "side", "tokens", "second"))):
             if side == 0:
-                left = (x, y, tokens, second)
+                left = (x, y, *unpack_set(tokens, second))
             elif left is not None and left[:2] == (x, y):
-                if _linked(left[2], left[3], tokens, second, t):
+                if _linked(*left[2:], *unpack_set(tokens, second), t):
                     a.append(x)
                     b.append(y)
                 left = None  # once for each pair
@@ -252,9 +285,9 @@ def verify_batches(batches: Iterator, t: float) -> Iterator:
                                          ["a", "b"])
 
 
-def _linked(tokens_x: bytes, second_x: bytes, tokens_y: bytes, second_y: bytes, t: float) -> bool:
-    x, y = np.frombuffer(tokens_x, np.uint64), np.frombuffer(tokens_y, np.uint64)
-    if not _common(np.frombuffer(second_x, np.uint64), np.frombuffer(second_y, np.uint64)):
+def _linked(x: np.ndarray, second_x: np.ndarray, y: np.ndarray, second_y: np.ndarray,
+            t: float) -> bool:
+    if not _common(second_x, second_y):
         return False
     if not _common(x[:prefix_length(len(x), t)], y[:prefix_length(len(y), t)]):
         return False
@@ -288,7 +321,8 @@ def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     but never names a component unless all its members are null.  Words are
     runs of anything but ASCII white space, A-Z in lower case.  Very long
     texts are read whole; an empty table gives an empty table; other columns
-    are ignored.  Shingles and sets are told apart by 64-bit hashes."""
+    are ignored.  Shingles and sets are told apart by 64-bit hashes; where two sets
+    are compared, by the upper 48 bits of those of their shingles."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", no_null_text("text").cast("binary").alias("text"))
     survey = materialize(texts.mapInArrow(
@@ -311,7 +345,8 @@ def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     grouped = materialize(
         tokens.withColumn("lo", F.min("cls").over(group))
         .withColumn("hi", F.max("cls").over(group)).where("lo <> hi")
-        .select("token", "cls", "n").distinct(), "grouped")
+        .select("token", "cls", "n").distinct()
+        .withColumn("size", F.count(F.lit(1)).over(group)), "grouped")
 
     # the prefixes share c tokens, and the rest of one of the two sets can add
     # no more than its length, ceil(t n) - 1; together the overlap must reach
@@ -325,16 +360,13 @@ def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRE
 
     # a group's centre is the class whose prefix tokens are shared most, on
     # average: in a family of near copies the one with the fewest own edits
-    sizes = grouped.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
-    weights = (grouped.join(sizes, "token").groupBy("cls", "n")
-               .agg(F.sum("size").alias("sum")).select(
-                   "cls", (F.col("sum") / (F.col("n") - F.ceil(
-                       F.lit(threshold) * F.col("n") - 1e-9) + 1)).alias("weight")))
-    weighed = grouped.join(weights, "cls")
-    centres = weighed.groupBy("token").agg(
-        F.max(F.struct("weight", F.col("cls").alias("centre"), F.col("n").alias("m"))).alias("top"))
-    near = (weighed.join(centres.select("token", "top.centre", "top.m",
-                                        F.col("top.weight").alias("of")), "token")
+    # (a class has no more rows than its prefix; tokens and classes move once)
+    prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
+    weighed = grouped.select("token", "cls", "n", (F.sum("size").over(
+        Window.partitionBy("cls")) / prefix).alias("weight"))
+    top = F.max(F.struct("weight", F.col("cls").alias("centre"), F.col("n").alias("m"))).over(group)
+    near = (weighed.withColumn("top", top)
+            .select("token", "cls", "n", "top.centre", "top.m", F.col("top.weight").alias("of"))
             .where("cls <> centre")
             .groupBy("cls", "centre").agg(
                 F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m"),
@@ -375,9 +407,8 @@ def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     # what is left: classes of one group that lie in different components
     left = (grouped.join(member.withColumnRenamed("node", "cls"), "cls", "left")
             .withColumn("component", F.coalesce("component", "cls")))
-    spread = left.groupBy("token").agg(F.min("component").alias("c0"),
-                                       F.max("component").alias("c1")).where("c0 <> c1")
-    left = materialize(left.join(spread.select("token"), "token", "left_semi")
+    left = materialize(left.withColumn("c0", F.min("component").over(group))
+                       .withColumn("c1", F.max("component").over(group)).where("c0 <> c1")
                        .select("token", "cls", "component", "n"), "left")
     # pairs of components whose tokens, taken together, may be enough for some
     # pair of their classes; only those are opened into classes
