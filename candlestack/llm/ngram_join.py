@@ -219,7 +219,8 @@ def sum_slices(table):
 
 def token_batches(batches: Iterator, words: int, t: float, ranks) -> Iterator:
     """Prefix tokens under the first order, with the size n of their set:
-    (token, cls, n).  A class comes once from each task."""
+    (token, cls, n).  A class comes once from each task.  Tokens go out as the
+    upper 48 bits: two that fall together only add candidates."""
     import pyarrow as pa
 
     seen: set = set()
@@ -230,7 +231,7 @@ def token_batches(batches: Iterator, words: int, t: float, ranks) -> Iterator:
                 continue
             seen.add(c)
             p = prefix_length(len(s), t)
-            token.append(in_order(s, ranks.value, 0)[:p].astype(np.int64))
+            token.append((in_order(s, ranks.value, 0)[:p] >> np.uint64(16)).astype(np.int64))
             cls.append(np.full(p, c, np.int64))
             n.append(np.full(p, len(s), np.int64))
         arrays = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (token, cls, n)]
@@ -304,7 +305,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
         F.struct(F.col("a").alias("cls"), F.lit(0).alias("side")),
         F.struct(F.col("b").alias("cls"), F.lit(1).alias("side")))).alias("s")).select(
         "a", "b", "s.*")
-    return (sets.join(sides, "cls").select("a", "b", "side", "tokens", "second")
+    return (sets.join(sides.hint("merge"), "cls").select("a", "b", "side", "tokens", "second")
             .repartition("a", "b").sortWithinPartitions("a", "b", "side")
             .mapInArrow(on_workers("ngram_join", "verify_batches", t), "a long, b long"))
 
@@ -413,7 +414,7 @@ def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     # pairs of components whose tokens, taken together, may be enough for some
     # pair of their classes; only those are opened into classes
     t = F.lit(threshold)
-    parts = left.groupBy("token", "component").agg(F.min("n").alias("low"),
+    parts = left.repartition("token").groupBy("token", "component").agg(F.min("n").alias("low"),
                                                    F.max("n").alias("high"))
     one = parts.select("token", *[F.col(c).alias(f"{c}_a") for c in ("component", "low", "high")])
     two = parts.select("token", *[F.col(c).alias(f"{c}_b") for c in ("component", "low", "high")])
