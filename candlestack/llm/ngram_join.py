@@ -82,22 +82,29 @@ def shingle_sets(texts: list, words: int = WORDS) -> list:
     return out
 
 
-def _shingle_sets(texts: list, words: int) -> list:
-    none = np.zeros(0, np.uint64)
+def words_of(texts: list) -> tuple:
+    """(bytes, starts, ends, hashes) of the words of ``texts`` (bytes), which
+    stand in one array with a line feed after each."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
-    if not len(data):
-        return [none for _ in texts]
     inside = ~_SPACE[data]
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edge[0::2], edge[1::2]
     if not len(starts):
-        return [none for _ in texts]
+        return data, starts, ends, np.zeros(0, np.uint64)
     # a word's hash: its bytes' numbers times powers of an odd base
     sizes = ends - starts
     place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     power = _powers(_BASE | 1, int(sizes.max()))
     terms = _BYTE[data[inside]] * power[place]
-    word = mix64(np.add.reduceat(terms, np.cumsum(sizes) - sizes) + sizes.astype(np.uint64))
+    return data, starts, ends, mix64(np.add.reduceat(terms, np.cumsum(sizes) - sizes)
+                                     + sizes.astype(np.uint64))
+
+
+def _shingle_sets(texts: list, words: int) -> list:
+    none = np.zeros(0, np.uint64)
+    _, starts, _, word = words_of(texts)
+    if not len(starts):
+        return [none for _ in texts]
     factor = _powers(0xD6E8FEB86659FD93, words + 1)
     n = len(word)
     rolled = np.zeros(max(0, n - words + 1), np.uint64)

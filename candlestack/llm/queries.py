@@ -113,6 +113,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+@register
+def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_passages(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_removed", F.array_join(F.transform("removed", lambda r: F.concat(
+            r["begin"].cast("string"), F.lit(":"), r["end"].cast("string"))), ",")
+        .alias("removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 @register
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

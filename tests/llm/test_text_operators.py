@@ -295,6 +295,32 @@ def test_line_dedup_rules(spark, edge, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_passages_inside_lines_are_removed(spark, edge, empty):
+    def prose(name, n):
+        return " ".join(f"{name}{i}é" for i in range(n))
+
+    shared = prose("s", 50).split()
+    rows = [(1, f"{prose('a', 200)} {' '.join(shared)} {prose('b', 90)}"),
+            (2, f"{prose('c', 31)}\n{prose('d', 9)} {' '.join(shared[:20])}\n"
+                f"{' '.join(shared[20:]).replace('s', 'S')} {prose('e', 70)}"),
+            (None, f"{prose('f', 40)} {' '.join(shared)}"), (3, prose("g", 400)),
+            (4, " ".join(["one two three four five six"] * 20))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r.n_removed == 0 for r in line_dedup.dedup_lines(df).collect())
+    got = {r.doc_id: r for r in line_dedup.dedup_passages(df).collect()}
+    assert got[1].n_removed == got[3].n_removed == 0 and got[3].text == rows[3][1]
+    for i, own in ((2, (rows[1][1])), (None, rows[2][1])):
+        (gone,) = got[i].removed
+        cut = own[gone.begin:gone.end].lower().split()
+        assert len(cut) > 50 - 2 * line_dedup.PASSAGE_STEP
+        assert " ".join(cut) in " ".join(shared)
+        assert got[i].text == own[:gone.begin] + own[gone.end:]
+    assert set(got[4].text.split()) == {"one", "two", "three", "four", "five", "six"}
+    out = {r.doc_id: r for r in line_dedup.dedup_passages(edge).collect()}
+    assert len(out) == len({r[0] for r in EDGE}) and out[6].n_removed
+    assert line_dedup.dedup_passages(empty).count() == 0
+
+
 # --- pipeline ---------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark):
