@@ -113,3 +113,29 @@ def test_dedup_dense_groups_are_counted_whole(spark):
     got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(
         df, window=4, segment_rows=64, block_rows=32).collect()}
     assert got == brute_links(ids, x, [4] * len(x))
+
+
+def test_dedup_finds_pairs_in_a_dense_label(spark):
+    # distinct vectors at cosine 0.8, none linked, and 150 planted pairs at 0.94
+    rng = np.random.default_rng(5)
+    n, pairs = 6000, 150
+    def unit(v):
+        return v / np.sqrt((v * v).sum(-1, keepdims=True))
+    common = unit(rng.normal(size=64))
+    own = rng.normal(size=(n, 64))
+    own = unit(own - np.outer(own @ common, common))
+    noise = rng.normal(size=(pairs, 64))
+    noise -= np.outer(noise @ common, common)
+    first = own[:pairs]
+    noise = unit(noise - (noise * first).sum(1, keepdims=True) * first)
+    own[pairs:2 * pairs] = 0.7 * first + np.sqrt(1 - 0.49) * noise
+    x = np.sqrt(0.8) * common + np.sqrt(0.2) * own
+    df = spark.createDataFrame([(i, v.tolist(), 4) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(
+        df, run_block_rows=700).collect()}
+    want = brute_links(np.arange(n), x, [4] * n)
+    planted = [i for i in range(pairs, 2 * pairs) if want[i][0]]
+    found = sum(got[i] == want[i] for i in planted)
+    print("dense label: found", found, "of", len(planted))
+    assert len(planted) > 140 and found >= 0.99 * len(planted)
