@@ -10,8 +10,8 @@ then estimates how strongly a term near an entity reveals it: over documents,
 and PMI / IC is the share of the entity that the term discloses.  Terms whose
 share reaches ``remove_at`` are removed, those that reach ``generalise_at``
 are generalised (replaced by their shape), wherever they stand near a span of
-that entity.  n(e, t) counts distinct texts and must reach ``min_support``;
-n(e) counts distinct texts, n(t) documents, N documents, all of the corpus.
+that entity.  All four numbers count distinct texts, of the whole corpus, and
+n(e, t) must reach ``min_support``.
 
 Only DataFrame and SQL functions.  Matches and their offsets come from
 splitting the text at the pattern; the patterns are possessive and anchored
@@ -158,7 +158,8 @@ def disclosure(texts: DataFrame, marked: DataFrame, min_support: int,
                generalise_at: float) -> DataFrame:
     """(entity, term, share) of the pairs at or above ``generalise_at``.
 
-    ``marked``: (doc_id, text_key, spans, near); ``texts``: the corpus."""
+    ``marked``: (doc_id, text_key, spans, near); ``texts``: (doc_id, text), the
+    corpus, of which each distinct text counts once."""
     near = (marked.where("near is not null").select("text_key", F.explode("near").alias("x"))
             .select("text_key", "x.entity", "x.term").distinct())
     pairs = (near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
@@ -166,11 +167,13 @@ def disclosure(texts: DataFrame, marked: DataFrame, min_support: int,
     entities = (marked.where(F.size("spans") > 0)
                 .select("text_key", F.explode(F.transform("spans", entity)).alias("entity"))
                 .distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
-    words = texts.select(F.explode(F.array_distinct(F.transform(
+    once = (texts.select("text", text_key(F.col("text")).alias("text_key"))
+            .dropDuplicates(["text_key"]))
+    words = once.select(F.explode(F.array_distinct(F.transform(
         F.regexp_extract_all(no_null_text("text"), F.lit(TERM), F.lit(0)), F.lower)))
         .alias("term"))
     counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    total = F.lit(texts.count())
+    total = F.lit(marked.select("text_key").distinct().count())
     share = (F.log2(total * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
              / F.log2(total / F.col("n_e")))
     return (pairs.join(entities, "entity").join(counts, "term")

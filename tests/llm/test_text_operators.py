@@ -262,6 +262,17 @@ def test_disclosing_terms_are_found(spark):
     assert {t.kind for r in soft.collect() for t in r.terms} == {"generalised"}
 
 
+def test_disclosing_terms_are_found_in_copies(spark):
+    rows = [(100 * i + k, f"common Quixotry ann@x.org text number{i}")
+            for i in range(3) for k in range(40)]
+    rows += [(1000 + i, f"common text words and other things more{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for docs in (df, df.dropDuplicates(["text"])):
+        got = pii.find_personal_data(docs).where("size(base) > 0").collect()
+        assert got and all([(t.value, t.kind) for t in r.terms] == [("quixotry", "removed")]
+                           for r in got)
+
+
 def test_pii_edge_rows(spark, edge, empty):
     found = pii.find_personal_data(edge)
     assert Counter(r.doc_id for r in found.collect()) == Counter(r[0] for r in EDGE)
