@@ -317,20 +317,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, t: float) -> DataFrame:
             .mapInArrow(on_workers("ngram_join", "verify_batches", t), "a long, b long"))
 
 
-def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,
-                    sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
-
-    Documents link when the Jaccard coefficient of their distinct ``words``-word
-    shingles is at least ``threshold``; component_id is the smallest doc_id
-    reachable.  A text with fewer words is one shingle; a null or empty text,
-    or one of white space, has none and links with nothing (component_id is
-    its doc_id).  Repeated rows link with each other; a null doc_id takes part
-    but never names a component unless all its members are null.  Words are
-    runs of anything but ASCII white space, A-Z in lower case.  Very long
-    texts are read whole; an empty table gives an empty table; other columns
-    are ignored.  Shingles and sets are told apart by 64-bit hashes; where two sets
-    are compared, by the upper 48 bits of those of their shingles."""
+def link_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,
+                 sketch_bits: int = SKETCH_BITS) -> DataFrame:
+    """doc_id, n, cls, component (names of the row's class and of the smallest
+    class reachable, null without words) for every row of
+    ``docs``, by the rules of ``link_components``."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", no_null_text("text").cast("binary").alias("text"))
     survey = materialize(texts.mapInArrow(
@@ -454,8 +445,25 @@ def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRE
             member.select(F.col("node").alias("a"), F.col("component").alias("b"))
             .unionAll(second)), "members")
 
-    named = (classes.join(member.withColumnRenamed("node", "cls"), "cls", "left")
-             .withColumn("component", F.coalesce("component", "cls")))
+    return (classes.join(member.withColumnRenamed("node", "cls"), "cls", "left")
+            .withColumn("component", F.coalesce("component", "cls")))
+
+
+def link_components(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,
+                    sketch_bits: int = SKETCH_BITS) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
+
+    Documents link when the Jaccard coefficient of their distinct ``words``-word
+    shingles is at least ``threshold``; component_id is the smallest doc_id
+    reachable.  A text with fewer words is one shingle; a null or empty text,
+    or one of white space, has none and links with nothing (component_id is
+    its doc_id).  Repeated rows link with each other; a null doc_id takes part
+    but never names a component unless all its members are null.  Words are
+    runs of anything but ASCII white space, A-Z in lower case.  Very long
+    texts are read whole; an empty table gives an empty table; other columns
+    are ignored.  Shingles and sets are told apart by 64-bit hashes; where two sets
+    are compared, by the upper 48 bits of those of their shingles."""
+    named = link_classes(docs, words, threshold, sketch_bits)
     least = (named.where("component is not null").groupBy("component")
              .agg(F.min("doc_id").alias("least")))
     return (named.join(least, "component", "left")

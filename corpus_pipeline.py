@@ -19,6 +19,10 @@ from candlestack.llm.queries import vocabulary_file
 from candlestack.sources.tables import read_table
 
 
+#: Number of a row within the stage that drops near duplicates.
+ROW = "_row_of_stage"
+
+
 def _columns(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
@@ -34,30 +38,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest
-    doc_id, and of several rows with that doc_id the one whose text sorts
-    first.  Documents without words are in no group and stay, as do rows with
-    a null doc_id that link with no other document."""
-    found = ngram_join.link_components(docs).where("n_shingles > 0")
+    """One row of each group of near duplicates: that with the smallest doc_id
+    (a null last), and of several rows with that doc_id the one whose text
+    sorts first.  Rows without words are in no group and stay, as does every
+    row that links with no other, whatever rows share its doc_id."""
+    # rows are told apart by a number that is written once, not by their doc_id
+    rows = materialize(docs.select(*_columns(docs), F.monotonically_increasing_id().alias(ROW)),
+                       "rows")
+    found = (ngram_join.link_classes(rows.select(F.col(ROW).alias("doc_id"), "text"))
+             .where("component is not null").select(F.col("doc_id").alias(ROW), "component"))
     # only groups of two rows or more lose any
-    groups = (found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    losers = (found.join(groups, "component_id")
-              .where(F.col("doc_id").isNull() | (F.col("doc_id") != F.col("component_id")))
-              .select(F.col("doc_id").alias("_id")).distinct())
-    kept = docs.select(*_columns(docs)).join(
-        losers, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    # repeated rows of the document that stays
-    again = (found.where("doc_id = component_id").groupBy("doc_id")
-             .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_id")))
-    twice = kept.join(again, F.col("doc_id") == F.col("_id"), "left_semi")
-    once = kept.join(again, F.col("doc_id") == F.col("_id"), "left_anti")
-    first = F.min(F.struct(F.col("text").isNull().alias("none"), "text", F.struct(
-        *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(docs.columns)]),
-        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-        .alias("row"))).alias("m")
-    picked = twice.groupBy("doc_id").agg(first)
-    back = picked.select(*[F.col("m.row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])
-    return once.unionByName(back)
+    groups = found.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = materialize(found.join(groups, "component").select(ROW, "component")
+                        .join(rows.select(ROW, "doc_id"), ROW), "groups")
+    least = found.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")).alias("least"))
+    first = (found.join(least, "component")
+             .where(F.col("doc_id").eqNullSafe(F.col("least.doc_id"))).select(ROW, "component"))
+    order = F.struct("text", F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}")
+                                        for i, c in enumerate(docs.columns)]), ROW)
+    kept = (rows.join(first, ROW).select("component", ROW, order.alias("order"))
+            .groupBy("component").agg(F.min_by(ROW, "order").alias(ROW)))
+    losers = found.join(kept, ROW, "left_anti").select(ROW)
+    return rows.join(losers, ROW, "left_anti").select(*_columns(docs))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

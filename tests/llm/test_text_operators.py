@@ -369,3 +369,18 @@ def test_pipeline_stages_on_edge_rows(spark, edge, empty):
         assert P.STAGES[-1][1](spark, docs, SF).count() == docs.count()
     dedup = P.drop_near_duplicates(spark, edge, SF)
     assert Counter(r.doc_id for r in dedup.collect()) == Counter([1, 2, 3, 4, 5, None, 7, 9, 10])
+
+
+def test_near_duplicates_go_by_row(spark):
+    import corpus_pipeline as P
+
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(40))
+
+    rows = [(1, text("a")), (None, text("a") + " end"), (None, text("b")), (None, ""),
+            (None, text("c")), (None, text("c")),      # null ids: a link, none, no words, copies
+            (2, text("d")), (2, text("e")), (3, text("e") + " end"),  # two texts, one id
+            (4, text("f")), (4, text("a") + " tail")]  # one of two texts links
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(map(tuple, P.drop_near_duplicates(spark, df, SF).collect()))
+    assert got == Counter([rows[0], rows[2], rows[3], rows[4], rows[6], rows[7], rows[9]])
