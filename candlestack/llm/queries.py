@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlestack.llm import (ann, bpe, embedding_dedup, licenses, line_dedup, mixing, ngram_join,
-                             pii, token_files, toxicity)
+                             pii, resampling, spelling, suffix_dedup, token_files, toxicity)
 from candlestack.llm.common import scratch_path
 from candlestack.sources.tables import read_table
 
@@ -121,6 +121,27 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+@register
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = F.transform("removed", lambda r: r["end"] - r["begin"])
+    return suffix_dedup.dedup_substrings(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes",
+        F.aggregate(runs, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"),
+                               read_table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+@register
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 @register
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
