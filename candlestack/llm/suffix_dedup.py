@@ -21,8 +21,12 @@ strings have equal anchors, and a *suffix* stands for the consecutive starts
 
 A prefix is kept once, for its least document, so a passage in a third of all
 documents is one entry of a level; a shard sends equal suffixes once, for its
-least document.  Two prefixes are equal if a 64-bit hash of all bytes and the
-64-bit hash of the anchor are.
+least document.  Two prefixes are equal if their anchors belong to one range and
+a 64-bit hash of all their bytes is equal: chance makes about one unequal pair
+equal in 100 TB.
+
+Texts are never shuffled: the shards are a bucketed table, and what a shard
+learns or loses is joined to its bucket.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlestack.llm.common import materialize, no_null_text, on_workers
+from candlestack.llm.common import no_null_text, on_workers, scratch_path
 from candlestack.llm.ngram_join import _powers, mix64
 
 #: Length of the strings that count, and of the runs that anchor them, in bytes.
@@ -43,8 +47,10 @@ GRAM = 20
 SHARD_BYTES = 8 << 20
 RANGE_BYTES = 8 << 20
 #: Starts that are hashed at once, and starts of a batch of the index family.
-PIECE = 1 << 20
+PIECE = 1 << 17
 BATCH = 1 << 19
+#: Bytes of a range's row from which they are compressed.
+PACK_BYTES = 1 << 10
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -88,7 +94,7 @@ def suffixes(data: np.ndarray, ends: np.ndarray, span: int = SPAN, gram: int = G
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     np.add.at(short, np.maximum(starts, ends - span + 1), 1)
     np.add.at(short, ends, -1)
-    whole = np.cumsum(short[:-1]) == 0
+    whole = np.cumsum(short[:-1], dtype=np.int32) == 0
     for at in range(0, len(data) - span + 1, PIECE):
         part = data[at:at + PIECE + span - 1]
         n = len(part) - span + 1
@@ -227,7 +233,19 @@ def repeat_batches(batches: Iterator) -> Iterator:
 # --- suffixes to their ranges -------------------------------------------------------
 
 SUFFIXES = ("part long, shard long, row array<int>, doc array<long>, start array<int>,"
-            " n array<int>, anchor array<long>, lost array<int>, bytes binary")
+            " n array<int>, lost array<int>, packed boolean, bytes binary")
+
+
+def prefix_hashes(data: np.ndarray, *starts: np.ndarray) -> list:
+    """Hashes of the SPAN-byte strings at ``starts`` (each ascending) of ``data``."""
+    out = [np.zeros(len(s), np.uint64) for s in starts]
+    for at in range(0, len(data) - SPAN + 1, PIECE):
+        cuts = [np.searchsorted(s, (at, at + PIECE)) for s in starts]
+        if any(a < b for a, b in cuts):
+            hashes = run_hashes(data[at:at + PIECE + SPAN - 1], SPAN)
+            for o, s, (a, b) in zip(out, starts, cuts):
+                o[a:b] = hashes[s[a:b] - at]
+    return out
 
 
 def suffix_batches(batches: Iterator, ranges: int) -> Iterator:
@@ -235,7 +253,9 @@ def suffix_batches(batches: Iterator, ranges: int) -> Iterator:
     Of equal suffixes of a shard only those of its least document carry bytes;
     the others are marked lost."""
     import pyarrow as pa
+    import zstandard
 
+    squeeze = zstandard.ZstdCompressor(level=1)
     for batch, row, data, ends, order, _ in _shards(batches):
         told = batch["repeats"][row].values
         if told is None or not len(told):
@@ -250,52 +270,44 @@ def suffix_batches(batches: Iterator, ranges: int) -> Iterator:
         low, n, anchor = suffixes(data, ends)
         part, name = _owners(anchor, ranges)
         key = part.astype(np.uint64) << np.uint64(32) | name.astype(np.uint64)
-        found = np.searchsorted(wanted, key).clip(max=len(wanted) - 1)
-        hit = wanted[found] == key
-        low, n, anchor, part = low[hit], n[hit], anchor[hit], part[hit]
+        hit = wanted[np.searchsorted(wanted, key).clip(max=len(wanted) - 1)] == key
+        low, n, part = low[hit], n[hit], part[hit]
         text = np.searchsorted(ends, low, side="right")
         doc = order[text]
         # equal first and last prefixes make equal suffixes
-        first, last = prefix_hashes(data, low), prefix_hashes(data, low + n - 1)
-        at = np.lexsort((low, doc, n, last, first, anchor, part))
-        low, n, anchor, part, text, doc, first, last = (
-            x[at] for x in (low, n, anchor, part, text, doc, first, last))
-        fresh = np.ones(len(low), bool)
-        fresh[1:] = np.any([x[1:] != x[:-1] for x in (part, anchor, first, last, n)], 0)
-        head = np.maximum.accumulate(np.where(fresh, np.arange(len(low)), 0))
-        lost = doc > doc[head]
+        first, last = prefix_hashes(data, low, low + n - 1)
+        name = mix64(first ^ mix64(last + n.astype(np.uint64)))
+        at = np.lexsort((doc, name))
+        head = _heads(name[at])
+        least = np.empty(len(name), np.int64)
+        least[at] = np.repeat(doc[at[head]], np.diff(np.append(head, len(at))))
+        lost = doc > least
+        at = np.lexsort((low, lost, part))
+        low, n, part, text, doc, lost = (x[at] for x in (low, n, part, text, doc, lost))
         sizes = np.where(lost, 0, n + SPAN - 1)
         to = np.cumsum(sizes)
         bytes_ = data[np.repeat(low - (to - sizes), sizes) + np.arange(int(sizes.sum()))]
         cuts = _heads(part)
         begin = np.concatenate([[0], ends[:-1]])[text]
-        bounds = np.append((to - sizes)[cuts], len(bytes_)).astype(np.int32)
+        bounds = np.append((to - sizes)[cuts], len(bytes_))
+        big = np.diff(bounds) >= PACK_BYTES
+        texts = [squeeze.compress(bytes_[a:b].tobytes()) if z else bytes_[a:b].tobytes()
+                 for a, b, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), big.tolist())]
         yield pa.RecordBatch.from_arrays(
             [pa.array(part[cuts]), pa.array(np.repeat(batch["shard"][row].as_py(), len(cuts))),
              _lists(text.astype(np.int32), cuts), _lists(doc, cuts),
              _lists((low - begin).astype(np.int32), cuts), _lists(n.astype(np.int32), cuts),
-             _lists(anchor.view(np.int64), cuts), _lists(lost.astype(np.int32), cuts),
-             pa.Array.from_buffers(pa.binary(), len(cuts),
-                                   [None, pa.py_buffer(bounds), pa.py_buffer(bytes_)])],
-            ["part", "shard", "row", "doc", "start", "n", "anchor", "lost", "bytes"])
-
-
-def prefix_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Hashes of the SPAN-byte strings at ``starts`` (any order) of ``data``."""
-    out = np.zeros(len(starts), np.uint64)
-    for at in range(0, len(data) - SPAN + 1, PIECE):
-        inside = np.flatnonzero((starts >= at) & (starts < at + PIECE))
-        if len(inside):
-            out[inside] = run_hashes(data[at:at + PIECE + SPAN - 1], SPAN)[starts[inside] - at]
-    return out
+             _lists(lost.astype(np.int32), cuts), pa.array(big), pa.array(texts, pa.binary())],
+            ["part", "shard", "row", "doc", "start", "n", "lost", "packed", "bytes"])
 
 
 # --- the index family ---------------------------------------------------------------
 
 class Starts:
-    """Starts in the order of the hashes of their prefixes: a suffix array."""
+    """Starts in the order of the hashes of their prefixes: a suffix array.  A start's
+    ``place`` is its row in the shard and its offset in the text."""
 
-    FIELDS = ("key", "anchor", "doc", "shard", "row", "start")
+    FIELDS = ("key", "doc", "shard", "place")
     __slots__ = FIELDS
 
     def __init__(self, *columns):
@@ -309,7 +321,7 @@ class Starts:
         return Starts(*(getattr(self, f)[which] for f in self.FIELDS))
 
     def order(self) -> Starts:
-        return self.take(np.lexsort((self.anchor, self.key)))
+        return self.take(np.argsort(self.key))
 
     @staticmethod
     def join(parts: list) -> Starts:
@@ -319,8 +331,9 @@ class Starts:
 def own_losses(batch: Starts) -> np.ndarray:
     """Which of a batch's starts (ordered) have a prefix that also starts in a
     smaller document of the batch."""
-    head = np.flatnonzero(np.concatenate(
-        [[True], (batch.key[1:] != batch.key[:-1]) | (batch.anchor[1:] != batch.anchor[:-1])]))
+    head = _heads(batch.key)
+    if not len(head):
+        return np.zeros(0, bool)
     least = np.minimum.reduceat(batch.doc, head)
     return batch.doc > np.repeat(least, np.diff(np.append(head, len(batch))))
 
@@ -328,25 +341,17 @@ def own_losses(batch: Starts) -> np.ndarray:
 def losses(mine: Starts, other: Starts) -> np.ndarray:
     """Which of ``mine`` have a prefix that a smaller document has in ``other``.
     Both are ordered, and hold a prefix for one document only."""
-    at = np.searchsorted(other.key, mine.key)
-    lost = np.zeros(len(mine), bool)
-    todo = np.flatnonzero(at < len(other))
-    while len(todo):  # past the first step only for equal keys of unequal anchors
-        todo = todo[other.key[at[todo]] == mine.key[todo]]
-        equal = other.anchor[at[todo]] == mine.anchor[todo]
-        hit = todo[equal]
-        lost[hit] = other.doc[at[hit]] < mine.doc[hit]
-        todo = todo[~equal]
-        at[todo] += 1
-        todo = todo[at[todo] < len(other)]
-    return lost
+    if not len(other):
+        return np.zeros(len(mine), bool)
+    at = np.searchsorted(other.key, mine.key).clip(max=len(other) - 1)
+    return (other.key[at] == mine.key) & (other.doc[at] < mine.doc)
 
 
 class IndexFamily:
     """Levels of starts of geometric sizes; a prefix is kept for its least document."""
 
-    def __init__(self, batch: int = BATCH):
-        self.batch, self.levels = batch, {}
+    def __init__(self):
+        self.levels: dict[int, Starts] = {}
 
     def add(self, starts: Starts) -> list:
         """Takes a batch in; the starts that lost, of the batch and of the levels."""
@@ -368,70 +373,72 @@ class IndexFamily:
         return [x for x in out if len(x)]
 
 
+def _runs(parts: list) -> Iterator:
+    """(shard, place, n) arrays of lost starts to one row a shard; runs that follow each
+    other are one."""
+    import pyarrow as pa
+
+    if not parts:
+        return
+    shard, place, n = (np.concatenate(c) for c in zip(*parts))
+    at = np.lexsort((place, shard))
+    shard, place, n = shard[at], place[at], n[at]
+    fresh = np.ones(len(shard), bool)
+    fresh[1:] = (shard[1:] != shard[:-1]) | (place[1:] != place[:-1] + n[:-1])
+    first = np.flatnonzero(fresh)
+    total = np.add.reduceat(n, first)
+    shard, place = shard[first], place[first]
+    cuts = _heads(shard)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(shard[cuts]), _lists((place >> 32).astype(np.int32), cuts),
+         _lists((place & 0xFFFFFFFF).astype(np.int32), cuts),
+         _lists(total.astype(np.int32), cuts)], ["shard", "row", "start", "n"])
+
+
 def lost_batches(batches: Iterator, batch: int = BATCH) -> Iterator:
     """The suffixes of a range to the starts that lost: (shard, row, start, n)."""
-    import pyarrow as pa
+    import zstandard
 
-    family = IndexFamily(batch)
+    loose = zstandard.ZstdDecompressor()
+    family = IndexFamily()
     held: list = []
     size = 0
 
-    def runs(parts):
-        if not parts:
-            return
-        shard, row, start, n = (np.concatenate(c) for c in zip(*parts))
-        at = np.lexsort((start, row, shard))
-        shard, row, start, n = shard[at], row[at], start[at], n[at]
-        # consecutive starts are one run
-        fresh = np.ones(len(shard), bool)
-        fresh[1:] = ((shard[1:] != shard[:-1]) | (row[1:] != row[:-1])
-                     | (start[1:] != start[:-1] + n[:-1]))
-        first = np.flatnonzero(fresh)
-        total = np.add.reduceat(n, first)
-        shard, row, start = shard[first], row[first], start[first]
-        cuts = _heads(shard)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(shard[cuts]), _lists(row.astype(np.int32), cuts),
-             _lists(start.astype(np.int32), cuts), _lists(total.astype(np.int32), cuts)],
-            ["shard", "row", "start", "n"])
-
-    def absorb():
-        for x in family.add(Starts.join(held)):
-            yield x.shard, x.row, x.start, np.ones(len(x), np.int64)
+    def absorb() -> list:
+        return [(x.shard, x.place, np.ones(len(x), np.int64)) for x in family.add(Starts.join(held))]
 
     for got in batches:
         if not got.num_rows:
             continue
-        shard = got["shard"].to_numpy()
         sizes = np.diff(got["row"].offsets.to_numpy())
-        shard = np.repeat(shard, sizes)
-        row, doc, start, n, anchor, lost = (got[c].flatten().to_numpy() for c in
-                                            ("row", "doc", "start", "n", "anchor", "lost"))
-        gone = lost == 1
-        out = [(shard[gone], row[gone], start[gone], n[gone])] if gone.any() else []
-        data = np.frombuffer(b"".join(got["bytes"].to_pylist()), np.uint8)
-        kept = ~gone
-        shard, row, doc, start, n, anchor = (x[kept] for x in (shard, row, doc, start, n, anchor))
-        if len(n):
-            n = n.astype(np.int64)
-            ends = np.cumsum(n + SPAN - 1)
-            within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            place = np.repeat(ends - (n + SPAN - 1), n) + within
-            for a in range(0, len(place), batch):
-                b = slice(a, min(a + batch, len(place)))
-                which = np.searchsorted(np.cumsum(n), np.arange(b.start, b.stop), side="right")
-                low = int(place[b][0])
-                text = data[low:int(place[b][-1]) + SPAN]
-                held.append(Starts(run_hashes(text, SPAN)[place[b] - low],
-                                   anchor.view(np.uint64)[which], doc[which], shard[which],
-                                   row[which], start[which] + within[b]))
-                size += b.stop - b.start
-                if size >= batch:
-                    out += list(absorb())
-                    held, size = [], 0
-        yield from runs(out)
+        shard = np.repeat(got["shard"].to_numpy(), sizes)
+        row, doc, start, n, lost = (got[c].flatten().to_numpy()
+                                    for c in ("row", "doc", "start", "n", "lost"))
+        place, n, gone = row.astype(np.int64) << 32 | start, n.astype(np.int64), lost == 1
+        out = [(shard[gone], place[gone], n[gone])] if gone.any() else []
+        data = np.frombuffer(b"".join(
+            loose.decompress(x) if z else x
+            for x, z in zip(got["bytes"].to_pylist(), got["packed"].to_pylist())), np.uint8)
+        shard, place, doc, n = (x[~gone] for x in (shard, place, doc, n))
+        begins = np.cumsum(n + SPAN - 1) - (n + SPAN - 1)
+        before = np.concatenate([[0], np.cumsum(n)])
+        a = 0
+        while a < len(n):  # whole suffixes, about a batch of starts
+            b = max(a + 1, int(np.searchsorted(before, before[a] + batch, side="right")) - 1)
+            which = np.repeat(np.arange(a, b), n[a:b])
+            within = np.arange(before[a], before[b]) - before[which]
+            text = data[begins[a]:begins[b - 1] + n[b - 1] + SPAN - 1]
+            at = begins[which] - begins[a] + within
+            held.append(Starts(prefix_hashes(text, at)[0], doc[which], shard[which],
+                               place[which] + within))
+            size += int(before[b] - before[a])
+            if size >= batch:
+                out += absorb()
+                held, size = [], 0
+            a = b
+        yield from _runs(out)
     if held:
-        yield from runs(list(absorb()))
+        yield from _runs(absorb())
 
 
 # --- cutting ------------------------------------------------------------------------
@@ -450,7 +457,7 @@ def cut_shards(batches: Iterator) -> Iterator:
             low = begins[row] + start
             np.add.at(gone, low, 1)
             np.add.at(gone, low + n + SPAN - 1, -1)
-        cut = np.cumsum(gone[:-1]) > 0
+        cut = np.cumsum(gone[:-1], dtype=np.int32) > 0
         # a removed run ends with its document
         edge = np.zeros(len(data) + 1, bool)
         edge[begins] = edge[ends] = True
@@ -464,7 +471,7 @@ def cut_shards(batches: Iterator) -> Iterator:
             pa.StructArray.from_arrays([pa.array(opens - begins[of]), pa.array(closes - begins[of])],
                                        ["begin", "end"]))
         left = np.concatenate([[0], np.cumsum(~cut)])
-        bounds = np.append(left[begins], left[-1])
+        bounds = left[np.append(begins, len(data))]
         for a in range(0, len(ids), 1000):  # Arrow batches of bounded rows
             b = min(a + 1000, len(ids))
             kept = data[begins[a]:ends[b - 1]][~cut[begins[a]:ends[b - 1]]]
@@ -489,9 +496,9 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     texts under SPAN bytes stay.  Very long texts are hashed in pieces.  An
     empty table gives an empty table; other columns are ignored."""
     base = docs.select("doc_id", no_null_text("text").cast("binary").alias("text"))
-    shards = materialize(base.mapInArrow(on_workers("suffix_dedup", "pack_batches"),
-                                         "ids array<long>, sizes array<long>, texts binary")
-                         .withColumn("shard", F.monotonically_increasing_id()), "shards")
+    shards = bucketed(base.mapInArrow(on_workers("suffix_dedup", "pack_batches"),
+                                      "ids array<long>, sizes array<long>, texts binary")
+                      .withColumn("shard", F.monotonically_increasing_id()), "shard")
     total = shards.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()
     ranges = max(1, -(-(total[0] or 0) // RANGE_BYTES))
     owned = shards.mapInArrow(on_workers("suffix_dedup", "anchor_batches", ranges),
@@ -500,12 +507,25 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
                .mapInArrow(on_workers("suffix_dedup", "repeat_batches"),
                            "part long, shard long, names array<int>")
                .groupBy("shard").agg(F.collect_list(F.struct("part", "names")).alias("repeats")))
-    lost = (shards.join(repeats, "shard")
+    lost = (shards.join(repeats.hint("shuffle_hash"), "shard")
             .mapInArrow(on_workers("suffix_dedup", "suffix_batches", ranges), SUFFIXES)
             .repartitionById(ranges, F.col("part").cast("int"))
             .mapInArrow(on_workers("suffix_dedup", "lost_batches"),
                         "shard long, row array<int>, start array<int>, n array<int>")
             .groupBy("shard").agg(F.collect_list(F.struct("row", "start", "n")).alias("lost")))
-    return shards.join(lost, "shard", "left").mapInArrow(
+    return shards.join(lost.hint("shuffle_hash"), "shard", "left").mapInArrow(
         on_workers("suffix_dedup", "cut_shards"),
         "doc_id long, n_bytes long, removed array<struct<begin:bigint,end:bigint>>, kept binary")
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written as a table bucketed by ``key`` in the shared checkpoint folder and
+    read back: joins on ``key`` move only their other side."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "bucketed")
+    name = f"bucketed_{path.rsplit('-', 1)[1]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its name only: the files are not the catalog's
+    return out

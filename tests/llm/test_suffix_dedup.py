@@ -78,18 +78,17 @@ def test_family_in_small_batches_equals_one_batch():
 
     rng = np.random.default_rng(1)
     key = rng.integers(0, 300, 4_000).astype(np.uint64)
-    anchor = key % np.uint64(7) + rng.integers(0, 2, 4_000).astype(np.uint64)
     doc = rng.integers(0, 50, 4_000)
     at = np.arange(4_000)
-    all_ = S.Starts(key, anchor, doc, at, at, at)
+    all_ = S.Starts(key, doc, at, at)
     least = {}
-    for k, a, d in zip(key.tolist(), anchor.tolist(), doc.tolist()):
-        least[k, a] = min(d, least.get((k, a), d))
-    want = {i for i in range(4_000) if doc[i] > least[int(key[i]), int(anchor[i])]}
+    for k, d in zip(key.tolist(), doc.tolist()):
+        least[k] = min(d, least.get(k, d))
+    want = {i for i in range(4_000) if doc[i] > least[int(key[i])]}
     for size in (64, 333, 4_000):
         family = S.IndexFamily()
         got = [int(i) for b in range(0, 4_000, size) for x in family.add(all_.take(at[b:b + size]))
-               for i in x.start]
+               for i in x.place]
         assert len(got) == len(set(got)) and set(got) == want
         assert sum(len(level) for level in family.levels.values()) == 4_000 - len(want)
         # sizes of the levels: the binary digits of the number of batches
