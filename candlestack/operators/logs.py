@@ -141,9 +141,11 @@ def retention(events: DataFrame, prefix: str, days: int = 2, as_of=None,
     return named.where(~F.coalesce(expired, F.lit(False)))
 
 
-def expired_sets(sets: DataFrame, prefix: str, days: int, as_of, name: str = "set_name") -> DataFrame:
+def expired_sets(sets: DataFrame, prefix: str, days: int, as_of, name: str = "set_name",
+                 columns: tuple = ("set_name",)) -> DataFrame:
     """Set names (``<key>-yyyy.MM.dd``) with ``prefix`` whose day is more than
     ``days`` before ``as_of``: the sets a retention sweep drops whole."""
-    day = F.to_date(F.regexp_extract(F.col(name), r"(\d{4}\.\d{2}\.\d{2})$", 1), "yyyy.MM.dd")
+    day = F.try_to_date(F.regexp_extract(F.col(name), r"(\d{4}\.\d{2}\.\d{2})$", 1),
+                        "yyyy.MM.dd")
     cutoff = F.date_sub(F.lit(str(as_of)).cast("date"), days)
-    return sets.where(F.col(name).startswith(prefix) & (day < cutoff)).select(name)
+    return sets.where(F.col(name).startswith(prefix) & (day < cutoff)).select(*columns)

@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlestack.functions.dates import month_label, quarter_label
+from candlestack.functions.dates import epoch_millis_text, month_label, quarter_label
 from candlestack.functions.numeric import round_doubles
 from candlestack.operators import bars as B
 from candlestack.operators import logs as L
 from candlestack.operators import paging as G
+from candlestack.operators import payloads as PL
 from candlestack.operators import periods as P
 from candlestack.operators import rolling as R
 from candlestack.operators import stats as S
@@ -27,13 +28,16 @@ from candlestack.schemas import BAR, STOCK_DOC, YEARLY
 from candlestack.session import materialize, scratch_path
 from candlestack.sinks import documents as D
 from candlestack.sinks import landing as LD
+from candlestack.sinks import bulk as BK
 from candlestack.sinks import points as PT
-from candlestack.sinks import report as RP
+from candlestack.sinks import sets as ST
 from candlestack.sinks import upsert as U
 from candlestack.sources import csv as CSV
 from candlestack.sources import manifest as MF
 from candlestack.sources.tables import TABLES, read_table, table_path
+from candlestack.streaming import counts as SC
 from candlestack.streaming import events as SE
+from candlestack.streaming import heartbeats as HB
 from candlestack.streaming import increments as SI
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,26 +56,18 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The tick order is (time of day, order key, line number, part key,
     supplier key), unique within a bar on these tables; packed into one
-    number it lets the bar aggregate run hash-based.  Where it does not fit,
-    the exact struct tie-break (sort-based aggregate) is used.
+    number it lets the aggregate over the ticks run hash-based.
     """
     return bars_of(read_table(spark, sf_dir, "lineitem"))
 
 
-# Declared largest values of the tick order's parts: microseconds of the day,
-# then LINEITEM_ORDER.  Together 38 digits; a larger value raises.
-TICK_RANGES = ((0, 86_399_999_999), (0, 10 ** 12 - 1), (0, 99), (0, 10 ** 7 - 1),
-               (0, 10 ** 6 - 1))
-
-
 def bars_of(ticks: DataFrame, **kw) -> DataFrame:
     """Bars of ``ticks`` with the packed tick order.  No job runs when the
     query is built."""
-    seq = B.pack_sequence_key(ticks, LINEITEM_ORDER, "l_shipdate", TICK_RANGES)
-    return B.bars_from_ticks(ticks, seq=seq, **kw)
+    return B.bars_from_ticks(ticks, tiebreak=LINEITEM_ORDER, bits=B.LINEITEM_BITS, **kw)
 
 
-LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+LINEITEM_ORDER = B.LINEITEM_TIEBREAK[:-1]
 
 
 @register("bars_daily")
@@ -261,6 +257,32 @@ def q_top_k_latest_documents(spark, sf_dir):
     return G.top_k_latest(landed_documents(spark, sf_dir), k=100)
 
 
+def stored_bar_documents(spark: SparkSession, sf_dir: str) -> str:
+    return D.store_documents(B.derived_columns(bars(spark, sf_dir)),
+                             scratch_path(spark, "doc-store"), ["symbol", "Date"])
+
+
+@register("documents_range")
+def q_documents_range(spark, sf_dir):
+    # Stored documents of one year: other years' folders are not listed, other
+    # dates' row groups are not read.
+    path = stored_bar_documents(spark, sf_dir)
+    return D.stored_documents(spark, path, "1998-03-01", "1998-10-31")
+
+
+@register("documents_newest_first")
+def q_documents_newest_first(spark, sf_dir):
+    path = stored_bar_documents(spark, sf_dir)
+    return D.stored_documents(spark, path).orderBy(F.col("Date").desc(), "symbol")
+
+
+@register("documents_by_id")
+def q_documents_by_id(spark, sf_dir):
+    path = stored_bar_documents(spark, sf_dir)
+    return D.documents_by_id(spark, path, ["A|1998-03-02", "N|1998-03-02", "R|1996-07-01",
+                                           "no such id"])
+
+
 @register("page")
 def q_page(spark, sf_dir):
     return G.page(bars(spark, sf_dir), n=2, k=5)
@@ -315,18 +337,125 @@ def q_retention(spark, sf_dir):
 
 @register("retention_sweep")
 def q_retention_sweep(spark, sf_dir):
-    # Events landed as one folder per daily set; expired sets are dropped
-    # whole (the partition listing is metadata, the rule runs in Spark).
+    # Events in one folder per daily set; expired sets are dropped whole, from
+    # the listing of the files.
     events = read_table(spark, sf_dir, "events")
-    path = scratch_path(spark, "sets")
-    LD.land(events.withColumn("set_name", L.set_name(F.col("event_type"), F.col("ts"))),
-            path, partition_by=("set_name",))
+    table = ST.SetTable(scratch_path(spark, "sets"))
+    table.write(events)
     as_of = events.agg(F.max(F.to_date("ts"))).first()[0]
-    landed = spark.read.parquet(path)
-    sets = landed.select("set_name").distinct()
-    gone = [r.set_name for r in L.expired_sets(sets, "error-", 2, as_of).collect()]
-    LD.drop_partitions(spark, path, "set_name", gone)
-    return spark.read.parquet(path)
+    table.sweep(spark, "error-", 2, as_of).collect()
+    return table.read(spark)
+
+
+@register("retention_sweep_stream")
+def q_retention_sweep_stream(spark, sf_dir):
+    # Events arrive in folders by day, oldest first; every micro-batch sweeps.
+    events = read_table(spark, sf_dir, "events")
+    root = scratch_path(spark, "sets-stream")
+    LD.land(events.withColumn("day", F.to_date("ts")), f"{root}/events", partition_by=("day",))
+    table = ST.SetTable(f"{root}/sets")
+    src = SE.file_stream(spark, f"{root}/events", events.schema, max_files_per_trigger=16)
+    ST.retained_sets_stream(src.drop("day"), table, f"{root}/chk", "error-", 2).awaitTermination()
+    # files are taken in any order: one sweep at the newest time of all
+    as_of = events.agg(F.max(F.to_date("ts"))).first()[0]
+    table.sweep(spark, "error-", 2, as_of).collect()
+    return table.read(spark)
+
+
+@register("uptime_gaps_stream")
+def q_uptime_gaps_stream(spark, sf_dir):
+    # Heartbeats arrive in folders by day; closed sessions are written as the
+    # watermark passes them.  A clock tick after the last day closes the rest.
+    events = read_table(spark, sf_dir, "events")
+    root = scratch_path(spark, "beats")
+    LD.land(events.withColumn("day", F.to_date("ts")), f"{root}/events", partition_by=("day",))
+    newest = events.agg(F.max("ts")).first()[0]
+
+    def run():
+        src = SE.file_stream(spark, f"{root}/events", events.schema, max_files_per_trigger=64)
+        # files are taken in any order, so the watermark spans the data
+        HB.beat_sessions_stream(src.drop("day"), f"{root}/sessions", f"{root}/chk", 3600.0,
+                                "31 days").awaitTermination()
+
+    run()
+    tick = HB.clock_tick(events, newest + dt.timedelta(days=32))
+    LD.land(tick.withColumn("day", F.to_date("ts")), f"{root}/events", partition_by=("day",),
+            mode="append")
+    run()
+    sessions = spark.read.parquet(f"{root}/sessions")
+    return round_doubles(HB.gaps_of_sessions(sessions, 3600.0, kind=events.schema["ts"].dataType))
+
+
+@register("word_count_stream")
+def q_word_count_stream(spark, sf_dir):
+    # Documents arrive in folders by source; each micro-batch adds its counts.
+    docs = read_table(spark, sf_dir, "documents").select("source", "text")
+    root = scratch_path(spark, "words")
+    LD.land(docs, f"{root}/docs", partition_by=("source",))
+    log = SC.word_log(f"{root}/table")
+    src = SE.file_stream(spark, f"{root}/docs", docs.schema, max_files_per_trigger=2)
+    SC.word_count_stream(src, log, f"{root}/chk").awaitTermination()
+    return log.read(spark)
+
+
+# --- log lines with any payload (R2) -------------------------------------------
+
+def json_log_lines(spark: SparkSession, sf_dir: str):
+    """Log lines as text, as a shipper tails them: events as JSON objects whose payload
+    is nested and whose keys differ by type, beside lines that are not JSON (one for
+    each nation).  Returns the folder."""
+    events = read_table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("long")
+    line = F.to_json(F.struct(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "event_type",
+        F.struct(k.alias("k"), F.array(k, F.col("user_id")).alias("seen")).alias("props"),
+        F.when(F.col("event_type") == "error", F.struct(F.col("user_id").alias("user")))
+        .alias("failed by")))
+    path = scratch_path(spark, "log-lines")
+    events.select(line.alias("value")).write.mode("overwrite").text(f"{path}/kind=events")
+    (read_table(spark, sf_dir, "nation")
+     .select(F.concat(F.lit('{"broken": "'), "n_name").alias("value"))
+     .coalesce(1).write.mode("overwrite").text(f"{path}/kind=broken"))
+    return path
+
+
+@register("log_fields")
+def q_log_fields(spark, sf_dir):
+    # Every leaf of every payload, whatever its keys.
+    lines = spark.read.text(json_log_lines(spark, sf_dir)).select("value")
+    good, _ = PL.split_lines(PL.parse_lines(lines))
+    fields = PL.payload_fields(good.withColumn("event_id", F.variant_get(
+        PL.PAYLOAD, "$.event_id", "long")), ["event_id"], depth=3)
+    return fields.select("event_id", "path", "value")
+
+
+@register("log_bad_lines")
+def q_log_bad_lines(spark, sf_dir):
+    lines = spark.read.text(json_log_lines(spark, sf_dir)).select("value")
+    _, bad = PL.split_lines(PL.parse_lines(lines))
+    return bad.select(F.col("value").alias("line"))
+
+
+@register("log_payload_schema")
+def q_log_payload_schema(spark, sf_dir):
+    # The schema that all payloads have together, as text.
+    lines = spark.read.text(json_log_lines(spark, sf_dir)).select("value")
+    good, _ = PL.split_lines(PL.parse_lines(lines))
+    return PL.payload_schema(good)
+
+
+@register("log_ingest_any_stream")
+def q_log_ingest_any_stream(spark, sf_dir):
+    # The lines as a stream: payloads as VARIANT in one table, bad lines in
+    # another; typed columns are taken out of the payload when it is read.
+    root = scratch_path(spark, "log-any")
+    src = (spark.readStream.text(json_log_lines(spark, sf_dir)).select("value"))
+    SE.any_log_stream(src, f"{root}/out", f"{root}/chk").awaitTermination()
+    good, _ = SE.read_any_log(spark, f"{root}/out")
+    typed = PL.typed_payload(good, T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
+        T.StructField("ts", T.StringType())]))
+    return typed
 
 
 # --- shaping (W9-W13) -------------------------------------------------------
@@ -420,17 +549,81 @@ def q_land_bars(spark, sf_dir):
     return spark.read.parquet(path).select(*[F.col(f"`{c}`") for c in BAR_NAMES], "year")
 
 
+def sent_store(spark: SparkSession, docs: DataFrame) -> BK.BulkStore:
+    """``docs`` sent twice, from different numbers of tasks."""
+    root = scratch_path(spark, "bulk")
+    docs = materialize(docs, "bulk-docs")
+    BK.send(docs.repartition(3), root, "run-1")
+    BK.send(docs.repartition(7), root, "run-2")
+    return BK.BulkStore(spark, root)
+
+
 @register("sink_report")
 def q_sink_report(spark, sf_dir):
     docs = D.stats_documents(P.period_stats_long(bars(spark, sf_dir)))
-    writer = RP.JsonLinesWriter(scratch_path(spark, "sink-report"))
-    return RP.send_in_batches(docs, writer, "_index", batch_size=1000)
+    tallies = sent_store(spark, docs).tallies()
+    return tallies.where("run = 'run-2'").select("target", "written", "failed")
+
+
+@register("sink_documents")
+def q_sink_documents(spark, sf_dir):
+    # What the store holds after both sends: each document once.
+    docs = D.stats_documents(round_doubles(P.period_stats_long(bars(spark, sf_dir), digits=4)))
+    return sent_store(spark, docs).documents()
+
+
+@register("sink_refused")
+def q_sink_refused(spark, sf_dir):
+    # Documents that the store refuses: no id, or a source that is no object.
+    nation = read_table(spark, sf_dir, "nation")
+    docs = nation.select(
+        F.lit("nation").alias("_index"),
+        F.when(F.col("n_regionkey") != 0, F.col("n_name")).alias("_id"),
+        F.when(F.col("n_regionkey") == 1, F.col("n_name")).otherwise(
+            F.to_json(F.struct("n_nationkey"))).alias("_source"))
+    return (sent_store(spark, docs).refused().where("run = 'run-2'")
+            .select("_index", "_id", "_source", "reason"))
+
+
+@register("declared_target")
+def q_declared_target(spark, sf_dir):
+    # A target is declared once; declaring it again changes nothing, and another
+    # schema is refused.  Its rows conform to the declared schema.
+    path = scratch_path(spark, "target")
+    created = D.create_target(spark, path, D.STATS_DOC)
+    again = D.create_target(spark, path, D.STATS_DOC)
+    try:
+        D.create_target(spark, path, STOCK_DOC)
+        refused = False
+    except D.TargetMismatch:
+        refused = True
+    D.write_target(P.period_stats_long(bars(spark, sf_dir)), path)
+    rows = spark.read.parquet(f"{path}/data")
+    return rows.groupBy("period_type").agg(F.count(F.lit(1)).alias("n")).select(
+        "period_type", "n", F.lit(created).alias("created"), F.lit(again).alias("created_again"),
+        F.lit(refused).alias("other_refused"))
 
 
 @register("file_manifest")
 def q_file_manifest(spark, sf_dir):
-    path = LD.land(bars(spark, sf_dir), scratch_path(spark, "manifest"))
-    return MF.file_manifest(spark, path).drop("file_path")
+    # The listing of the driver's own table files with their rows.
+    paths = [table_path(sf_dir, t) for t in TABLES]
+    found = MF.file_manifest(spark, paths)
+    return found.select("file_name", "rows", (F.col("file_size") > 0).alias("has_bytes"),
+                        F.col("modified").isNotNull().alias("has_time"))
+
+
+@register("verify_landed")
+def q_verify_landed(spark, sf_dir):
+    # Bars landed as Parquet by year, as CSV, and with one symbol left out:
+    # each copy against its source.
+    b = materialize(bars(spark, sf_dir), "verify-source")
+    copies = {"parquet": spark.read.parquet(LD.land(b, scratch_path(spark, "verify"))),
+              "csv": CSV.read_csv(spark, LD.land_csv(b, scratch_path(spark, "verify-csv")), BAR),
+              "part": b.where(F.col("symbol") != "R")}
+    checks = [MF.verify_landed(b, c).select(F.lit(k).alias("copy"), "*")
+              for k, c in copies.items()]
+    return checks[0].unionAll(checks[1]).unionAll(checks[2])
 
 
 @register("file_rows")
@@ -454,8 +647,7 @@ def q_preview_lines(spark, sf_dir):
 @register("scan_csv")
 def q_scan_csv(spark, sf_dir):
     path = LD.land_csv(bars(spark, sf_dir), scratch_path(spark, "scan-csv"))
-    good, _ = CSV.split_corrupt(CSV.read_csv(spark, path, BAR))
-    return good
+    return CSV.read_csv(spark, path, BAR).drop(CSV.CORRUPT)
 
 
 @register("union_by_name_missing")
@@ -472,8 +664,7 @@ def q_union_by_name_missing(spark, sf_dir):
 def q_bars_csv(spark, sf_dir):
     # Bars landed as CSV in symbol=<S> folders, read back as typed bars.
     path = LD.land_csv(bars(spark, sf_dir), scratch_path(spark, "bars-csv"), ["symbol"])
-    good, _ = CSV.split_corrupt(CSV.read_bar_csv(spark, path))
-    return good
+    return CSV.read_bar_csv(spark, path).drop(CSV.CORRUPT)
 
 
 @register("scan_csv_lenient")
@@ -483,7 +674,7 @@ def q_scan_csv_lenient(spark, sf_dir):
     path = LD.land_csv(bars(spark, sf_dir), scratch_path(spark, "lenient"))
     df, missing = CSV.read_csv_union(spark, [path, path + "-missing"], BAR, lenient=True)
     assert missing == [path + "-missing"]
-    return df
+    return df.drop(CSV.CORRUPT)
 
 
 @register("scan_csv_corrupt")
@@ -513,6 +704,39 @@ def q_corrupt_lines(spark, sf_dir):
     return bad.select(F.col(CSV.CORRUPT).alias("line"))
 
 
+@register("scan_csv_all_lines")
+def q_scan_csv_all_lines(spark, sf_dir):
+    # Every line: typed where it fits, with its text where it does not.
+    scan, _ = csv_with_bad_lines(spark, sf_dir)
+    return scan.select("event_id", "event_type", F.col(CSV.CORRUPT).alias("bad_line"))
+
+
+@register("scan_csv_multiline")
+def q_scan_csv_multiline(spark, sf_dir):
+    # Texts with line breaks, quotes and outer blanks as quoted fields.
+    docs = read_table(spark, sf_dir, "documents")
+    path = LD.land(docs, scratch_path(spark, "csv-docs"), (), fmt="csv", options={
+        "header": "true", "escape": '"', "quoteAll": "true", "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false"})
+    return CSV.read_csv(spark, path, docs.schema, options=CSV.MULTILINE).drop(CSV.CORRUPT)
+
+
+@register("union_declared_headers")
+def q_union_declared_headers(spark, sf_dir):
+    # Files whose headers differ in order and columns, one with lines that do
+    # not fit, under one declared schema.
+    b = bars(spark, sf_dir)
+    a = LD.land_csv(b.where(F.col("symbol") == "R"), scratch_path(spark, "union-r"))
+    c = LD.land_csv(b.where(F.col("symbol") != "R").select("Close", "Date", "symbol", "Volume"),
+                    scratch_path(spark, "union-rest"))
+    bad = LD.land_csv(read_table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("symbol"), F.lit("no date").alias("Date")),
+        scratch_path(spark, "union-bad"))
+    out = CSV.read_csv_union(spark, [a, c, bad], BAR)
+    return out.select("symbol", "Date", "Open", "Close", "Volume",
+                      F.col(CSV.CORRUPT).alias("bad_line"))
+
+
 @register("bars_csv_extra_columns")
 def q_bars_csv_extra_columns(spark, sf_dir):
     # The downloader's layout: two more columns, adjusted close last.
@@ -520,16 +744,14 @@ def q_bars_csv_extra_columns(spark, sf_dir):
     wide = b.select("symbol", "Date", "Open", "High", "Low", "Close", "Volume",
                     F.lit(0.0).alias("Dividends"), F.lit(0.0).alias("Stock Splits"), "Adj Close")
     path = LD.land_csv(wide, scratch_path(spark, "bars-csv-wide"), ["symbol"])
-    good, _ = CSV.split_corrupt(CSV.read_bar_csv(spark, path))
-    return good
+    return CSV.read_bar_csv(spark, path).drop(CSV.CORRUPT)
 
 
 @register("bars_csv_no_adj_close")
 def q_bars_csv_no_adj_close(spark, sf_dir):
     path = LD.land_csv(bars(spark, sf_dir).drop("Adj Close"),
                        scratch_path(spark, "bars-csv-narrow"), ["symbol"])
-    good, _ = CSV.split_corrupt(CSV.read_bar_csv(spark, path))
-    return good
+    return CSV.read_bar_csv(spark, path).drop(CSV.CORRUPT)
 
 
 # --- streaming (R2, R3, R6) ------------------------------------------------------
@@ -588,16 +810,28 @@ def q_metric_window_stream_daily_files(spark, sf_dir):
 @register("bars_from_tick_stream")
 def q_bars_from_tick_stream(spark, sf_dir):
     # Ticks arrive as files (one folder per ship year, several micro-batches);
-    # a streaming aggregation keeps every (symbol, day) bar up to date.
+    # each writes the parts of bars that its ticks make, a read merges them.
     ticks = read_table(spark, sf_dir, "lineitem")
     root = scratch_path(spark, "tick-stream")
     LD.land(ticks.withColumn("year", F.year("l_shipdate")), f"{root}/ticks",
             partition_by=("year",))
-    table = U.ChangeLog(f"{root}/table", list(SI.BAR_KEYS))
-    src = SE.file_stream(spark, f"{root}/ticks", ticks.schema, max_files_per_trigger=16)
-    q = SI.bars_from_tick_stream(src.drop("year"), table, f"{root}/chk")
-    q.awaitTermination()
-    return table.read(spark).select(*[F.col(f"`{c}`") for c in BAR_NAMES])
+    log = SC.tick_bar_log(f"{root}/table")
+    src = SE.file_stream(spark, f"{root}/ticks", ticks.schema, max_files_per_trigger=2)
+    SC.tick_bar_stream(src.drop("year"), log, f"{root}/chk").awaitTermination()
+    return SC.read_tick_bars(spark, log)
+
+
+@register("period_stats_incremental")
+def q_period_stats_incremental(spark, sf_dir):
+    # Statistics kept up to date from new bar files: moments of each micro-batch
+    # are merged, history is not read again.
+    root = scratch_path(spark, "period-stream")
+    landed = LD.land(bars(spark, sf_dir), f"{root}/bars")
+    schema = T.StructType(list(BAR.fields) + [T.StructField("year", T.IntegerType(), True)])
+    log = SC.period_log(f"{root}/table")
+    src = SE.file_stream(spark, landed, schema, max_files_per_trigger=2)
+    SC.period_stats_stream(src.drop("year"), log, f"{root}/chk").awaitTermination()
+    return round_doubles(SC.read_period_stats(spark, log, digits=4))
 
 
 @register("incremental_bars")
@@ -610,3 +844,44 @@ def q_incremental_bars(spark, sf_dir):
         SE.file_stream(spark, landed, schema, max_files_per_trigger=4), table, f"{root}/chk")
     q.awaitTermination()
     return table.read(spark).select(*[F.col(f"`{c}`") for c in BAR_NAMES])
+
+
+def _bar_file_stream(spark: SparkSession, sf_dir: str, root: str, corrected: bool):
+    """Bars landed as files; ``corrected``: an older version of each, with twice the
+    volume, lies in files that were written before."""
+    b = materialize(bars(spark, sf_dir), "increment-bars")
+    if corrected:
+        LD.land(b.withColumn("Volume", F.col("Volume") * 2), f"{root}/landing")
+    LD.land(b, f"{root}/landing", mode="append")
+    schema = T.StructType(list(BAR.fields) + [T.StructField("year", T.IntegerType(), True)])
+    return SE.file_stream(spark, f"{root}/landing", schema)
+
+
+@register("incremental_bars_corrections")
+def q_incremental_bars_corrections(spark, sf_dir):
+    # Both versions of every bar in one trigger: the later file's wins.
+    root = scratch_path(spark, "corrections")
+    table = U.ChangeLog(f"{root}/table", list(SI.BAR_KEYS))
+    SI.incremental_bars_stream(_bar_file_stream(spark, sf_dir, root, True), table,
+                               f"{root}/chk").awaitTermination()
+    return table.read(spark).select(*[F.col(f"`{c}`") for c in BAR_NAMES])
+
+
+@register("incremental_points")
+def q_incremental_points(spark, sf_dir):
+    # The points of new bars: six fields, no derived ones.
+    root = scratch_path(spark, "increment-points")
+    table = U.ChangeLog(f"{root}/table", list(SI.BAR_KEYS))
+    SI.incremental_bars_stream(_bar_file_stream(spark, sf_dir, root, False), table,
+                               f"{root}/chk", points_path=f"{root}/points").awaitTermination()
+    return spark.read.text(f"{root}/points").select(F.col("value").alias("line"))
+
+
+@register("scalar_epoch_size")
+def q_scalar_epoch_size(spark, sf_dir):
+    # Epoch milliseconds as text, and readable sizes.
+    events = read_table(spark, sf_dir, "events")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    size = F.col("event_id") * F.col("event_id") * 1000
+    return events.select("event_id", epoch_millis_text(ms).alias("time_text"),
+                         MF.human_size(size).alias("size_text"))

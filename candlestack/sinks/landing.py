@@ -20,16 +20,15 @@ def with_year(df: DataFrame, date_col: str = "Date") -> DataFrame:
 
 def land(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",),
          fmt: str = "parquet", mode: str = "overwrite",
-         options: dict | None = None, files_per_folder: int = 8) -> str:
-    """Write ``df`` as a table.  Rows of a ``partition_by`` folder are first
-    dealt to ``files_per_folder`` tasks by their hash, so a folder gets at
-    most that many files however many tasks the input has; raise it for
-    folders of many GB."""
+         options: dict | None = None) -> str:
+    """Write ``df`` as a table.  Rows are rebalanced by the ``partition_by`` columns:
+    tasks get about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each, so small
+    folders share a task and write one file, and a folder that holds a third of the rows
+    is split over as many tasks as its size needs.  (Without AQE it is a plain hash
+    exchange.)"""
     out = with_year(df) if "year" in partition_by else df
     if partition_by:
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in out.columns]),
-                      F.lit(files_per_folder))
-        out = out.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
+        out = out.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
     writer = out.write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -55,18 +54,3 @@ def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = (),
               mode: str = "overwrite") -> str:
     """JSON lines (one record per line), e.g. log files for a file stream."""
     return land(df, path, partition_by, fmt="json", mode=mode, options=TEXT_TIME_OPTIONS)
-
-
-def drop_partitions(spark, path: str, column: str, values) -> list[str]:
-    """Delete whole ``column=<value>`` partition folders of a landed table
-    (a metadata operation on the driver: one delete per folder, no data
-    read or rewritten).  Returns the folders removed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = []
-    for v in values:
-        hp = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={v}")
-        fs = hp.getFileSystem(conf)
-        if fs.exists(hp) and fs.delete(hp, True):
-            removed.append(str(hp.toString()))
-    return removed

@@ -98,7 +98,9 @@ class ChangeLog:
         ids = [int(p.rsplit("/_upto=", 1)[1].split("/", 1)[0]) for p in done]
         return max(ids) if ids else None
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def parts(self, spark: SparkSession) -> DataFrame:
+        """The rows of the newest committed snapshot and of the change sets after
+        it, with their ``_batch``."""
         base_id = self._base_id(spark)
         parts = []
         ids = [i for i in self._committed(spark) if base_id is None or i > base_id]
@@ -113,6 +115,10 @@ class ChangeLog:
         raw = parts[0]
         for p in parts[1:]:
             raw = raw.unionByName(p)
+        return raw
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        raw = self.parts(spark)
         cols = [c for c in raw.columns if c != "_batch"]
         return latest_per_key(raw, self.keys, ["_batch"]).select(*cols)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 # Options that differ from Spark's own.  multiLine stays off: it makes every
-# file one unsplittable task; turn it on for files with quoted line breaks.
+# file one unsplittable task; turn it on for files with quoted line breaks (MULTILINE).
 # Partition discovery stays on (no recursiveFileLookup) so ``year=`` folders
 # prune.  Quotes are doubled inside quoted fields; times have microseconds.
 CSV_DEFAULTS = {
@@ -28,6 +29,11 @@ CSV_DEFAULTS = {
 }
 
 
+# For files whose quoted fields hold line breaks, and blanks that count.
+MULTILINE = {"multiLine": "true", "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
+
+
 def _as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
@@ -132,27 +138,30 @@ def read_bar_csv(spark: SparkSession, paths: str | Sequence[str],
 
 
 def existing_paths(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Split paths into (present, missing) with one metadata call per path
-    on the driver (no data read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Split paths (files, folders or patterns) into (present, missing): Spark resolves
+    each path on the driver and reads no data."""
     present, missing = [], []
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        found = fs.globStatus(hp)
-        (present if found is not None and len(found) > 0 else missing).append(p)
+        try:
+            spark.read.text(p)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(p)
+        else:
+            present.append(p)
     return present, missing
 
 
 def read_csv_union(spark: SparkSession, paths: Sequence[str],
                    schema: T.StructType | None = None,
                    options: Mapping[str, str] | None = None,
-                   lenient: bool = False, infer: bool = False):
+                   lenient: bool = False, infer: bool = False, keep_corrupt: bool = True):
     """Read several CSV files and union them by column name.
 
     With a declared ``schema`` paths that share a header are a single scan
-    (``read_csv``).  Without one, each path keeps its own header and the union
+    (``read_csv``), and lines that do not fit are kept with their text in
+    ``_corrupt_record`` (unless not ``keep_corrupt``: then only their fields that fit).  Without one, each path keeps its own header and the union
     NULL-fills columns a path lacks.  ``lenient`` skips missing paths and
     returns ``(df, missing)``; strict mode lets the scan raise.
     """
@@ -163,7 +172,7 @@ def read_csv_union(spark: SparkSession, paths: Sequence[str],
         if not paths:
             return None, missing
     if schema is not None:
-        df = read_csv(spark, paths, schema, options, keep_corrupt=False)
+        df = read_csv(spark, paths, schema, options, keep_corrupt=keep_corrupt)
     else:
         parts = [read_csv(spark, p, None, options, infer=infer) for p in paths]
         df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -1,5 +1,7 @@
 """Structured Streaming forms of log ingest (R2) and metric windows (R3).
 
+``any_log_stream`` is log ingest for payloads of which nothing is declared.
+
 Sources are file streams (new files in a folder are new data); sinks carry a
 checkpoint, so a restarted query resumes where it stopped and replays at
 most one micro-batch, which the sinks absorb (file sink commit log, keyed
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from candlestack.operators.logs import metric_window, parse_events
+from candlestack.operators.payloads import PAYLOAD, parse_lines
 from candlestack.sinks.upsert import ChangeLog
 
 
@@ -70,3 +73,29 @@ def metric_window_stream(source: DataFrame, table: ChangeLog, checkpoint: str,
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def any_log_stream(lines: DataFrame, path: str, checkpoint: str,
+                   available_now: bool = True) -> StreamingQuery:
+    """Log lines (value) with any JSON payload: each micro-batch appends its payloads as
+    VARIANT to ``<path>/good`` and the lines that are not JSON, with their text, to
+    ``<path>/bad``, in a folder of the batch that a replay overwrites."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        # one pass: the sides are folders of one write
+        parsed = parse_lines(batch).where(F.col("value").isNotNull())
+        side = F.when(F.col(PAYLOAD).isNull(), F.lit("bad")).otherwise(F.lit("good"))
+        kept = F.when(F.col(PAYLOAD).isNull(), F.col("value"))
+        (parsed.withColumn("value", kept).withColumn("side", side)
+         .write.mode("overwrite").partitionBy("side").parquet(f"{path}/batch={int(batch_id)}"))
+
+    writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_any_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(payloads, bad lines) that ``any_log_stream`` wrote; each reads only its folders."""
+    rows = spark.read.parquet(path)
+    return (rows.where(F.col("side") == "good").select(PAYLOAD),
+            rows.where(F.col("side") == "bad").select("value"))

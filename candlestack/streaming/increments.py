@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candlestack.operators.bars import derived_columns
 from candlestack.sinks.points import bar_points
 from candlestack.sinks.upsert import ChangeLog, latest_per_key
 
@@ -54,7 +53,7 @@ def incremental_bars_stream(source: DataFrame, table: ChangeLog, checkpoint: str
         batch.persist()
         try:
             table.write_batch(batch, batch_id)
-            pts = bar_points(derived_columns(batch))
+            pts = bar_points(batch)  # the six fields of a bar, no derived ones
             pts.select("line").write.mode("overwrite").text(
                 f"{points_path}/_batch={int(batch_id)}")
         finally:
@@ -66,24 +65,3 @@ def incremental_bars_stream(source: DataFrame, table: ChangeLog, checkpoint: str
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
-
-
-def bars_from_tick_stream(ticks: DataFrame, table: ChangeLog, checkpoint: str,
-                          available_now: bool = True, **bar_options) -> StreamingQuery:
-    """Bars maintained from a stream of tick files.
-
-    A streaming aggregation by (symbol, day) in update mode: each micro-batch
-    emits the bars its ticks changed, with their full state, into the keyed
-    change log, so the table always holds the latest bar per key.  The state
-    is one row per (symbol, day), bounded by the calendar, not by tick
-    volume, so no watermark is needed to keep it small.
-    """
-    from candlestack.operators.bars import bars_from_ticks
-
-    bars = bars_from_ticks(ticks, **bar_options)
-    writer = (bars.writeStream.outputMode("update")
-              .option("checkpointLocation", checkpoint)
-              .foreachBatch(table.foreach_batch))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
