@@ -488,3 +488,113 @@ SELECT date_text, CAST(strptime(date_text, '%Y-%m-%d') AS DATE) AS "Date",
        CAST(year(CAST(date_text AS DATE)) AS VARCHAR) || '-Q'
          || CAST(quarter(CAST(date_text AS DATE)) AS VARCHAR) AS "Quarter"
 FROM (SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d') AS date_text FROM lineitem)"""
+
+# --- stored documents, sinks and manifest ------------------------------------------
+
+_STORED = _with(BARS_CTE) + f"""
+SELECT symbol || '|' || strftime("Date", '%Y-%m-%d') AS _id, {_bar_cols()},
+       ("Close" - "Open") / "Open" AS "Return", ("Open" + "Close") / 2 AS "AVG Price",
+       ("Close" - "Open") / "Open" * 100 AS "Close Pct Change"
+FROM bars"""
+
+ORACLE["documents_newest_first"] = _STORED
+ORACLE["documents_range"] = _STORED + """
+WHERE "Date" BETWEEN DATE '1998-03-01' AND DATE '1998-10-31'"""
+ORACLE["documents_by_id"] = f"""SELECT * FROM ({_STORED}) t
+WHERE _id IN ('A|1998-03-02', 'N|1998-03-02', 'R|1996-07-01', 'no such id')"""
+
+# Sent twice: each document is there once.
+ORACLE["sink_documents"] = ORACLE["to_documents"]
+
+_NATION_SOURCE = """'{"n_nationkey":' || n_nationkey || '}'"""
+ORACLE["sink_refused"] = f"""
+SELECT 'nation' AS _index, CASE WHEN n_regionkey <> 0 THEN n_name END AS _id,
+       CASE WHEN n_regionkey = 1 THEN n_name ELSE {_NATION_SOURCE} END AS _source,
+       CASE WHEN n_regionkey = 0 THEN 'no _id' ELSE 'source is not a JSON object' END AS reason
+FROM nation WHERE n_regionkey IN (0, 1)"""
+
+ORACLE["declared_target"] = _with(BARS_CTE, _LABELS, _LONG_RAW) + """
+SELECT period_type, count(*) AS n, true AS created, false AS created_again,
+       true AS other_refused
+FROM long_raw GROUP BY 1"""
+
+ORACLE["file_manifest"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}.parquet' AS file_name, count(*) AS rows, true AS has_bytes, true AS has_time"
+    f" FROM {t}" for t in TABLES)
+
+ORACLE["verify_landed"] = _with(BARS_CTE) + """
+, counted AS (SELECT count(*) AS n, count(*) FILTER (WHERE symbol <> 'R') AS part FROM bars)
+SELECT 'parquet' AS copy, n AS rows, n AS landed_rows, true AS same FROM counted
+UNION ALL SELECT 'csv', n, n, true FROM counted
+UNION ALL SELECT 'part', n, part, n = part FROM counted"""
+
+# --- CSV: every line, quoted line breaks, different headers -------------------------
+
+# A line that does not fit keeps the fields that do.
+ORACLE["scan_csv_all_lines"] = """
+SELECT event_id, event_type, CAST(NULL AS VARCHAR) AS bad_line FROM events
+UNION ALL
+SELECT NULL, n_name, 'bad-' || n_nationkey || ',' || n_name || ',' || n_name || ','
+       || n_name || ',' || n_name || ',' || n_name FROM nation"""
+
+ORACLE["scan_csv_multiline"] = "SELECT * FROM documents"
+
+ORACLE["union_declared_headers"] = _with(BARS_CTE) + """
+SELECT symbol, "Date", CASE WHEN symbol = 'R' THEN "Open" END AS "Open", "Close", "Volume",
+       CAST(NULL AS VARCHAR) AS bad_line FROM bars
+UNION ALL
+SELECT n_name, NULL, NULL, NULL, NULL, n_name || ',no date' FROM nation"""
+
+# --- log lines with any payload -----------------------------------------------------
+
+_K = "CAST(json_extract(props, '$.k') AS BIGINT)"
+_TS_TEXT = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+
+ORACLE["log_fields"] = f"""
+SELECT event_id, '$.event_id' AS path, CAST(event_id AS VARCHAR) AS value FROM events
+UNION ALL SELECT event_id, '$.ts', {_TS_TEXT} FROM events
+UNION ALL SELECT event_id, '$.event_type', event_type FROM events
+UNION ALL SELECT event_id, '$.props.k', CAST({_K} AS VARCHAR) FROM events
+UNION ALL SELECT event_id, '$.props.seen[0]', CAST({_K} AS VARCHAR) FROM events
+UNION ALL SELECT event_id, '$.props.seen[1]', CAST(user_id AS VARCHAR) FROM events
+UNION ALL SELECT event_id, '$[''failed by''].user', CAST(user_id AS VARCHAR) FROM events
+WHERE event_type = 'error'"""
+
+ORACLE["log_bad_lines"] = """SELECT '{"broken": "' || n_name AS line FROM nation"""
+
+ORACLE["log_payload_schema"] = """
+SELECT 'OBJECT<event_id: BIGINT, event_type: STRING, '
+       || CASE WHEN count(*) FILTER (WHERE event_type = 'error') > 0
+               THEN '`failed by`: OBJECT<user: BIGINT>, ' ELSE '' END
+       || 'props: OBJECT<k: BIGINT, seen: ARRAY<BIGINT>>, ts: STRING>' AS schema,
+       count(*) AS n
+FROM events"""
+
+ORACLE["log_ingest_any_stream"] = f"""
+SELECT event_id, event_type, {_TS_TEXT} AS ts FROM events"""
+
+# --- streams: equal to their batch twins --------------------------------------------
+
+ORACLE["retention_sweep_stream"] = ORACLE["retention_sweep"]
+ORACLE["uptime_gaps_stream"] = ORACLE["uptime_gaps"]
+ORACLE["word_count_stream"] = ORACLE["word_count"]
+ORACLE["period_stats_incremental"] = ORACLE["period_stats_long"]
+# of both versions of a bar in one trigger the later file's stays
+ORACLE["incremental_bars_corrections"] = ORACLE["bars_daily"]
+
+ORACLE["incremental_points"] = _with(BARS_CTE) + f"""
+SELECT 'stock_prices,symbol=' || symbol || ' '
+         || concat_ws(',', {", ".join(_field(n, x) for n, x in _BAR_FIELDS[:6])})
+         || ' ' || CAST(CAST(("Date" - DATE '1970-01-01') AS BIGINT) * 86400000000000 AS VARCHAR)
+         AS line
+FROM bars"""
+
+_SIZE = "(event_id * event_id * 1000)"
+_UNITS = [("TB", 4), ("GB", 3), ("MB", 2), ("KB", 1)]
+
+ORACLE["scalar_epoch_size"] = f"""
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_text,
+       CASE {" ".join(f"WHEN {_SIZE} >= 1024.0 ** {p} THEN "
+                      f"format('{{:.2f}} {u}', {_SIZE} / 1024.0 ** {p})" for u, p in _UNITS)}
+            ELSE format('{{:.2f}} B', {_SIZE} * 1.0) END AS size_text
+FROM events"""

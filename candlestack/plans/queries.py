@@ -873,7 +873,8 @@ def q_incremental_points(spark, sf_dir):
     root = scratch_path(spark, "increment-points")
     table = U.ChangeLog(f"{root}/table", list(SI.BAR_KEYS))
     SI.incremental_bars_stream(_bar_file_stream(spark, sf_dir, root, False), table,
-                               f"{root}/chk", points_path=f"{root}/points").awaitTermination()
+                               f"{root}/chk", points_path=f"{root}/points",
+                               point_digits=6).awaitTermination()
     return spark.read.text(f"{root}/points").select(F.col("value").alias("line"))
 
 

@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 
 
 def human_size(b: Column) -> Column:
-    """Bytes as text in B / KB / MB / GB / TB (1024-based, 2 digits)."""
+    """Bytes as text in B / KB / MB / GB / TB (1024-based, 2 digits, a tie to the even
+    one); NULL for NULL."""
     x = b.cast("double")
-    units = [(1024.0 ** 4, "TB"), (1024.0 ** 3, "GB"), (1024.0 ** 2, "MB"), (1024.0, "KB")]
-    expr = F.concat(b.cast("string"), F.lit(" B"))
-    for scale, name in reversed(units):
-        expr = F.when(x >= scale, F.concat(F.format_string("%.2f", x / scale),
-                                           F.lit(f" {name}"))).otherwise(expr)
+    expr = None
+    for power, name in enumerate(["B", "KB", "MB", "GB", "TB"]):
+        scale = 1024.0 ** power
+        text = F.concat(F.format_string("%.2f", F.bround(x / scale, 2)), F.lit(f" {name}"))
+        expr = F.when(x.isNotNull(), text) if expr is None else (
+            F.when(x >= scale, text).otherwise(expr))
     return expr
 
 

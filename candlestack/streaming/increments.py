@@ -32,12 +32,14 @@ def day_slice(bars: DataFrame, day, date_col: str = "Date") -> DataFrame:
 
 def incremental_bars_stream(source: DataFrame, table: ChangeLog, checkpoint: str,
                             available_now: bool = True,
-                            points_path: str | None = None) -> StreamingQuery:
+                            points_path: str | None = None,
+                            point_digits: int | None = None) -> StreamingQuery:
     """Merge new bar files into ``table``.  Of several rows of a key in one
     micro-batch the one in the latest file (by modification time, then name)
     wins, as it would in a later micro-batch; with ``points_path`` each
     micro-batch's bars are also rendered as line-protocol points into
-    ``<points_path>/_batch=<id>`` (overwritten on replay, so idempotent)."""
+    ``<points_path>/_batch=<id>`` (overwritten on replay, so idempotent),
+    rounded to ``point_digits`` digits where given."""
     cols = [c for c in source.columns if c != "year"]
     version = ["_file_time", "_file"]
     source = source.select(*cols, F.col("_metadata.file_modification_time").alias(version[0]),
@@ -53,7 +55,7 @@ def incremental_bars_stream(source: DataFrame, table: ChangeLog, checkpoint: str
         batch.persist()
         try:
             table.write_batch(batch, batch_id)
-            pts = bar_points(batch)  # the six fields of a bar, no derived ones
+            pts = bar_points(batch, digits=point_digits)  # the six fields of a bar, no derived ones
             pts.select("line").write.mode("overwrite").text(
                 f"{points_path}/_batch={int(batch_id)}")
         finally:
