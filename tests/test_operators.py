@@ -331,20 +331,40 @@ def test_bars_with_sequence_number(spark):
     assert (r.Open, r.Close, r.High, r.Low, r.Volume) == (10.0, 30.0, 30.0, 10.0, 3)
 
 
-def test_sequence_key_orders_like_the_tuple(spark):
-    rows = [(o, ln, p, dt.datetime(2020, 1, 1, h)) for o in (0, 3, 900) for ln in (1, 7)
-            for p in (5, 0) for h in (0, 13)]
-    df = spark.createDataFrame(rows, "o long, ln int, p long, t timestamp_ntz")
-    key = B.sequence_key(df, ["o", "ln", "p"], ts="t")
-    got = [(r.t.hour, r.o, r.ln, r.p) for r in df.orderBy(key).collect()]
-    assert got == sorted(got)
-    assert df.select(key.alias("k")).schema["k"].dataType.simpleString() == "bigint"
-    wide = spark.createDataFrame([(2**40, 2**40), (1, 2)], "a long, b long")
-    wkey = B.sequence_key(wide, ["a", "b"])
-    assert wide.select(wkey.alias("k")).schema["k"].dataType.simpleString() == "decimal(38,0)"
-    assert [r.a for r in wide.orderBy(wkey).collect()] == [1, 2**40]
-    neg = spark.createDataFrame([(-1,)], "a long")
-    assert B.sequence_key(neg, ["a"]) is None
+@pytest.mark.parametrize("bits", [(8, 8, 8), (40, 6, 62), (0, 63 - 21, 21), (62, 62, 2)])
+def test_packed_order_compares_like_the_tuple(spark, bits):
+    import random
+
+    rng = random.Random(5)
+    pool = [0, 1, 7, 255, 256, 2**31, 10**10 + 3, 2**62 - 1, -1, -2**40]
+    rows = [tuple(rng.choice(pool) for _ in range(3)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a long, b long, c long")
+    key, rest = B.packed_order([F.col("a"), F.col("b"), F.col("c")], bits)
+    kept = df.select("*", key.alias("key"), rest.alias("rest"))
+    order = B.unpacked_order(F.col("key"), F.col("rest"), bits)
+    assert [tuple(r)[:3] for r in kept.orderBy(order).collect()] == sorted(rows)
+
+
+def test_bars_of_keys_beyond_the_packed_bits(spark):
+    # part and supplier keys over 10^10, far over the bits, below zero: open and
+    # close are those of the struct order
+    day = dt.datetime(2024, 1, 2)
+    rows = [("A", day, o, 1, p, s, 1.0, float(i)) for i, (o, p, s) in enumerate(
+        [(5, 10**10 + 7, 1), (5, 10**10, 2**45), (5, 10**10, 2**45 + 1), (2**50, 1, 1),
+         (2**50, 2**41, 0), (5, -3, 0), (5, -3, -9)])]
+    ddl = ("l_returnflag string, l_shipdate timestamp_ntz, l_orderkey long, l_linenumber int, "
+           "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double")
+    df = spark.createDataFrame(rows, ddl).repartition(3)
+    packed = B.bars_from_ticks(df, tiebreak=B.LINEITEM_TIEBREAK[:-1], bits=B.LINEITEM_BITS)
+    got, want = packed.collect(), B.bars_from_ticks(df).collect()
+    assert got == want and (got[0].Open, got[0].Close) == (6.0, 4.0)
+
+
+def test_packed_order_refuses_bits_that_do_not_fit(spark):
+    with pytest.raises(ValueError):
+        B.packed_order([F.lit(1), F.lit(2), F.lit(3)], (62, 62, 3))
+    with pytest.raises(ValueError):
+        B.packed_order([F.lit(1)], (8, 8))
 
 
 def test_changelog_compaction(spark, tmp_dir):
@@ -375,11 +395,6 @@ def test_epoch_millis_text(spark):
     assert r.t == "2023-11-14 22:13:20"
 
 
-def test_sequence_key_falls_back_on_nulls(spark):
-    df = spark.createDataFrame([(1, 2), (None, 3)], "a long, b long")
-    assert B.sequence_key(df, ["a", "b"]) is None
-
-
 def test_wall_clock_arithmetic_ignores_session_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from candlestack.operators import logs as L
 from candlestack.sinks import upsert as U
+from candlestack.streaming import counts as SC
 from candlestack.streaming import events as SE
+from candlestack.streaming import heartbeats as HB
 from candlestack.streaming import increments as SI
 
 EVENTS_DDL = ("event_id long, ts timestamp_ntz, user_id long, event_type string, "
@@ -130,12 +132,45 @@ def test_tick_stream_updates_a_bar_across_batches(spark, tmp_dir):
                           ddl).coalesce(1).write.parquet(f"{tmp_dir}/src/f=1")
     _order_by_mtime(f"{tmp_dir}/src", ["f=0", "f=1"])
     schema = spark.read.parquet(f"{tmp_dir}/src/f=0").schema
-    table = U.ChangeLog(f"{tmp_dir}/table", list(SI.BAR_KEYS))
-    q = SI.bars_from_tick_stream(
+    log = SC.tick_bar_log(f"{tmp_dir}/table")
+    q = SC.tick_bar_stream(
         SE.file_stream(spark, f"{tmp_dir}/src/f=*", schema, max_files_per_trigger=1),
-        table, f"{tmp_dir}/chk")
+        log, f"{tmp_dir}/chk")
     q.awaitTermination()
-    r = table.read(spark).collect()
+    r = SC.read_tick_bars(spark, log).collect()
     assert len(r) == 1
     b = r[0]
     assert (b.Open, b.High, b.Low, b.Close, b.Volume) == (10.0, 12.0, 9.0, 9.0, 11)
+
+
+def test_word_counts_of_a_replayed_batch_count_once(spark, tmp_dir):
+    log = SC.word_log(f"{tmp_dir}/words")
+    texts = [spark.createDataFrame([(t,)], "text string") for t in ("a b a", "b c", None)]
+    for i, t in enumerate(texts):
+        log.write_batch(L.word_count(t), i)
+    log.write_batch(L.word_count(texts[1]), 1)          # the batch runs again
+    want = {"a": 2, "b": 2, "c": 1}
+    assert {r.word: r.n for r in log.read(spark).collect()} == want
+    log.compact(spark)
+    assert {r.word: r.n for r in log.read(spark).collect()} == want
+
+
+def test_silence_is_reported_while_other_monitors_beat(spark, tmp_dir):
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda h: t0 + dt.timedelta(hours=h)
+    rows = [(1, t0, 1, "down", 1.0, "{}"), (2, at(0.5), 1, "down", 1.0, "{}")]
+    rows += [(10 + h, at(h), 1, "up", 1.0, "{}") for h in range(8)]
+    src = _events(spark, rows)
+    sessions = HB.beat_sessions(src, 5400.0)
+    assert sorted((r.monitor, r.beats) for r in sessions.collect()) == [("down", 2), ("up", 8)]
+    gaps = HB.gaps_of_sessions(sessions, 5400.0).collect()
+    assert [(g.monitor, g.gap_seconds) for g in gaps] == [("down", 6.5 * 3600)]
+    quiet = HB.silent_now(sessions, at(7), 5400.0).collect()
+    assert [(q.monitor, q.silent_seconds) for q in quiet] == [("down", 6.5 * 3600)]
+    # the stream writes the session of "down" although it never beats again
+    src.coalesce(1).write.parquet(f"{tmp_dir}/src")
+    beats = SE.file_stream(spark, f"{tmp_dir}/src", src.schema)
+    HB.beat_sessions_stream(beats, f"{tmp_dir}/out", f"{tmp_dir}/chk", 5400.0,
+                            "1 hour").awaitTermination()
+    closed = spark.read.parquet(f"{tmp_dir}/out").collect()
+    assert [(r.monitor, r.beats) for r in closed] == [("down", 2)]
