@@ -3,7 +3,9 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlestack.operators import bars as B
 from candlestack.operators import periods as P
@@ -82,11 +84,21 @@ def test_land_and_manifest(spark, tmp_dir):
 
 
 def test_create_target_if_absent(spark, tmp_dir):
-    path = D.create_target(spark, f"{tmp_dir}/t", D.STATS_DOC)
-    assert spark.read.parquet(path).schema == D.STATS_DOC
-    spark.createDataFrame([("A",)], "symbol string").write.mode("overwrite").parquet(path)
-    D.create_target(spark, path, D.STATS_DOC)          # exists: untouched
-    assert spark.read.parquet(path).columns == ["symbol"]
+    path = f"{tmp_dir}/t"
+    assert D.target_schema(spark, path) is None
+    with pytest.raises(D.TargetMismatch):
+        D.write_target(spark.createDataFrame([("A",)], "symbol string"), path)
+    assert D.create_target(spark, path, D.STATS_DOC)
+    assert not D.create_target(spark, path, D.STATS_DOC)        # exists: untouched
+    assert D.target_schema(spark, path) == D.STATS_DOC
+    other = T.StructType([*D.STATS_DOC.fields[1:], T.StructField("extra", T.LongType())])
+    with pytest.raises(D.TargetMismatch, match="extra, symbol"):
+        D.create_target(spark, path, other)
+    row = spark.range(2).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                  for f in reversed(D.STATS_DOC.fields)])
+    D.write_target(row, path)
+    back = spark.read.parquet(f"{path}/data")
+    assert back.schema == D.STATS_DOC and back.count() == 2
 
 
 def test_text_landing_keeps_microseconds(spark, tmp_dir):
