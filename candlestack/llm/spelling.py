@@ -156,12 +156,16 @@ def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:
     rows = words.select("word", "n").mapInArrow(
         on_workers("spelling", "signature_batches", parts),
         "signature long, longer boolean, word string, n long")
-    a = rows.where("not longer").select("signature", F.col("word").alias("a"),
-                                        F.col("n").alias("n_a"))
-    b = rows.select("signature", "longer", F.col("word").alias("b"), F.col("n").alias("n_b"))
-    return (a.join(b, "signature")
-            .where((F.col("longer") | (F.col("a") < F.col("b")))
-                   & (F.levenshtein("a", "b", 1) == 1))
+    # both sides read the same rows, so the signatures are shuffled once; the
+    # condition names both sides throughout, or it would be pushed into one
+    rows = rows.withColumn("longer", F.col("longer").cast("int"))
+    a = rows.toDF("signature", "a_longer", "a", "n_a")
+    b = rows.toDF("signature", "b_longer", "b", "n_b")
+    meet = ((F.col("a_longer") < F.col("b_longer"))
+            | ((F.col("a_longer") + F.col("b_longer") == 0) & (F.col("a") < F.col("b"))))
+    # 28 rows a word: their size is not seen by the planner, which could broadcast them
+    return (a.join(b.hint("merge"), "signature")
+            .where(meet & (F.levenshtein("a", "b", 1) == 1))
             .select("a", "n_a", "b", "n_b").distinct())
 
 
