@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from candlestack.llm.common import WORD, materialize, word_count
 
-#: Words in a block, documents aimed at in a shard, passes over a source at most.
+#: Words in a block at most, blocks a source has at least, documents aimed at in a
+#: shard, passes over a source at most.
 BLOCK_WORDS = 16
+SOURCE_BLOCKS = 16
 SHARD_DOCS = 2_000
 MAX_PASSES = 3
 SEED = 17
@@ -110,7 +112,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), seed: int = SEED,
     second piece is empty but for a document in which the run both ends and
     starts).  A null text has size 0, as has an empty one; size 0 takes 0.  A
     null source is a source of its own.  Repeated rows are documents of their
-    own and are taken like any other; rows alike in doc_id and size may swap
+    own and are taken like any other.  All blocks have ``block_words`` words, or
+    fewer where the smallest source would have less than SOURCE_BLOCKS of them, so a
+    source of any size comes within a block of its target; rows alike in doc_id and size may swap
     their places in the stream, which leaves the result the same.  An empty
     table gives an empty table.  Columns of ``docs`` other than these four
     and ``keep`` are ignored."""
@@ -119,12 +123,15 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), seed: int = SEED,
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"),
                                           F.count(F.lit(1)).alias("n_docs"))
     targets = source_targets(sources, weights, max_passes)
-    total = F.sum("source_size").over(Window.partitionBy(F.lit(0)))
+    every = Window.partitionBy(F.lit(0))  # one row per source
+    least = F.min(F.when(F.col("source_size") > 0, F.col("source_size"))).over(every)
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(least / SOURCE_BLOCKS)))
     quotas = apportion(targets.withColumn("votes", F.col("target"))
-                       .withColumn("_total", total), [],
-                       F.round(F.col("_total") / block_words), F.col("rank"))
+                       .withColumn("_total", F.sum("source_size").over(every))
+                       .withColumn("block", block.cast("long")), [],
+                       F.round(F.col("_total") / F.col("block")), F.col("rank"))
     quotas = materialize(quotas.select("source", "rank", "source_size", "n_docs", "target",
-                                       F.col("quota").alias("source_quota")), "quotas")
+                                       "block", F.col("quota").alias("source_quota")), "quotas")
 
     placed = (sized.alias("d")
               .join(quotas.select(F.col("source").alias("_s"), "rank", "source_size", "target",
@@ -134,27 +141,29 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), seed: int = SEED,
               .withColumn("shard", F.pmod(F.xxhash64("_order", F.lit(seed + 1)),
                                           F.ceil(F.col("n_docs") / shard_docs)).cast("long")))
     shards = placed.groupBy("rank", "shard").agg(F.sum("size").alias("votes"))
-    shards = (shards.join(quotas.select("rank", "source_quota"), "rank")
+    shards = (shards.join(quotas.select("rank", "source_quota", "block"), "rank")
+              .withColumn("words", F.col("votes"))
               .withColumn("votes", F.col("votes").cast("double")))
-    n_blocks = F.ceil(F.col("votes") / block_words).cast("long")
+    # the last block of a shard may be short: its run goes on until the quota's words are taken
     shards = (apportion(shards, ["rank"], F.col("source_quota"), F.col("shard"))
-              .withColumn("n_blocks", n_blocks)
-              .withColumn("quota", F.least("quota", max_passes * F.col("n_blocks")))
-              .withColumn("passes", F.coalesce(F.try_divide(F.col("quota"), F.col("n_blocks")),
+              .withColumn("quota", F.least(F.col("quota") * F.col("block"),
+                                           max_passes * F.col("words")))
+              .withColumn("passes", F.coalesce(F.try_divide(F.col("quota"), F.col("words")),
                                                F.lit(0.0)).cast("long"))
-              .withColumn("run", F.col("quota") - F.col("passes") * F.col("n_blocks"))
-              .withColumn("start", F.when(F.col("n_blocks") > 0, F.pmod(
-                  F.xxhash64("rank", "shard", F.lit(seed + 2)), F.col("n_blocks"))).otherwise(0))
-              .select("rank", "shard", "n_blocks", "passes", "run", "start"))
+              .withColumn("run", F.col("quota") - F.col("passes") * F.col("words"))
+              .withColumn("start", F.when(F.col("words") > 0, F.col("block") * F.pmod(
+                  F.xxhash64("rank", "shard", F.lit(seed + 2)),
+                  F.ceil(F.col("words") / F.col("block")))).otherwise(0))
+              .select("rank", "shard", "words", "passes", "run", "start"))
 
     stream = Window.partitionBy("rank", "shard").orderBy("_order", "doc_id", "size")
     laid = (placed.withColumn("_end", F.sum("size").over(
                 stream.rowsBetween(Window.unboundedPreceding, 0)))
             .join(shards, ["rank", "shard"])
             .withColumn("_begin", F.col("_end") - F.col("size"))
-            .withColumn("_a", F.col("start") * block_words)
-            .withColumn("_b", (F.col("start") + F.col("run")) * block_words)
-            .withColumn("_round", F.col("n_blocks") * block_words))
+            .withColumn("_a", F.col("start"))
+            .withColumn("_b", F.col("start") + F.col("run"))
+            .withColumn("_round", F.col("words")))
 
     def piece(lo: Column, hi: Column) -> tuple[Column, Column]:
         a = F.least(F.greatest(lo - F.col("_begin"), F.lit(0)), F.col("size"))
@@ -186,9 +195,9 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     for all but two documents of a shard).  Documents without words, which no
     word mix can take, stay as they are."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "source")]
-    packed = docs.withColumn("_text", F.col("text")).withColumn(
-        "_rest", F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}")
-                                                   for i, c in enumerate(rest)]))
+    packed = docs.select("doc_id", "text", "source", F.col("text").alias("_text"), F.struct(
+        F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
+        .alias("_rest"))
     got = mix(packed, keep=("_text", "_rest"), **params)
     whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("b")),
                            F.when(F.col("size") == 0, 1).otherwise(F.col("passes")).cast("int"))
