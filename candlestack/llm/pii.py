@@ -254,10 +254,14 @@ def sanitise(docs: DataFrame, **params) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),
         F.array_sort(F.concat("base", "terms")).alias("_spans"))
     found = found.where(F.size("_spans") > 0).dropDuplicates(["_id", "_key"])
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(*cols, text_key(no_null_text("text")).alias("_text_key"))
+    # the user's columns go in one struct, so none of their names can clash
+    packed = F.struct(F.lit(0).alias("none"), *[
+        F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"])
+    keyed = docs.select(packed.alias("_row"), "doc_id", "text",
+                        text_key(no_null_text("text")).alias("_text_key"))
     out = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_id"))
                      & (F.col("_text_key") == F.col("_key")), "left")
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
         redact(F.col("text"), F.col("_spans")))
-    return out.withColumn("text", text).select(*cols)
+    return out.select(*[(text if c == "text" else F.col("_row")[f"c{i}"]).alias(c)
+                        for i, c in enumerate(docs.columns)])
