@@ -125,15 +125,15 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0/1).
 
     Rows with a null id or label teach nothing; an id labelled more than once
-    is toxic if any label says so; a document that occurs more than once
-    counts each time.  Without any labelled row every score is 0.5."""
+    is toxic if any label says so; rows alike in id and text count once, and of
+    ids with several texts at most ``max_rows`` rows are fitted.  Without any labelled row every score is 0.5."""
     known = (labels.select("doc_id", "label").dropna().groupBy("doc_id")
              .agg(F.max("label").cast("double").alias("label")))
     chosen = (known.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(max_rows)
               .select(F.col("doc_id").alias("_id"), "label"))
     rows = (docs.select("doc_id", no_null_text("text").alias("text"))
             .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # at most max_rows rows
-            .select("label", "text"))
+            .dropDuplicates(["_id", "text"]).select("label", "text"))
     hashed = materialize(rows.mapInArrow(on_workers("toxicity", "bucket_batches", bits),
                                          "label double, buckets array<int>"), "hashed")
     n, pos = hashed.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
@@ -153,8 +153,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     best = (counts.where("t >= 3").orderBy(ratio.desc(), "bucket").limit(n_features)
             .select("bucket").collect())  # at most n_features
     buckets = np.array(sorted(r.bucket for r in best), np.int64)
-    kept = hashed.select("label", F.array_intersect("buckets", F.lit(buckets.tolist()).cast(
-        "array<int>")).alias("buckets")).collect()  # at most max_rows x n_features ids
+    kept = hashed.orderBy(F.xxhash64("buckets", F.lit(seed)), "label").limit(max_rows).select(
+        "label", F.array_intersect("buckets", F.lit(buckets.tolist()).cast(
+            "array<int>")).alias("buckets")).collect()  # at most max_rows x n_features ids
     x = np.zeros((len(kept), len(buckets)), np.float32)
     y = np.zeros(len(kept))
     for i, r in enumerate(sorted(kept, key=lambda r: (r.label, r.buckets))):
