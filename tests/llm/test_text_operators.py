@@ -94,6 +94,45 @@ def test_shards_share_quotas_exactly(spark):
         assert abs(taken[s] - t) <= 0.03 * t
 
 
+def test_small_sources_meet_their_targets(spark):
+    rows = [(i, "w " * 100, None, "z") for i in range(60)]
+    rows += [(100, "v " * 5, None, "a"), (101, "v " * 7, None, "b"), (102, "v " * 13, None, "b"),
+             (103, "v " * 333, None, "c"), (104, "", None, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want, taken = check_mix(rows, mixing.mix(df).collect())
+    assert (want["a"], want["b"]) == (15, 60)
+    assert all(abs(taken[s] - t) <= 2 for s, t in want.items()), (want, taken)
+
+
+def test_names_within_operators_clash_with_no_column(spark):
+    import corpus_pipeline as P
+
+    names = ["_id", "_key", "_spans", "_text_key", "_row", "component", "order", "least", "n",
+             "block", "words", "quota", "_text", "_rest", "label"]
+    row = ("mail ann@example.org about one two three four five six", "en", "a")
+    df = spark.createDataFrame(
+        [(1, *row, *names), (2, *row, *names), (2, *row, *names), (3, None, None, None, *names)],
+        "doc_id long, text string, lang string, source string, "
+        + ", ".join(f"`{n}` string" for n in names))
+    for stage in (P.drop_toxic, P.drop_near_duplicates, P.redact_personal_data, P.mix_sources):
+        out = stage(spark, df, SF)
+        assert out.columns == df.columns
+        rows = out.collect()
+        assert rows and all(r[n] == n for r in rows for n in names)
+    text = P.redact_personal_data(spark, df, SF).where("doc_id = 1").first()["text"]
+    assert "[EMAIL]" in text
+
+
+def test_a_repeated_document_teaches_once(spark):
+    docs = [(i, f"plain words number{i} here") for i in range(60)]
+    docs += [(100 + i, f"awful words number{i} here") for i in range(30)]
+    schema = "doc_id long, text string"
+    labels = spark.createDataFrame([(d, int(d >= 100)) for d, _ in docs], "doc_id long, label int")
+    once = toxicity.train(spark.createDataFrame(docs, schema), labels)
+    many = toxicity.train(spark.createDataFrame(docs + [docs[0]] * 500, schema), labels)
+    assert once.w0 == many.w0 and (once.w == many.w).all() and (once.v == many.v).all()
+
+
 def test_apportion_is_sainte_lague(spark):
     votes = [("x", k, float(v)) for k, v in enumerate((53, 24, 23, 1, 0, 53))]
     df = spark.createDataFrame(votes, "g string, k long, votes double")
