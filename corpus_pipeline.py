@@ -57,7 +57,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
              .where(F.col("doc_id").eqNullSafe(F.col("least.doc_id"))).select(ROW, "component"))
     order = F.struct("text", F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}")
                                         for i, c in enumerate(docs.columns)]), ROW)
-    kept = (rows.join(first, ROW).select("component", ROW, order.alias("order"))
+    kept = (rows.select(ROW, order.alias("order")).join(first, ROW)
             .groupBy("component").agg(F.min_by(ROW, "order").alias(ROW)))
     losers = found.join(kept, ROW, "left_anti").select(ROW)
     return rows.join(losers, ROW, "left_anti").select(*_columns(docs))
