@@ -87,7 +87,7 @@ def yearly_stats(bars: DataFrame, digits: int | None = None) -> DataFrame:
     return yoy_growth(period_stats(bars, "yearly", digits, keep_raw=True))
 
 
-def _period_type() -> Column:
+def period_type_of_set() -> Column:
     """The level of a grouping set's row; a bit of ``_set`` tells which of (symbol, Year,
     Quarter, Month) is grouped out."""
     return (F.when(F.col("_set") == 0b0110, F.lit("monthly"))
@@ -120,7 +120,7 @@ def period_stats_long(bars: DataFrame, with_start: bool = True,
                                "symbol", "Year", "Quarter", "Month")
          .agg(F.grouping_id().alias("_set"), *_stat_aggs(digits)))
     long = g.select(
-        "symbol", _period_type().alias("period_type"),
+        "symbol", period_type_of_set().alias("period_type"),
         F.coalesce("Month", "Quarter", F.col("Year").cast("string")).alias("period"),
         *STAT_COLUMNS, *(["_ac_raw"] if digits is not None else []))
     long = _with_growth(long, "_ac_raw" if digits is not None else "Avg_Close")
@@ -152,7 +152,7 @@ def period_moments(bars: DataFrame) -> DataFrame:
               F.coalesce(F.var_pop(finite(F.col("Close"))) * F.count(finite(F.col("Close"))),
                          F.lit(0.0)).alias("m2"),
               F.sum("Volume").alias("Total_Volume"), F.count(F.lit(1)).alias("Trading_Days")))
-    return g.select("symbol", _period_type().alias("period_type"),
+    return g.select("symbol", period_type_of_set().alias("period_type"),
                     F.coalesce("Month", "Quarter", F.col("Year").cast("string")).alias("period"),
                     *[f"{k}_{c}" for c in _MEANS.values() for k in ("sum", "n")],
                     "m2", "Total_Volume", "Trading_Days")

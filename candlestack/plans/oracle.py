@@ -579,6 +579,28 @@ ORACLE["retention_sweep_stream"] = ORACLE["retention_sweep"]
 ORACLE["uptime_gaps_stream"] = ORACLE["uptime_gaps"]
 ORACLE["word_count_stream"] = ORACLE["word_count"]
 ORACLE["period_stats_incremental"] = ORACLE["period_stats_long"]
+
+_QUARTILE_COLUMNS = ["Open", "High", "Low", "Close", "Volume"]
+
+ORACLE["period_quartiles"] = _with(BARS_CTE) + f"""
+, periods AS (
+  SELECT 'monthly' AS period_type, strftime("Date", '%Y-%m') AS period, * FROM bars
+  UNION ALL
+  SELECT 'quarterly', CAST(year("Date") AS VARCHAR) || '-Q' || CAST(quarter("Date") AS VARCHAR),
+         * FROM bars
+  UNION ALL
+  SELECT 'yearly', CAST(year("Date") AS VARCHAR), * FROM bars)
+, cells AS (
+  {" UNION ALL ".join(
+      f"""SELECT symbol, period_type, period, '{c}' AS "column", CAST("{c}" AS DOUBLE) AS x
+          FROM periods""" for c in _QUARTILE_COLUMNS)})
+SELECT symbol, period_type, period, "column", count(x) AS n,
+       quantile_disc(x, 0.25) AS "25%", quantile_disc(x, 0.5) AS "50%",
+       quantile_disc(x, 0.75) AS "75%"
+FROM cells GROUP BY ALL"""
+
+ORACLE["period_quartiles_incremental"] = ORACLE["period_quartiles"]
+
 # of both versions of a bar in one trigger the later file's stays
 ORACLE["incremental_bars_corrections"] = ORACLE["bars_daily"]
 

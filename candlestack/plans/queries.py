@@ -23,6 +23,7 @@ from candlestack.operators import paging as G
 from candlestack.operators import payloads as PL
 from candlestack.operators import periods as P
 from candlestack.operators import rolling as R
+from candlestack.operators import sketches as SK
 from candlestack.operators import stats as S
 from candlestack.schemas import BAR, STOCK_DOC, YEARLY
 from candlestack.session import materialize, scratch_path
@@ -834,6 +835,24 @@ def q_period_stats_incremental(spark, sf_dir):
     return round_doubles(SC.read_period_stats(spark, log, digits=4))
 
 
+@register("period_quartiles")
+def q_period_quartiles(spark, sf_dir):
+    # sketches of months, merged to quarters and years
+    return SK.period_quartiles(SK.month_sketches(bars(spark, sf_dir)))
+
+
+@register("period_quartiles_incremental")
+def q_period_quartiles_incremental(spark, sf_dir):
+    # The same from new bar files: each micro-batch stores its own sketches.
+    root = scratch_path(spark, "quartile-stream")
+    landed = LD.land(bars(spark, sf_dir), f"{root}/bars")
+    schema = T.StructType(list(BAR.fields) + [T.StructField("year", T.IntegerType(), True)])
+    log = SC.sketch_log(f"{root}/table")
+    src = SE.file_stream(spark, landed, schema, max_files_per_trigger=2)
+    SC.quartile_stream(src.drop("year"), log, f"{root}/chk").awaitTermination()
+    return SC.read_quartiles(spark, log)
+
+
 @register("incremental_bars")
 def q_incremental_bars(spark, sf_dir):
     root = scratch_path(spark, "increments")

@@ -1,5 +1,5 @@
-"""Word counts (R1), period statistics (W16, W17) and tick bars (R6) kept up to date
-from streams without growing state: each micro-batch writes its partial aggregates
+"""Word counts (R1), period statistics (W16, W17), quartiles (W21) and tick bars (R6)
+kept up to date from streams without growing state: each micro-batch writes its partial aggregates
 (``sinks.partials.PartialLog``), a read combines them."""
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from candlestack.operators.bars import BAR_COLUMNS, bar_partials, bars_of_partials, merge_bars
 from candlestack.operators.logs import word_count
 from candlestack.operators.periods import merge_moments, period_moments, stats_of_moments
+from candlestack.operators.sketches import (MONTH_KEYS, merge_sketches, month_sketches,
+                                            period_quartiles)
 from candlestack.sinks.partials import PartialLog, added
 
 
@@ -78,3 +80,24 @@ def read_period_stats(spark: SparkSession, log: PartialLog, digits: int | None =
     """``period_stats_long`` of all bars so far, from the merged moments: no history is
     read again."""
     return stats_of_moments(log.read(spark), digits)
+
+
+# --- quartiles --------------------------------------------------------------------------
+
+def sketch_log(path: str) -> PartialLog:
+    return PartialLog(path, MONTH_KEYS, merge_sketches)
+
+
+def quartile_stream(bars: DataFrame, log: PartialLog, checkpoint: str,
+                    available_now: bool = True) -> StreamingQuery:
+    """Sketches of each micro-batch's own bars, by month, into ``log``; every bar
+    arrives once, as for ``period_stats_stream``."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        log.write_batch(month_sketches(batch), batch_id)
+
+    return _start(bars, each, checkpoint, available_now)
+
+
+def read_quartiles(spark: SparkSession, log: PartialLog) -> DataFrame:
+    """``period_quartiles`` of all bars so far."""
+    return period_quartiles(log.read(spark))
