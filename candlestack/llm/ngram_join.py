@@ -328,14 +328,18 @@ def link_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
         on_workers("ngram_join", "survey_batches", words, sketch_bits),
         "doc_id long, n long, cls long, slice int, counts binary"), "survey")
     classes = survey.where("slice is null").select("doc_id", "n", "cls")
-    # both sketches: 2 ** (sketch_bits + 1) numbers, whatever the corpus
-    sums = (survey.where("slice is not null").select("slice", "counts").groupBy("slice")
-            .applyInArrow(on_workers_grouped("ngram_join", "sum_slices"),
-                          "slice int, counts binary").collect())
-    got = {r.slice: np.frombuffer(bytes(r.counts), "<u4") for r in sums}
-    ranks = [np.concatenate([got[k * SLICES + i] for i in range(SLICES)]) if got else None
-             for k in range(2)]
+    # both sketches: 2 ** (sketch_bits + 1) numbers, whatever the corpus, read into
+    # their places a part at a time
+    sums = materialize(survey.where("slice is not null").select("slice", "counts").groupBy("slice")
+                       .applyInArrow(on_workers_grouped("ngram_join", "sum_slices"),
+                                     "slice int, counts binary"), "sketches")
+    ranks = [np.zeros(1 << sketch_bits, "<u4") for _ in range(2)]
+    places = [p for k in range(2) for p in np.array_split(ranks[k], SLICES)]
+    for r in sums.toLocalIterator():
+        places[r.slice][:] = np.frombuffer(r.counts, "<u4")
     shared = spark.sparkContext.broadcast(ranks)
+    sent = [shared]  # given back when the last step that reads them is written
+    del ranks, places
 
     tokens = texts.select("text").mapInArrow(
         on_workers("ngram_join", "token_batches", words, threshold, shared),
@@ -396,6 +400,7 @@ def link_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
         for r in maps:
             bits[r.bucket << 12:(r.bucket + 1) << 12] = np.frombuffer(bytes(r.bits), np.uint8)
         wanted = spark.sparkContext.broadcast(bits)
+        sent.append(wanted)
         return texts.select("text", *[p.alias(f"p{i}") for i, p in enumerate(places)]).mapInArrow(
             on_workers("ngram_join", "set_batches", words, threshold, shared, wanted),
             "cls long, tokens binary, second binary")
@@ -444,6 +449,8 @@ def link_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
         member = materialize(components(
             member.select(F.col("node").alias("a"), F.col("component").alias("b"))
             .unionAll(second)), "members")
+    for held in sent:
+        held.destroy()
 
     return (classes.join(member.withColumnRenamed("node", "cls"), "cls", "left")
             .withColumn("component", F.coalesce("component", "cls")))
