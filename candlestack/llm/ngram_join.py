@@ -13,7 +13,10 @@ class, and in each group of classes that share a token, first the smallest
 and the largest class are compared with all others.  Links found make
 components, and only classes of a group that still lie in different
 components are paired with each other, so no link between components is lost.
-Verification is exact on the whole sets.
+There, tokens that the same classes hold are one key, and the join on it drops
+a pair whose sets differ in too much: each class carries a bitmap of its set,
+in which every token flips one bit, and two bitmaps differ in no more bits
+than the sets in tokens.  Verification is exact on the whole sets.
 """
 
 from __future__ import annotations
@@ -42,6 +45,9 @@ STAR = 3
 #: Bits of the filter by which a pass over the texts finds wanted documents,
 #: set at three places for each; a Spark bitmap holds 2 ** 15 of them.
 FILTER_BITS = 26
+#: Bits of a class's bitmap, in 64-bit numbers: 2 ** MAP_BITS.
+MAP_BITS = 10
+MAP_LONGS = (1 << MAP_BITS) // 64
 #: Bytes of text that are hashed at once.
 PIECE_BYTES = 1 << 20
 
@@ -164,6 +170,18 @@ def unpack_counts(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def bitmaps(sets: list) -> np.ndarray:
+    """One row of MAP_LONGS numbers for each set: its tokens flip the bits that
+    their upper MAP_BITS bits name."""
+    size = 1 << MAP_BITS
+    if not sets:
+        return np.zeros((0, MAP_LONGS), np.int64)
+    slot = (np.concatenate(sets) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    slot += np.repeat(np.arange(len(sets)) * size, [len(x) for x in sets])
+    odd = np.bincount(slot, minlength=len(sets) * size).reshape(-1, size) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+
+
 def pack_set(tokens: np.ndarray, second: np.ndarray) -> tuple:
     """An ascending set as the upper six bytes of its hashes, and which of them
     are in ``second`` as bits."""
@@ -184,11 +202,11 @@ def unpack_set(data: bytes, bits: bytes) -> tuple:
 # --- passes over the texts ---------------------------------------------------
 
 def survey_batches(batches: Iterator, words: int, bits: int) -> Iterator:
-    """(doc_id, n, cls) of each document, and at the end the task's counts of
-    both sketches as slices."""
+    """(doc_id, n, cls, bitmap) of each document, and at the end the task's
+    counts of both sketches as slices."""
     import pyarrow as pa
 
-    names = ["doc_id", "n", "cls", "slice", "counts"]
+    names = ["doc_id", "n", "cls", "bitmap", "slice", "counts"]
     counts = [np.zeros(1 << bits, np.uint32) for _ in range(2)]
     seen: set = set()
     for batch in slices(batches):
@@ -202,8 +220,11 @@ def survey_batches(batches: Iterator, words: int, bits: int) -> Iterator:
             for k in range(2):
                 counts[k] += np.bincount(_slot(tokens, k, bits),
                                          minlength=1 << bits).astype(np.uint32)
+        marks = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(n) + 1) * MAP_LONGS, pa.int32()),
+            pa.array(bitmaps(sets).ravel(), pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
+            [batch["doc_id"], pa.array(n, pa.int64()), pa.array(cls, pa.int64()), marks,
              pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)
     if seen:
         parts = [pack_counts(p) for k in range(2)
@@ -211,7 +232,7 @@ def survey_batches(batches: Iterator, words: int, bits: int) -> Iterator:
         m = len(parts)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-             pa.array(range(m), pa.int32()), pa.array(parts, pa.binary())], names)
+             pa.nulls(m, pa.list_(pa.int64())), pa.array(range(m), pa.int32()), pa.array(parts, pa.binary())], names)
 
 
 def sum_slices(table):
@@ -326,7 +347,7 @@ def link_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
     texts = docs.select("doc_id", no_null_text("text").cast("binary").alias("text"))
     survey = materialize(texts.mapInArrow(
         on_workers("ngram_join", "survey_batches", words, sketch_bits),
-        "doc_id long, n long, cls long, slice int, counts binary"), "survey")
+        "doc_id long, n long, cls long, bitmap array<long>, slice int, counts binary"), "survey")
     classes = survey.where("slice is null").select("doc_id", "n", "cls")
     # both sketches: 2 ** (sketch_bits + 1) numbers, whatever the corpus, read into
     # their places a part at a time
@@ -408,41 +429,50 @@ def link_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
     first = materialize(_verified(first_pairs, sets_of(first_pairs), threshold), "links")
     member = materialize(components(first), "members")
 
-    # what is left: classes of one group that lie in different components
+    # what is left: classes of one group that lie in different components.  All
+    # tokens of the same classes get one key: a hash of those (lists that fall
+    # together only add candidates)
     left = (grouped.join(member.withColumnRenamed("node", "cls"), "cls", "left")
             .withColumn("component", F.coalesce("component", "cls")))
-    left = materialize(left.withColumn("c0", F.min("component").over(group))
-                       .withColumn("c1", F.max("component").over(group)).where("c0 <> c1")
-                       .select("token", "cls", "component", "n"), "left")
-    # pairs of components whose tokens, taken together, may be enough for some
-    # pair of their classes; only those are opened into classes
+    left = (left.withColumn("c0", F.min("component").over(group))
+            .withColumn("c1", F.max("component").over(group))
+            .withColumn("key", F.bit_xor(F.xxhash64("cls")).over(group)).where("c0 <> c1")
+            .groupBy("key", "cls").agg(F.first("component").alias("component"),
+                                       F.first("n").alias("n"), F.count(F.lit(1)).alias("w")))
+    left = materialize(left, "left")
+    held_by = (left.groupBy("cls").agg(F.sum("w").alias("held"))
+               .join(survey.where("cls is not null").select("cls", "bitmap"), "cls")
+               .groupBy("cls").agg(F.first("held").alias("held"), F.first("bitmap").alias("map")))
+    # a key's home is the component with most of its classes, which are not
+    # compared with each other
+    home = (left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
+            .groupBy("key").agg(F.max_by("component", F.struct("k", "component")).alias("home")))
+    posts = materialize(
+        left.join(home, "key").join(held_by, "cls").select(
+            "key", "cls", "component", "n", "w", "held", "home",
+            *[F.col("map")[i].alias(f"m{i}") for i in range(MAP_LONGS)]), "posts")
+
+    def side(name: str) -> DataFrame:
+        return posts.select("key", *[F.col(c).alias(f"{c}_{name}")
+                                     for c in posts.columns if c not in ("key", "home")], "home")
+
+    one, two = side("u").where("component_u <> home").drop("home"), side("v")
     t = F.lit(threshold)
-    parts = left.groupBy("token", "component").agg(F.min("n").alias("low"),
-                                                   F.max("n").alias("high"))
-    one = parts.select("token", *[F.col(c).alias(f"{c}_a") for c in ("component", "low", "high")])
-    two = parts.select("token", *[F.col(c).alias(f"{c}_b") for c in ("component", "low", "high")])
-    # for sizes m <= n a link needs t / (1 + t) (m + n) - ceil(t n) + 1 tokens
-    # at least, which is least for the smallest m and the largest n
-    least_need = (t / (1 + t) * F.min(F.least("low_a", "low_b"))
-                  - (t - t / (1 + t)) * F.max(F.greatest("high_a", "high_b")) - 1e-6)
-    open_ = (one.join(two, "token")
-             .where((F.col("component_a") < F.col("component_b"))
-                    & (F.col("high_a") >= t * F.col("low_b") - 1e-9)
-                    & (F.col("high_b") >= t * F.col("low_a") - 1e-9))
-             .groupBy("component_a", "component_b")
-             .agg(F.count(F.lit(1)).alias("c"), least_need.alias("need"))
-             .where("c >= need").select("component_a", "component_b"))
-    x = left.select("token", F.col("cls").alias("u"), F.col("component").alias("component_a"),
-                    F.col("n").alias("x")).join(open_, "component_a")
-    y = left.select("token", F.col("cls").alias("v"), F.col("component").alias("component_b"),
-                    F.col("n").alias("y"))
-    similar = F.least("x", "y") >= t * F.greatest("x", "y") - 1e-9
+    x, y = F.col("n_u"), F.col("n_v")
+    differ = sum((F.bit_count(F.col(f"m{i}_u").bitwiseXOR(F.col(f"m{i}_v")))
+                  for i in range(1, MAP_LONGS)),
+                 F.bit_count(F.col("m0_u").bitwiseXOR(F.col("m0_v"))))
     rest = materialize(
-        x.join(y, ["token", "component_b"]).where(similar)
-        .groupBy("u", "v").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("x"),
-                               F.min("y").alias("y"))
-        .where(enough(F.col("c"), F.col("x"), F.col("y")))
-        .select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+        one.join(two, "key").where(
+            (F.col("component_u") != F.col("component_v"))
+            & ((F.col("component_v") == F.col("home")) | (F.col("cls_u") < F.col("cls_v")))
+            & enough(F.least("held_u", "held_v"), x, y)
+            # sets that link differ in (1 - t) / (1 + t) (n + m) tokens at most
+            & (differ <= (1 - t) / (1 + t) * (x + y) + 1e-6))
+        .groupBy(F.least("cls_u", "cls_v").alias("a"), F.greatest("cls_u", "cls_v").alias("b"))
+        .agg(F.sum(F.greatest("w_u", "w_v")).alias("c"), F.first(x).alias("x"),
+             F.first(y).alias("y"))
+        .where(enough(F.col("c"), F.col("x"), F.col("y"))).select("a", "b")
         .join(first_pairs, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         second = _verified(rest, sets_of(rest), threshold)

@@ -79,3 +79,39 @@ def test_families_of_near_copies_and_shared_passages(spark, seed):
                 base = t[:90]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(ngram_join.link_components(df, sketch_bits=8)) == brute(rows)
+
+
+def test_two_families_that_do_not_link_are_not_paired_class_by_class(spark, monkeypatch):
+    # whole texts with one edit each, and shorter ones: alike, but below the threshold
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join([*base[:8 * i], f"x{i}", *base[8 * i + 1:]])) for i in range(12)]
+    rows += [(100 + i, " ".join([*base[:9 * i + 6], f"y{i}", *base[9 * i + 7:77]]))
+             for i in range(8)]
+    made = {}
+    write = ngram_join.materialize
+
+    def counted(df, name):
+        made[name] = (out := write(df, name)).count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(ngram_join.link_components(df, sketch_bits=16))
+    assert got == brute(rows) and len({r[2] for r in got}) == 2
+    assert made["posts"] and made["rest"] == 0
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_tokens():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2))
+            for n in (0, 1, 40, 3000)]
+    sets += [sets[2][3:], np.union1d(sets[3][5:], sets[2])]
+    maps = ngram_join.bitmaps(sets)
+    assert maps.shape == (len(sets), ngram_join.MAP_LONGS)
+    for x, p in zip(sets, maps):
+        for y, q in zip(sets, maps):
+            bits = int(np.unpackbits((p ^ q).view(np.uint8)).sum())
+            apart = len(np.setxor1d(x, y))
+            assert bits <= apart and (apart - bits) % 2 == 0
