@@ -38,6 +38,8 @@ THRESHOLD = 0.75
 #: Counters of each of the two sketches: 2 ** SKETCH_BITS.
 SKETCH_BITS = 22
 SLICES = 64
+#: Largest count that the orders tell apart: any order is right, a fine one is quick.
+TOP_COUNT = 0xFFFF
 #: A class is first compared with centres of its groups if it meets them in one
 #: in STAR of the tokens that a link needs: a centre may lack some tokens that
 #: the class shares with others.
@@ -49,7 +51,7 @@ FILTER_BITS = 26
 MAP_BITS = 10
 MAP_LONGS = (1 << MAP_BITS) // 64
 #: Bytes of text that are hashed at once.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _MUL = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0x9E3779B97F4A7C15
@@ -218,8 +220,8 @@ def survey_batches(batches: Iterator, words: int, bits: int) -> Iterator:
         if new:
             tokens = np.concatenate(list(new.values()))
             for k in range(2):
-                counts[k] += np.bincount(_slot(tokens, k, bits),
-                                         minlength=1 << bits).astype(np.uint32)
+                slot, times = np.unique(_slot(tokens, k, bits), return_counts=True)
+                counts[k][slot] += times.astype(np.uint32)
         marks = pa.ListArray.from_arrays(
             pa.array(np.arange(len(n) + 1) * MAP_LONGS, pa.int32()),
             pa.array(bitmaps(sets).ravel(), pa.int64()))
@@ -236,11 +238,11 @@ def survey_batches(batches: Iterator, words: int, bits: int) -> Iterator:
 
 
 def sum_slices(table):
-    """The sum of one slice over all tasks."""
+    """The sum of one slice over all tasks; counts from TOP_COUNT on are alike."""
     import pyarrow as pa
 
     total = sum(unpack_counts(b.as_py()).astype(np.uint64) for b in table["counts"])
-    total = np.minimum(total, np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+    total = np.minimum(total, np.uint64(TOP_COUNT)).astype("<u2").tobytes()
     return pa.table({"slice": pa.array([table["slice"][0].as_py()], pa.int32()),
                      "counts": pa.array([total], pa.binary())})
 
@@ -354,10 +356,10 @@ def link_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
     sums = materialize(survey.where("slice is not null").select("slice", "counts").groupBy("slice")
                        .applyInArrow(on_workers_grouped("ngram_join", "sum_slices"),
                                      "slice int, counts binary"), "sketches")
-    ranks = [np.zeros(1 << sketch_bits, "<u4") for _ in range(2)]
+    ranks = [np.zeros(1 << sketch_bits, "<u2") for _ in range(2)]
     places = [p for k in range(2) for p in np.array_split(ranks[k], SLICES)]
     for r in sums.toLocalIterator():
-        places[r.slice][:] = np.frombuffer(r.counts, "<u4")
+        places[r.slice][:] = np.frombuffer(r.counts, "<u2")
     shared = spark.sparkContext.broadcast(ranks)
     sent = [shared]  # given back when the last step that reads them is written
     del ranks, places
