@@ -149,8 +149,9 @@ class Coder:
 # --- tokenising -------------------------------------------------------------
 
 #: A full stop or comma at a word's end that other punctuation precedes, with
-#: which it makes one piece of the pre-tokeniser.
-JOINED = re.compile(r"(?:[^\w\s]|_)[.,](?:\s|\Z)")
+#: which it makes one piece of the pre-tokeniser.  The search starts at the two
+#: marks, which are found faster than any punctuation.
+JOINED = re.compile(r"[.,](?:(?<=[^\w\s].)|(?<=_.))(?:\s|\Z)")
 
 
 def plain_words(text: str) -> list:

@@ -148,3 +148,13 @@ def test_word_memo_is_exact_when_it_overflows(monkeypatch):
     for text, raw in zip(texts, enc.encode(texts)):
         assert np.frombuffer(raw, enc.dtype).tolist() == lib.encode(
             text, add_special_tokens=False).ids
+
+
+def test_joined_stops_are_found_as_by_the_plain_pattern():
+    import itertools
+    import re
+
+    plain = re.compile(r"(?:[^\w\s]|_)[.,](?:\s|\Z)")
+    for n in range(5):
+        for t in map("".join, itertools.product("a_.,-\n \u00e9", repeat=n)):
+            assert bool(plain.search(t)) == bool(token_files.JOINED.search(t)), t
