@@ -21,12 +21,31 @@ from candlestack.sources.tables import read_table
 
 #: Number of a row within the stage that drops near duplicates.
 ROW = "_row_of_stage"
+#: Bits of the filter that tells which rows take part in a join with their
+#: texts; a Spark bitmap holds 2 ** 15 of them.
+FILTER_BITS = 26
 
 
 def _columns(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
+def _may_be_in(rows: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those whose ROW stands in ``wanted`` and a few
+    others, and the rest.  Rows are told apart by a filter of fixed size,
+    whatever the number of rows, so neither part is shuffled."""
+    bucket, bits = f"{ROW}_bucket", f"{ROW}_bits"
+    place = F.pmod(F.xxhash64(ROW), F.lit(1 << FILTER_BITS))
+    inner = place.bitwiseAND((1 << 15) - 1)
+    maps = (wanted.select(place.alias("p")).groupBy(F.shiftright("p", 15).alias(bucket))
+            .agg(F.bitmap_construct_agg(F.col("p").bitwiseAND((1 << 15) - 1)).alias(bits)))
+    byte = F.conv(F.hex(F.substring(bits, (F.shiftright(inner, 3) + 1).cast("int"), F.lit(1))),
+                  16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, inner.bitwiseAND(7).cast("int")) == 1, F.lit(False))
+    marked = rows.join(F.broadcast(maps), F.shiftright(place, 15) == F.col(bucket), "left")
+    return tuple(marked.where(of).select(*_columns(rows)) for of in (hit, ~hit))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores below its threshold.
 
@@ -57,10 +76,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
              .where(F.col("doc_id").eqNullSafe(F.col("least.doc_id"))).select(ROW, "component"))
     order = F.struct("text", F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}")
                                         for i, c in enumerate(docs.columns)]), ROW)
-    kept = (rows.select(ROW, order.alias("order")).join(first, ROW)
+    # texts are compared, and moved, only where rows share the smallest doc_id
+    first = materialize(first, "first")
+    held = first.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min(ROW).alias(ROW))
+    tied = materialize(first.join(held.where("n > 1").select("component"), "component"), "tied")
+    kept = (_may_be_in(rows, tied)[0].select(ROW, order.alias("order")).join(tied, ROW)
             .groupBy("component").agg(F.min_by(ROW, "order").alias(ROW)))
-    losers = found.join(kept, ROW, "left_anti").select(ROW)
-    return rows.join(losers, ROW, "left_anti").select(*_columns(docs))
+    kept = held.where("n = 1").select(ROW).unionAll(kept.select(ROW))
+    losers = materialize(found.join(kept, ROW, "left_anti").select(ROW), "losers")
+    # only rows that may be lost meet the losers
+    some, rest = _may_be_in(rows, losers)
+    return (rest.unionAll(some.join(losers, ROW, "left_anti").select(*_columns(rest)))
+            .select(*_columns(docs)))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -423,3 +423,32 @@ def test_near_duplicates_go_by_row(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = Counter(map(tuple, P.drop_near_duplicates(spark, df, SF).collect()))
     assert got == Counter([rows[0], rows[2], rows[3], rows[4], rows[6], rows[7], rows[9]])
+
+
+def test_near_duplicates_move_few_texts(spark):
+    import corpus_pipeline as P
+
+    def moved(plan):
+        """Rows with a text that the plan has shuffled."""
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return moved(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return moved(plan.plan())
+        below = plan.children()
+        n = sum(moved(below.apply(i)) for i in range(below.size()))
+        if name == "ShuffleExchangeExec" and "text#" in plan.output().toString():
+            n += plan.metrics().apply("shuffleRecordsWritten").value()
+        return n
+
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(400)]
+    df = spark.createDataFrame(rows + [(1000 + i, rows[i][1] + " end") for i in range(5)],
+                               "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many rows
+    try:
+        out = P.drop_near_duplicates(spark, df, SF)
+        assert Counter(map(tuple, out.collect())) == Counter(rows)
+        assert moved(out._jdf.queryExecution().executedPlan()) <= 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
