@@ -16,6 +16,7 @@ decoded side by side from a table indexed by the next bits.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -154,6 +155,20 @@ class Coder:
 JOINED = re.compile(r"[.,](?:(?<=[^\w\s].)|(?<=_.))(?:\s|\Z)")
 
 
+#: A word in lower case whose characters the normaliser leaves as they are and
+#: the pre-tokeniser takes as one run of letters: Latin, Cyrillic, Han, Hangul.
+LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f\u0430-\u045f\u4e00-\u9fa5\uac00-\ud7a3]+")
+#: The normaliser and pre-tokeniser for which that holds.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]"
+                                           r"|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
 def plain_words(text: str) -> list:
     """The text cut at spaces (and, where each is a piece of its own, before
     full stops and commas), in lower case: words the library gives the ids
@@ -175,10 +190,12 @@ class WordEncoder:
     normaliser treats each character by itself or with the marks that follow
     it, so a text's ids are those of its words, one after the other.  Words
     not yet known are encoded by the library in one call, set apart by a
-    special token; the memo is cleared when full."""
+    special token; those of letters alone, which its normaliser and patterns
+    would leave whole, go to its BPE directly, set apart by line feeds.  The
+    memo is cleared when full."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -192,20 +209,40 @@ class WordEncoder:
         self.size = top + 1
         self.dtype = np.dtype("<u2" if top < 65_536 else "<u4")
         self.memo: dict = {"": b""}
+        self.bpe, line = None, ()
+        if (spec["normalizer"], spec["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER):
+            self.bpe = Tokenizer(self.lib.model)
+            self.bpe.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.Split("\n", "isolated"),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            line = self.bpe.encode("\n", add_special_tokens=False).ids
+        if len(line) != 1:  # line feeds cannot part words
+            self.bpe = None
+        else:
+            self.line_id = line[0]
 
     def _learn(self, words: list) -> None:
+        if self.bpe is not None:
+            letters, others = [], []
+            for w in words:
+                (letters if LETTERS.fullmatch(w) and w == w.lower() else others).append(w)
+            self._note(self.bpe, letters, "\n", self.line_id)
+            words = others
         plain = [w for w in words if self.mark not in w]
         for w in set(words).difference(plain):
             ids = self.lib.encode(w, add_special_tokens=False).ids
             self.memo[w] = np.array(ids, self.dtype).tobytes()
-        groups = [plain[i:i + 256] for i in range(0, len(plain), 256)]
-        done = self.lib.encode_batch_fast([self.mark.join(g) for g in groups],
-                                          add_special_tokens=False)
+        self._note(self.lib, plain, self.mark, self.mark_id)
+
+    def _note(self, lib, words: list, mark: str, mark_id: int) -> None:
+        """Keep the ids of ``words``, encoded with ``mark`` between them."""
+        groups = [words[i:i + 256] for i in range(0, len(words), 256)]
+        done = lib.encode_batch_fast([mark.join(g) for g in groups], add_special_tokens=False)
         step = self.dtype.itemsize
         for group, got in zip(groups, done):
             ids = np.array(got.ids, self.dtype)
             raw, at = ids.tobytes(), 0
-            for word, end in zip(group, [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]):
+            for word, end in zip(group, [*np.flatnonzero(ids == mark_id).tolist(), len(ids)]):
                 self.memo[word] = raw[at * step:end * step]
                 at = end + 1
 
@@ -230,6 +267,8 @@ _ENCODERS: dict = {}
 
 
 def word_encoder(path: str) -> WordEncoder:
+    # a task has its core; the library's own threads only wait for each other
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]

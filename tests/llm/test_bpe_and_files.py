@@ -158,3 +158,32 @@ def test_joined_stops_are_found_as_by_the_plain_pattern():
     for n in range(5):
         for t in map("".join, itertools.product("a_.,-\n \u00e9", repeat=n)):
             assert bool(plain.search(t)) == bool(token_files.JOINED.search(t)), t
+
+
+def test_words_of_letters_go_to_the_bpe_alone(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    path = vocabulary_file("word_bpe_49k.json")
+    token_files.word_encoder(path)
+    assert token_files.os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    enc, lib = token_files.WordEncoder(path), Tokenizer.from_file(path)
+    texts = ["Plain words, straße über один 汉字 한국 it's",
+             "Ångström naı̈ve ﬁne 각 ª x9 AΣ İx a\nb",
+             "line feeds\u0085and <|endoftext|> MARKS kept <|Strasse"]
+    direct, note = set(), enc._note
+
+    def spy(of, words, *args):
+        if of is enc.bpe:
+            direct.update(words)
+        note(of, words, *args)
+
+    monkeypatch.setattr(enc, "_note", spy)
+    got = enc.encode(texts)
+    for text, raw in zip(texts, got):
+        assert np.frombuffer(raw, enc.dtype).tolist() == lib.encode(
+            text, add_special_tokens=False).ids
+    assert {"plain", "straße", "один", "汉字"} <= direct
+    assert not {"it's", "x9", "ﬁne", "ª", "MARKS"} & direct
+    # a file with other patterns than these takes the library's whole way
+    monkeypatch.setattr(token_files, "PRE_TOKENIZER", None)
+    plain = token_files.WordEncoder(path)
+    assert plain.bpe is None and plain.encode(texts) == got
