@@ -102,6 +102,13 @@ _MEMO: dict = {}
 _MEMO_SIZE = [0]
 
 
+def forget() -> None:
+    """Drop the vocabularies and the memo, which the next task makes again."""
+    _VOCABULARIES.clear()
+    _MEMO.clear()
+    _MEMO_SIZE[0] = 0
+
+
 def vocabulary(path: str) -> Vocabulary:
     if path not in _VOCABULARIES:
         _VOCABULARIES[path] = Vocabulary(path)

@@ -50,8 +50,9 @@ FILTER_BITS = 26
 #: Bits of a class's bitmap, in 64-bit numbers: 2 ** MAP_BITS.
 MAP_BITS = 10
 MAP_LONGS = (1 << MAP_BITS) // 64
-#: Bytes of text that are hashed at once.
+#: Bytes of text that are hashed at once, and rows whose sets are held at once.
 PIECE_BYTES = 1 << 18
+ROWS = 200
 
 _MUL = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0x9E3779B97F4A7C15
@@ -211,7 +212,7 @@ def survey_batches(batches: Iterator, words: int, bits: int) -> Iterator:
     names = ["doc_id", "n", "cls", "bitmap", "slice", "counts"]
     counts = [np.zeros(1 << bits, np.uint32) for _ in range(2)]
     seen: set = set()
-    for batch in slices(batches):
+    for batch in slices(batches, ROWS):
         sets = shingle_sets(batch["text"].to_pylist(), words)
         n = [len(s) for s in sets]
         cls = [set_class(s) if len(s) else None for s in sets]
@@ -254,7 +255,7 @@ def token_batches(batches: Iterator, words: int, t: float, ranks) -> Iterator:
     import pyarrow as pa
 
     seen: set = set()
-    for batch in slices(batches):
+    for batch in slices(batches, ROWS):
         token, cls, n = [], [], []
         for s in shingle_sets(batch["text"].to_pylist(), words):
             if not len(s) or (c := set_class(s)) in seen:
@@ -276,7 +277,7 @@ def set_batches(batches: Iterator, words: int, t: float, ranks, wanted) -> Itera
     import pyarrow as pa
 
     bits = wanted.value
-    for batch in slices(batches):
+    for batch in slices(batches, ROWS):
         hit = np.ones(batch.num_rows, bool)
         for name in ("p0", "p1", "p2"):
             p = batch[name].to_numpy()

@@ -115,3 +115,29 @@ def test_bitmaps_differ_in_no_more_bits_than_sets_in_tokens():
             bits = int(np.unpackbits((p ^ q).view(np.uint8)).sum())
             apart = len(np.setxor1d(x, y))
             assert bits <= apart and (apart - bits) % 2 == 0
+
+
+def test_steps_hold_few_sets_and_give_memory_back(monkeypatch):
+    import pyarrow as pa
+
+    from candlestack.llm import bpe, common
+
+    held, sets, given = [], ngram_join.shingle_sets, []
+    monkeypatch.setattr(ngram_join, "shingle_sets",
+                        lambda texts, words: held.append(len(texts)) or sets(texts, words))
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    monkeypatch.setitem(bpe._VOCABULARIES, "v", "kept")
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(range(1_000)), pa.array([b"a b c d e f %d" % i for i in range(1_000)])],
+        ["doc_id", "text"])
+    out = list(common.on_workers("ngram_join", "survey_batches", 5, 10)(iter([rows])))
+    assert sum(b["n"].null_count < len(b) and len(b) or 0 for b in out) == 1_000
+    assert max(held) <= 200 and sum(held) == 1_000
+    assert given == [1]  # when the task ends
+    assert not bpe._VOCABULARIES  # what another step kept for its next task
+    bpe._VOCABULARIES["v"] = "kept"
+    common.forget_others("bpe")
+    assert bpe._VOCABULARIES.pop("v") == "kept"
+    common_now = common.give_back
+    monkeypatch.undo()
+    assert common.give_back is not common_now and common.give_back() is None
