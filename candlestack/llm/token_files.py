@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from candlestack.llm.bpe import byte_alphabet
 from candlestack.llm.common import no_null_text, on_workers, scratch_path, slices
 
 BLOCK_IDS = 65_536
@@ -157,7 +158,12 @@ JOINED = re.compile(r"[.,](?:(?<=[^\w\s].)|(?<=_.))(?:\s|\Z)")
 
 #: A word in lower case whose characters the normaliser leaves as they are and
 #: the pre-tokeniser takes as one run of letters: Latin, Cyrillic, Han, Hangul.
-LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f\u0430-\u045f\u4e00-\u9fa5\uac00-\ud7a3]+")
+_LETTER = "a-z\u00df-\u00f6\u00f8-\u024f\u0430-\u045f\u4e00-\u9fa5\uac00-\ud7a3"
+LETTERS = re.compile(f"[{_LETTER}]+")
+#: A word of such letters and of ASCII digits and marks; the pieces that the
+#: pre-tokeniser cuts it into.
+CLEAR = re.compile(f"[!-@\\[-`{{-~{_LETTER}]+")
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^0-9{_LETTER}]+")
 #: The normaliser and pre-tokeniser for which that holds.
 NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
@@ -183,24 +189,75 @@ def plain_words(text: str) -> list:
     return text.split(" ")
 
 
+#: Stands for the end of a piece in tiktoken's byte strings.
+WORD_END = "\n"
+
+
+def merge_tables(model: dict) -> tuple | None:
+    """(ranks by byte string, id of each rank, whether the rank ends a piece) of
+    a word-level BPE for tiktoken, or None where its ids could differ from the library's.
+
+    tiktoken joins neighbours whose bytes make any token, the library those of
+    its list.  They agree if every token, encoded by itself, comes out whole:
+    neighbours that make up a token then have the history that they have in it
+    alone, so they are its listed pair.  A token comes out whole if its two
+    parts do and nothing joins across them first."""
+    suffix = model["end_of_word_suffix"]
+    if not suffix or any(model[k] for k in (
+            "dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback",
+            "ignore_merges")):
+        return None
+    alphabet = byte_alphabet()
+    symbols = sorted(alphabet, key=alphabet.get)
+    raw = {c: bytes([alphabet[c]]) for c in symbols}
+    raw |= {c + suffix: raw[c] + WORD_END.encode() for c in symbols}
+    pairs = [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    rank, parts = {p: i for i, p in enumerate(pairs)}, {}
+
+    def spine(token: str, side: int, until: int) -> list:
+        """The tokens at one edge of ``token`` as it grows, and when each goes."""
+        out = [(token, until)]
+        while token in parts:
+            (token, until) = parts[token][side], rank[parts[token]]
+            out.append((token, until))
+        return out
+
+    for i, (a, b) in enumerate(pairs):
+        if a not in raw or b not in raw or a + b in raw or a.endswith(suffix):
+            return None
+        for x, x_until in spine(a, 1, i):
+            for y, y_until in spine(b, 0, i):
+                # of equal pairs that overlap the left one joins first
+                r = rank.get((x, y), i)
+                if r < x_until and r <= y_until and r < i:
+                    return None
+        if (a + b).endswith(suffix) != b.endswith(suffix):
+            return None
+        parts[a + b] = (a, b)
+        raw[a + b] = raw[a] + raw[b]
+    ranks = {r: i for i, r in enumerate(raw.values())}
+    if len(ranks) != len(raw) or not raw.keys() <= model["vocab"].keys():
+        return None
+    return (ranks, np.array([model["vocab"][t] for t in raw]),
+            np.array([t.endswith(suffix) for t in raw]))
+
+
 class WordEncoder:
     """Ids of whole texts from ids of their space-separated words.
 
     The vocabulary's pre-tokeniser never crosses white space and its
     normaliser treats each character by itself or with the marks that follow
     it, so a text's ids are those of its words, one after the other.  Words
-    not yet known are encoded by the library in one call, set apart by a
-    special token; those of letters alone, which its normaliser and patterns
-    would leave whole, go to its BPE directly, set apart by line feeds.  The
-    memo is cleared when full."""
+    not yet known are encoded by the library; those that its normaliser would
+    leave as they are and that are cut by PIECES go to tiktoken with the
+    vocabulary's merges, piece by piece.  The memo is cleared when full."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        mark = spec["added_tokens"][0]
-        self.mark, self.mark_id = mark["content"], mark["id"]
+        self.marks = [t["content"] for t in spec["added_tokens"]]
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
@@ -209,42 +266,47 @@ class WordEncoder:
         self.size = top + 1
         self.dtype = np.dtype("<u2" if top < 65_536 else "<u4")
         self.memo: dict = {"": b""}
-        self.bpe, line = None, ()
+        self.bpe = None
         if (spec["normalizer"], spec["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER):
-            self.bpe = Tokenizer(self.lib.model)
-            self.bpe.pre_tokenizer = pre_tokenizers.Sequence([
-                pre_tokenizers.Split("\n", "isolated"),
-                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-            line = self.bpe.encode("\n", add_special_tokens=False).ids
-        if len(line) != 1:  # line feeds cannot part words
-            self.bpe = None
-        else:
-            self.line_id = line[0]
+            tables = merge_tables(spec["model"])
+            if tables is not None:
+                import tiktoken
+
+                self.bpe = tiktoken.Encoding(
+                    "words", pat_str=f"[^{WORD_END}]+{WORD_END}", mergeable_ranks=tables[0],
+                    special_tokens={})
+                self.of_rank, self.ends = tables[1].astype(self.dtype), tables[2]
 
     def _learn(self, words: list) -> None:
         if self.bpe is not None:
-            letters, others = [], []
-            for w in words:
-                (letters if LETTERS.fullmatch(w) and w == w.lower() else others).append(w)
-            self._note(self.bpe, letters, "\n", self.line_id)
-            words = others
-        plain = [w for w in words if self.mark not in w]
-        for w in set(words).difference(plain):
-            ids = self.lib.encode(w, add_special_tokens=False).ids
-            self.memo[w] = np.array(ids, self.dtype).tobytes()
-        self._note(self.lib, plain, self.mark, self.mark_id)
-
-    def _note(self, lib, words: list, mark: str, mark_id: int) -> None:
-        """Keep the ids of ``words``, encoded with ``mark`` between them."""
-        groups = [words[i:i + 256] for i in range(0, len(words), 256)]
-        done = lib.encode_batch_fast([mark.join(g) for g in groups], add_special_tokens=False)
-        step = self.dtype.itemsize
-        for group, got in zip(groups, done):
-            ids = np.array(got.ids, self.dtype)
-            raw, at = ids.tobytes(), 0
-            for word, end in zip(group, [*np.flatnonzero(ids == mark_id).tolist(), len(ids)]):
-                self.memo[word] = raw[at * step:end * step]
-                at = end + 1
+            clear = [w for w in words if CLEAR.fullmatch(w)]
+            every = " ".join(clear)
+            if every != every.lower() or any(m in every for m in self.marks):
+                clear = [w for w in clear
+                         if w == w.lower() and not any(m in w for m in self.marks)]
+            words = set(words).difference(clear)
+            letters = [w for w in clear if LETTERS.fullmatch(w)]
+            self._note(self.bpe, letters, letters, None)
+            others = list(set(clear).difference(letters))
+            cut = [PIECES.findall(w) for w in others]
+            self._note(self.bpe, [p for c in cut for p in c], others, [len(c) for c in cut])
+        words = list(words)
+        done = self.lib.encode_batch_fast(words, add_special_tokens=False)
+        for word, got in zip(words, done):
+            self.memo[word] = np.array(got.ids, self.dtype).tobytes()
+
+    def _note(self, bpe, pieces: list, words: list, n_pieces: list | None) -> None:
+        """Keep the ids of ``words`` that have so many (None: one) of ``pieces``."""
+        if not words:
+            return
+        ranks = np.array(bpe.encode_ordinary(WORD_END.join([*pieces, ""])))
+        ends = (np.flatnonzero(self.ends[ranks]) + 1) * self.dtype.itemsize
+        if n_pieces is not None:
+            ends = ends[np.cumsum(n_pieces) - 1]
+        raw, at = self.of_rank[ranks].tobytes(), 0
+        for word, end in zip(words, ends.tolist()):
+            self.memo[word] = raw[at:end]
+            at = end
 
     def encode(self, texts: list) -> list:
         """The ids of each text as bytes of little-endian numbers."""
@@ -266,6 +328,11 @@ class WordEncoder:
 _ENCODERS: dict = {}
 
 
+def forget() -> None:
+    """Drop the encoders, which the next task makes again."""
+    _ENCODERS.clear()
+
+
 def word_encoder(path: str) -> WordEncoder:
     # a task has its core; the library's own threads only wait for each other
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

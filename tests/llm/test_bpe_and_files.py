@@ -187,3 +187,44 @@ def test_words_of_letters_go_to_the_bpe_alone(monkeypatch):
     monkeypatch.setattr(token_files, "PRE_TOKENIZER", None)
     plain = token_files.WordEncoder(path)
     assert plain.bpe is None and plain.encode(texts) == got
+
+
+def test_cut_words_need_no_library(monkeypatch):
+    """Words with digits and marks took the library's whole way."""
+    enc, lib = token_files.WordEncoder(WORD), Tokenizer.from_file(WORD)
+    slow, keep = [], enc.lib
+
+    class Spy:
+        def encode_batch_fast(self, words, **how):
+            slow.extend(words)
+            return keep.encode_batch_fast(words, **how)
+
+    monkeypatch.setattr(enc, "lib", Spy())
+    texts = ["nder.### (565) it's we'll x9y don''t 'sa a_b été's 12,5% --word-- straße!!",
+             "ﬁne <|endoftext|> ABC σ Σ ı̈"] + random_texts(7, 20)
+    for text, raw in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(raw, enc.dtype).tolist() == lib.encode(
+            text, add_special_tokens=False).ids
+    assert "ﬁne" in slow
+    assert not {"nder.###", "(565)", "it's", "x9y", "a_b", "12,5%", "straße!!"} & set(slow)
+
+
+def test_merges_that_any_neighbours_could_make_take_the_library():
+    import json
+
+    with open(WORD, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    ranks, ids, ends = token_files.merge_tables(model)
+    assert len(ranks) == len(ids) == len(ends) == len(model["vocab"])
+    base = [t for t in model["vocab"] if len(t.removesuffix("</w>")) == 1]
+
+    def small(*merges):
+        tokens = base + [a + b for a, b in merges]
+        return model | {"vocab": {t: i for i, t in enumerate(tokens)},
+                        "merges": [list(m) for m in merges]}
+
+    assert token_files.merge_tables(small(("a", "b"), ("ab", "c</w>"))) is not None
+    # "bc</w>" is made before "ab", so "abc</w>" never comes of its listed pair
+    assert token_files.merge_tables(small(("b", "c</w>"), ("a", "b"), ("ab", "c</w>"))) is None
+    assert token_files.merge_tables(small(("a", "a"), ("a", "aa"))) is None
+    assert token_files.merge_tables(small(("a", "a"), ("aa", "a"))) is not None
