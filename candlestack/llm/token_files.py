@@ -33,6 +33,8 @@ CHECKPOINT = 128
 END_ID = 2
 #: Words whose ids a worker keeps.
 MEMO_WORDS = 800_000
+#: Characters cut at once; a longer text is cut at white space before.
+CUT_CHARS = 1 << 21
 
 BLOCK = ("part int, block int, first long, n_ids long, doc_ids array<long>,"
          " doc_lengths array<int>, checkpoints binary, bits binary")
@@ -164,6 +166,16 @@ LETTERS = re.compile(f"[{_LETTER}]+")
 #: pre-tokeniser cuts it into.
 CLEAR = re.compile(f"[!-@\\[-`{{-~{_LETTER}]+")
 PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^0-9{_LETTER}]+")
+#: Where texts are cut; the characters (from U+FFFF on: all) of no such word.
+SPACES = " \t\n\r"
+GAP = re.compile(f"[{SPACES}]")
+UNCLEAR = np.array([not CLEAR.fullmatch(c) and c not in SPACES for c in map(chr, range(1 << 16))])
+#: Bytes of such words by kind; other characters than ASCII are letters.
+SPACE, LETTER, DIGIT, MARK = range(4)
+KINDS = np.full(256, MARK, np.uint8)
+KINDS[list(SPACES.encode())] = SPACE
+KINDS[list(b"abcdefghijklmnopqrstuvwxyz") + list(range(128, 256))] = LETTER
+KINDS[list(b"0123456789")] = DIGIT
 #: The normaliser and pre-tokeniser for which that holds.
 NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
@@ -189,6 +201,76 @@ def plain_words(text: str) -> list:
     return text.split(" ")
 
 
+def lowered(text: str) -> str:
+    """The text in lower case, but for the texts that ``plain_words`` keeps."""
+    return text if "<|" in text or "\u03a3" in text else text.lower()
+
+
+def stretch_groups(texts: list) -> Iterator:
+    """The texts in lower case in groups of CUT_CHARS or so: (numbers of the
+    texts, stretches), in order.  Longer texts are cut at white space."""
+    of, group, size = [], [], 0
+    for i, text in enumerate(map(lowered, texts)):
+        at = 0
+        while at < len(text):
+            gap = GAP.search(text, at + CUT_CHARS)
+            stop = gap.start() if gap else len(text)
+            if group and size + stop - at > CUT_CHARS:
+                yield of, group
+                of, group, size = [], [], 0
+            of.append(i)
+            group.append(text[at:stop])
+            size += stop - at
+            at = stop
+    if group:
+        yield of, group
+
+
+def cut_texts(texts: list) -> tuple:
+    """All texts' units one after the other, as an Arrow array, and how many come
+    before the end of each text.  A unit is a piece of PIECES, or a whole word
+    if it is not of CLEAR; the library gives each the ids it has in its text."""
+    import pyarrow as pa
+
+    every = "\n".join([*texts, "", ""])  # two bytes may be read past the last text
+    raw = np.frombuffer(every.encode(), np.uint8)
+    kind = KINDS[raw]
+    start = kind == DIGIT
+    start[0] = True
+    start[1:] |= kind[1:] != kind[:-1]
+    # 's and the like are pieces where their mark begins a run of marks
+    at = np.flatnonzero(raw == ord("'"))
+    at = at[start[at]]
+    one, two = raw[at + 1], raw[at + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e"))
+    long |= (one == ord("l")) & (two == ord("l"))
+    start[at[short | long] + 1] = False
+    start[at[short] + 2] = True
+    start[at[long] + 3] = True
+    inside = kind != SPACE
+    # the first byte of each character
+    lead = np.arange(len(raw)) if len(every) == len(raw) else np.flatnonzero(
+        (raw & 0xC0) != 0x80)
+    codes = np.frombuffer(every.encode("utf-32-le"), np.uint32)
+    unclear = lead[UNCLEAR[np.minimum(codes, len(UNCLEAR) - 1)]]
+    if "<|" in every:
+        unclear = np.append(unclear, np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|"))))
+    if len(unclear):
+        word = np.cumsum(~inside, dtype=np.int32)
+        whole = np.zeros(word[-1] + 1, bool)
+        whole[word[unclear]] = True
+        start[1:] &= ~(whole[word[1:]] & inside[:-1])
+    start &= inside
+    ends = lead[np.cumsum([len(t) + 1 for t in texts])]
+    before = np.searchsorted(np.flatnonzero(start), ends)
+    text = raw[inside]
+    offsets = np.append(np.flatnonzero(start[inside]), len(text)).astype(np.int32)
+    units = pa.Array.from_buffers(pa.string(), len(offsets) - 1, [
+        None, pa.py_buffer(offsets), pa.py_buffer(text)])
+    return units, before
+
+
 #: Stands for the end of a piece in tiktoken's byte strings.
 WORD_END = "\n"
 
@@ -250,7 +332,8 @@ class WordEncoder:
     it, so a text's ids are those of its words, one after the other.  Words
     not yet known are encoded by the library; those that its normaliser would
     leave as they are and that are cut by PIECES go to tiktoken with the
-    vocabulary's merges, piece by piece.  The memo is cleared when full."""
+    vocabulary's merges, piece by piece, where texts are cut into these pieces
+    to begin with.  The memo is cleared when full."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -279,8 +362,10 @@ class WordEncoder:
 
     def _learn(self, words: list) -> None:
         if self.bpe is not None:
-            clear = [w for w in words if CLEAR.fullmatch(w)]
-            every = " ".join(clear)
+            clear, every = words, " ".join(words)
+            if not CLEAR.fullmatch(every.replace(" ", "")):
+                clear = [w for w in words if CLEAR.fullmatch(w)]
+                every = " ".join(clear)
             if every != every.lower() or any(m in every for m in self.marks):
                 clear = [w for w in clear
                          if w == w.lower() and not any(m in w for m in self.marks)]
@@ -308,18 +393,47 @@ class WordEncoder:
             self.memo[word] = raw[at:end]
             at = end
 
+    def _know(self, need: list | set) -> None:
+        """Have all words that ``need`` names in the memo."""
+        new = [w for w in need if w not in self.memo]
+        if new and len(self.memo) + len(new) > MEMO_WORDS:
+            self.memo = {"": b""}
+            new = [w for w in need if w]
+        if new:
+            self._learn(new)
+
+    def _encode_cut(self, texts: list) -> list:
+        """Arrow tells the units apart, so that only distinct ones meet the memo."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        units, before = cut_texts(texts)
+        if not len(units):
+            return [b""] * len(texts)
+        coded = units.dictionary_encode()
+        # no unit holds a line feed: cut apart faster than by to_pylist
+        every = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()),
+                                         coded.dictionary)
+        distinct = pc.binary_join(every, "\n")[0].as_py().split("\n")
+        self._know(distinct)
+        ids = pa.array([self.memo[w] for w in distinct], pa.binary())
+        _, offsets, raw = ids.take(coded.indices).buffers()
+        ends = np.frombuffer(offsets, np.int32)[before].tolist()
+        raw = memoryview(raw or b"")  # none where no unit has an id
+        return [bytes(raw[a:b]) for a, b in zip([0, *ends], ends)]
+
     def encode(self, texts: list) -> list:
         """The ids of each text as bytes of little-endian numbers."""
-        out = []
+        if self.bpe is not None:
+            done: list = [[] for _ in texts]
+            for of, group in stretch_groups(texts):
+                for i, ids in zip(of, self._encode_cut(group)):
+                    done[i].append(ids)
+            return [b"".join(d) for d in done]
+        out: list = []
         for at in range(0, len(texts), 64):
             words = [plain_words(t) for t in texts[at:at + 64]]
-            need = set().union(*words)
-            new = [w for w in need if w not in self.memo]
-            if new and len(self.memo) + len(new) > MEMO_WORDS:
-                self.memo = {"": b""}
-                new = [w for w in need if w]
-            if new:
-                self._learn(new)
+            self._know(set().union(*words))
             get = self.memo.__getitem__
             out += [b"".join(map(get, w)) for w in words]
         return out

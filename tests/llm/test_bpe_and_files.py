@@ -209,6 +209,57 @@ def test_cut_words_need_no_library(monkeypatch):
     assert not {"nder.###", "(565)", "it's", "x9y", "a_b", "12,5%", "straße!!"} & set(slow)
 
 
+def test_words_of_many_texts_meet_the_memo_once():
+    """Every word of every text was looked up, distinct ones once in 64 texts more."""
+    met = []
+
+    class Memo(dict):
+        def __getitem__(self, word):
+            met.append(word)
+            return super().__getitem__(word)
+
+    enc, lib = token_files.WordEncoder(WORD), Tokenizer.from_file(WORD)
+    enc.memo = Memo(enc.memo)
+    text = "It's the same words, over and over: straße 42. "
+    expected = lib.encode(text * 9, add_special_tokens=False).ids
+    for raw in enc.encode([text * 9] * 200):
+        assert np.frombuffer(raw, enc.dtype).tolist() == expected
+    assert "straße" in met and len(met) == len(set(met))
+
+
+def test_texts_are_cut_as_the_patterns_cut_their_words():
+    import re
+
+    rng = random.Random(11)
+    texts = ["", " ", "'", "'s", "x'll", " 'Sa", "\U0001f600", "\r\n", "'re're''ve'm!'d"]
+    for alphabet in ("ab's'tre'll've'md0.,é中  \n", "a's0|<~é中ﬁA\u0301\U0001f600\x0b\x85 \t\r\n"):
+        texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))
+                  for _ in range(400)]
+    for group in (*([t] for t in texts), texts):
+        units, before = token_files.cut_texts(group)
+        units, start = units.to_pylist(), 0
+        for text, end in zip(group, before.tolist()):
+            words = [w for w in re.split("[ \t\r\n]+", text) if w]
+            assert units[start:end] == [
+                p for w in words for p in (
+                    token_files.PIECES.findall(w)
+                    if token_files.CLEAR.fullmatch(w) and "<|" not in w else [w])], text
+            start = end
+        assert start == len(units)
+
+
+@pytest.mark.parametrize("chars", [1, 40, 5000])
+def test_long_texts_are_cut_at_white_space(monkeypatch, chars):
+    monkeypatch.setattr(token_files, "CUT_CHARS", chars)
+    enc, lib = token_files.WordEncoder(WORD), Tokenizer.from_file(WORD)
+    texts = [*TRICKY, "", "\x0b", *random_texts(8, 6), "a 'b's\r\nc  "]
+    got = enc.encode(texts)
+    assert len(got) == len(texts) and enc.encode([]) == []
+    for text, raw in zip(texts, got):
+        assert np.frombuffer(raw, enc.dtype).tolist() == lib.encode(
+            text, add_special_tokens=False).ids
+
+
 def test_merges_that_any_neighbours_could_make_take_the_library():
     import json
 
