@@ -232,7 +232,8 @@ def test_texts_are_cut_as_the_patterns_cut_their_words():
 
     rng = random.Random(11)
     texts = ["", " ", "'", "'s", "x'll", " 'Sa", "\U0001f600", "\r\n", "'re're''ve'm!'d"]
-    for alphabet in ("ab's'tre'll've'md0.,é中  \n", "a's0|<~é中ﬁA\u0301\U0001f600\x0b\x85 \t\r\n"):
+    for alphabet in ("ab's'tre'll've'md0.,é中  \n",
+                     "a's0|<~é中ﬁA\u0301\U0001f600\x0b\x85 \t\r\n"):
         texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))
                   for _ in range(400)]
     for group in (*([t] for t in texts), texts):
